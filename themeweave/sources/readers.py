@@ -17,13 +17,18 @@ def scan_corpus(spark: SparkSession, path: str, columns: list[str] | None = None
 
 
 def scan_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A stage table as CSV with header and quoted embedded newlines."""
+    """A stage table as CSV with header and quoted embedded newlines.
+
+    An unquoted empty field is null, a quoted one is the empty string. The null
+    marker only has to differ from the empty string for Spark to keep them apart.
+    """
     return (
         spark.read.schema(schema)
         .option("header", True)
         .option("multiLine", True)
         .option("quote", '"')
         .option("escape", '"')
+        .option("nullValue", "\x00")
         .csv(path)
     )
 
