@@ -66,6 +66,7 @@ class Blocks:
 
     packed: DataFrame
     pivot_distances: np.ndarray
+    count: int
 
     def pairs_within(self, reach: DataFrame, directed: bool) -> DataFrame:
         """Pairs (a, b) of different blocks that may hold rows within ``reach`` of each other.
@@ -145,7 +146,8 @@ def build_blocks(points: DataFrame, n_points: int, block_rows: int = BLOCK_ROWS)
         .agg(F.max("gap").alias("radius"), rows.alias("rows"))
         .select((F.col("part") * MAX_PIVOTS + F.col("pivot")).alias("block"), "pivot", "radius", "rows")
     )
-    return Blocks(materialize(packed, "blocks"), _distances(pivots))
+    written = materialize(packed, "blocks")
+    return Blocks(written, _distances(pivots), written.count())
 
 
 def _distances(x: np.ndarray) -> np.ndarray:

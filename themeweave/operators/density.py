@@ -58,7 +58,7 @@ def _spanning_forest(rep: np.ndarray, v: np.ndarray, core: np.ndarray, ceiling:
 def reachability_forest(points: bl.Points, min_samples: int, block_rows: int, ceiling: float = float("inf")) -> DataFrame:
     """(u, v, w): edges that keep the components of every level up to ``ceiling``."""
     spark = points.distinct.sparkSession
-    core = materialize(point_core_distances(points, min_samples, block_rows), "core")
+    core = point_core_distances(points, min_samples, block_rows)
     # A row whose core distance is above the ceiling has no edges at all.
     dense = core.where(F.col("core") <= ceiling) if np.isfinite(ceiling) else core
     usable = materialize(points.distinct.join(dense, "rep").select("rep", "v", "core"), "dense")
@@ -77,9 +77,10 @@ def reachability_forest(points: bl.Points, min_samples: int, block_rows: int, ce
         return _spanning_forest(both["rep"], both["v"], both["core"], ceiling)
 
     edges = blocks.packed.select("block", "rows").groupBy("block").applyInArrow(within, EDGES)
-    reach = blocks.packed.select("block", F.lit(float(ceiling)).alias("reach"))
-    pairs = blocks.pairs_within(reach, directed=False)
-    edges = edges.unionByName(blocks.load_pairs(pairs).groupBy("a", "b").applyInArrow(between, EDGES))
+    if blocks.count > 1:
+        reach = blocks.packed.select("block", F.lit(float(ceiling)).alias("reach"))
+        pairs = blocks.pairs_within(reach, directed=False)
+        edges = edges.unionByName(blocks.load_pairs(pairs).groupBy("a", "b").applyInArrow(between, EDGES))
     if points.has_copies:
         # Copies hang on their representative; their mutual reachability is the core distance.
         copies = points.members.where(F.col("id") != F.col("rep")).join(usable.select("rep", "core"), "rep")
