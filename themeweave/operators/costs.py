@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -48,6 +48,22 @@ def price_calls(usage: DataFrame, prices: DataFrame) -> DataFrame:
     return prices.select("model", "price_in", "price_out", (paid_in + paid_out).alias("spent_usd"))
 
 
+def round_half_even(x: Column, places: int = 4) -> Column:
+    """Rounding of the exact value of a double, ties to even.
+
+    ``round`` and ``bround`` look at the shortest decimal text of the number, so
+    0.02175, which is a little less than that as a double, would go up. Here the
+    number is split in two parts short enough for exact products, which tells on
+    which side of the midpoint it lies.
+    """
+    scale = 10.0**places
+    low = F.floor(x * scale)
+    head = x.cast("float").cast("double")
+    side = (head * (2 * scale) - (2 * low + 1)) + (x - head) * (2 * scale)
+    step = F.when(side > 0, 1).when(side < 0, 0).otherwise(F.pmod(low, F.lit(2)))
+    return (low + step).cast("double") / scale
+
+
 def project_costs(means: DataFrame, prices: DataFrame, n_elements: int = fv.PROJECTED_ELEMENTS) -> DataFrame:
     """Cost of ``n_elements`` calls of mean size per model, rounded to 4 places.
 
@@ -58,9 +74,9 @@ def project_costs(means: DataFrame, prices: DataFrame, n_elements: int = fv.PROJ
     cost_out = means.select("mean_out").scalar() * n_elements / 1_000_000 * F.col("price_out")
     return prices.select("model", cost_in.alias("i"), cost_out.alias("o")).select(
         "model",
-        F.round("i", 4).alias("custo_entrada_usd"),
-        F.round("o", 4).alias("custo_saida_usd"),
-        F.round(F.col("i") + F.col("o"), 4).alias("custo_total_usd"),
+        round_half_even(F.col("i")).alias("custo_entrada_usd"),
+        round_half_even(F.col("o")).alias("custo_saida_usd"),
+        round_half_even(F.col("i") + F.col("o")).alias("custo_total_usd"),
     )
 
 

@@ -523,7 +523,9 @@ oracle(
     "totals",
     "price",
 )
-COSTS = f"""select model, round(i, 4) as custo_entrada_usd, round(o, 4) as custo_saida_usd, round(i + o, 4) as custo_total_usd
+# Printing rounds the exact value of a double; round() does not.
+COSTS = f"""select model, cast(printf('%.4f', i) as double) as custo_entrada_usd, cast(printf('%.4f', o) as double) as custo_saida_usd,
+ cast(printf('%.4f', i + o) as double) as custo_total_usd
  {{more}} from (select model, mean_in, mean_out, mean_in * {fv.PROJECTED_ELEMENTS} / 1000000 * price_in as i,
  mean_out * {fv.PROJECTED_ELEMENTS} / 1000000 * price_out as o from means, price)"""
 oracle("project_costs", COSTS.format(more=""), "means", "price")
