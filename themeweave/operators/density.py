@@ -126,7 +126,8 @@ def density_cluster_auto(
     """(doc_id, cluster_hdbscan) without a given eps; noise is -1.
 
     Components are taken at ``levels`` values of eps, spread evenly over the
-    edge lengths of the forest. They nest. A cluster lives from the level where
+    edge lengths of the forest (so another ``block_rows`` may shift them a
+    little). They nest. A cluster lives from the level where
     it splits off to the level where it splits or dissolves, and its stability
     is the sum of ``size * (1/eps - 1/eps_next_coarser)`` over that life. From
     fine to coarse, a cluster is preferred to the clusters inside it if it is at
@@ -176,8 +177,7 @@ def _stable_clusters(forest: DataFrame, eps: list[float], min_cluster_size: int)
 
     # Fine to coarse: own = stability of the cluster's life so far, inner = best
     # total of the clusters it later splits into.
-    solved = None
-    tree = None
+    solved, tree = None, None
     for level in range(last + 1):
         here = nodes.where(F.col("level") == level)
         if solved is None:
