@@ -50,18 +50,18 @@ def test_top_terms_equal_plain_python(spark, docs):
 
 
 def test_cluster_without_vocabulary_counts_in_the_mean(spark, docs):
-    df = frame(spark, docs)
-    counts = terms.cluster_term_counts(df, "c")
-    assert 7 not in {r["cluster_id"] for r in counts.collect()}
-    words = sum(r["tf"] for r in counts.collect())
-    assert terms.mean_cluster_words(df, "c", counts).first()[0] == pytest.approx(words / 4)
+    counts = terms.count_terms(frame(spark, docs), "c")
+    vocabulary = terms.cluster_term_counts(counts)
+    assert 7 not in {r["cluster_id"] for r in vocabulary.collect()}
+    words = sum(r["tf"] for r in vocabulary.collect())
+    assert terms.mean_cluster_words(counts, vocabulary).first()[0] == pytest.approx(words / 4)
 
 
 def test_padding_fills_short_clusters_with_last_terms(spark, docs):
     df = frame(spark, docs + [(8, "palavra1"), (8, "palavra2 palavra2")])
     padded = [r for r in terms.ctfidf_top_terms(df, "c", pad_zero=True).orderBy("rank").collect() if r["cluster_id"] == 8]
     assert len(padded) == 10 and [r["score"] > 0 for r in padded] == [True, True] + [False] * 8
-    vocabulary = sorted({r["term"] for r in terms.cluster_term_counts(df, "c").collect()}, reverse=True)
+    vocabulary = sorted({r["term"] for r in terms.cluster_term_counts(terms.count_terms(df, "c")).collect()}, reverse=True)
     own = {r["term"] for r in padded[:2]}
     assert [r["term"] for r in padded[2:]] == [t for t in vocabulary if t not in own][:8]
 
@@ -71,6 +71,12 @@ def test_impossible_bounds_raise(spark):
         terms.ctfidf_top_terms(frame(spark, [(0, "uma casa"), (0, "duas casas")]), "c")
 
 
-def test_text_is_tokenised_once_for_counts(spark, docs):
-    plan = terms.cluster_term_counts(frame(spark, docs), "c")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Generate explode") == 1
+def test_empty_vocabulary_raises(spark):
+    with pytest.raises(ValueError, match="no term"):
+        terms.ctfidf_top_terms(frame(spark, [(0, "uma casa"), (1, "dois carros"), (1, "tres pontes")]), "c")
+
+
+def test_counting_terms_shuffles_once(spark, docs):
+    plan = terms.term_occurrences(frame(spark, docs), "c").groupBy("cluster_id", "term").count()
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Generate inline") == 1 and text.count("Exchange hashpartitioning") == 1

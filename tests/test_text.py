@@ -82,3 +82,9 @@ def test_dates_parse_or_fail(spark):
     assert lenient == ["2020-02-01 10:20:30", "2020-02-01 00:00:00", None]
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         df.select(selection.parse_iso_date(F.col("s"))).collect()
+
+
+def test_length_filter_does_not_clean_twice(spark):
+    df = spark.createDataFrame([(1, "t", "x")], "doc_id int, title string, text string")
+    plan = selection.preprocess_corpus(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_replace(") == plan.split("Generate inline")[1].count("regexp_replace(")

@@ -9,15 +9,17 @@ from . import fixed_values as fv
 
 
 def strip_urls(col: Column) -> Column:
-    return F.regexp_replace(col, fv.URL_PATTERN, " ")
+    """The plain substring tests spare most texts the regex."""
+    may_match = F.contains(col, F.lit("http")) | F.contains(col, F.lit("www."))
+    return F.when(may_match, F.regexp_replace(col, fv.URL_PATTERN, " ")).otherwise(col)
 
 
 def strip_tags(col: Column) -> Column:
-    return F.regexp_replace(col, fv.TAG_PATTERN, " ")
+    return F.when(F.contains(col, F.lit("<")), F.regexp_replace(col, fv.TAG_PATTERN, " ")).otherwise(col)
 
 
 def normalize_whitespace(col: Column) -> Column:
-    return F.trim(F.regexp_replace(col, fv.SPACE_RUN, " "))
+    return F.trim(F.regexp_replace(col, f"{fv.SPACE_CLASS}+", " "))
 
 
 def clean_text(col: Column) -> Column:

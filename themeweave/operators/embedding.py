@@ -6,7 +6,6 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml import Pipeline
 from pyspark.ml.feature import IDF, PCA, HashingTF, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
@@ -15,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fv
 from ..functions import text as tx
 from ..functions import vectors as vx
+from ..session import materialize
 
 DIMENSIONS = 768
 
@@ -47,15 +47,17 @@ def embed_documents(df: DataFrame, load_encoder: Callable[[], Encoder] | None =
 
 
 def _hashed_vectors(df: DataFrame, text_col: str) -> DataFrame:
-    stages = [
-        HashingTF(inputCol="tokens", outputCol="tf", numFeatures=DIMENSIONS),
-        IDF(inputCol="tf", outputCol="weighted"),
-        Normalizer(inputCol="weighted", outputCol="unit", p=2.0),
-    ]
-    rows = df.select("doc_id", tx.tokenize(F.col(text_col)).alias("tokens"))
-    return Pipeline(stages=stages).fit(rows).transform(rows).select(
-        "doc_id", vector_to_array("unit", "float32").alias("embedding")
-    )
+    """Hashed term counts, weighted by inverse document frequency, scaled to length one.
+
+    The counts are written out between the two passes that weighting takes, so
+    texts are read and tokenised once.
+    """
+    tokens = df.select("doc_id", tx.tokenize(F.col(text_col)).alias("tokens"))
+    hashing = HashingTF(inputCol="tokens", outputCol="tf", numFeatures=DIMENSIONS)
+    counts = materialize(hashing.transform(tokens).select("doc_id", "tf"), "hashed")
+    weighted = IDF(inputCol="tf", outputCol="weighted").fit(counts).transform(counts)
+    unit = Normalizer(inputCol="weighted", outputCol="unit", p=2.0).transform(weighted)
+    return unit.select("doc_id", vector_to_array("unit", "float32").alias("embedding"))
 
 
 def reduce_dimensions(df: DataFrame, dims: int = fv.REDUCED_DIMS, vector_col: str = "embedding") -> DataFrame:

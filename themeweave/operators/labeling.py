@@ -15,6 +15,7 @@ from .. import schemas
 from ..functions import fixed_values as fv
 from ..functions import text as tx
 from ..functions.templates import DEFAULT_TEMPLATE
+from ..session import materialize
 from ..sources.readers import optional_source
 from .sampling import first_n_per_cluster
 from .terms import ctfidf_top_terms
@@ -134,6 +135,7 @@ def answered(prompts: DataFrame, make_client: Callable[[], Client], path: str, *
     is run again after a failure pays only for what is missing.
     """
     spark = prompts.sparkSession
+    prompts = materialize(prompts, "prompts")  # used three times, one row per cluster
     known = optional_source(spark, path, schemas.RESPONSE)
     missing = prompts.join(known.where(F.col("error").isNull()).select("cluster_id"), "cluster_id", "left_anti")
     infer_batches(missing, make_client, **options).write.mode("append").parquet(path)
@@ -257,7 +259,7 @@ def validate_labels(parsed: DataFrame, sent_id: str = "cluster_id") -> DataFrame
     return parsed.withColumns({
         "reasons": F.filter(broken, lambda x: x.isNotNull()),
         "warnings": F.filter(hints, lambda x: x.isNotNull()),
-        "nome_topico": F.regexp_replace(name, rf"^[{fv.SPACE}]+|[{fv.SPACE}]+$", ""),
+        "nome_topico": F.regexp_replace(name, rf"^{fv.SPACE_CLASS}+|{fv.SPACE_CLASS}+$", ""),
     })
 
 

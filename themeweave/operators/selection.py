@@ -29,8 +29,17 @@ def project_columns(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def clean_corpus(df: DataFrame) -> DataFrame:
-    """Cleaned ``title`` and ``text`` and the ``texto_modelo`` made from them."""
-    cleaned = df.withColumns({c: tx.clean_text(tx.null_to_empty(F.col(c))) for c in ("title", "text")})
+    """Cleaned ``title`` and ``text`` and the ``texto_modelo`` made from them.
+
+    The cleaned pair goes through a one-row ``inline``: filters on the model
+    text, such as the length filter, would otherwise be pushed below the
+    projection and clean every text a second time.
+    """
+    # clean_text in two steps, so that no step repeats the one before it
+    without_urls = df.withColumns({c: tx.strip_urls(tx.null_to_empty(F.col(c))) for c in ("title", "text")})
+    pair = F.struct(*[tx.normalize_whitespace(tx.strip_tags(F.col(c))).alias(c) for c in ("title", "text")])
+    others = [c for c in df.columns if c not in ("title", "text")]
+    cleaned = without_urls.select(*others, F.inline(F.array(pair))).select(*df.columns)
     return cleaned.withColumn("texto_modelo", tx.model_text(F.col("title"), F.col("text")))
 
 

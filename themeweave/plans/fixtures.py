@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-TABLES = ("documents", "embeddings", "conversations")
+from ..sources.readers import spread_small
 
 # Titles are first lines; nulls, URLs, tags and a no-break space are planted by
 # doc_id because the source texts have none.
@@ -68,7 +68,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(CORPUS, documents=_table(spark, sf_dir, "documents"))
+    return spark.sql(CORPUS, documents=spread_small(_table(spark, sf_dir, "documents"), "doc_id"))
 
 
 def clustered(spark: SparkSession, sf_dir: str) -> DataFrame:

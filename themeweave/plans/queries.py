@@ -54,6 +54,10 @@ def _clean_clustered(spark, sf_dir):
     return selection.preprocess_corpus(fx.clustered(spark, sf_dir))
 
 
+def _term_counts(spark, sf_dir):
+    return terms.count_terms(_clean_clustered(spark, sf_dir), "cluster_hdbscan")
+
+
 # --- sources and sinks --------------------------------------------------------
 
 
@@ -309,8 +313,8 @@ def nearest_to_centroid(spark, sf_dir):
 
 @query
 def top_terms(spark, sf_dir):
-    df = _clean_clustered(spark, sf_dir)
-    scored = terms.ctfidf_scores(df, "cluster_hdbscan", terms.cluster_term_counts(df, "cluster_hdbscan"))
+    counts = _term_counts(spark, sf_dir)
+    scored = terms.ctfidf_scores(counts, terms.cluster_term_counts(counts))
     return terms.top_terms(scored, 5).select("cluster_id", "rank", "term", r6("score").alias("score"))
 
 
@@ -422,30 +426,30 @@ def clustering_metrics(spark, sf_dir):
 
 @query
 def document_frequency(spark, sf_dir):
-    return terms.document_frequency(_clean_clustered(spark, sf_dir), "cluster_hdbscan")
+    return terms.document_frequency(_term_counts(spark, sf_dir))
 
 
 @query
 def cluster_term_counts(spark, sf_dir):
-    return terms.cluster_term_counts(_clean_clustered(spark, sf_dir), "cluster_hdbscan").select("cluster_id", "term", "tf")
+    return terms.cluster_term_counts(_term_counts(spark, sf_dir)).select("cluster_id", "term", "tf")
 
 
 @query
 def term_totals(spark, sf_dir):
-    return terms.term_totals(terms.cluster_term_counts(_clean_clustered(spark, sf_dir), "cluster_hdbscan"))
+    return terms.term_totals(terms.cluster_term_counts(_term_counts(spark, sf_dir)))
 
 
 @query
 def mean_cluster_words(spark, sf_dir):
-    df = _clean_clustered(spark, sf_dir)
-    mean = terms.mean_cluster_words(df, "cluster_hdbscan", terms.cluster_term_counts(df, "cluster_hdbscan"))
+    counts = _term_counts(spark, sf_dir)
+    mean = terms.mean_cluster_words(counts, terms.cluster_term_counts(counts))
     return mean.select(r6("mean_words").alias("mean_words"))
 
 
 @query
 def ctfidf_scores(spark, sf_dir):
-    df = _clean_clustered(spark, sf_dir)
-    scored = terms.ctfidf_scores(df, "cluster_hdbscan", terms.cluster_term_counts(df, "cluster_hdbscan"))
+    counts = _term_counts(spark, sf_dir)
+    scored = terms.ctfidf_scores(counts, terms.cluster_term_counts(counts))
     return scored.select("cluster_id", "term", "tf", "total", r6("score").alias("score"))
 
 

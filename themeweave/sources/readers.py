@@ -16,6 +16,20 @@ def scan_corpus(spark: SparkSession, path: str, columns: list[str] | None = None
     return corpus.select(*columns) if columns else corpus
 
 
+# Tables up to this size may sit in one row group, which one task would read alone.
+SPREAD_BELOW = 256 << 20
+
+
+def spread_small(df: DataFrame, key: str) -> DataFrame:
+    """A small table's rows spread over all cores; larger tables are left as they are.
+
+    Text work on a table of one row group would otherwise run in a single task.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if size <= SPREAD_BELOW else df
+
+
 def scan_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A stage table as CSV with header and quoted embedded newlines.
 
