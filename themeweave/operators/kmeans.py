@@ -60,6 +60,13 @@ def _spread_seeds(pool: np.ndarray, k: int, rng: np.random.Generator) -> np.ndar
     return np.array(chosen)
 
 
+def _few_tasks(rows: DataFrame) -> DataFrame:
+    """At most a few tasks per core, since every task returns a sum per centroid."""
+    spark = rows.sparkSession
+    wanted = 2 * max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return rows.coalesce(wanted)
+
+
 def _lloyd_step(rows: DataFrame, models: dict[int, Model]) -> dict[int, tuple[np.ndarray, np.ndarray, float]]:
     """One pass over the rows: per model the new sums, counts and the cost before the step."""
     index = list(models)
@@ -98,7 +105,7 @@ def _lloyd_step(rows: DataFrame, models: dict[int, Model]) -> dict[int, tuple[np
         )
 
     merged = (
-        rows.mapInArrow(scan, PARTIALS)
+        _few_tasks(rows).mapInArrow(scan, PARTIALS)
         .groupBy("model", "slot")
         .agg(
             F.sum("n").alias("n"),
@@ -185,7 +192,7 @@ def _cosine_scores(labelled: DataFrame, best: dict[int, Model]) -> list[tuple[in
             )
 
     stats = (
-        labelled.select("v", "labels")
+        _few_tasks(labelled.select("v", "labels"))
         .mapInArrow(gather, "slot int, n long, total array<double>")
         .groupBy("slot")
         .agg(F.sum("n").alias("n"), Summarizer.sum(array_to_vector("total")).alias("total"))
@@ -246,8 +253,11 @@ def kmeans_sweep(
         df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(vector_col).cast("array<float>").alias("v")),
         "kmeans-rows",
     )
+    # Read once per step: kept near the executors, read again from the files if one is lost.
+    rows.persist()
     best = fit_models(rows, list(range(k_min, k_max + 1)), n_init, seed, max_steps)
     labelled = materialize(_label_all(rows, best), "kmeans-labels")
+    rows.unpersist()
     spark = df.sparkSession
     scores = spark.createDataFrame(_cosine_scores(labelled, best), "k int, silhouette double")
     winner = select_best_k(scores).first()

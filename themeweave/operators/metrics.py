@@ -98,10 +98,14 @@ def clustering_metrics(
     silhouettes live in different spaces, hence ``metrica_distancia`` and
     ``aviso``.
     """
-    base = df.agg(
+    # One row per pair of cluster ids; counting distinct ids over the rows
+    # themselves would multiply them.
+    sizes = df.groupBy(kmeans_col, density_col).agg(F.count(F.lit(1)).alias("n"))
+    clustered = F.col(density_col) != fv.NOISE
+    base = sizes.agg(
         F.count_distinct(kmeans_col).alias("k"),
-        F.count_distinct(F.when(F.col(density_col) != fv.NOISE, F.col(density_col))).alias("n_found"),
-        F.avg((F.col(density_col) != fv.NOISE).cast("double")).alias("density_coverage"),
+        F.count_distinct(F.when(clustered, F.col(density_col))).alias("n_found"),
+        (F.sum(F.when(clustered, F.col("n")).otherwise(0)) / F.sum("n")).alias("density_coverage"),
     ).withColumns({
         "kmeans_purity": cluster_purity(df, kmeans_col).scalar(),
         "density_purity": cluster_purity(df, density_col).scalar(),

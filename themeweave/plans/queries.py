@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ from ..operators import (
     silhouette,
     terms,
 )
-from ..session import materialize, scratch_path
+from ..session import materialize, scratch_path, ship_package
 from ..sources import readers, writers
 from . import fixtures as fx
 
@@ -40,8 +41,13 @@ QUERIES: dict = {}
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def ready(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = ready
+    return ready
 
 
 def r6(col):

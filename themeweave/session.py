@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +19,8 @@ RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+PACKAGE_ZIP = "themeweave-workers.zip"
+
 
 def local_session(cores: int | str = "*", app: str = "themeweave", **conf: str) -> SparkSession:
     """A single-machine session for tests and benchmarks."""
@@ -36,6 +40,18 @@ def local_session(cores: int | str = "*", app: str = "themeweave", **conf: str)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of ``spark``.
+
+    Not needed where the cluster has it installed or gets it by ``--py-files``.
+    """
+    if PACKAGE_ZIP in spark.sparkContext._python_includes:
+        return
+    root = Path(__file__).resolve().parent
+    base = Path(tempfile.mkdtemp(prefix="themeweave-zip-")) / PACKAGE_ZIP.removesuffix(".zip")
+    spark.sparkContext.addPyFile(shutil.make_archive(str(base), "zip", root.parent, root.name))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
