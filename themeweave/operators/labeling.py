@@ -171,6 +171,17 @@ def _lenient_boolean(text: Column) -> Column:
     )
 
 
+def _once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns behind a one-row ``inline``.
+
+    Plain projections are merged and pushed into filters, which would parse the
+    same text again for every field and rule.
+    """
+    others = [c for c in df.columns if c not in columns]
+    values = F.struct(*[value.alias(name) for name, value in columns.items()])
+    return df.select(*others, F.inline(F.array(values)))
+
+
 def parse_labels(responses: DataFrame, raw_col: str = "raw", lenient: bool = False) -> DataFrame:
     """Typed label columns from response text, plus ``parsed``.
 
@@ -184,7 +195,7 @@ def parse_labels(responses: DataFrame, raw_col: str = "raw", lenient: bool = Fal
     still refuses 3.5 as an integer and numbers as text.
     """
     v = F.col("_v")
-    with_variant = responses.withColumn("_v", F.try_parse_json(raw_col))
+    with_variant = _once(responses, {"_v": F.try_parse_json(raw_col)})
 
     def get(field: str, kind: str) -> Column:
         return F.try_variant_get(v, f"$.{field}", kind)
@@ -214,7 +225,7 @@ def parse_labels(responses: DataFrame, raw_col: str = "raw", lenient: bool = Fal
     keywords = F.when(keywords_kind.isin("ARRAY<STRING>", "ARRAY<VOID>"), get("palavras_chave", "array<string>"))
     # An array of JSON nulls has the element type VOID as well; nulls are no strings.
     keywords = F.when(~F.exists(keywords, lambda k: k.isNull()), keywords)
-    return with_variant.withColumns({
+    return _once(with_variant, {
         "parsed": v.isNotNull(),
         "label_id": cluster_id,
         "nome_topico": text("nome_topico"),
