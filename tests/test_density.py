@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from helpers import components, core_distances, distances, vector_frame, with_copies
 
+from themeweave.operators import blocks as bl
 from themeweave.operators import density
 from themeweave.operators.components import connected_components
 
@@ -45,6 +46,23 @@ def test_nothing_dense_is_all_noise(spark):
     assert (labels_of(density.density_cluster(vector_frame(spark, x), 1e-6, 5)) == -1).all()
 
 
+def test_forest_keeps_every_level_and_skips_far_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(size=(50, 3)) + 12 * np.array(c) for c in ((0, 0, 0), (1, 0, 0), (2, 0, 0), (3, 0, 0))])
+    kept = []
+    matter = density._pairs_that_matter
+    monkeypatch.setattr(density, "_pairs_that_matter", lambda b, c: kept.append((matter(b, c).count(), b.count)) or matter(b, c))
+    forest = density.reachability_forest(bl.fold_copies(vector_frame(spark, x)), 4, 10).collect()
+    (n_pairs, n_blocks), = kept
+    assert n_pairs < n_blocks * (n_blocks - 1) // 2
+    for eps in (0.6, 1.0, 2.0, 6.0, 9.0, 15.0):
+        linked = np.zeros((len(x), len(x)), dtype=bool)
+        for u, v, w in forest:
+            linked[u, v] = linked[v, u] = w <= eps
+        sizes = np.bincount(components(linked), minlength=len(x))[components(linked)]
+        assert (np.where(sizes > 1, components(linked), -1) == brute_force(x, eps, 4, 2)).all()
+
+
 @pytest.mark.parametrize("block_rows", [31, 4096])
 def test_auto_finds_planted_blobs(spark, block_rows):
     x = blobs()

@@ -96,7 +96,7 @@ def test_pivot_bounds_rule_out_far_blocks(spark):
     blocks = bl.build_blocks(points.distinct.select("rep", "v"), points.n_distinct, 10)
     reach = blocks.packed.select("block", F.lit(0.5).cast("double").alias("reach"))
     total = blocks.count * (blocks.count - 1)
-    assert 0 < blocks.pairs_within(reach, directed=True).count() < total
+    assert 0 < blocks.pairs_from(reach).count() < total
 
 
 @pytest.mark.parametrize("block_rows", [11, 4096])

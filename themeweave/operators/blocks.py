@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vectors as vx
@@ -62,35 +62,52 @@ def fold_copies(df: DataFrame, vector_col: str = "embedding", id_col: str = "doc
 
 @dataclass
 class Blocks:
-    """``packed``: (block, pivot, radius, rows array<struct<rep, v, ...>>)."""
+    """``packed``: (block, pivot, radius, rows array<struct<rep, v, ...>>).
+
+    ``pivots`` holds the pivot rows themselves, ``pivot_distances`` what lies
+    between them.
+    """
 
     packed: DataFrame
+    pivots: list
     pivot_distances: np.ndarray
     count: int
 
-    def pairs_within(self, reach: DataFrame, directed: bool) -> DataFrame:
-        """Pairs (a, b) of different blocks that may hold rows within ``reach`` of each other.
+    def _meetings(self, reach: DataFrame, bridges: np.ndarray) -> DataFrame:
+        """Blocks with the blocks of every pivot: (a, ra, reach_a, b, rb, reach_b, gap, bridge).
 
-        ``reach`` has one row (block, reach) per block. Every block meets the
-        pivots by an explode over their bounded list, then the blocks of those
-        pivots by an equality join.
+        Every block meets the pivots by an explode over their bounded list, then
+        the blocks of those pivots by an equality join.
         """
-        summary = self.packed.select("block", "pivot", "radius")
-        lists = [[(j, float(d)) for j, d in enumerate(row)] for row in self.pivot_distances]
+        summary = self.packed.select("block", "pivot", "radius").join(reach, "block")
+        lists = [
+            (i, [(j, float(d), float(b)) for j, (d, b) in enumerate(zip(*rows))])
+            for i, rows in enumerate(zip(self.pivot_distances, bridges))
+        ]
         table = self.packed.sparkSession.createDataFrame(
-            list(enumerate(lists)), "pivot int, others array<struct<pivot:int, gap:double>>"
+            lists, "pivot int, others array<struct<pivot:int, gap:double, bridge:double>>"
         )
         left = (
-            summary.join(reach, "block")
-            .join(table, "pivot")
-            .select(F.col("block").alias("a"), F.col("radius").alias("ra"), "reach", F.explode("others").alias("o"))
-            .select("a", "ra", "reach", F.col("o.pivot").alias("pivot"), F.col("o.gap").alias("gap"))
+            summary.join(table, "pivot")
+            .select(F.col("block").alias("a"), F.col("radius").alias("ra"), F.col("reach").alias("reach_a"), F.inline("others"))
         )
-        right = summary.select(F.col("block").alias("b"), F.col("radius").alias("rb"), "pivot")
-        # Some slack keeps rounding from ever dropping a pair on the edge.
-        may_touch = F.col("gap") - F.col("ra") - F.col("rb") <= F.col("reach") + 1e-6 * (1 + F.col("gap"))
-        order = (F.col("a") != F.col("b")) if directed else (F.col("a") < F.col("b"))
-        return left.join(right, "pivot").where(order & may_touch).select("a", "b")
+        right = summary.select(F.col("block").alias("b"), F.col("radius").alias("rb"), F.col("reach").alias("reach_b"), "pivot")
+        return left.join(right, "pivot")
+
+    def pairs_from(self, reach: DataFrame) -> DataFrame:
+        """Ordered pairs (a, b): rows of ``a`` may have something in ``b`` within the reach of ``a``.
+
+        ``reach`` has one row (block, reach) per block.
+        """
+        met = self._meetings(reach, np.zeros_like(self.pivot_distances))
+        return met.where((F.col("a") != F.col("b")) & _may_touch(F.col("reach_a"))).select("a", "b")
+
+    def pairs_between(self, reach: DataFrame, bridges: np.ndarray, ceiling: float) -> DataFrame:
+        """Unordered pairs (a, b) closer than what either reaches and the bridge between their pivots,
+        and closer than ``ceiling``."""
+        limit = F.least(F.greatest("reach_a", "reach_b", "bridge"), F.lit(float(ceiling)))
+        met = self._meetings(reach, bridges)
+        return met.where((F.col("a") < F.col("b")) & _may_touch(limit)).select("a", "b")
 
     def load_pairs(self, pairs: DataFrame) -> DataFrame:
         """Both blocks of each pair as rows (a, b, side, rows), to be grouped by (a, b)."""
@@ -104,6 +121,14 @@ class Blocks:
         return wanted.join(self.packed.select("block", "rows"), "block").select("a", "b", "side", "rows")
 
 
+def _may_touch(limit: Column) -> Column:
+    """Whether two blocks can hold rows within ``limit``, by the triangle inequality.
+
+    Some slack keeps rounding from ever dropping a pair on the edge.
+    """
+    return F.col("gap") - F.col("ra") - F.col("rb") <= limit + 1e-6 * (1 + F.col("gap"))
+
+
 def _assign_pivots(points: DataFrame, pivots: np.ndarray) -> DataFrame:
     norms = (pivots**2).sum(axis=1)
 
@@ -129,7 +154,7 @@ def build_blocks(points: DataFrame, n_points: int, block_rows: int = BLOCK_ROWS)
     blocks as its count asks for, so no block grows with its neighbourhood.
     """
     n_pivots = max(1, min(MAX_PIVOTS, math.ceil(n_points / block_rows)))
-    drawn = points.select("rep", "v").orderBy(F.xxhash64("rep"), "rep").limit(n_pivots).collect()
+    drawn = points.orderBy(F.xxhash64("rep"), "rep").limit(n_pivots).collect()
     pivots = np.array([row["v"] for row in drawn], dtype=np.float64)
     placed = _assign_pivots(points, pivots)
     sizes = (
@@ -147,7 +172,7 @@ def build_blocks(points: DataFrame, n_points: int, block_rows: int = BLOCK_ROWS)
         .select((F.col("part") * MAX_PIVOTS + F.col("pivot")).alias("block"), "pivot", "radius", "rows")
     )
     written = materialize(packed, "blocks")
-    return Blocks(written, _distances(pivots), written.count())
+    return Blocks(written, drawn, _distances(pivots), written.count())
 
 
 def _distances(x: np.ndarray) -> np.ndarray:

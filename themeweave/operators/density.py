@@ -78,8 +78,7 @@ def reachability_forest(points: bl.Points, min_samples: int, block_rows: int, ce
 
     edges = blocks.packed.select("block", "rows").groupBy("block").applyInArrow(within, EDGES)
     if blocks.count > 1:
-        reach = blocks.packed.select("block", F.lit(float(ceiling)).alias("reach"))
-        pairs = blocks.pairs_within(reach, directed=False)
+        pairs = _pairs_that_matter(blocks, ceiling)
         edges = edges.unionByName(blocks.load_pairs(pairs).groupBy("a", "b").applyInArrow(between, EDGES))
     if points.has_copies:
         # Copies hang on their representative; their mutual reachability is the core distance.
@@ -88,6 +87,32 @@ def reachability_forest(points: bl.Points, min_samples: int, block_rows: int, ce
     return materialize(edges, "forest")
 
 
+def _pairs_that_matter(blocks: bl.Blocks, ceiling: float) -> DataFrame:
+    """Pairs of blocks that can hold an edge of the forest.
+
+    Any two rows are joined by a detour: to the pivot of the one, along a
+    spanning tree of the pivots, to the other. An edge longer than every step of
+    its detour closes a cycle as its longest edge, so it is not needed. Steps to
+    the pivot are no longer than the radius and the core distances of a block.
+    """
+    core = np.array([row["core"] for row in blocks.pivots])
+    steps = np.maximum(blocks.pivot_distances, np.maximum(core[:, None], core[None, :]))
+    bridges = np.zeros_like(steps)
+    inside, best, link = [0], steps[0].copy(), np.zeros(len(core), dtype=int)
+    best[0] = np.inf
+    while len(inside) < len(core):
+        new = int(best.argmin())
+        bridges[new, inside] = bridges[inside, new] = np.maximum(bridges[link[new], inside], best[new])
+        inside.append(new)
+        best[new] = np.inf
+        closer = steps[new] < best
+        closer[inside] = False
+        best[closer], link[closer] = steps[new][closer], new
+    pivot_core = F.get(F.array(*[F.lit(float(c)) for c in core]), F.col("pivot"))
+    reach = blocks.packed.select("block", F.greatest("radius", F.array_max("rows.core"), pivot_core).alias("reach"))
+    return blocks.pairs_between(reach, bridges, ceiling)
+
+
 def density_cluster(
     df: DataFrame,
     eps: float,

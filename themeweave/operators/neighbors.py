@@ -70,7 +70,7 @@ def _distinct_neighbors(blocks: bl.Blocks, k: int) -> DataFrame:
     reach = in_block.join(kth, "rep", "left").groupBy("block").agg(
         F.max(F.when(F.col("n_found") == k, F.col("kth")).otherwise(F.lit(float("inf")))).alias("reach")
     )
-    pairs = blocks.pairs_within(reach, directed=True)
+    pairs = blocks.pairs_from(reach)
     others = blocks.load_pairs(pairs).groupBy("a", "b").applyInArrow(between, FOUND)
     return _best(own.unionByName(others), "rep", "nbr", k)
 
