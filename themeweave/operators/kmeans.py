@@ -26,6 +26,7 @@ from .sampling import select_best_k
 SEED_POOL = 4096  # rows among which starting centroids are searched
 MAX_STEPS = 300
 TOLERANCE = 1e-4  # of the mean feature variance, for the squared move of all centroids
+DIRECT_TASKS = 16  # up to as many partial models are added up on the driver, more of them by a shuffle
 PARTIALS = "model int, slot int, n long, cost double, total array<double>"
 
 
@@ -67,7 +68,7 @@ def _few_tasks(rows: DataFrame) -> DataFrame:
     return rows.coalesce(wanted)
 
 
-def _lloyd_step(rows: DataFrame, models: dict[int, Model]) -> dict[int, tuple[np.ndarray, np.ndarray, float]]:
+def _lloyd_step(rows: DataFrame, models: dict[int, Model], n_tasks: int) -> dict[int, tuple[np.ndarray, np.ndarray, float]]:
     """One pass over the rows: per model the new sums, counts and the cost before the step."""
     index = list(models)
     stacked = np.concatenate([models[m].centroids for m in index])
@@ -104,21 +105,25 @@ def _lloyd_step(rows: DataFrame, models: dict[int, Model]) -> dict[int, tuple[np
             names=["model", "slot", "n", "cost", "total"],
         )
 
-    merged = (
-        _few_tasks(rows).mapInArrow(scan, PARTIALS)
-        .groupBy("model", "slot")
-        .agg(
-            F.sum("n").alias("n"),
-            F.sum("cost").alias("cost"),
-            Summarizer.sum(array_to_vector("total")).alias("total"),
+    merged = _few_tasks(rows).mapInArrow(scan, PARTIALS)
+    if n_tasks > DIRECT_TASKS:
+        merged = (
+            merged.groupBy("model", "slot")
+            .agg(
+                F.sum("n").alias("n"),
+                F.sum("cost").alias("cost"),
+                Summarizer.sum(array_to_vector("total")).alias("total"),
+            )
+            .select("model", "slot", "n", "cost", vector_to_array("total").alias("total"))
         )
-        .select("model", "slot", "n", "cost", vector_to_array("total").alias("total"))
-    )
+    table = merged.toArrow()  # one row per centroid, or as many as there are direct tasks
     out = {m: (np.zeros_like(models[m].centroids), np.zeros(models[m].k), 0.0) for m in index}
-    for row in merged.collect():  # one row per centroid
-        sums, counts, cost = out[row["model"]]
-        sums[row["slot"]], counts[row["slot"]] = row["total"], row["n"]
-        out[row["model"]] = (sums, counts, cost + row["cost"])
+    totals = vx.to_matrix(table.column("total"))
+    for i, (m, slot, n, cost) in enumerate(zip(*(table.column(c).to_pylist() for c in ("model", "slot", "n", "cost")))):
+        sums, counts, before = out[m]
+        sums[slot] += totals[i]
+        counts[slot] += n
+        out[m] = (sums, counts, before + cost)
     return out
 
 
@@ -131,11 +136,12 @@ def fit_models(rows: DataFrame, ks: list[int], n_init: int, seed: int, max_steps
         for i, (k, run) in enumerate((k, run) for k in ks for run in range(n_init))
     }
     tolerance = TOLERANCE * pool.var(axis=0).mean()
+    n_tasks = rows.rdd.getNumPartitions()
     for _ in range(max_steps):
         moving = {i: m for i, m in models.items() if not m.settled}
         if not moving:
             break
-        for i, (sums, counts, cost) in _lloyd_step(rows, moving).items():
+        for i, (sums, counts, cost) in _lloyd_step(rows, moving, n_tasks).items():
             model = moving[i]
             # An empty cluster keeps its centroid.
             moved = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], model.centroids)
