@@ -25,48 +25,60 @@ def _smallest_neighbor(directed: DataFrame, key: str) -> DataFrame:
 def _large_star(edges: DataFrame, key: str) -> DataFrame:
     """Link every larger neighbour of a vertex to the smallest of its neighbourhood."""
     both = edges.unionByName(edges.select(key, F.col("v").alias("u"), F.col("u").alias("v")))
-    m = _smallest_neighbor(both, key).withColumn("m", F.least("m", "u"))
-    # A hub is one row in m; adaptive execution splits its edges on the other side.
+    # A hub is one row in the written table, so adaptive execution can split its edges on the other side.
+    m = materialize(_smallest_neighbor(both, key).withColumn("m", F.least("m", "u")), "smallest")
     return both.where(F.col("v") > F.col("u")).join(m, [key, "u"]).select(key, F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(down: DataFrame, key: str) -> DataFrame:
     """Link a vertex and its smaller neighbours to the smallest of them. Edges point down."""
-    m = _smallest_neighbor(down, key)
+    m = materialize(_smallest_neighbor(down, key), "smallest")
     moved = down.join(m, [key, "u"]).where(F.col("v") != F.col("m")).select(key, F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(m.select(key, "u", F.col("m").alias("v"))).distinct()
 
 
+# Edges contracted at a time, which bounds what a task holds.
+LOCAL_EDGES = 1 << 20
+
+
+def _contract(key: str, held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    table = pa.Table.from_batches(held)
+    groups, u, v = (table.column(n).to_numpy() for n in (key, "u", "v"))
+    vertices, place = np.unique(np.stack([np.tile(groups, 2), np.concatenate([u, v])]), axis=1, return_inverse=True)
+    a, b = place.reshape(2, -1)
+    # Vertices are sorted, so the smallest index of a component is its smallest vertex.
+    root = np.arange(vertices.shape[1])
+    while True:
+        low = np.minimum(root[a], root[b])
+        if (root[a] == root[b]).all():
+            break
+        np.minimum.at(root, root[a], low)
+        np.minimum.at(root, root[b], low)
+        while (root[root] != root).any():
+            root = root[root]
+    moved = np.flatnonzero(root != np.arange(len(root)))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(vertices[0][moved].astype(np.int32)), pa.array(vertices[1][moved]), pa.array(vertices[1][root[moved]])],
+        names=[key, "u", "v"],
+    )
+
+
 def _local_stars(edges: DataFrame, key: str) -> DataFrame:
-    """Contract the edges of each partition: every vertex linked to its smallest local peer.
+    """Contract the edges each task reads: every vertex linked to its smallest local peer.
 
     A map-side combine for connectivity. It leaves at most one edge per vertex
-    and partition, and saves the rounds that would be spent inside partitions.
+    and million edges, and saves the rounds that would be spent inside partitions.
     """
 
     def contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [batch for batch in batches if batch.num_rows]
-        if not held:
-            return
-        table = pa.Table.from_batches(held)
-        groups, u, v = (table.column(n).to_numpy() for n in (key, "u", "v"))
-        vertices, place = np.unique(np.stack([np.tile(groups, 2), np.concatenate([u, v])]), axis=1, return_inverse=True)
-        a, b = place.reshape(2, -1)
-        # Vertices are sorted, so the smallest index of a component is its smallest vertex.
-        root = np.arange(vertices.shape[1])
-        while True:
-            low = np.minimum(root[a], root[b])
-            if (root[a] == root[b]).all():
-                break
-            np.minimum.at(root, root[a], low)
-            np.minimum.at(root, root[b], low)
-            while (root[root] != root).any():
-                root = root[root]
-        moved = np.flatnonzero(root != np.arange(len(root)))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(vertices[0][moved].astype(np.int32)), pa.array(vertices[1][moved]), pa.array(vertices[1][root[moved]])],
-            names=[key, "u", "v"],
-        )
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(map(len, held)) >= LOCAL_EDGES:
+                yield _contract(key, held)
+                held = []
+        if any(map(len, held)):
+            yield _contract(key, held)
 
     return edges.mapInArrow(contract, f"{key} int, u long, v long")
 
@@ -93,8 +105,8 @@ def connected_components(edges: DataFrame, key: str, max_rounds: int = 100) -> D
     ``key`` are independent and are solved by the same rounds. Each half of a
     round is written out: both use their input twice, and the lineage is cut.
     """
-    plain = edges.where(F.col("u") != F.col("v")).select(key, "u", "v").distinct()
-    current, mark = _written(_local_stars(plain, key), key)
+    plain = edges.where(F.col("u") != F.col("v")).select(key, "u", "v")
+    current, mark = _written(_local_stars(plain, key).distinct(), key)
     for _ in range(max_rounds):
         # The large star leaves edges pointing down, whatever way they came.
         stars = materialize(_large_star(current, key), "stars")
