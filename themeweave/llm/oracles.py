@@ -50,3 +50,31 @@ select doc_id, size, source_size, target,
   else 2.0::double * (0.875::double * part) / (0.5::double + sqrt(0.25::double)) end) as bigint) as position
 from timed
 """
+
+ORACLES["op6_near_dedup"] = r"""
+with recursive worded as (
+ select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+ from documents
+), shingled as (
+ select distinct doc_id, unnest(case
+   when len(w) >= 3 then [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)]
+   when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s
+ from worded
+), sized as (
+ select doc_id, count(*) as n from shingled group by doc_id
+), common as (
+ select a.doc_id as x, b.doc_id as y, count(*) as c from shingled a join shingled b on a.s = b.s and a.doc_id < b.doc_id group by all
+), linked as (
+ select x, y from common join sized nx on nx.doc_id = x join sized ny on ny.doc_id = y where 100 * c >= 85 * (nx.n + ny.n - c)
+), ways as (
+ select x, y from linked union all select y, x from linked
+), reach as (
+ select x, y from ways
+ union
+ select r.x, w.y from reach r join ways w on r.y = w.x
+), least as (
+ select x, min(least(x, y)) as component from reach group by x
+)
+select d.doc_id, coalesce(n, 0) as n_shingles, coalesce(component, d.doc_id) as component_id, coalesce(component, d.doc_id) = d.doc_id as kept
+from documents d left join sized s on s.doc_id = d.doc_id left join least l on l.x = d.doc_id
+"""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import exact_dedup, mixing
+from . import exact_dedup, mixing, near_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -32,3 +32,8 @@ def op7_exact_dedup(spark, sf_dir):
 def op10_mixing(spark, sf_dir):
     mixed = mixing.ordered(mixing.mix(table(spark, sf_dir, "documents")))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "position")
+
+
+@query
+def op6_near_dedup(spark, sf_dir):
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
