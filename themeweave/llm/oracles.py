@@ -78,3 +78,22 @@ with recursive worded as (
 select d.doc_id, coalesce(n, 0) as n_shingles, coalesce(component, d.doc_id) as component_id, coalesce(component, d.doc_id) = d.doc_id as kept
 from documents d left join sized s on s.doc_id = d.doc_id left join least l on l.x = d.doc_id
 """
+
+ORACLES["op5_substring_dedup"] = r"""
+with worded as (
+ select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+), starts as (
+ select r, unnest(range(1, len(w) - 33)) as i from worded
+), windows as (
+ select s.r, i, array_to_string(w[i:i + 34], ' ') as t from starts s join worded d on d.r = s.r
+), again as (
+ select r, i from (select r, i, count(*) over (partition by t) as n from windows) where n > 1
+), covered as (
+ select r, list(distinct j) as js from (select r, unnest(range(i, i + 35)) as j from again) group by r
+), left_over as (
+ select d.doc_id, len(w) as n_words, len(coalesce(js, [])) as n_removed,
+  [w[k] for k in range(1, len(w) + 1) if js is null or not list_contains(js, k)] as kept
+ from worded d left join covered c on c.r = d.r
+)
+select doc_id, n_words, n_removed, sha256(array_to_string(kept, ' ')) as kept_sha256 from left_over
+"""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import exact_dedup, mixing, near_dedup
+from . import exact_dedup, mixing, near_dedup, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -37,3 +37,8 @@ def op10_mixing(spark, sf_dir):
 @query
 def op6_near_dedup(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
+@query
+def op5_substring_dedup(spark, sf_dir):
+    return substring_dedup.digest(substring_dedup.without_repeats(table(spark, sf_dir, "documents")))
