@@ -80,13 +80,16 @@ class HashArrays:
     sizes: dict[int, int]
     types: list[np.dtype] = field(default_factory=list)
 
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Which of the keys are there, and their values (0 where not)."""
+    def find(self, keys: np.ndarray, routes: np.ndarray | None = None) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Which of the keys are there, and their values (0 where not).
+
+        ``routes`` stand for the keys in the choice of a shard, if these were dealt by something else.
+        """
         found = np.zeros(len(keys), bool)
         values = [np.zeros(len(keys), t) for t in self.types]
-        order = np.argsort(keys)
-        inverse_shard = shard_of(keys[order], self.shards)
-        ends = np.searchsorted(inverse_shard, np.arange(self.shards + 1))
+        shard = shard_of(keys if routes is None else routes, self.shards)
+        order = np.lexsort((keys, shard)) if routes is not None else np.argsort(keys)
+        ends = np.searchsorted(shard[order], np.arange(self.shards + 1))
         for shard in np.flatnonzero(np.diff(ends)):
             if not self.sizes.get(int(shard)):
                 continue
