@@ -132,15 +132,15 @@ def spans(column: pa.Array, block: int = BLOCK) -> Iterator[tuple[int, np.ndarra
 
 def blocks(column: pa.Array, block: int = BLOCK) -> Iterator[Block]:
     for low, offsets, data in spans(column, block):
-        word = ~SPACE[data]
-        before, after = np.zeros(len(data), bool), np.zeros(len(data), bool)
-        before[1:], after[:-1] = word[:-1], word[1:]
-        inner = offsets[(offsets > 0) & (offsets < len(data))]
-        before[inner], after[inner - 1] = False, False
-        start, end = np.flatnonzero(word & ~before), np.flatnonzero(word & ~after) + 1
-        yield Block(low, data, offsets, start, end, np.searchsorted(start, offsets))
-
-
-def spread_low(values: np.ndarray, parts: int) -> np.ndarray:
-    """Which of ``parts`` shards a hash belongs to, by its high bits."""
-    return ((values >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+        yield cut(low, offsets, data, SPACE)
+
+
+def cut(low: int, offsets: np.ndarray, data: np.ndarray, separator: np.ndarray) -> Block:
+    """The pieces of the documents between separator bytes, as words of a block."""
+    word = ~separator[data]
+    before, after = np.zeros(len(data), bool), np.zeros(len(data), bool)
+    before[1:], after[:-1] = word[:-1], word[1:]
+    inner = offsets[(offsets > 0) & (offsets < len(data))]
+    before[inner], after[inner - 1] = False, False
+    start, end = np.flatnonzero(word & ~before), np.flatnonzero(word & ~after) + 1
+    return Block(low, data, offsets, start, end, np.searchsorted(start, offsets))
