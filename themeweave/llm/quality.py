@@ -135,26 +135,32 @@ def _decoded(codes: np.ndarray, labellers: int) -> np.ndarray:
 def posterior(votes: np.ndarray, weight: np.ndarray, rounds: int = 200) -> np.ndarray:
     """Probability of good for each vote pattern, by expectation-maximisation.
 
-    Labellers err independently given the class, each with its own rates. It starts
-    from "bad if anyone says so", and rates are smoothed by one vote each way. A
-    labeller's bad votes stay evidence of bad: its share of bad votes is never
-    allowed to be higher in the good class.
+    Besides the good class there is one bad class per labeller, the kind of bad that
+    it is for, as one kind is seen by few labellers and several see the same. Given
+    the class, labellers err independently, each with its own rates. It starts from
+    "bad of the kinds that are claimed", and rates are smoothed by one vote each way.
+    One prior is needed: no labeller says bad of more than ``SLIP`` of the good.
     """
     if not len(votes):
         return np.zeros(0)
-    good = np.where((votes == BAD).any(axis=1), 0.05, 0.95)
+    claimed = (votes == BAD).astype(float)
+    some = claimed.any(axis=1)
+    good = np.where(some, 0.05, 0.95)
+    kinds = np.where(some[:, None], claimed, 1.0)
+    member = np.concatenate([good[:, None], (1 - good)[:, None] * kinds / kinds.sum(axis=1, keepdims=True)], axis=1)  # patterns, classes
     said = np.stack([votes == v for v in (BAD, SILENT, GOOD)], axis=2).astype(float)  # patterns, labellers, votes
     for _ in range(rounds):
-        mass = np.stack([weight * (1 - good), weight * good])
-        share = (mass.sum(axis=1) + 1) / (mass.sum() + 2)
-        rates = (np.einsum("cp,plv->clv", mass, said) + 1) / (mass.sum(axis=1)[:, None, None] + 3)
-        rates[1, :, BAD] = np.minimum(rates[1, :, BAD], SLIP)
-        logs = np.einsum("plv,clv->cp", said, np.log(rates)) + np.log(share)[:, None]
-        new = 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -500, 500)))
-        moved, good = np.abs(new - good).max(), new
+        mass = weight[:, None] * member
+        share = (mass.sum(axis=0) + 1) / (mass.sum() + mass.shape[1])
+        rates = (np.einsum("pc,plv->clv", mass, said) + 1) / (mass.sum(axis=0)[:, None, None] + 3)
+        rates[0, :, BAD] = np.minimum(rates[0, :, BAD], SLIP)
+        logs = np.einsum("plv,clv->pc", said, np.log(rates)) + np.log(share)
+        new = np.exp(logs - logs.max(axis=1, keepdims=True))
+        new /= new.sum(axis=1, keepdims=True)
+        moved, member = np.abs(new - member).max(), new
         if moved < 1e-9:
             break
-    return good
+    return member[:, 0]
 
 
 def _columns(read_: Read, labellers: slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
