@@ -1,8 +1,8 @@
 """Near duplicates by a chosen-path set similarity join.
 
 A document is the set of its word shingles. Independent trees branch documents by
-minwise tokens: at every level of a tree a document follows the token of its set
-that one more random order puts first, and two documents share a branch with the
+minwise tokens: at every level of a tree a document follows the tokens of its set
+that further random orders put first, and two documents share a token with the
 probability of their Jaccard similarity. A node of at most ``NODE`` documents is
 compared exhaustively on sketches; a larger one branches again, and one that is
 still larger at the last level is taken as one family. What this links are
@@ -10,15 +10,15 @@ candidate families. Inside them full sets decide:
 
 * a family of bounded total size is compared exhaustively in one task;
 * a larger one is dealt into blocks. Every block is compared in itself, then with
-  the family's best connected document, and at last everything outside the
-  family's largest component is compared with all of its blocks. So no link is
-  lost, and a crowd of copies costs about as many comparisons as it has rows.
+  the family's best connected document, and at last everything that this has not
+  reached is compared with all of its blocks. So no link is lost, and a crowd of
+  copies costs about as many comparisons as it has rows.
 
 Only spanning forests leave a task, never all pairs.
 
-A pair at the threshold is missed by the trees with probability about
-``(1 - t**levels)**TREES``: 1e-10 in small nodes, 1e-3 where all of its nodes need
-four levels.
+A pair at threshold t is missed by the trees with probability about
+``(1 - t**depth)**TREES``: 1e-10 where its nodes are small at once, 1e-4 (t = 0.85) to
+2e-3 (t = 0.8) where all of them need four tokens.
 
 Defined results: null, empty and blank texts have no set and no links. A row with
 a null doc_id has no links and a null component. Rows that repeat a doc_id are one
@@ -37,17 +37,18 @@ from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
 from ..session import materialize
+from .hash_arrays import HashArrays, write_arrays
 from .words import Block, blocks, mix, window_hashes
 
 TREES = 12
-LEVELS = 6
+DEPTHS = (1, 2, 4)  # tokens that a document's path has at each level
 TOKENS = 48  # minwise tokens of a document, which the trees choose from
 NODE = 64
 FAMILY = 150_000  # shingles that one task compares exhaustively
 
 _SEEDS = mix(np.arange(1, 2 * TOKENS + 1, dtype=np.uint64)).reshape(2, TOKENS) | np.uint64(1)
-# Level l of tree t looks at token (t + l * step) modulo TOKENS; each tree has its own step.
-_CHOICE = [[(t * 4 + level * (2 * t + 1)) % TOKENS for level in range(LEVELS)] for t in range(TREES)]
+# The l-th token of tree t's paths; each tree has its own step.
+_CHOICE = [[(t * 4 + level * (2 * t + 1)) % TOKENS for level in range(DEPTHS[-1])] for t in range(TREES)]
 
 
 def shingle_sets(block: Block, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -107,27 +108,21 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
     return rows.mapInArrow(_sketch(size), _SKETCH)
 
 
-def _branches(level: int):
-    """(node of the level above) -> node of this level, for every tree; level 0 starts the trees."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            mins = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, TOKENS).astype(np.uint64)
-            docs = batch.column(0)
-            if level == 0:
-                for t in range(TREES):
-                    node = mix(mins[:, _CHOICE[t][0]] + np.uint64(t << 32) + np.uint64(1))
-                    yield pa.RecordBatch.from_arrays([docs, batch.column(1), pa.array(np.full(len(docs), t, np.int32)), pa.array(node.view(np.int64))], names=["doc_id", "mins", "tree", "node"])
-            else:
-                tree, node = batch.column(2).to_numpy(), batch.column(3).to_numpy().view(np.uint64)
-                token = mins[np.arange(len(mins)), np.array([c[level] for c in _CHOICE])[tree]]
-                below = mix(node ^ mix(token + np.uint64(level << 32)))
-                yield pa.RecordBatch.from_arrays([docs, batch.column(1), batch.column(2), pa.array(below.view(np.int64))], names=["doc_id", "mins", "tree", "node"])
-
-    return run
+def _branches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The nodes of all levels of all trees that a document would pass."""
+    for batch in batches:
+        mins = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, TOKENS).astype(np.uint64)
+        for t, choice in enumerate(_CHOICE):
+            node, path = np.full(len(mins), t + 1, np.uint64), []
+            for level, token in enumerate(choice):
+                node = mix(node ^ mix(mins[:, token] + np.uint64(level << 32)))
+                if level + 1 in DEPTHS:
+                    path.append(pa.array(node.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *path], names=["doc_id", *_PATH])
 
 
-_NODE = "doc_id long, mins binary, tree int, node long"
+_PATH = [f"node{depth}" for depth in DEPTHS]
+_NODES = "doc_id long, " + ", ".join(f"{name} long" for name in _PATH)
 
 
 def _runs(key: np.ndarray) -> np.ndarray:
@@ -198,39 +193,53 @@ def _likely(threshold: float):
 
 def candidates(reps: DataFrame, threshold: float) -> DataFrame:
     """Edges (u, v) between documents that one of the trees brings together. reps: doc_id, mins."""
-    found, rows = [], reps.mapInArrow(_branches(0), _NODE)
-    for level in range(LEVELS):
+    found, small = [], []
+    rows = reps.select("doc_id", "mins").mapInArrow(_branches, _NODES)
+    for level, name in enumerate(_PATH):
         rows = materialize(rows, "branches")
-        sizes = rows.groupBy("tree", "node").agg(F.count("*").alias("n"), F.min("doc_id").alias("least")).where("n > 1")
+        sizes = rows.groupBy(name).agg(F.count("*").alias("n"), F.min("doc_id").alias("least")).where("n > 1")
         sizes = materialize(sizes, "nodes")
-        small = rows.join(sizes.where(F.col("n") <= NODE).select("tree", "node"), ["tree", "node"], "left_semi")
-        dealt = small.select("doc_id", "mins", F.xxhash64("tree", "node").alias("node")).repartition("node")
-        found.append(materialize(dealt.sortWithinPartitions("node").mapInArrow(_likely(threshold), "u long, v long"), "likely"))
-        large = sizes.where(F.col("n") > NODE)
-        if not large.head(1):
+        met = rows.join(sizes.hint("merge"), name)
+        small.append(met.where(F.col("n") <= NODE).select("doc_id", F.col(name).alias("node")))
+        if not sizes.where(F.col("n") > NODE).head(1):
             break
-        deeper = rows.join(large.select("tree", "node", "least"), ["tree", "node"])
-        if level == LEVELS - 1:
-            found.append(deeper.where("least < doc_id").select(F.col("least").alias("u"), F.col("doc_id").alias("v")))
+        rows = met.where(F.col("n") > NODE)
+        if level == len(DEPTHS) - 1:
+            found.append(rows.where("least < doc_id").select(F.col("least").alias("u"), F.col("doc_id").alias("v")))
         else:
-            rows = deeper.select("doc_id", "mins", "tree", "node").mapInArrow(_branches(level + 1), _NODE)
-    edges = found[0]
-    for more in found[1:]:
+            rows = rows.select("doc_id", *_PATH[level + 1 :])
+    nodes = small[0]
+    for more in small[1:]:
+        nodes = nodes.unionByName(more)
+    dealt = nodes.hint("merge").join(reps.select("doc_id", "mins"), "doc_id").select("doc_id", "mins", "node").repartition("node")
+    edges = dealt.sortWithinPartitions("node").mapInArrow(_likely(threshold), "u long, v long")
+    for more in found:
         edges = edges.unionByName(more)
     return edges
 
 
-def _sets(size: int):
+def _sets(size: int, members: HashArrays):
+    """Sets of the documents that are in a family, looked up so that no text is shuffled."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch.column(1)):
+            found, (family,) = members.find(mix(batch.column(0).to_numpy().view(np.uint64)))
+            some = pa.array(np.flatnonzero(found))
+            ids, texts, family = batch.column(0).take(some), batch.column(1).take(some), pa.array(family[found].view(np.int64))
+            for block in blocks(texts):
                 shingles, ends = shingle_sets(block, size)
                 values = pa.Array.from_buffers(pa.large_binary(), block.documents, [None, pa.py_buffer(ends * 8), pa.py_buffer(shingles)])
-                yield pa.RecordBatch.from_arrays([*(c.slice(block.low, block.documents) for c in (batch.column(0), batch.column(2))), values.cast(pa.binary())], names=["doc_id", "family", "tokens"])
+                yield pa.RecordBatch.from_arrays([*(c.slice(block.low, block.documents) for c in (ids, family)), values.cast(pa.binary())], names=["doc_id", "family", "tokens"])
 
     return run
 
 
+def _mixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, family) under the hash by which ``_sets`` looks an id up."""
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(mix(batch.column(0).to_numpy().view(np.uint64)).view(np.int64)), batch.column(1)], names=["id", "family"])
+
+
 def _linked(percent: int):
     """Forest edges of each group between documents with ``100 * common >= percent * union``.
 
@@ -275,8 +284,9 @@ def _compared(sets: list[np.ndarray], chosen: np.ndarray, percent: int) -> tuple
     common = np.zeros((len(rows), len(sets)), np.float64)
     order = np.argsort(token, kind="stable")
     owner, token = owner[order], token[order]
-    width = max(1, (1 << 22) // len(sets))
-    for low in range(0, int(token[-1]) + 1 if len(token) else 0, width):
+    tokens = int(token[-1]) + 1 if len(token) else 0
+    width = min(tokens, max(1, (1 << 22) // len(sets)))
+    for low in range(0, tokens, max(width, 1)):
         a, b = np.searchsorted(token, [low, low + width])
         held = np.zeros((len(sets), width), np.float32)
         held[owner[a:b], token[a:b] - low] = 1
@@ -309,7 +319,9 @@ def links(docs: DataFrame, families: DataFrame, sizes: DataFrame, size: int, per
     """
     members = families.select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sets = materialize(texts.join(members, "doc_id").mapInArrow(_sets(size), "doc_id long, family long, tokens binary"), "sets")
+    listed = members.mapInArrow(_mixed, "id long, family long")
+    known = write_arrays(listed, "members", "id", ["family"], -(-families.count() // (1 << 20)) or 1)
+    sets = materialize(texts.where("doc_id is not null").mapInArrow(_sets(size, known), "doc_id long, family long, tokens binary"), "sets")
     total = members.join(sizes.select("doc_id", "n_shingles"), "doc_id").groupBy("family").agg(F.sum("n_shingles").alias("total"))
     parts = materialize(total.select("family", F.ceil(F.col("total") / FAMILY).cast("int").alias("parts")), "parts")
     spread = sets.join(parts, "family").select(
@@ -327,12 +339,14 @@ def links(docs: DataFrame, families: DataFrame, sizes: DataFrame, size: int, per
     best = own.join(crowds, "family").groupBy("family").agg(F.max(F.struct("links", "v")).getField("v").alias("doc_id"))
     pivot = spread.join(best, ["family", "doc_id"], "left_semi").select("doc_id", "family", "tokens", every, F.lit(True).alias("chosen"))
     others = spread.select("doc_id", "family", "tokens", "part", F.lit(False).alias("chosen"))
-    edges = edges.unionByName(_confirm(pivot.unionByName(others).select(group, "*"), percent).select("u", "v"))
-    # What is outside the largest component of its crowd, in slices, against all blocks.
-    reached = _components(edges)
-    labelled = spread.join(reached.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    largest = labelled.groupBy("family", "component").count().groupBy("family").agg(F.max(F.struct("count", "component")).getField("component").alias("component"))
-    rest = labelled.join(materialize(largest, "largest"), ["family", "component"], "left_anti")
+    around = _confirm(pivot.unionByName(others).select(group, "*"), percent)
+    edges = edges.unionByName(around.select("u", "v"))
+    # What neither links to it nor hangs together, in its block, with something that does: in slices, against all blocks.
+    inside = own.join(crowds, "family").select("family", F.col("v").alias("doc_id"), F.col("u").alias("label")).distinct()
+    labelled = spread.join(inside, ["family", "doc_id"], "left").withColumn("label", F.coalesce("label", "doc_id"))
+    linked = around.select("family", F.col("v").alias("doc_id")).distinct()
+    reached = labelled.select("family", "doc_id", "label").join(linked, ["family", "doc_id"]).select("family", "label").distinct()
+    rest = labelled.join(materialize(reached, "reached"), ["family", "label"], "left_anti")
     rest = materialize(rest.select("doc_id", "family", "tokens", "parts"), "rest")
     cuts = rest.groupBy("family").agg(F.ceil(F.sum(F.length("tokens")) / (8 * FAMILY)).cast("int").alias("cuts"))
     cuts = materialize(cuts, "cuts")

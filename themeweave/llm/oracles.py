@@ -97,3 +97,52 @@ with worded as (
 )
 select doc_id, n_words, n_removed, sha256(array_to_string(kept, ' ')) as kept_sha256 from left_over
 """
+
+_UNITS = "'%', 'mm', 'cm', 'm', 'km', 'in', 'ft', 'mi', 'g', 'kg', 'mg', 't', 'lb', 'oz', 's', 'ms', 'min', 'h', 'hours', 'minutes', 'seconds', 'days', 'years', 'l', 'ml', 'usd', 'eur', 'dollars', 'euros', 'cents', 'degrees', 'percent'"
+_NUMBER = "^[+-]?[0-9]+([.,/:-][0-9]+)*"
+_WORDED = r"""
+select id, w, b, [case
+  when regexp_matches(b[i], '{number}$') then '<num>'
+  when regexp_matches(b[i], '{number}[A-Za-z%]+$') then '<num><unit>'
+  when lower(b[i]) in ({units}) and i > 1 and regexp_matches(b[i - 1], '{number}$') then '<unit>'
+  when regexp_matches(b[i], '^\p{{Lu}}\p{{Ll}}+$') and i > 1 and regexp_matches(w[i - 1], '[\p{{Ll}},;]$') then '<name>'
+  else lower(b[i]) end for i in range(1, len(b) + 1)] as t
+from (select id, w, [translate(x, '.,;:!?"()[]', '') for x in w] as b
+ from (select {id} as id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from {table}))
+"""
+
+
+def _worded(table: str, key: str) -> str:
+    return _WORDED.format(table=table, id=key, number=_NUMBER, units=_UNITS)
+
+
+ORACLES["op2_decontamination"] = f"""
+with items as ({_worded("benchmark", "item_id")}),
+docs as ({_worded("documents", "doc_id")}),
+item_windows as (
+ select id as item_id, i, array_to_string(t[i:i + 7], ' ') as h, [b[k] for k in range(i, i + 8) if starts_with(t[k], '<')] as a, len(w) - 7 as n
+ from (select *, unnest(range(1, len(w) - 6)) as i from items)
+), doc_windows as (
+ select id as doc_id, i as place, array_to_string(t[i:i + 7], ' ') as h, [b[k] for k in range(i, i + 8) if starts_with(t[k], '<')] as s
+ from (select *, unnest(range(1, len(w) - 6)) as i from docs)
+), met as (
+ select doc_id, item_id, place - i as diagonal, i, n, a, s from doc_windows join item_windows using (h)
+), slots as (
+ select distinct doc_id, item_id, diagonal, unnest(a) as x, unnest(s) as y from met
+), mapped as (
+ select doc_id, item_id, diagonal, count(*) = count(distinct x) and count(*) = count(distinct y) as one_to_one, bool_and(x = y) as same
+ from slots group by all
+), counted as (
+ select m.doc_id, m.item_id, m.diagonal, m.i, m.n, coalesce(one_to_one, true) as one_to_one, coalesce(same, true) as same, len(a) = 0 as literal
+ from met m left join mapped p on p.doc_id is not distinct from m.doc_id and p.item_id is not distinct from m.item_id and p.diagonal = m.diagonal
+), best as (
+ select doc_id, item_id, max(k) as best from (
+  select doc_id, item_id, diagonal, count(distinct i) as k from counted where one_to_one or literal group by all) group by all
+), both_ as (
+ select doc_id, item_id, max(n) as item_windows, count(distinct i) filter (one_to_one or literal) as windows, bool_and(same) as verbatim
+ from counted group by all
+)
+select b.doc_id, b.item_id, windows, cast(item_windows as bigint) as item_windows, verbatim
+from both_ b join best on best.doc_id is not distinct from b.doc_id and best.item_id is not distinct from b.item_id
+where best >= 6 or windows >= 0.5 * item_windows
+"""

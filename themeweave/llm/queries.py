@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import exact_dedup, language_id, language_model, mixing, near_dedup, quality, substring_dedup
+from . import decontamination, exact_dedup, language_id, language_model, mixing, near_dedup, quality, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -58,3 +58,8 @@ def op3_language_id(spark, sf_dir):
 def op9_quality(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return quality.classify(docs, quality.fit(docs, labels))
+
+
+@query
+def op2_decontamination(spark, sf_dir):
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
