@@ -4,22 +4,47 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from themeweave.llm import exact_dedup, mixing
+from themeweave.llm import decontamination, exact_dedup, mixing, near_dedup, quality
 from themeweave.session import materialize, ship_package
 
 
+def _side(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier finds neither bad nor toxic stay."""
+    return quality.keep_good(docs, _side(spark, sf_dir, "labels"))
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every set of equal texts stays: the one of the smallest doc_id."""
     return exact_dedup.drop_copies(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group linked by a similarity of 0.8 on shingles of five words stays."""
+    return near_dedup.drop_near(docs, size=5, percent=80)
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, even with other numbers or names, go."""
+    return decontamination.drop_leaks(docs, _side(spark, sf_dir, "benchmark"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's words in the mix, and its training position, in order of position."""
     mixed = mixing.ordered(mixing.mix(docs))
     return mixed.select("doc_id", "source", "size", "source_size", "target", "taken", "position")
 
 
-STAGES = [("exact_dedup", drop_exact_copies), ("mixing", mix_sources)]
+STAGES = [
+    ("quality", keep_good),
+    ("exact_dedup", drop_exact_copies),
+    ("near_dedup", drop_near_copies),
+    ("decontamination", drop_benchmark_leaks),
+    ("mixing", mix_sources),
+]
 
 # Classifier, similarity join and template alignment have no SQL form; tests use brute force.
 ORACLE_SQL = None
