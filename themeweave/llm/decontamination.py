@@ -157,4 +157,4 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, run: int =
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that leak an item."""
     found = leaks(docs, benchmark).select(F.col("doc_id").alias("leaked_id")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("leaked_id")), "left_anti")
+    return docs.join(found, docs["doc_id"].eqNullSafe(found["leaked_id"]), "left_anti")

@@ -175,5 +175,5 @@ def exact_groups(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
 def drop_copies(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows whose text is kept under a smaller doc_id, and without repeated rows."""
     kept = exact_groups(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
     return rows.dropDuplicates(["doc_id", "text"])

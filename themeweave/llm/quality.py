@@ -224,6 +224,7 @@ def toxic_words(docs: DataFrame, labels: DataFrame, least: int = 4, share: float
     A word must be in ``least`` toxic documents and in ``share`` of them, lest the
     words of one much-copied document be listed.
     """
+    docs = docs.select("doc_id", "text")
     marked = labels.where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     sample = _least(marked, LABELLED, "toxic").withColumnRenamed("doc_id", "id")  # bounded by LABELLED rows
     rows = docs.join(F.broadcast(sample), F.col("doc_id") == F.col("id")).select(
@@ -274,6 +275,7 @@ class Models:
 
 def fit(docs: DataFrame, labels: DataFrame) -> Models:
     """Both models of ``docs`` (doc_id, text), with word lists from ``labels`` (doc_id, toxic)."""
+    docs = docs.select("doc_id", "text")
     lists = [_word_hash(INSULTS), *toxic_words(docs, labels)]
     texts = docs.select(F.col("text").cast("string").alias("text"))
     # At most 3 to the power of the number of labellers rows, whatever the corpus.

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import decontamination, exact_dedup, language_id, language_model, mixing, near_dedup, quality, substring_dedup
+from . import decontamination, exact_dedup, language_id, language_model, mixing, near_dedup, quality, secret_scan, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -63,3 +63,9 @@ def op9_quality(spark, sf_dir):
 @query
 def op2_decontamination(spark, sf_dir):
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op1_secret_scan(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return secret_scan.scan(docs, secret_scan.learn(docs))
