@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import decontamination, exact_dedup, language_id, language_model, mixing, near_dedup, quality, secret_scan, substring_dedup
+from . import decontamination, exact_dedup, language_id, language_model, mixing, near_dedup, personal_data, quality, secret_scan, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -69,3 +69,9 @@ def op2_decontamination(spark, sf_dir):
 def op1_secret_scan(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return secret_scan.scan(docs, secret_scan.learn(docs))
+
+
+@query
+def op8_personal_data(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return personal_data.find(docs, personal_data.learn(docs))
