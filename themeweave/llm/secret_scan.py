@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import blocks, spans
+from .words import blocks, cut, spans, sums_between
 
 ASSIGN = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -63,30 +63,19 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
     return out
 
 
-def _run_starts(inside: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    edges = np.flatnonzero(np.diff(inside.astype(np.int8), prepend=0, append=0))
-    start, end = edges[::2], edges[1::2]
-    long = end - start >= least
-    return start[long], end[long]
-
-
 def worth_reading(offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
-    """Documents that may hold a base match or a candidate; runs that cross documents only add some."""
-    start, end = _run_starts(_KEY[data], SHORTEST)
-    if len(start):
-        both = [np.add.reduceat(np.append(t[data], False).astype(np.int64), np.stack([start, end], axis=1).ravel())[::2] > 0 for t in (_DIGIT, _LETTER)]
-        start = np.where(both[0] & both[1], start, -1)
-    hexes, _ = _run_starts(_HEX[data], 32)
-    signs = np.flatnonzero((data == 58) | (data == 61))
-    raw, keys, at = data.tobytes(), [], -1
+    """Documents that may hold a base match or a candidate."""
+    keys, hexes = cut(0, offsets, data, ~_KEY), cut(0, offsets, data, ~_HEX)
+    long = keys.end - keys.start >= SHORTEST
+    start, end = keys.start[long], keys.end[long]
+    both = [sums_between(t[data].astype(np.int64), start, end) > 0 for t in (_DIGIT, _LETTER)]
+    raw, access, at = data.tobytes(), [], -1
     while (at := raw.find(b"AKIA", at + 1)) >= 0:
-        keys.append(at)
-    places = np.concatenate([start[start >= 0], hexes, signs, np.array(keys, np.int64)]).astype(np.int64)
+        access.append(at)
+    signs = np.flatnonzero((data == 58) | (data == 61))
+    places = [start[both[0] & both[1]], hexes.start[hexes.end - hexes.start >= 32], signs, np.array(access, np.int64)]
     out = np.zeros(len(offsets) - 1, bool)
-    out[np.searchsorted(offsets, places, "right") - 1] = True
-    # A run that begins in one document may go on in the next.
-    ends = np.searchsorted(offsets, end - 1, "right") - 1 if len(end) else np.zeros(0, np.int64)
-    out[ends] = True
+    out[np.searchsorted(offsets, np.concatenate(places), "right") - 1] = True
     return out
 
 
