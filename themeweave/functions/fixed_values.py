@@ -40,13 +40,14 @@ EXCERPT_CHARS = 300
 
 # --- fixed values: stop words by language ------------------------------------
 STOPWORDS = {
-    "pt": (
-        "de do da dos das em no na nos nas um uma uns umas o a os as e é que se "
-        "com para por mais mas ao à às aos ou não sua seu suas seus ele ela eles "
-        "elas isso este esta esse essa aqui já foi ser tem ter são como sobre "
-        "também quando muito até depois ainda entre mesmo então porque pelo pela "
-        "pelos pelas num numa aquele"
-    ).split(),
+    "pt": [
+        "de", "do", "da", "dos", "das", "em", "no", "na", "nos", "nas", "um", "uma", "uns", "umas", "o", "a",
+        "os", "as", "e", "é", "que", "se", "com", "para", "por", "mais", "mas", "ao", "à", "às", "aos", "ou",
+        "não", "sua", "seu", "suas", "seus", "ele", "ela", "eles", "elas", "isso", "este", "esta", "esse",
+        "essa", "aqui", "já", "foi", "ser", "tem", "ter", "são", "como", "sobre", "também", "quando", "muito",
+        "até", "depois", "ainda", "entre", "mesmo", "então", "porque", "pelo", "pela", "pelos", "pelas",
+        "num", "numa", "aquele",
+    ],
 }
 
 # --- fixed values: label rules -----------------------------------------------
@@ -68,7 +69,7 @@ DEFAULT_TOKENS_OUT = 150.0
 
 # --- fixed values: wording of the metrics report -----------------------------
 METRIC_CENTROID = "cosine"
-METRIC_DENSITY = "euclidean (apos UMAP)"
+METRIC_DENSITY = "euclidean (apos {reducer})"
 METRICS_WARNING = (
     "Silhouettes nao sao diretamente comparaveis entre os dois algoritmos: "
     "espacos/metricas diferentes. Pureza eh comparavel pois usa a mesma "
