@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import core_distances, distances, neighbors, silhouette, vector_frame, with_copies
 from pyspark.sql import functions as F
@@ -145,9 +146,8 @@ def test_sweep_finds_planted_groups(spark):
     assert [r["k"] for r in sweep.scores.orderBy("k").collect()] == list(range(4, 15))
 
 
-def test_sweep_does_not_depend_on_partitioning(spark, blobs, monkeypatch):
+def test_sweep_does_not_depend_on_partitioning(spark, blobs):
     x, _ = blobs
-    monkeypatch.setattr(kmeans, "DIRECT_TASKS", 2)  # the first run adds up directly, the second by a shuffle
     runs = [
         kmeans.kmeans_sweep(vector_frame(spark, x).repartition(n), k_max=6, n_init=2).labels.orderBy("doc_id").collect()
         for n in (1, 5)
@@ -182,3 +182,46 @@ def test_reduction_keeps_ids_and_explains_more_with_more_dims(spark, blobs):
     assert len(reduced) == 160 and {len(r["embedding"]) for r in reduced} == {3}
     shares = [sum(embedding.explained_variance(df, k)) for k in (1, 3, 6)]
     assert shares == sorted(shares) and shares[-1] <= 1 + 1e-9
+
+
+def test_seeds_are_found_among_all_rows(spark):
+    """5,000 rows in one place and one far row; whichever it is, it gets a centroid."""
+    from themeweave.operators import kmeans
+
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(5001, 3))
+    for far in (0, 2500, 5000):
+        rows = x.copy()
+        rows[far] += 1e4
+        df = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(rows)], "doc_id long, v array<float>")
+        best = kmeans.fit_models(df, [2], 1, 42)[2]
+        assert best.settled and min(np.linalg.norm(best.centroids - rows[far], axis=1)) < 1
+
+
+def test_cost_is_that_of_the_final_centroids(spark):
+    from themeweave.operators import kmeans
+
+    x = np.float32(np.random.default_rng(2).normal(size=(200, 4)))
+    df = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "doc_id long, v array<float>")
+    for model in kmeans.fit_models(df, [2, 5], 2, 7, max_steps=3).values():
+        gap = ((x[:, None, :] - model.centroids[None]) ** 2).sum(axis=2).min(axis=1)
+        assert model.cost == pytest.approx(gap.sum(), rel=1e-5)
+
+
+@pytest.mark.parametrize("rows", [[[1.0, 2.0, 3.0], [4.0], [5.0, 6.0]], [[1.0, 2.0], None], [[1.0, None]]])
+def test_ragged_and_null_vectors_are_an_error(rows):
+    with pytest.raises(ValueError):
+        vx.to_matrix(pa.array(rows, pa.list_(pa.float32())))
+
+
+def test_null_vectors_give_null_results(spark):
+    df = spark.createDataFrame([(1, [3.0, 4.0]), (2, None), (3, [0.0, 2.0])], "i int, v array<float>").coalesce(1)
+    got = df.select("i", vx.l2_normalize(F.col("v")), vx.cosine_similarity(F.col("v"), F.col("v")), vx.squared_norm(F.col("v"))).orderBy("i").collect()
+    assert [(r[1], r[2], r[3]) for r in got] == [([0.6, 0.8], pytest.approx(1), 25.0), (None, None, None), ([0.0, 1.0], pytest.approx(1), 4.0)]
+
+
+def test_own_centroid_join_shuffles_no_vectors(spark):
+    df = vector_frame(spark, np.random.default_rng(3).normal(size=(50, 4)), labels=[i % 3 for i in range(50)])
+    plan = centroids.nearest_to_centroid(df, "label", 2)
+    assert plan.count() == 6
+    assert "BroadcastHashJoin" in plan._jdf.queryExecution().executedPlan().toString()

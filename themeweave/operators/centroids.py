@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from ..functions import vectors as vx
 from ..functions import fixed_values as fv
+from ..session import materialize
 
 CENTROIDS_PER_PASS = 1024  # bounds what is shipped to the workers at once
 
@@ -86,6 +87,21 @@ def _with_chunk(df: DataFrame, vector_col: str, rows: list) -> DataFrame:
     return _closer(df, vector_col, ids, np.array([r["centroid"] for r in rows], dtype=np.float64))
 
 
+SALTS = 64  # parts a cluster is dealt into where its centroid has to be joined by a shuffle
+
+
+def with_own_centroid(members: DataFrame, centres: DataFrame) -> DataFrame:
+    """``members`` (cluster_id, doc_id, ...) with the ``centroid`` of their cluster.
+
+    The centroids are written out, so the join knows their true size: few are
+    broadcast, and nothing is shuffled. For more, every centroid is repeated per
+    salt, so that a giant cluster is dealt to many tasks.
+    """
+    salted = materialize(centres, "centroids").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    spread = members.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    return spread.join(salted, ["cluster_id", "salt"]).drop("salt")
+
+
 def nearest_to_centroid(df: DataFrame, cluster_col: str, n: int = 5, vector_col: str = "embedding") -> DataFrame:
     """The ``n`` rows of each cluster closest to its centroid by cosine distance.
 
@@ -96,7 +112,7 @@ def nearest_to_centroid(df: DataFrame, cluster_col: str, n: int = 5, vector_col:
         F.col(cluster_col).cast("int").alias("cluster_id"), "doc_id", vector_col
     )
     centres = cluster_centroids(members, "cluster_id", vector_col).select("cluster_id", "centroid")
-    scored = members.join(centres, "cluster_id").select(
+    scored = with_own_centroid(members, centres).select(
         "cluster_id",
         "doc_id",
         (F.lit(1.0).cast("double") - vx.cosine_similarity(F.col(vector_col), F.col("centroid"))).alias("distance"),

@@ -23,10 +23,10 @@ from ..functions import vectors as vx
 from ..session import materialize
 from .sampling import select_best_k
 
-SEED_POOL = 4096  # rows among which starting centroids are searched
+SEED_ROUNDS = 4  # passes over all rows that look for starting centroids
+SEEDS_PER_K = 8  # candidates that a pass adds, per cluster of the largest model
 MAX_STEPS = 300
 TOLERANCE = 1e-4  # of the mean feature variance, for the squared move of all centroids
-DIRECT_TASKS = 16  # up to as many partial models are added up on the driver, more of them by a shuffle
 PARTIALS = "model int, slot int, n long, cost double, total array<double>"
 
 
@@ -40,7 +40,10 @@ class Model:
 
 @dataclass
 class Sweep:
-    """Result of a sweep: ``labels`` (doc_id, cluster_kmeans), the chosen k, its score, all scores."""
+    """Result of a sweep: ``labels`` (doc_id, cluster_kmeans), the chosen k, its score, all scores.
+
+    ``scores`` says for each k whether its model had settled when the steps ran out.
+    """
 
     labels: DataFrame
     k: int | None
@@ -49,18 +52,91 @@ class Sweep:
     centroids: DataFrame
 
 
-def _spread_seeds(pool: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
-    """Starting centroids drawn one by one with probability by squared distance."""
-    chosen = [pool[rng.integers(len(pool))]]
+def _spread_seeds(pool: np.ndarray, weight: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """Starting centroids drawn from weighted candidates one by one, with probability by squared distance."""
+    chosen = [pool[rng.choice(len(pool), p=weight / weight.sum())]]
     gap = ((pool - chosen[0]) ** 2).sum(axis=1)
     while len(chosen) < k:
-        total = gap.sum()
-        pick = rng.choice(len(pool), p=gap / total) if total > 0 else rng.integers(len(pool))
+        total = (gap * weight).sum()
+        pick = rng.choice(len(pool), p=gap * weight / total) if total > 0 else rng.integers(len(pool))
         chosen.append(pool[pick])
         gap = np.minimum(gap, ((pool - pool[pick]) ** 2).sum(axis=1))
     return np.array(chosen)
 
 
+def _gaps(x: np.ndarray, pool: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nearest candidate of each row and the squared distance to it."""
+    apart = (pool**2).sum(axis=1) - 2.0 * (x @ pool.T)
+    nearest = apart.argmin(axis=1)
+    return nearest, np.maximum(apart[np.arange(len(x)), nearest] + (x**2).sum(axis=1), 0.0)
+
+
+def _seed_pool(rows: DataFrame, k: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Candidates for starting centroids from all rows, and how many rows are nearest to each.
+
+    Every round draws a bounded number of rows by squared distance to the
+    candidates so far (weighted sampling by the least of ``-ln(u) / weight``), so
+    far rows are found wherever they are (Bahmani et al., "Scalable K-Means++", 2012).
+    """
+    first = rows.orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(1).collect()
+    pool = np.array([r["v"] for r in first], dtype=np.float64)
+    n = SEEDS_PER_K * k
+    for turn in range(SEED_ROUNDS):
+        known = pool
+
+        def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                x = vx.to_matrix(batch.column("v"))
+                _, gap = _gaps(x, known)
+                u = (batch.column("u").to_numpy().astype(np.float64) + 1.0) / 2.0**31
+                rank = np.where(gap > 1e-12, -np.log(u) / np.maximum(gap, 1e-12), np.inf)
+                best = np.argsort(rank, kind="stable")[:n]
+                best = best[np.isfinite(rank[best])]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").take(pa.array(best)), pa.array(rank[best]), batch.column("v").take(pa.array(best))], names=["doc_id", "rank", "v"]
+                )
+
+        uniform = F.pmod(F.xxhash64("doc_id", F.lit(seed), F.lit(turn)), F.lit((1 << 31) - 1))
+        drawn = rows.select("doc_id", uniform.alias("u"), "v").mapInArrow(draw, "doc_id long, rank double, v array<float>")
+        new = drawn.orderBy("rank", "doc_id").limit(n).collect()  # n rows
+        if not new:
+            break
+        pool = np.concatenate([pool, np.array([r["v"] for r in new], dtype=np.float64)])
+    known = pool
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n_of = np.zeros(len(known), np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                n_of += np.bincount(_gaps(vx.to_matrix(batch.column("v")), known)[0], minlength=len(known))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(known))), pa.array(n_of)], names=["candidate", "n"])
+
+    counted = rows.select("v").mapInArrow(count, "candidate long, n long").groupBy("candidate").agg(F.sum("n").alias("n"))
+    weight = np.zeros(len(known))
+    for r in counted.collect():
+        weight[r["candidate"]] = r["n"]
+    return pool, weight
+
+
+def _mean_variance(rows: DataFrame) -> float:
+    """Mean over features of their variance over all rows."""
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = vx.to_matrix(batch.column("v"))
+                yield pa.RecordBatch.from_arrays([pa.array([len(x)]), vx.to_lists(np.stack([x.sum(axis=0), (x**2).sum(axis=0)]).reshape(1, -1))], names=["n", "s"])
+
+    total = rows.select("v").mapInArrow(sums, "n long, s array<double>")
+    r = total.agg(F.sum("n").alias("n"), Summarizer.sum(array_to_vector("s")).alias("s")).select("n", vector_to_array("s").alias("s")).first()
+    if not r["n"]:
+        return 0.0
+    mean, square = np.array(r["s"]).reshape(2, -1) / r["n"]
+    return float(np.maximum(square - mean**2, 0.0).mean())
+
+
 def _few_tasks(rows: DataFrame) -> DataFrame:
     """At most a few tasks per core, since every task returns a sum per centroid."""
     spark = rows.sparkSession
@@ -68,7 +144,7 @@ def _few_tasks(rows: DataFrame) -> DataFrame:
     return rows.coalesce(wanted)
 
 
-def _lloyd_step(rows: DataFrame, models: dict[int, Model], n_tasks: int) -> dict[int, tuple[np.ndarray, np.ndarray, float]]:
+def _lloyd_step(rows: DataFrame, models: dict[int, Model]) -> dict[int, tuple[np.ndarray, np.ndarray, float]]:
     """One pass over the rows: per model the new sums, counts and the cost before the step."""
     index = list(models)
     stacked = np.concatenate([models[m].centroids for m in index])
@@ -105,18 +181,18 @@ def _lloyd_step(rows: DataFrame, models: dict[int, Model], n_tasks: int) -> dict
             names=["model", "slot", "n", "cost", "total"],
         )
 
-    merged = _few_tasks(rows).mapInArrow(scan, PARTIALS)
-    if n_tasks > DIRECT_TASKS:
-        merged = (
-            merged.groupBy("model", "slot")
-            .agg(
-                F.sum("n").alias("n"),
-                F.sum("cost").alias("cost"),
-                Summarizer.sum(array_to_vector("total")).alias("total"),
-            )
-            .select("model", "slot", "n", "cost", vector_to_array("total").alias("total"))
+    merged = (
+        _few_tasks(rows)
+        .mapInArrow(scan, PARTIALS)
+        .groupBy("model", "slot")
+        .agg(
+            F.sum("n").alias("n"),
+            F.sum("cost").alias("cost"),
+            Summarizer.sum(array_to_vector("total")).alias("total"),
         )
-    table = merged.toArrow()  # one row per centroid, or as many as there are direct tasks
+        .select("model", "slot", "n", "cost", vector_to_array("total").alias("total"))
+    )
+    table = merged.toArrow()  # one row per centroid
     out = {m: (np.zeros_like(models[m].centroids), np.zeros(models[m].k), 0.0) for m in index}
     totals = vx.to_matrix(table.column("total"))
     for i, (m, slot, n, cost) in enumerate(zip(*(table.column(c).to_pylist() for c in ("model", "slot", "n", "cost")))):
@@ -129,24 +205,29 @@ def _lloyd_step(rows: DataFrame, models: dict[int, Model], n_tasks: int) -> dict
 
 def fit_models(rows: DataFrame, ks: list[int], n_init: int, seed: int, max_steps: int = MAX_STEPS) -> dict[int, Model]:
     """The best of ``n_init`` restarts for every k. ``rows`` is (doc_id, v)."""
-    pool_rows = rows.orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(SEED_POOL).collect()
-    pool = np.array([r["v"] for r in pool_rows], dtype=np.float64)
+    pool, weight = _seed_pool(rows, max(ks), seed)
     models = {
-        i: Model(k, _spread_seeds(pool, k, np.random.default_rng([seed, k, run])))
+        i: Model(k, _spread_seeds(pool, weight, k, np.random.default_rng([seed, k, run])))
         for i, (k, run) in enumerate((k, run) for k in ks for run in range(n_init))
     }
-    tolerance = TOLERANCE * pool.var(axis=0).mean()
-    n_tasks = rows.rdd.getNumPartitions()
+    tolerance = TOLERANCE * _mean_variance(rows)
     for _ in range(max_steps):
         moving = {i: m for i, m in models.items() if not m.settled}
         if not moving:
             break
-        for i, (sums, counts, cost) in _lloyd_step(rows, moving, n_tasks).items():
+        for i, (sums, counts, _) in _lloyd_step(rows, moving).items():
             model = moving[i]
-            # An empty cluster keeps its centroid.
             moved = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], model.centroids)
-            model.settled = ((moved - model.centroids) ** 2).sum() <= tolerance
-            model.centroids, model.cost = moved, cost
+            # An empty cluster starts anew at the candidate that is worst served.
+            for slot in np.flatnonzero(counts == 0):
+                _, gap = _gaps(pool, moved)
+                if gap.max() > 0:
+                    moved[slot] = pool[gap.argmax()]
+            model.settled = bool(((moved - model.centroids) ** 2).sum() <= tolerance)
+            model.centroids = moved
+    # The cost of the centroids as they are now, not before their last move.
+    for i, (_, _, cost) in _lloyd_step(rows, models).items():
+        models[i].cost = cost
     best: dict[int, Model] = {}
     for model in models.values():
         if model.k not in best or model.cost < best[model.k].cost:
@@ -265,7 +346,8 @@ def kmeans_sweep(
     labelled = materialize(_label_all(rows, best), "kmeans-labels")
     rows.unpersist()
     spark = df.sparkSession
-    scores = spark.createDataFrame(_cosine_scores(labelled, best), "k int, silhouette double")
+    found = [(k, score, best[k].settled) for k, score in _cosine_scores(labelled, best)]
+    scores = spark.createDataFrame(found, "k int, silhouette double, settled boolean")
     winner = select_best_k(scores).first()
     k = winner["k"] if winner else min(best)
     place = sorted(best).index(k)
