@@ -164,7 +164,7 @@ def test_retries_and_final_failure(spark, tmp_path):
 
         return ask
 
-    rows = labeling.infer_batches(prompts(spark, 3).coalesce(1), make, wait=wait).orderBy("cluster_id").collect()
+    rows = sorted(labeling.infer_batches(prompts(spark, 3), make, concurrency=1, wait=wait).collect(), key=lambda r: r["cluster_id"])
     assert [(r["attempts"], r["tokens_in"], r["error"] is None) for r in rows] == [(1, 5, True), (3, 5, True), (3, 0, False)]
     assert log.read_text().split() == ["2.0", "4.0", "2.0", "4.0"]
 
@@ -191,15 +191,78 @@ def test_answers_are_not_asked_for_twice(spark, tmp_path):
     assert sorted(calls.read_text().split()) == ["0", "1", "1", "1", "1", "2"]
 
 
-def test_other_errors_fail_the_job(spark):
+def test_other_errors_become_rows(spark):
     def make():
         def ask(cluster_id, prompt):
-            raise KeyError("bug")
+            if cluster_id == 0:
+                raise KeyError("bug")
+            return "{}", 1, 1
 
         return ask
 
-    with pytest.raises(Exception, match="KeyError"):
-        labeling.infer_batches(prompts(spark, 1), make).collect()
+    rows = sorted(labeling.infer_batches(prompts(spark, 2), make).collect(), key=lambda r: r["cluster_id"])
+    assert [(r["error"], r["attempts"]) for r in rows] == [("KeyError: 'bug'", 1), (None, 1)]
+
+
+def test_other_prompts_are_asked_anew(spark, tmp_path):
+    def make():
+        return lambda cluster_id, prompt: (prompt.upper(), 1, 1)
+
+    path = str(tmp_path / "responses")
+    first = labeling.answered(prompts(spark, 2), make, path).orderBy("cluster_id").collect()
+    changed = prompts(spark, 2).selectExpr("cluster_id", "concat(prompt, '!') as prompt")
+    second = labeling.answered(changed, make, path).orderBy("cluster_id").collect()
+    assert [r["raw"] for r in first] == ["P0", "P1"] and [r["raw"] for r in second] == ["P0!", "P1!"]
+
+
+def test_a_crash_keeps_the_slices_before_it(spark, tmp_path):
+    calls, path = tmp_path / "calls", str(tmp_path / "responses")
+
+    def make_with(limit):
+        def make():
+            def ask(cluster_id, prompt):
+                with calls.open("a") as f:
+                    f.write(f"{cluster_id} ")
+                if len(calls.read_text().split()) > limit:
+                    raise SystemExit("lost")
+                return "{}", 1, 1
+
+            return ask
+
+        return make
+
+    with pytest.raises(Exception):
+        labeling.answered(prompts(spark, 40), make_with(25), path, slice_rows=5, concurrency=1)
+    kept = spark.read.parquet(path).count()
+    assert 0 < kept < 40
+    calls.write_text("")
+    assert labeling.answered(prompts(spark, 40), make_with(1000), path, slice_rows=5).count() == 40
+    assert len(calls.read_text().split()) == 40 - kept
+
+
+def test_calls_are_spread_over_tasks(spark):
+    many = prompts(spark, 500).coalesce(1)
+    assert labeling.infer_batches(many, lambda: lambda c, p: ("{}", 1, 1)).select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_cluster_without_vocabulary_terms_is_labelled(spark, tmp_path):
+    rows = [(i, "t", w, w, i % 2) for i, w in enumerate(["bola gol", "voto urna"] * 4)] + [(9, "t", "unico", "unico", 7)]
+    df = spark.createDataFrame(rows, "doc_id long, title string, text string, texto_modelo string, c int")
+    terms_ = terms.ctfidf_top_terms(df, "c", n=2, pad_zero=True)
+    assert terms_.where("cluster_id = 7").count() == 2 and terms_.where("cluster_id = 7 and score > 0").count() == 0
+    asked = labeling.label_clusters(df, "c", lambda: lambda c, p: ("{}", 1, 1), str(tmp_path / "r"))[2]
+    assert sorted(r["cluster_id"] for r in asked.collect()) == [0, 1, 7]
+
+
+def test_lenient_labels_can_be_asked_for(spark, tmp_path):
+    df = spark.createDataFrame([(i, "t", w, w, 0) for i, w in enumerate(["bola gol", "bola gol", "time", "time"])], "doc_id long, title string, text string, texto_modelo string, c int")
+
+    def make():
+        return lambda c, p: (json.dumps({**GOOD, "cluster_id": str(c), "nivel_confianca": "0.5"}), 1, 1)
+
+    strict = labeling.label_clusters(df, "c", make, str(tmp_path / "a"))[0]
+    lenient = labeling.label_clusters(df, "c", make, str(tmp_path / "b"), lenient=True)[0]
+    assert strict.count() == 0 and [r["nivel_confianca"] for r in lenient.collect()] == [0.5]
 
 
 def test_full_flow_with_service_failure(spark, tmp_path):

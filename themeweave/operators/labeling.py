@@ -57,6 +57,11 @@ def keyword_lines(terms: DataFrame) -> DataFrame:
     return terms.groupBy("cluster_id").agg(tx.join_ranked(F.col("rank"), F.col("term")).alias("palavras_chave"))
 
 
+def cluster_list(df: DataFrame, cluster_col: str) -> DataFrame:
+    """(cluster_id): the clusters that hold rows, noise left out."""
+    return df.where(F.col(cluster_col) != fv.NOISE).select(F.col(cluster_col).alias("cluster_id")).distinct()
+
+
 def render_template(template: str, values: dict[str, Column]) -> Column:
     """The template as one concatenation, split at its placeholders beforehand.
 
@@ -73,12 +78,18 @@ def render_template(template: str, values: dict[str, Column]) -> Column:
     return F.concat(*parts)
 
 
-def render_prompts(keywords: DataFrame, examples: DataFrame, template: str = DEFAULT_TEMPLATE) -> DataFrame:
-    """(cluster_id, prompt), one row per cluster with keywords."""
-    joined = keywords.join(examples, "cluster_id", "left")
+def render_prompts(
+    keywords: DataFrame, examples: DataFrame, template: str = DEFAULT_TEMPLATE, clusters: DataFrame | None = None
+) -> DataFrame:
+    """(cluster_id, prompt), one row per cluster.
+
+    ``clusters`` (cluster_id) lists them; without it, those with keywords count.
+    """
+    listed = keywords if clusters is None else clusters.select("cluster_id").join(keywords, "cluster_id", "left")
+    joined = listed.join(examples, "cluster_id", "left")
     prompt = render_template(template, {
         "cluster_id": F.col("cluster_id").cast("string"),
-        "palavras_chave": F.col("palavras_chave"),
+        "palavras_chave": tx.null_to_empty(F.col("palavras_chave")),
         "exemplos": tx.null_to_empty(F.col("exemplos")),
     })
     return joined.select(F.col("cluster_id").cast("int").alias("cluster_id"), prompt.alias("prompt"))
@@ -98,14 +109,14 @@ def infer_batches(
     ``make_client`` runs once per task; the client takes (cluster_id, prompt)
     and returns (raw text, tokens in, tokens out). A ``ServiceError`` is tried
     again up to three times in all, after 2 and 4 seconds; the last failure is a
-    row with an error and no usage. Any other exception fails the job.
-    ``concurrency`` is the number of tasks that call at the same time.
+    row with an error and no usage, and so is any other exception of a call, which
+    is not tried again. ``concurrency`` is the number of tasks that call at the same
+    time, by default as many as there are cores.
 
     The result is lazy: write it out before using it twice, or calls are paid
     twice. ``answered`` does that.
     """
-    if concurrency:
-        prompts = prompts.repartition(concurrency, "cluster_id")
+    prompts = prompts.repartition(concurrency or prompts.sparkSession.sparkContext.defaultParallelism)
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = None
@@ -122,28 +133,43 @@ def infer_batches(
                         row = (int(cluster_id), "", f"service error after {attempt} tries: {error}", attempt, 0, 0)
                         if attempt < MAX_TRIES:
                             wait(2.0**attempt)
+                    except Exception as error:
+                        row = (int(cluster_id), "", f"{type(error).__name__}: {error}", attempt, 0, 0)
+                        break
                 # One row at a time, so that a lost task repeats few calls.
                 yield pd.DataFrame([row], columns=schemas.RESPONSE.names)
 
     return prompts.select("cluster_id", "prompt").mapInPandas(ask, schemas.RESPONSE)
 
 
-def answered(prompts: DataFrame, make_client: Callable[[], Client], path: str, **options) -> DataFrame:
-    """Responses for all prompts, asking only for clusters that ``path`` does not hold yet.
+SLICE = 256  # prompts whose answers are committed together
+
 
-    New responses are appended before anything else reads them, so a job that
-    is run again after a failure pays only for what is missing.
+def answered(prompts: DataFrame, make_client: Callable[[], Client], path: str, slice_rows: int = SLICE, **options) -> DataFrame:
+    """Responses for all prompts, asking only what ``path`` holds no answer to yet.
+
+    An answer belongs to its prompt: it is stored with the prompt's hash, so
+    other prompts for the same clusters are asked anew. Prompts are asked in slices
+    of about ``slice_rows``, each appended before the next is asked; a job that is
+    run again after a failure pays only for what is missing.
     """
     spark = prompts.sparkSession
-    prompts = materialize(prompts, "prompts")  # used three times, one row per cluster
-    known = optional_source(spark, path, schemas.RESPONSE)
-    missing = prompts.join(known.where(F.col("error").isNull()).select("cluster_id"), "cluster_id", "left_anti")
-    infer_batches(missing, make_client, **options).write.mode("append").parquet(path)
-    stored = spark.read.schema(schemas.RESPONSE).parquet(path)
-    wanted = prompts.select("cluster_id")
+    keyed = prompts.withColumn("prompt_hash", F.sha2("prompt", 256))
+    prompts = materialize(keyed, "prompts")  # used several times, one row per cluster
+    stored_schema = T.StructType([*schemas.RESPONSE.fields, T.StructField("prompt_hash", T.StringType())])
+    key = ["cluster_id", "prompt_hash"]
+    known = optional_source(spark, path, stored_schema).where(F.col("error").isNull()).select(*key)
+    missing = materialize(prompts.join(known, key, "left_anti"), "unanswered")
+    slices = -(-missing.count() // slice_rows)
+    for k in range(slices):
+        part = missing.where(F.pmod(F.xxhash64(*key), F.lit(slices)) == k)
+        replies = infer_batches(part, make_client, **options)
+        replies.join(part.select(*key), "cluster_id").write.mode("append").parquet(path)
+    stored = optional_source(spark, path, stored_schema)
     # An earlier failure gives way to a later answer.
     best = F.min_by(F.struct(*[c for c in schemas.RESPONSE.names if c != "cluster_id"]), F.col("error").isNotNull())
-    return stored.join(wanted, "cluster_id", "left_semi").groupBy("cluster_id").agg(best.alias("r")).select("cluster_id", "r.*")
+    mine = stored.join(prompts.select(*key), key, "left_semi")
+    return mine.groupBy("cluster_id").agg(best.alias("r")).select("cluster_id", "r.*")
 
 
 # --- reading responses --------------------------------------------------------
@@ -310,13 +336,16 @@ def label_clusters(
     template: str = DEFAULT_TEMPLATE,
     language: str = "pt",
     chosen: DataFrame | None = None,
+    lenient: bool = False,
     **options,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Terms, examples, prompts, calls, validation: (labels, dead letters, responses)."""
-    terms = ctfidf_top_terms(df, cluster_col, language=language)
-    prompts = render_prompts(keyword_lines(terms), example_blocks(df, cluster_col, chosen=chosen), template)
+    terms = ctfidf_top_terms(df, cluster_col, language=language, pad_zero=True)
+    prompts = render_prompts(
+        keyword_lines(terms), example_blocks(df, cluster_col, chosen=chosen), template, cluster_list(df, cluster_col)
+    )
     responses = answered(prompts, make_client, responses_path, **options)
-    checked = validate_labels(parse_labels(responses))
+    checked = validate_labels(parse_labels(responses, lenient=lenient))
     # A service failure is reported as such, not as unreadable text.
     failed = F.when(F.col("error").isNotNull(), F.array("error")).otherwise(F.col("reasons"))
     checked = checked.withColumn("reasons", failed)

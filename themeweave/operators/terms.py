@@ -110,14 +110,19 @@ def top_terms(scores: DataFrame, n: int = fv.TOP_TERMS) -> DataFrame:
     return scores.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= n)
 
 
-def pad_zero_scores(scores: DataFrame, n: int = fv.TOP_TERMS) -> DataFrame:
+def pad_zero_scores(scores: DataFrame, n: int = fv.TOP_TERMS, clusters: DataFrame | None = None) -> DataFrame:
     """Zero-score terms for clusters with fewer than ``n`` terms of their own.
 
+    ``clusters`` (cluster_id) names those to fill, also ones without any term.
+
     Only the last ``2n`` vocabulary terms in name order can be needed: a short
     cluster owns fewer than ``n`` of them, which leaves enough to fill it.
     """
     vocabulary = scores.select("term").distinct().orderBy(F.desc("term")).limit(2 * n)
-    short = scores.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n_own")).where(F.col("n_own") < n)
+    owned = scores.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n_own"))
+    if clusters is not None:
+        owned = clusters.select("cluster_id").join(owned, "cluster_id", "left")
+    short = owned.where(F.coalesce("n_own", F.lit(0)) < n)
     tail = vocabulary.agg(F.collect_list("term").alias("tail"))
     candidates = short.select("cluster_id", F.explode(tail.scalar()).alias("term"))
     missing = candidates.join(scores.select("cluster_id", "term"), ["cluster_id", "term"], "left_anti")
@@ -148,5 +153,5 @@ def ctfidf_top_terms(
         raise ValueError(f"no term lies between min_df={min_df} and max_df={max_df}")
     scores = ctfidf_scores(counts, vocabulary_counts)
     if pad_zero:
-        scores = pad_zero_scores(scores, n)
+        scores = pad_zero_scores(scores, n, _documents(counts))
     return top_terms(scores, n).select("cluster_id", "rank", "term", "score")

@@ -35,6 +35,7 @@ class Options:
     nearest_examples: bool = False  # example rows nearest the centroid instead of the first ones
     template: str = DEFAULT_TEMPLATE
     concurrency: int | None = None
+    lenient: bool = False  # take numbers and booleans written as text, as a forgiving reader would
 
 
 def prepare(corpus: DataFrame, out: str, options: Options) -> DataFrame:
@@ -65,7 +66,7 @@ def cluster(clean: DataFrame, vectors: DataFrame, out: str, options: Options) ->
     clustered = spark.read.parquet(f"{out}/clustered")
     placed = reduced.join(clustered.select("doc_id", "cluster_hdbscan"), "doc_id")
     density_score = silhouette.silhouette_euclidean(placed, "cluster_hdbscan").first()["silhouette"]
-    record = metrics.clustering_metrics(clustered, sweep.score, density_score, dims=options.dims)
+    record = metrics.clustering_metrics(clustered, sweep.score, density_score, dims=options.dims, k=sweep.k)
     writers.sink_json_document(record, f"{out}/metrics")
     return clustered
 
@@ -78,7 +79,8 @@ def label(clustered: DataFrame, vectors: DataFrame, out: str, make_client: Calla
         placed = vectors.join(clustered.select("doc_id", options.label_column), "doc_id")
         chosen = centroids.nearest_to_centroid(placed, options.label_column, fv.EXAMPLES_PER_CLUSTER)
     labels, dead, responses = labeling.label_clusters(
-        clustered, options.label_column, make_client, f"{out}/responses", options.template, chosen=chosen, concurrency=options.concurrency
+        clustered, options.label_column, make_client, f"{out}/responses", options.template, chosen=chosen,
+        lenient=options.lenient, concurrency=options.concurrency,
     )
     writers.sink_table(labels, f"{out}/labels")
     writers.sink_dead_letters(dead, f"{out}/dead_letters")
