@@ -91,9 +91,13 @@ def clustering_metrics(
     kmeans_col: str = "cluster_kmeans",
     density_col: str = "cluster_hdbscan",
     dims: int = fv.REDUCED_DIMS,
+    k: int | None = None,
+    reducer: str = "PCA",
 ) -> DataFrame:
     """The nested metrics record of one run, as a single row.
 
+    ``k`` is the k that was chosen; without it the clusters that hold rows are
+    counted. ``reducer`` names the reduction behind the density clustering.
     A silhouette that could not be computed (NaN) is reported as null. The two
     silhouettes live in different spaces, hence ``metrica_distancia`` and
     ``aviso``.
@@ -117,7 +121,7 @@ def clustering_metrics(
 
     return base.select(
         F.struct(
-            F.col("k").alias("k_escolhido"),
+            (F.col("k") if k is None else F.lit(k).cast("long")).alias("k_escolhido"),
             reported(silhouette_kmeans).alias("silhouette"),
             F.col("kmeans_purity").alias("pureza"),
             F.lit(1.0).cast("double").alias("cobertura"),
@@ -128,7 +132,7 @@ def clustering_metrics(
             reported(silhouette_density).alias("silhouette"),
             F.col("density_purity").alias("pureza"),
             F.col("density_coverage").alias("cobertura"),
-            F.lit(fv.METRIC_DENSITY).alias("metrica_distancia"),
+            F.lit(fv.METRIC_DENSITY.format(reducer=reducer)).alias("metrica_distancia"),
             F.lit(dims).alias("umap_n_components"),
         ).alias("hdbscan"),
         F.lit(fv.METRICS_WARNING).alias("aviso"),

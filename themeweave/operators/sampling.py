@@ -88,7 +88,9 @@ def draw_sample(corpus: DataFrame, n: int = fv.SAMPLE_SIZE, start: str = fv.PERI
 
 
 def docs_per_year(df: DataFrame, column: str = "date") -> DataFrame:
-    return df.groupBy(F.year(column).alias("year")).agg(F.count(F.lit(1)).alias("n_docs"))
+    """Rows without a date are in no year."""
+    dated = df.where(F.col(column).isNotNull())
+    return dated.groupBy(F.year(column).alias("year")).agg(F.count(F.lit(1)).alias("n_docs"))
 
 
 def first_n_per_cluster(df: DataFrame, cluster_col: str, n: int = fv.EXAMPLES_PER_CLUSTER, order_col: str = "doc_id") -> DataFrame:

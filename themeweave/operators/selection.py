@@ -17,8 +17,12 @@ def parse_iso_date(col: Column, lenient: bool = False) -> Column:
 def filter_period(df: DataFrame, start: str = fv.PERIOD_START, end: str = fv.PERIOD_END, column: str = "date") -> DataFrame:
     """``start <= date < end``; rows without a date drop out.
 
-    The bounds are cast, not the column, so the filter reaches the scan.
+    The bounds are cast, not the column, so the filter reaches the scan. A corpus
+    laid out by ``year`` is filtered by that, too, which prunes its folders.
     """
+    if "year" in df.columns and column == "date":
+        last = F.year(F.lit(end).cast("timestamp") - F.expr("interval 1 microsecond"))
+        df = df.where(F.col("year").between(F.year(F.lit(start).cast("date")), last))
     kind = df.schema[column].dataType
     low, high = F.lit(start).cast(kind), F.lit(end).cast(kind)
     return df.where((F.col(column) >= low) & (F.col(column) < high))

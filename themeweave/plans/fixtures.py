@@ -8,8 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.readers import spread_small
-
 # Titles are first lines; nulls, URLs, tags and a no-break space are planted by
 # doc_id because the source texts have none.
 CORPUS = """
@@ -18,16 +16,17 @@ select doc_id,
  case when doc_id % 19 = 0 then null
       when doc_id % 7 = 0 then concat('<p class="x">', substring(text, length(split_part(text, chr(10), 1)) + 2), '</p>', chr(10), 'http://a.example/', cast(doc_id as string), chr(9), 'www.b.example', chr(160), '<br>')
       else substring(text, length(split_part(text, chr(10), 1)) + 2) end as text,
- cast(date_add(DATE '2019-07-01', cast(doc_id * 37 % 730 as int)) as date) as date,
+ case when doc_id % 29 = 0 then null else cast(date_add(DATE '2019-07-01', cast(doc_id * 37 % 730 as int)) as date) end as date,
  case when doc_id % 23 = 0 then null else lang end as category,
  concat('https://news.example.org/', cast(doc_id as string)) as link
 from {documents}
 """
 
-# Fixed assignments; label 9 plays noise in the density column.
+# Fixed assignments for every document: the label of the vector whose number is its own
+# modulo the number of vectors. Label 9 plays noise in the density column.
 CLUSTERED = """
 select c.*, e.label as cluster_kmeans, case when e.label = 9 then -1 else e.label end as cluster_hdbscan
-from {corpus} c join {embeddings} e on c.doc_id = e.vec_id
+from {corpus} c join {embeddings} e on e.vec_id = c.doc_id % (select count(*) from {embeddings})
 """
 
 VECTORS = "select vec_id as doc_id, embedding, label from {embeddings}"
@@ -68,7 +67,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(CORPUS, documents=spread_small(_table(spark, sf_dir, "documents"), "doc_id"))
+    return spark.sql(CORPUS, documents=_table(spark, sf_dir, "documents"))
 
 
 def clustered(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -373,7 +373,7 @@ oracle("cluster_sample", "select doc_id, title, category, date from clustered wh
 oracle("sorted_clusters", "select distinct cluster_hdbscan as cluster_id from clustered order by 1", "clustered")
 
 # --- aggregations -------------------------------------------------------------
-oracle("docs_per_year", "select cast(year(date) as int) as year, count(*) as n_docs from corpus group by 1", "corpus")
+oracle("docs_per_year", "select cast(year(date) as int) as year, count(*) as n_docs from corpus where date is not null group by 1", "corpus")
 oracle("category_counts", "select category, count(*) as n_docs from corpus where category is not null group by 1", "corpus")
 oracle("cluster_distribution", "select cluster_hdbscan as cluster_id, count(*) as n_docs from clustered group by 1", "clustered")
 oracle(
@@ -405,7 +405,7 @@ oracle(
     "clustering_metrics",
     f"""select k, {r6('kmeans_silhouette')} as kmeans_silhouette, {r6('kmeans_purity')} as kmeans_purity, cast(1 as double) as kmeans_coverage,
     n_found, {r6('density_silhouette')} as density_silhouette, {r6('density_purity')} as density_purity, {r6('density_coverage')} as density_coverage,
-    '{fv.METRIC_CENTROID}' as kmeans_metric, '{fv.METRIC_DENSITY}' as density_metric, cast({fv.REDUCED_DIMS} as int) as dims, {text(fv.METRICS_WARNING)} as aviso from record""",
+    '{fv.METRIC_CENTROID}' as kmeans_metric, '{fv.METRIC_DENSITY.format(reducer="PCA")}' as density_metric, cast({fv.REDUCED_DIMS} as int) as dims, {text(fv.METRICS_WARNING)} as aviso from record""",
     "record",
 )
 

@@ -81,7 +81,9 @@ def scan_csv(spark, sf_dir):
 
 @query
 def scan_vectors(spark, sf_dir):
-    rows = fx.vectors(spark, sf_dir)
+    path = scratch_path(spark, "vectors")
+    writers.sink_vectors(fx.vectors(spark, sf_dir), path)
+    rows = readers.scan_vectors(spark, path)
     return rows.select("doc_id", F.size("embedding").alias("dims"), r6(vx.squared_norm(F.col("embedding"))).alias("norm2"))
 
 
@@ -482,8 +484,10 @@ def l2_normalize(spark, sf_dir):
 @query
 def cosine_similarity(spark, sf_dir):
     rows = fx.vectors(spark, sf_dir)
-    centres = centroids.cluster_centroids(rows, "label").select(F.col("cluster_id").alias("label"), "centroid")
-    return rows.join(centres, "label").select(
+    centres = centroids.cluster_centroids(rows, "label").select("cluster_id", "centroid")
+    members = rows.select(F.col("label").alias("cluster_id"), "doc_id", "embedding")
+    joined = centroids.with_own_centroid(members, centres).withColumnRenamed("cluster_id", "label")
+    return joined.select(
         "doc_id", "label", r6(vx.cosine_similarity(F.col("embedding"), F.col("centroid"))).alias("cosine")
     )
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -16,20 +15,6 @@ def scan_corpus(spark: SparkSession, path: str, columns: list[str] | None = None
     return corpus.select(*columns) if columns else corpus
 
 
-# Tables up to this size may sit in one row group, which one task would read alone.
-SPREAD_BELOW = 256 << 20
-
-
-def spread_small(df: DataFrame, key: str) -> DataFrame:
-    """A small table's rows spread over all cores; larger tables are left as they are.
-
-    Text work on a table of one row group would otherwise run in a single task.
-    """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if size <= SPREAD_BELOW else df
-
-
 def scan_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A stage table as CSV with header and quoted embedded newlines.
 
@@ -67,12 +52,10 @@ def optional_source(spark: SparkSession, path: str, schema: StructType, fmt: str
     Only "path does not exist" is forgiven; a table that is there but cannot be
     read stays an error.
     """
-    reader = spark.read.schema(schema)
-    try:
-        if fmt == "json":
-            return reader.option("multiLine", True).json(path)
-        return reader.format(fmt).load(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
         return spark.createDataFrame([], schema)
+    reader = spark.read.schema(schema)
+    if fmt == "json":
+        return reader.option("multiLine", True).json(path)
+    return reader.format(fmt).load(path)
