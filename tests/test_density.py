@@ -108,3 +108,18 @@ def test_components_of_long_paths_hubs_and_separate_keys(spark):
     assert all(got[(0, i)] == 0 for i in range(301))
     assert all(got[(0, 1000 + i)] == 1000 for i in range(500)) and got[(0, 2000)] == 1000
     assert {k: v for k, v in got.items() if k[0] == 1} == {(1, 0): 0, (1, 1): 0, (1, 5): 5, (1, 7): 5, (1, 9): 5}
+
+
+def test_one_forest_whatever_the_blocks(spark):
+    x = blobs()
+    df = vector_frame(spark, x)
+    weights, labels = [], []
+    for block_rows in (25, 100, 2048):
+        forest = density.minimum_forest(density.reachability_forest(bl.fold_copies(df), 4, block_rows))
+        rows = forest.collect()
+        assert len(rows) == len(x) - 1
+        weights.append(sorted(round(r["w"], 9) for r in rows))
+        labels.append(labels_of(density.density_cluster_auto(df, 8, 4, block_rows=block_rows)))
+    assert weights[0] == weights[1] == weights[2]
+    assert (labels[0] == labels[1]).all() and (labels[0] == labels[2]).all()
+    assert len(set(labels[0])) > 2

@@ -77,9 +77,8 @@ def reachability_forest(points: bl.Points, min_samples: int, block_rows: int, ce
         return _spanning_forest(both["rep"], both["v"], both["core"], ceiling)
 
     edges = blocks.packed.select("block", "rows").groupBy("block").applyInArrow(within, EDGES)
-    if blocks.count > 1:
-        pairs = _pairs_that_matter(blocks, ceiling)
-        edges = edges.unionByName(blocks.load_pairs(pairs).groupBy("a", "b").applyInArrow(between, EDGES))
+    pairs = _pairs_that_matter(blocks, ceiling)
+    edges = edges.unionByName(blocks.load_pairs(pairs).groupBy("a", "b").applyInArrow(between, EDGES))
     if points.has_copies:
         # Copies hang on their representative; their mutual reachability is the core distance.
         copies = points.members.where(F.col("id") != F.col("rep")).join(usable.select("rep", "core"), "rep")
@@ -87,6 +86,34 @@ def reachability_forest(points: bl.Points, min_samples: int, block_rows: int, ce
     return materialize(edges, "forest")
 
 
+def minimum_forest(edges: DataFrame) -> DataFrame:
+    """The minimum spanning forest of (u, v, w), by rounds of Boruvka: at most one edge less than vertices.
+
+    In every round each component takes its least outgoing edge; ties go by the
+    vertices, so no cycle can close. What is chosen is contracted, and of several
+    edges between two components the least stays.
+    """
+    ends = [F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")]
+    plain = edges.where("u <> v").select("w", *ends)
+    live = materialize(plain.select("w", "u", "v", F.col("u").alias("cu"), F.col("v").alias("cv")).distinct(), "forest-edges")
+    chosen = None
+    while live.head(1):
+        edge = F.struct("w", "u", "v", "cu", "cv").alias("e")
+        both = live.select(F.col("cu").alias("c"), edge).unionByName(live.select(F.col("cv").alias("c"), edge))
+        best = materialize(both.groupBy("c").agg(F.min("e").alias("e")).select("e.*").distinct(), "forest-round")
+        chosen = best if chosen is None else chosen.unionByName(best)
+        merged = connected_components(best.select(F.lit(0).alias("level"), F.col("cu").alias("u"), F.col("cv").alias("v")), "level")
+        merged = materialize(merged.select("node", "component"), "forest-parts")
+        left, right = (merged.select(F.col("node").alias(c), F.col("component").alias(f"{c}2")) for c in ("cu", "cv"))
+        moved = live.join(left, "cu").join(right, "cv").where("cu2 <> cv2")
+        pair = [F.least("cu2", "cv2").alias("cu"), F.greatest("cu2", "cv2").alias("cv")]
+        live = moved.groupBy(*pair).agg(F.min(F.struct("w", "u", "v")).alias("e")).select("e.w", "e.u", "e.v", "cu", "cv")
+        live = materialize(live, "forest-edges")
+    if chosen is None:
+        return edges.sparkSession.createDataFrame([], EDGES)
+    return chosen.select("u", "v", "w")
+
+
 def _pairs_that_matter(blocks: bl.Blocks, ceiling: float) -> DataFrame:
     """Pairs of blocks that can hold an edge of the forest.
 
@@ -151,8 +178,7 @@ def density_cluster_auto(
     """(doc_id, cluster_hdbscan) without a given eps; noise is -1.
 
     Components are taken at ``levels`` values of eps, spread evenly over the
-    edge lengths of the forest (so another ``block_rows`` may shift them a
-    little). They nest. A cluster lives from the level where
+    edge lengths of the minimum spanning forest, whatever the blocks. They nest. A cluster lives from the level where
     it splits off to the level where it splits or dissolves, and its stability
     is the sum of ``size * (1/eps - 1/eps_next_coarser)`` over that life. From
     fine to coarse, a cluster is preferred to the clusters inside it if it is at
@@ -164,6 +190,8 @@ def density_cluster_auto(
     points = bl.fold_copies(df, vector_col, id_col)
     every = df.select(F.col(id_col).cast("long").alias("doc_id"))
     forest = reachability_forest(points, min_samples, block_rows)
+    if forest.count() >= points.n_rows:  # edges of several blocks: more than a forest has
+        forest = materialize(minimum_forest(forest), "forest")
     shares = [(i + 1) / levels for i in range(levels)]
     cuts = forest.agg(F.percentile_approx("w", shares, 100_000).alias("q"), F.max("w").alias("top")).first()
     if cuts["top"] is None:

@@ -61,8 +61,6 @@ def _distinct_neighbors(blocks: bl.Blocks, k: int) -> DataFrame:
         return _nearest_in(left, right, k, same=False)
 
     own = blocks.packed.select("block", "rows").groupBy("block").applyInArrow(within, FOUND)
-    if blocks.count == 1:
-        return _best(own, "rep", "nbr", k)
     own = materialize(own, "knn-own")
     # A row's k-th distance inside its block bounds how far it needs to look.
     kth = own.groupBy("rep").agg(F.max("d").alias("kth"), F.count(F.lit(1)).alias("n_found"))

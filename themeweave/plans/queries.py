@@ -37,6 +37,7 @@ SAMPLE = 50  # rows; the smallest test corpus has 99 in its period
 KNN = 5
 DENSITY = {"min_samples": 3, "min_cluster_size": 3}
 EPS = 1.15
+BLOCK = 64  # rows of a block, so that small tables are worked on in many blocks, too
 QUERIES: dict = {}
 
 
@@ -531,19 +532,19 @@ def reduce_dimensions(spark, sf_dir):
 
 @query
 def knn_graph(spark, sf_dir):
-    graph = neighbors.knn_graph(fx.vectors(spark, sf_dir), KNN)
+    graph = neighbors.knn_graph(fx.vectors(spark, sf_dir), KNN, block_rows=BLOCK)
     return graph.select("doc_id", "neighbor_id", "rank", r6("distance").alias("distance"))
 
 
 @query
 def core_distance(spark, sf_dir):
-    core = neighbors.core_distance(fx.vectors(spark, sf_dir), KNN)
+    core = neighbors.core_distance(fx.vectors(spark, sf_dir), KNN, block_rows=BLOCK)
     return core.select("doc_id", r6("core_distance").alias("core_distance"))
 
 
 @query
 def density_cluster(spark, sf_dir):
-    return density.density_cluster(fx.vectors(spark, sf_dir), EPS, **DENSITY)
+    return density.density_cluster(fx.vectors(spark, sf_dir), EPS, **DENSITY, block_rows=BLOCK)
 
 
 @query
