@@ -26,7 +26,7 @@ from {documents}
 # modulo the number of vectors. Label 9 plays noise in the density column.
 CLUSTERED = """
 select c.*, e.label as cluster_kmeans, case when e.label = 9 then -1 else e.label end as cluster_hdbscan
-from {corpus} c join {embeddings} e on e.vec_id = c.doc_id % (select count(*) from {embeddings})
+from {corpus} c join {embeddings} e on e.vec_id = c.doc_id % {n_vectors}
 """
 
 VECTORS = "select vec_id as doc_id, embedding, label from {embeddings}"
@@ -71,7 +71,8 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(CLUSTERED, corpus=corpus(spark, sf_dir), embeddings=_table(spark, sf_dir, "embeddings"))
+    embeddings = _table(spark, sf_dir, "embeddings")
+    return spark.sql(CLUSTERED, corpus=corpus(spark, sf_dir), embeddings=embeddings, n_vectors=embeddings.count())
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from ..functions import fixed_values as fv
 from ..functions.templates import DEFAULT_TEMPLATE
 from . import fixtures as fx
-from .queries import DENSITY, EPS, KNN, SAMPLE
+from .queries import DENSITY, EPS, KNN, LETTERS, SAMPLE
 
 ORACLES: dict[str, str] = {}
 
@@ -59,7 +59,7 @@ def distance(a: str, b: str) -> str:
 
 CTES: dict[str, tuple[list[str], str]] = {
     "corpus": ([], fx.CORPUS.format(documents="documents")),
-    "clustered": (["corpus"], fx.CLUSTERED.format(corpus="corpus", embeddings="embeddings")),
+    "clustered": (["corpus"], fx.CLUSTERED.format(corpus="corpus", embeddings="embeddings", n_vectors="(select count(*) from embeddings)")),
     "vectors": ([], "select vec_id as doc_id, cast(embedding as double[]) as embedding, label from embeddings"),
     "usage": ([], fx.USAGE.format(conversations="conversations")),
     "responses": ([], fx.RESPONSES.format(documents="documents")),
@@ -308,13 +308,22 @@ for _name in ("sink_dead_letters", "quarantine_labels"):
 oracle(
     "parse_iso_date",
     """select doc_id, cast(ts as date) as day, cast(hour(ts) as int) as hour, strftime(ts, '%Y-%m-%d %H:%M:%S') as stamp from (
-    select doc_id, cast(concat(cast(date as varchar), 'T', lpad(cast(doc_id % 24 as varchar), 2, '0'), ':15:30') as timestamp) as ts from corpus)""",
+    select doc_id, cast(case when date is not null then concat(cast(date as varchar), 'T', lpad(cast(doc_id % 24 as varchar), 2, '0'), ':15:30') end as timestamp) as ts from corpus)""",
     "corpus",
 )
 oracle("filter_period", f"select doc_id, date, category from corpus where {PERIOD}", "corpus")
 oracle("project_columns", "select doc_id, title, category, date from corpus", "corpus")
 oracle("null_to_empty", "select doc_id, coalesce(title, '') as title, length(coalesce(text, '')) as text_chars from corpus", "corpus")
 oracle("build_model_text", "select doc_id, texto_modelo from cleaned", "cleaned")
+oracle(
+    "embed_documents_encoder",
+    f"""select doc_id, cast(26 as int) as dims, cast(i - 1 as int) as pos,
+    {r6("cast(case when norm > 0 then counts[i] / norm else 0 end as float)")} as x
+    from (select doc_id, counts, sqrt(list_sum([c * c for c in counts])) as norm from (
+     select doc_id, [length(texto_modelo) - length(replace(texto_modelo, l, '')) for l in string_split('{",".join(LETTERS)}', ',')] as counts
+     from cleaned where length(texto_modelo) >= {fv.MIN_CHARS})), range(1, 27) as r(i)""",
+    "cleaned",
+)
 oracle("filter_min_length", f"select doc_id, length(texto_modelo) as chars from cleaned where length(texto_modelo) >= {fv.MIN_CHARS}", "cleaned")
 oracle("drop_noise", "select doc_id, cluster_hdbscan from clustered where cluster_hdbscan <> -1", "clustered")
 oracle("dense_doc_id", f"select doc_id, row_number() over (order by {HASH}, doc_id) - 1 as dense_id from corpus where {PERIOD}", "corpus")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from functools import wraps
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -476,6 +477,22 @@ def embed_documents(spark, sf_dir):
     return embedding.embed_documents(selection.preprocess_corpus(fx.corpus(spark, sf_dir)))
 
 
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
+def letter_encoder():
+    """A stand-in for a model: how often each letter occurs in a text."""
+    return lambda texts: np.array([[text.count(letter) for letter in LETTERS] for text in texts], dtype=np.float64)
+
+
+@query
+def embed_documents_encoder(spark, sf_dir):
+    """The plug-in encoder path, with vectors that SQL can count as well."""
+    rows = selection.preprocess_corpus(fx.corpus(spark, sf_dir))
+    vectors = embedding.embed_documents(rows, letter_encoder)
+    return vectors.select("doc_id", F.size("embedding").alias("dims"), F.posexplode("embedding").alias("pos", "x")).select("doc_id", "dims", "pos", r6("x").alias("x"))
+
+
 @query
 def l2_normalize(spark, sf_dir):
     unit = fx.vectors(spark, sf_dir).select("doc_id", F.posexplode(vx.l2_normalize(F.col("embedding"))).alias("pos", "x"))
