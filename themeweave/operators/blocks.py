@@ -73,16 +73,26 @@ class Blocks:
     pivot_distances: np.ndarray
     count: int
 
-    def _meetings(self, reach: DataFrame, bridges: np.ndarray) -> DataFrame:
-        """Blocks with the blocks of every pivot: (a, ra, reach_a, b, rb, reach_b, gap, bridge).
+    def _meetings(self, reach: DataFrame, bridges: np.ndarray, both: bool, ceiling: float) -> DataFrame:
+        """Blocks with the blocks of pivots that may matter: (a, ra, reach_a, b, rb, reach_b, gap, bridge).
 
-        Every block meets the pivots by an explode over their bounded list, then
-        the blocks of those pivots by an equality join.
+        Pairs of pivots are ruled out first, by the largest radius and reach of
+        their blocks; there are at most MAX_PIVOTS pivots. Only blocks of the pairs
+        that are left meet, by an explode over the pivot's list and an equality join.
+        With ``both`` either side's reach counts, else that of ``a`` alone.
         """
         summary = self.packed.select("block", "pivot", "radius").join(reach, "block")
+        radius, far = np.full((2, len(self.pivots)), -np.inf)
+        for row in summary.groupBy("pivot").agg(F.max("radius").alias("radius"), F.max("reach").alias("reach")).collect():
+            radius[row["pivot"]], far[row["pivot"]] = row["radius"], row["reach"]
+        limit = np.maximum(np.maximum(far[:, None], far[None, :]), bridges) if both else np.repeat(far[:, None], len(far), axis=1)
+        gap = self.pivot_distances
+        known = np.isfinite(radius)
+        near = gap - np.where(known, radius, 0)[:, None] - np.where(known, radius, 0)[None, :] <= np.minimum(limit, ceiling) + 1e-6 * (1 + gap)
+        near &= known[:, None] & known[None, :]
         lists = [
-            (i, [(j, float(d), float(b)) for j, (d, b) in enumerate(zip(*rows))])
-            for i, rows in enumerate(zip(self.pivot_distances, bridges))
+            (i, [(int(j), float(gap[i, j]), float(bridges[i, j])) for j in np.flatnonzero(near[i])])
+            for i in range(len(gap))
         ]
         table = self.packed.sparkSession.createDataFrame(
             lists, "pivot int, others array<struct<pivot:int, gap:double, bridge:double>>"
@@ -99,14 +109,14 @@ class Blocks:
 
         ``reach`` has one row (block, reach) per block.
         """
-        met = self._meetings(reach, np.zeros_like(self.pivot_distances))
+        met = self._meetings(reach, np.zeros_like(self.pivot_distances), both=False, ceiling=float("inf"))
         return met.where((F.col("a") != F.col("b")) & _may_touch(F.col("reach_a"))).select("a", "b")
 
     def pairs_between(self, reach: DataFrame, bridges: np.ndarray, ceiling: float) -> DataFrame:
         """Unordered pairs (a, b) closer than what either reaches and the bridge between their pivots,
         and closer than ``ceiling``."""
         limit = F.least(F.greatest("reach_a", "reach_b", "bridge"), F.lit(float(ceiling)))
-        met = self._meetings(reach, bridges)
+        met = self._meetings(reach, bridges, both=True, ceiling=float(ceiling))
         return met.where((F.col("a") < F.col("b")) & _may_touch(limit)).select("a", "b")
 
     def load_pairs(self, pairs: DataFrame) -> DataFrame:

@@ -539,7 +539,7 @@ def silhouette_cosine(spark, sf_dir):
 @query
 def silhouette_euclidean(spark, sf_dir):
     rows = fx.vectors(spark, sf_dir).withColumn("label", F.when(F.col("label") == 9, -1).otherwise(F.col("label")))
-    return silhouette.silhouette_euclidean(rows, "label").select(r6("silhouette").alias("silhouette"))
+    return silhouette.silhouette_euclidean(rows, "label", block_rows=BLOCK).select(r6("silhouette").alias("silhouette"))
 
 
 @query
