@@ -6,10 +6,9 @@ so the hash of a document does not depend on how it was cut or where the parts
 were hashed. Texts of equal fingerprint and length are then compared chunk by chunk.
 
 Defined results: a null text counts as empty, and all empty texts are equal. Rows
-that repeat a doc_id share the fate of that id's text; rows that repeat id and
-text are all copies of one another, count in ``group_size``, and carry the same
-flags. A null doc_id is larger than any other. Columns other than doc_id and text
-are ignored.
+that repeat id and text are copies of one another, count in ``group_size`` and carry
+the same flags; ``drop_copies`` keeps one of them. A null doc_id is larger than any
+other. Columns other than doc_id and text are ignored, and kept by ``drop_copies``.
 """
 
 from __future__ import annotations
@@ -23,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .hash_arrays import list_ids, rows_by_id
 from .words import SPACE, spans
 
 CHUNK = 1 << 16
@@ -137,7 +137,9 @@ def unequal(docs: DataFrame, prints: DataFrame, groups: DataFrame, piece: int =
     """
     members = prints.join(groups.select(*KEY), KEY).select("doc_id", *KEY).distinct()
     text = F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), SEPARATORS, " ")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    listed = list_ids(materialize(members.select("doc_id").where("doc_id is not null").distinct(), "members"), "member-ids")
+    texts = rows_by_id(rows, listed, inside=True).select("doc_id", text.alias("text"))
     both = texts.join(members.withColumnRenamed("doc_id", "id"), F.col("doc_id").eqNullSafe(F.col("id")))
     places = F.sequence(F.lit(0), (F.length("text") / piece).cast("int"))
     pieces = both.select(*KEY, "text", F.explode(places).alias("place")).select(
@@ -173,7 +175,24 @@ def exact_groups(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose text is kept under a smaller doc_id, and without repeated rows."""
-    kept = exact_groups(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
-    return rows.dropDuplicates(["doc_id", "text"])
+    """``docs`` without the rows whose text is kept under a smaller doc_id, and without repeated rows.
+
+    Ids are looked up, so that only rows of repeated or null ids are shuffled.
+    """
+    groups = materialize(exact_groups(docs), "exact-groups")
+    fates = groups.groupBy("doc_id").agg(F.count("*").alias("n"), F.bool_or("kept").alias("kept"))
+    fates = materialize(fates.where("n > 1 or not kept or doc_id is null"), "fates")
+    ids = fates.where("doc_id is not null").select("doc_id")
+    rest = rows_by_id(docs, list_ids(ids, "not-simply-kept"), inside=False).where("doc_id is not null")
+    again = fates.where("doc_id is null or n > 1").select("doc_id")
+    if not again.head(1):
+        return rest
+    # Rows of one id are told apart by their text; of rows equal in both one stays.
+    unclear = rows_by_id(docs, list_ids(again.where("doc_id is not null"), "repeated"), inside=True)
+    text = F.regexp_replace(F.coalesce(unclear["text"].cast("string"), F.lit("")), SEPARATORS, " ")
+    digest, kept_id = "__digest_of_text", "__kept_doc_id"
+    coded = unclear.withColumn(digest, F.sha2(text.cast("binary"), 256))
+    kept = groups.where("kept").select(F.col("doc_id").alias(kept_id), F.col("text_sha256").alias("__kept_digest")).distinct()
+    same = coded["doc_id"].eqNullSafe(kept[kept_id]) & (coded[digest] == kept["__kept_digest"])
+    chosen = coded.join(kept, same, "left_semi").dropDuplicates(["doc_id", digest]).select(*docs.columns)
+    return rest.unionByName(chosen)

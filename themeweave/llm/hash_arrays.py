@@ -9,7 +9,6 @@ as it is mapped.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -22,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from .words import mix
 
 
 def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -132,6 +132,47 @@ def _map(folder: str, shard: int) -> np.ndarray:
         return np.memmap(copy.name, np.uint8, "r")
 
 
+ENTRIES = 1 << 20  # ids in one shard of a list
+
+
+def _mixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first column, an id, under the hash by which lists are searched."""
+    for batch in batches:
+        key = pa.array(mix(batch.column(0).to_numpy().view(np.uint64)).view(np.int64))
+        yield pa.RecordBatch.from_arrays([key, *batch.columns[1:]], names=batch.schema.names)
+
+
+def list_ids(df: DataFrame, label: str) -> HashArrays:
+    """The distinct ids of the first column (long, none null), with the other columns (long) as values."""
+    key, *values = df.columns
+    hashed = df.mapInArrow(_mixed, df.schema)
+    return write_arrays(hashed, label, key, values, max(1, -(-df.count() // ENTRIES)))
+
+
+def find_ids(ids: pa.Array, listed: HashArrays) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Which ids are in the list, and their values; a null id never is."""
+    whole = ids.cast(pa.int64())
+    found, values = listed.find(mix(whole.fill_null(0).to_numpy().view(np.uint64)))
+    return found & whole.is_valid().to_numpy(zero_copy_only=False), values
+
+
+def rows_by_id(docs: DataFrame, listed: HashArrays, inside: bool) -> DataFrame:
+    """The rows whose doc_id is in the list, or those whose is not; null ids are in neither list nor doubt: they stay.
+
+    Workers look ids up, so no row is shuffled.
+    """
+    at = docs.columns.index("doc_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                found, _ = find_ids(batch.column(at), listed)
+                stays = (found == inside) | batch.column(at).is_null().to_numpy(zero_copy_only=False)
+                yield batch.filter(pa.array(stays))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def remote_file(folder: str, name: str, data: bytes) -> None:
     system, path = open_folder(folder)
     system.create_dir(path, recursive=True)
@@ -145,7 +186,3 @@ def read_file(folder: str, name: str) -> bytes:
     system, path = open_folder(folder)
     with system.open_input_stream(f"{path}/{name}") as source:
         return source.read()
-
-
-def local_name(folder: str) -> str:
-    return os.path.basename(folder)

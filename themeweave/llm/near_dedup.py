@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
 from ..session import materialize
-from .hash_arrays import HashArrays, write_arrays
+from .hash_arrays import HashArrays, find_ids, list_ids, rows_by_id
 from .words import Block, blocks, mix, window_hashes
 
 TREES = 12
@@ -223,7 +223,7 @@ def _sets(size: int, members: HashArrays):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, (family,) = members.find(mix(batch.column(0).to_numpy().view(np.uint64)))
+            found, (family,) = find_ids(batch.column(0), members)
             some = pa.array(np.flatnonzero(found))
             ids, texts, family = batch.column(0).take(some), batch.column(1).take(some), pa.array(family[found].view(np.int64))
             for block in blocks(texts):
@@ -234,12 +234,6 @@ def _sets(size: int, members: HashArrays):
     return run
 
 
-def _mixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, family) under the hash by which ``_sets`` looks an id up."""
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays([pa.array(mix(batch.column(0).to_numpy().view(np.uint64)).view(np.int64)), batch.column(1)], names=["id", "family"])
-
-
 def _linked(percent: int):
     """Forest edges of each group between documents with ``100 * common >= percent * union``.
 
@@ -319,8 +313,7 @@ def links(docs: DataFrame, families: DataFrame, sizes: DataFrame, size: int, per
     """
     members = families.select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    listed = members.mapInArrow(_mixed, "id long, family long")
-    known = write_arrays(listed, "members", "id", ["family"], -(-families.count() // (1 << 20)) or 1)
+    known = list_ids(members, "members")
     sets = materialize(texts.where("doc_id is not null").mapInArrow(_sets(size, known), "doc_id long, family long, tokens binary"), "sets")
     total = members.join(sizes.select("doc_id", "n_shingles"), "doc_id").groupBy("family").agg(F.sum("n_shingles").alias("total"))
     parts = materialize(total.select("family", F.ceil(F.col("total") / FAMILY).cast("int").alias("parts")), "parts")
@@ -381,5 +374,5 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
 def drop_near(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document, that of the smallest doc_id, of each group of near duplicates."""
-    dropped = near_duplicates(docs, size, percent).where("not kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    dropped = near_duplicates(docs, size, percent).where("not kept and doc_id is not null").select("doc_id").distinct()
+    return rows_by_id(docs, list_ids(materialize(dropped, "dropped"), "dropped-ids"), inside=False)
