@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .words import blocks, cut, spans, sums_between
 
 ASSIGN = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
@@ -217,6 +218,7 @@ class Grammar:
 def learn(docs: DataFrame, examples: int = EXAMPLES, gain: float = GAIN) -> Grammar:
     """Automata from at most ``examples`` distinct credentials per kind, and as many ordinary words, by least hash."""
     found = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_examples, "kind int, key string").distinct()
+    found = materialize(found, "examples")
     kinds = []
     for kind in range(4):
         rows = found.where(F.col("kind") == kind).orderBy(F.xxhash64("key"), "key").limit(examples).collect()
