@@ -27,6 +27,17 @@ def test_questions_are_found_with_other_numbers_and_names(spark):
     assert leaked(spark, [(1, mixed_up)], [(9, QUESTION)]) == {}  # 12 would stand for two numbers
 
 
+def test_runs_of_inconsistent_diagonals_are_dropped(spark):
+    item = [(9, QUESTION)]
+    coincide = QUESTION.replace("12", "7").replace(" 5 ", " 7 ")  # two values became one
+    texts = [QUESTION.replace("12 apples and", "71 apples and"), coincide, prose(4, 80), "12 apples 12 apples 12 apples 12 apples"]
+    docs = spark.createDataFrame([(i, prose(5, 30) + " " + t) for i, t in enumerate(texts)], "doc_id long, text string")
+    items = spark.createDataFrame([*item, (10, "5 apples 6 apples 7 apples 8 apples")], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["windows"] for r in decontamination.leaks(docs, items, runs=True).collect()}
+    assert set(got) == {(0, 9), (1, 9)} and got[0, 9] >= 10
+    assert {r["doc_id"] for r in decontamination.drop_leaks(docs, items).collect()} == {2, 3}
+
+
 def test_decontamination_of_odd_documents(spark):
     docs = odd(spark)
     items = spark.createDataFrame([(1, odd_rows()[0][1]), (1, odd_rows()[0][1])], "item_id long, text string")

@@ -5,7 +5,9 @@ lower-cased without punctuation. Windows of ``WINDOW`` template words of benchma
 items and documents are joined by hash. Along one diagonal (document place minus item
 place) the values behind the placeholders must correspond one to one; if they do,
 the question was copied, perhaps with other numbers and names, and if they do not,
-only windows without placeholders count.
+only windows without placeholders count. ``drop_leaks`` (``runs`` of ``leaks``) then
+also counts the windows that hold the item's own values, and runs of windows that are
+one to one in themselves. ``op2_decontamination`` is the form without, as its SQL is.
 
 A document leaks an item if ``RUN`` windows of one diagonal count (13 words in a row
 make 6), or half of the item's windows do.
@@ -117,11 +119,13 @@ def document_windows(docs: DataFrame, items: DataFrame, width: int, bits: int =
     return rows.select("doc_id", F.explode(found).alias("x")).select("doc_id", "x.place", "x.h", "x.slots")
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, run: int = RUN, share: float = SHARE) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, run: int = RUN, share: float = SHARE, runs: bool = False) -> DataFrame:
     """One row per leaked pair: doc_id, item_id, windows, item_windows, verbatim.
 
     ``windows`` is the number of the item's windows that count, and ``verbatim`` says
-    that all values behind their placeholders are the item's own.
+    that all values behind their placeholders are the item's own. With ``runs``, windows
+    also count on diagonals that are not one to one: those with the item's own values,
+    and those of runs that are one to one in themselves and long enough for a leak.
     """
     items = materialize(item_windows(benchmark, width), "item-windows")
     met = document_windows(docs, items, width).join(items, "h")
@@ -131,17 +135,32 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, run: int =
         F.collect_set("item_place").alias("places"),  # at most as many as the item has windows
         F.collect_set(F.when(F.size("item_slots") == 0, F.col("item_place"))).alias("literal"),
         F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"),
+        *([F.array_sort(F.collect_set(F.struct("item_place", pairs.alias("pairs")))).alias("met")] if runs else []),
     )
 
-    def one_to_one() -> Column:
-        sides = [F.size(F.array_distinct(F.transform("pairs", lambda p: p[side]))) for side in ("a", "b")]
-        return (sides[0] == F.size("pairs")) & (sides[1] == F.size("pairs"))
+    def one_to_one(pairs: Column) -> Column:
+        sides = [F.size(F.array_distinct(F.transform(pairs, lambda p: p[side]))) for side in ("a", "b")]
+        return (sides[0] == F.size(pairs)) & (sides[1] == F.size(pairs))
+
+    def consistent() -> Column:
+        """Places of the windows with the item's own values, and of runs that are one to one in themselves."""
+        needed = F.least(F.lit(run), F.ceil(share * F.col("item_windows")).cast("int"))
+        own = F.transform(F.filter("met", lambda m: F.forall(m["pairs"], lambda p: p["a"] == p["b"])), lambda m: m["item_place"])
+
+        def places(m: Column, i: Column) -> Column:
+            near = F.slice("met", i + 1, needed)
+            place = m["item_place"]
+            whole = F.get(near, needed - 1)["item_place"] == place + needed - 1
+            fits = one_to_one(F.array_distinct(F.flatten(F.transform(near, lambda x: x["pairs"]))))
+            return F.when(whole & fits, F.sequence(place, place + needed - 1)).otherwise(F.array().cast("array<int>"))
+
+        return F.array_union(own, F.flatten(F.transform("met", places)))
 
     judged = diagonals.select(
         "doc_id",
         "item_id",
         "item_windows",
-        F.when(one_to_one(), F.col("places")).otherwise(F.col("literal")).alias("places"),
+        F.when(one_to_one(F.col("pairs")), F.col("places")).otherwise(consistent() if runs else F.col("literal")).alias("places"),
         F.forall("pairs", lambda p: p["a"] == p["b"]).alias("same"),
     )
     both = judged.groupBy("doc_id", "item_id").agg(
@@ -155,6 +174,6 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, run: int =
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that leak an item."""
-    found = leaks(docs, benchmark).select(F.col("doc_id").alias("leaked_id")).distinct()
+    """``docs`` without the documents that leak an item, be it by a run of a diagonal that is not one to one."""
+    found = leaks(docs, benchmark, runs=True).select(F.col("doc_id").alias("leaked_id")).distinct()
     return docs.join(found, docs["doc_id"].eqNullSafe(found["leaked_id"]), "left_anti")
