@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from llm_cases import components, empty, odd, odd_rows, prose, words
 
@@ -98,6 +99,15 @@ def test_near_components_with_a_crowd(spark, monkeypatch, size, percent, small):
     assert got == near(rows, size, percent)
 
 
+@pytest.mark.parametrize("similarity, stated", [(0.8, 1.8e-3), (0.85, 1.4e-4)])
+def test_trees_miss_as_rarely_as_stated(similarity, stated):
+    rng, missed, n = np.random.default_rng(4), 0, 2_000_000
+    for _ in range(20):
+        agree = rng.random((n // 20, near_dedup.TOKENS), np.float32) < similarity
+        missed += int((~agree[:, near_dedup._CHOICE].all(axis=2).any(axis=1)).sum())
+    assert missed / n < 1.2 * stated
+
+
 def test_near_duplicates_of_odd_documents(spark):
     docs = odd(spark)
     got = sorted(repr(tuple(r)) for r in near_dedup.near_duplicates(docs, 3, 85).collect())

@@ -47,8 +47,8 @@ NODE = 64
 FAMILY = 150_000  # shingles that one task compares exhaustively
 
 _SEEDS = mix(np.arange(1, 2 * TOKENS + 1, dtype=np.uint64)).reshape(2, TOKENS) | np.uint64(1)
-# The l-th token of tree t's paths; each tree has its own step.
-_CHOICE = [[(t * 4 + level * (2 * t + 1)) % TOKENS for level in range(DEPTHS[-1])] for t in range(TREES)]
+# The l-th token of tree t's paths; no two trees share a token, so they miss independently.
+_CHOICE = [[t * DEPTHS[-1] + level for level in range(DEPTHS[-1])] for t in range(TREES)]
 
 
 def shingle_sets(block: Block, size: int) -> tuple[np.ndarray, np.ndarray]:
