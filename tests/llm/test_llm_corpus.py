@@ -38,6 +38,16 @@ def test_runs_of_inconsistent_diagonals_are_dropped(spark):
     assert {r["doc_id"] for r in decontamination.drop_leaks(docs, items).collect()} == {2, 3}
 
 
+def test_word_problems_with_other_names_and_amounts_are_dropped(spark):
+    item = "Tom buys 4 pens for $3 each. Tom then sells 2 pens to Anna for $5 each. How much money does Tom have left if he began with $20 today?"
+    other = item.replace("$20", "$75").replace("Tom", "Lena").replace("Anna", "Paul").replace(" 4 ", " 9 ").replace(" 2 ", " 6 ").replace("$3", "$8").replace("$5", "$7")
+    owned = "Tom's shop has 14 red boxes. Anna's shop has 30 red boxes at €5 each, how many do they hold?"
+    texts = [other, owned.replace("Tom", "Lena").replace("Anna", "Paul").replace("14", "17").replace("30", "41").replace("€5", "€6"), item.upper(), prose(4, 60)]
+    docs = spark.createDataFrame([(i, f"{t} {prose(6, 20)}") for i, t in enumerate(texts)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, item), (2, owned)], "item_id long, text string")
+    assert {r["doc_id"] for r in decontamination.drop_leaks(docs, items).collect()} == {3}
+
+
 def test_decontamination_of_odd_documents(spark):
     docs = odd(spark)
     items = spark.createDataFrame([(1, odd_rows()[0][1]), (1, odd_rows()[0][1])], "item_id long, text string")

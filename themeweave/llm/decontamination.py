@@ -7,7 +7,8 @@ place) the values behind the placeholders must correspond one to one; if they do
 the question was copied, perhaps with other numbers and names, and if they do not,
 only windows without placeholders count. ``drop_leaks`` (``runs`` of ``leaks``) then
 also counts the windows that hold the item's own values, and runs of windows that are
-one to one in themselves. ``op2_decontamination`` is the form without, as its SQL is.
+one to one in themselves, and looks a second time with broad templates (names at any
+place, possessives, amounts of money). ``op2_decontamination`` is as its SQL is.
 
 A document leaks an item if ``RUN`` windows of one diagonal count (13 words in a row
 make 6), or half of the item's windows do.
@@ -38,23 +39,30 @@ PUNCTUATION = ".,;:!?\"()[]"
 NUMBER = r"^[+-]?[0-9]+([.,/:-][0-9]+)*$"
 MEASURE = r"^[+-]?[0-9]+([.,/:-][0-9]+)*[A-Za-z%]+$"
 NAME = r"^\p{Lu}\p{Ll}+$"
+POSSESSIVE = r"^(\p{Lu}\p{Ll}+)['\u2019]s?$"
+MONEY = r"^[+-]?[$\u20ac\u00a3\u00a5][0-9]+([.,/:-][0-9]+)*[A-Za-z]?$|^[+-]?[0-9]+([.,/:-][0-9]+)*[$\u20ac\u00a3\u00a5]$"
 RUNS_ON = r"[\p{Ll},;]$"  # end of a word after which a capital does not begin a sentence
 UNITS = "% mm cm m km in ft mi g kg mg t lb oz s ms min h hours minutes seconds days years l ml usd eur dollars euros cents degrees percent".split()
 
 
-def templates(words: Column) -> Column:
-    """One template word per word."""
+def templates(words: Column, broad: bool = False) -> Column:
+    """One template word per word.
+
+    ``broad`` takes capitalised words for names at any place, and knows possessives and amounts of money.
+    """
     bare = F.transform(words, lambda w: F.translate(w, PUNCTUATION, ""))
 
     def template(b: Column, i: Column) -> Column:
         before = F.get(words, i - 1)
         follows_number = F.coalesce(F.translate(before, PUNCTUATION, "").rlike(NUMBER), F.lit(False))
         digit = F.substring(b, 1, 1).isin(*"0123456789+-")
+        named = F.coalesce(before.rlike(RUNS_ON), F.lit(False))
+        start = F.when(b.rlike(MONEY), F.lit("<money>")).when(b.rlike(POSSESSIVE), F.lit("<name's>")) if broad else F
         return (
-            F.when(digit & b.rlike(NUMBER), F.lit("<num>"))
+            start.when(digit & b.rlike(NUMBER), F.lit("<num>"))
             .when(digit & b.rlike(MEASURE), F.lit("<num><unit>"))
             .when((F.length(b) <= 7) & F.lower(b).isin(*UNITS) & follows_number, F.lit("<unit>"))
-            .when(b.rlike(NAME) & F.coalesce(before.rlike(RUNS_ON), F.lit(False)), F.lit("<name>"))
+            .when(b.rlike(NAME) if broad else b.rlike(NAME) & named, F.lit("<name>"))
             .otherwise(F.lower(b))
         )
 
@@ -66,24 +74,29 @@ def _places(width: int) -> Column:
     return F.when(n >= width, F.sequence(F.lit(1), n - width + 1)).otherwise(F.array().cast("array<int>"))
 
 
-def _spelled(df: DataFrame, key: str) -> DataFrame:
+def _spelled(df: DataFrame, key: str, broad: bool) -> DataFrame:
     """key, words, template."""
     rows = df.select(F.col(key).cast("long").alias(key), F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0)).alias("words"))
-    return rows.withColumn("template", templates(F.col("words")))
+    return rows.withColumn("template", templates(F.col("words"), broad))
+
+
+def _value(word: Column, broad: bool) -> Column:
+    bare = F.translate(word, PUNCTUATION, "")
+    return F.regexp_replace(bare, POSSESSIVE, "$1") if broad else bare
 
 
-def _slots(words: str, template: str) -> Column:
+def _slots(words: str, template: str, broad: bool) -> Column:
     """(template word, value) of the places of a window that hold placeholders."""
-    both = F.zip_with(template, words, lambda t, w: F.struct(t.alias("t"), F.translate(w, PUNCTUATION, "").alias("value")))
+    both = F.zip_with(template, words, lambda t, w: F.struct(t.alias("t"), _value(w, broad).alias("value")))
     return F.transform(F.filter(both, lambda x: x["t"].startswith("<")), lambda x: x["value"])
 
 
-def item_windows(benchmark: DataFrame, width: int) -> DataFrame:
+def item_windows(benchmark: DataFrame, width: int, broad: bool = False) -> DataFrame:
     """item_id, item_place, h, item_slots, item_windows."""
-    rows = _spelled(benchmark, "item_id")
+    rows = _spelled(benchmark, "item_id", broad)
     placed = rows.select("item_id", "words", "template", F.explode(_places(width)).alias("item_place"), (F.size("words") - width + 1).alias("item_windows"))
     cut = placed.withColumn("w", F.slice("words", F.col("item_place"), width)).withColumn("t", F.slice("template", F.col("item_place"), width))
-    return cut.select("item_id", "item_place", F.xxhash64("t").alias("h"), _slots("w", "t").alias("item_slots"), "item_windows")
+    return cut.select("item_id", "item_place", F.xxhash64("t").alias("h"), _slots("w", "t", broad).alias("item_slots"), "item_windows")
 
 
 def bitmap(hashes: DataFrame, bits: int = BITS) -> DataFrame:
@@ -96,10 +109,10 @@ def bitmap(hashes: DataFrame, bits: int = BITS) -> DataFrame:
     return filled.agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "set"))), lambda x: x["set"]).alias("bits"))
 
 
-def document_windows(docs: DataFrame, items: DataFrame, width: int, bits: int = BITS) -> DataFrame:
+def document_windows(docs: DataFrame, items: DataFrame, width: int, bits: int = BITS, broad: bool = False) -> DataFrame:
     """doc_id, place, h, slots of the windows that may be in the benchmark."""
     known = F.broadcast(bitmap(items, bits))  # 2**bits bits
-    rows = _spelled(docs, "doc_id").crossJoin(known)  # with one row
+    rows = _spelled(docs, "doc_id", broad).crossJoin(known)  # with one row
     low = (1 << bits) - 1
 
     def hashed(i: Column) -> Column:
@@ -111,7 +124,7 @@ def document_windows(docs: DataFrame, items: DataFrame, width: int, bits: int =
 
     def with_slots(x: Column) -> Column:
         w, t = F.slice("words", x["place"], width), F.slice("template", x["place"], width)
-        both = F.zip_with(t, w, lambda a, b: F.struct(a.alias("t"), F.translate(b, PUNCTUATION, "").alias("value")))
+        both = F.zip_with(t, w, lambda a, b: F.struct(a.alias("t"), _value(b, broad).alias("value")))
         values = F.transform(F.filter(both, lambda y: y["t"].startswith("<")), lambda y: y["value"])
         return F.struct(x["place"].alias("place"), x["h"].alias("h"), values.alias("slots"))
 
@@ -119,16 +132,17 @@ def document_windows(docs: DataFrame, items: DataFrame, width: int, bits: int =
     return rows.select("doc_id", F.explode(found).alias("x")).select("doc_id", "x.place", "x.h", "x.slots")
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, run: int = RUN, share: float = SHARE, runs: bool = False) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, run: int = RUN, share: float = SHARE, runs: bool = False, broad: bool = False) -> DataFrame:
     """One row per leaked pair: doc_id, item_id, windows, item_windows, verbatim.
 
     ``windows`` is the number of the item's windows that count, and ``verbatim`` says
     that all values behind their placeholders are the item's own. With ``runs``, windows
     also count on diagonals that are not one to one: those with the item's own values,
     and those of runs that are one to one in themselves and long enough for a leak.
+    ``broad`` is that of ``templates``.
     """
-    items = materialize(item_windows(benchmark, width), "item-windows")
-    met = document_windows(docs, items, width).join(items, "h")
+    items = materialize(item_windows(benchmark, width, broad), "item-windows")
+    met = document_windows(docs, items, width, broad=broad).join(items, "h")
     pairs = F.arrays_zip(F.col("item_slots").alias("a"), F.col("slots").alias("b"))
     diagonals = met.groupBy("doc_id", "item_id", (F.col("place") - F.col("item_place")).alias("diagonal")).agg(
         F.max("item_windows").alias("item_windows"),
@@ -174,6 +188,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, run: int =
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that leak an item, be it by a run of a diagonal that is not one to one."""
-    found = leaks(docs, benchmark, runs=True).select(F.col("doc_id").alias("leaked_id")).distinct()
+    """``docs`` without the documents that leak an item, by either form of templates, be it in runs of a diagonal that is not one to one."""
+    either = leaks(docs, benchmark, runs=True).union(leaks(docs, benchmark, runs=True, broad=True))
+    found = either.select(F.col("doc_id").alias("leaked_id")).distinct()
     return docs.join(found, docs["doc_id"].eqNullSafe(found["leaked_id"]), "left_anti")
