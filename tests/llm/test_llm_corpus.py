@@ -48,6 +48,13 @@ def test_word_problems_with_other_names_and_amounts_are_dropped(spark):
     assert {r["doc_id"] for r in decontamination.drop_leaks(docs, items).collect()} == {3}
 
 
+def test_short_items_are_found_word_for_word(spark):
+    ask = "What is the capital of France?"
+    docs = [(1, f"{prose(1, 20)} {ask} {prose(2, 20)}"), (2, ask.replace("France", "Spain")), (3, "what is the capital of France"), (4, prose(3, 40) + " what is the capital"), (None, "Add 2 and 5"), (5, "Add 2 and 6 !")]
+    items = [(1, ask), (2, "add 2 and 5"), (3, "?!"), (4, ""), (5, None), (6, QUESTION)]
+    assert leaked(spark, docs, items) == {(1, 1): True, (3, 1): True, (None, 2): True}
+
+
 def test_decontamination_of_odd_documents(spark):
     docs = odd(spark)
     items = spark.createDataFrame([(1, odd_rows()[0][1]), (1, odd_rows()[0][1])], "item_id long, text string")

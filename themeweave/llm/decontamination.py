@@ -16,14 +16,19 @@ make 6), or half of the item's windows do.
 Of the documents' windows only those that may be in the benchmark leave the row: a
 bitmap of fixed size, 128 KiB, is tested first. It is the only thing broadcast.
 
-Defined results: null and empty texts leak nothing, nor do documents or items of
-fewer than ``WINDOW`` words. Rows that repeat a doc_id are one document; a null doc_id
+An item of fewer than ``WINDOW`` words is one window of its own length, and is leaked
+where a document holds its words as they are, but for case and punctuation.
+
+Defined results: null and empty texts leak nothing, nor do items without a word of
+more than punctuation. Rows that repeat a doc_id are one document; a null doc_id
 is a document. Items that repeat a text are reported each. Columns other than doc_id
 and text, item_id and text are ignored by ``leaks``; ``drop_leaks`` keeps them.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,12 +50,15 @@ RUNS_ON = r"[\p{Ll},;]$"  # end of a word after which a capital does not begin a
 UNITS = "% mm cm m km in ft mi g kg mg t lb oz s ms min h hours minutes seconds days years l ml usd eur dollars euros cents degrees percent".split()
 
 
-def templates(words: Column, broad: bool = False) -> Column:
+def templates(words: Column, broad: bool | None = False) -> Column:
     """One template word per word.
 
-    ``broad`` takes capitalised words for names at any place, and knows possessives and amounts of money.
+    ``broad`` takes capitalised words for names at any place, and knows possessives and amounts of money;
+    None leaves all words literal.
     """
     bare = F.transform(words, lambda w: F.translate(w, PUNCTUATION, ""))
+    if broad is None:
+        return F.transform(bare, F.lower)
 
     def template(b: Column, i: Column) -> Column:
         before = F.get(words, i - 1)
@@ -74,24 +82,24 @@ def _places(width: int) -> Column:
     return F.when(n >= width, F.sequence(F.lit(1), n - width + 1)).otherwise(F.array().cast("array<int>"))
 
 
-def _spelled(df: DataFrame, key: str, broad: bool) -> DataFrame:
+def _spelled(df: DataFrame, key: str, broad: bool | None) -> DataFrame:
     """key, words, template."""
     rows = df.select(F.col(key).cast("long").alias(key), F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0)).alias("words"))
     return rows.withColumn("template", templates(F.col("words"), broad))
 
 
-def _value(word: Column, broad: bool) -> Column:
+def _value(word: Column, broad: bool | None) -> Column:
     bare = F.translate(word, PUNCTUATION, "")
     return F.regexp_replace(bare, POSSESSIVE, "$1") if broad else bare
 
 
-def _slots(words: str, template: str, broad: bool) -> Column:
+def _slots(words: str, template: str, broad: bool | None) -> Column:
     """(template word, value) of the places of a window that hold placeholders."""
     both = F.zip_with(template, words, lambda t, w: F.struct(t.alias("t"), _value(w, broad).alias("value")))
     return F.transform(F.filter(both, lambda x: x["t"].startswith("<")), lambda x: x["value"])
 
 
-def item_windows(benchmark: DataFrame, width: int, broad: bool = False) -> DataFrame:
+def item_windows(benchmark: DataFrame, width: int, broad: bool | None = False) -> DataFrame:
     """item_id, item_place, h, item_slots, item_windows."""
     rows = _spelled(benchmark, "item_id", broad)
     placed = rows.select("item_id", "words", "template", F.explode(_places(width)).alias("item_place"), (F.size("words") - width + 1).alias("item_windows"))
@@ -109,7 +117,7 @@ def bitmap(hashes: DataFrame, bits: int = BITS) -> DataFrame:
     return filled.agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "set"))), lambda x: x["set"]).alias("bits"))
 
 
-def document_windows(docs: DataFrame, items: DataFrame, width: int, bits: int = BITS, broad: bool = False) -> DataFrame:
+def document_windows(docs: DataFrame, items: DataFrame, width: int, bits: int = BITS, broad: bool | None = False) -> DataFrame:
     """doc_id, place, h, slots of the windows that may be in the benchmark."""
     known = F.broadcast(bitmap(items, bits))  # 2**bits bits
     rows = _spelled(docs, "doc_id", broad).crossJoin(known)  # with one row
@@ -132,6 +140,21 @@ def document_windows(docs: DataFrame, items: DataFrame, width: int, bits: int =
     return rows.select("doc_id", F.explode(found).alias("x")).select("doc_id", "x.place", "x.h", "x.slots")
 
 
+def short_leaks(docs: DataFrame, benchmark: DataFrame, width: int) -> list[DataFrame]:
+    """Documents that hold an item of fewer than ``width`` words as it is, as ``leaks`` gives them; a frame per length."""
+    n = F.regexp_count("text", F.lit(WORD))
+    worded = F.translate("text", PUNCTUATION + " \t\n\x0b\f\r", "") != ""
+    short = benchmark.where((n < width) & worded).withColumn("n_words", n)
+    out = []
+    for length in sorted(r[0] for r in short.select("n_words").distinct().collect()):  # fewer than width
+        items = materialize(item_windows(short.where(F.col("n_words") == length), length, None), "short-items")
+        held = document_windows(docs, items, length, broad=None).select("doc_id", "h").distinct()
+        met = held.join(items, "h").select("doc_id", "item_id").distinct()
+        one = F.lit(1).cast("long")
+        out.append(met.select("doc_id", "item_id", one.alias("windows"), one.alias("item_windows"), F.lit(True).alias("verbatim")))
+    return out
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, run: int = RUN, share: float = SHARE, runs: bool = False, broad: bool = False) -> DataFrame:
     """One row per leaked pair: doc_id, item_id, windows, item_windows, verbatim.
 
@@ -184,7 +207,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, run: int =
         F.bool_and("same").alias("verbatim"),
     )
     enough = (F.col("best") >= run) | (F.col("windows") >= share * F.col("item_windows"))
-    return both.where(enough & (F.col("windows") > 0)).select("doc_id", "item_id", "windows", "item_windows", "verbatim")
+    found = both.where(enough & (F.col("windows") > 0)).select("doc_id", "item_id", "windows", "item_windows", "verbatim")
+    short = [] if broad else short_leaks(docs, benchmark, width)
+    if not short:
+        return found
+    # An id that stands for short and long texts is still one item.
+    every = functools.reduce(DataFrame.union, short, found).groupBy("doc_id", "item_id")
+    return every.agg(*(F.max(c).alias(c) for c in ("windows", "item_windows")), F.bool_and("verbatim").alias("verbatim"))
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
