@@ -57,9 +57,9 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 @_stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document's words in the mix, and its training position, in order of position."""
+    """Every document's words in the mix, and its training positions, in order of the first pass over it."""
     mixed = mixing.ordered(mixing.mix(docs))
-    return mixed.select("doc_id", "source", "size", "source_size", "target", "taken", "position")
+    return mixed.select("doc_id", "source", "size", "source_size", "target", "taken", "position", "positions")
 
 
 STAGES = [

@@ -113,6 +113,15 @@ def test_positions_follow_the_schedule(spark):
     assert [p for p in placed if p is not None] == sorted(p for p in placed if p is not None)
 
 
+def test_the_mix_gives_a_position_for_every_pass(spark):
+    docs = spark.createDataFrame([(i, "w " * 10, f"s{i % 2}") for i in range(40)], "doc_id long, text string, source string")
+    rows = corpus_pipeline.mix_sources(spark, docs, "").collect()
+    assert len(rows) == 40 and any(r["taken"] == 20 for r in rows)
+    for r in rows:
+        assert len(r["positions"]) == -(-r["taken"] // 10)
+        assert r["position"] == (int(r["positions"][0] * 1e6) if r["positions"] else None)
+
+
 def test_pipeline_stages(spark):
     folder = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
