@@ -146,3 +146,106 @@ select b.doc_id, b.item_id, windows, cast(item_windows as bigint) as item_window
 from both_ b join best on best.doc_id is not distinct from b.doc_id and best.item_id is not distinct from b.item_id
 where best >= 6 or windows >= 0.5 * item_windows
 """
+
+ORACLES["op12_fill_in_middle"] = r"""
+with coded as (
+ select doc_id, coalesce(text, '') as x, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as w,
+  sha256('1:' || coalesce(cast(doc_id as varchar), '')) as h
+ from documents
+), drawn as (
+ select doc_id, x, w, len(w) as n,
+  least(cast('0x' || h[1:8] as bigint) % (len(w) + 1), cast('0x' || h[9:16] as bigint) % (len(w) + 1)) as a,
+  greatest(cast('0x' || h[1:8] as bigint) % (len(w) + 1), cast('0x' || h[9:16] as bigint) % (len(w) + 1)) as b,
+  case when x = '' or regexp_matches(x, '<[PSM]>') or cast('0x' || h[17:24] as bigint) % 100 >= 90 then 'plain'
+   when cast('0x' || h[25:32] as bigint) % 100 < 20 then 'spm' else 'psm' end as form
+ from coded
+), parted as (
+ select *, array_to_string(w[1:a], '') as p, array_to_string(w[a + 1:b], '') as m, array_to_string(w[b + 1:n], '') as s from drawn
+)
+select doc_id, n, form, case when form <> 'plain' then length(p) end as prefix_chars, case when form <> 'plain' then length(m) end as middle_chars,
+ sha256(case form when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m when 'spm' then '<S>' || s || '<P>' || p || '<M>' || m else x end) as output_sha256,
+ sha256(x) as restored_sha256
+from parted
+"""
+
+
+def _edit(state: str, cost: str, letter: str) -> str:
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || {letter}}}"
+
+
+def _shift(state: str, initial: str) -> str:
+    """Keep or Rerole as the initial has it, out of the question for faulty rows."""
+    return _edit(state, f"if(f.faulty, 1000000, if(f.cut, 5, 0) + if(f.initial = '{initial}', 0, 1))", f"if(f.initial = '{initial}', 'K', 'R')")
+
+
+# States: e nothing yet, s after the system's, u after a user's, a after an assistant's row.
+def _step(moved: str) -> str:
+    """Rows after any inserts."""
+    return f"""
+ select conv_id, i, e, s, least(u, {_edit("a", "5", "'I'")}) as u, a from (
+  select conv_id, i, e, s, u, least(a, {_edit("u", "5", "'I'")}) as a from (
+   select conv_id, i, e, s, a, least(u, {_edit("e", "5", "'I'")}, {_edit("s", "5", "'I'")}, {_edit("a", "5", "'I'")}) as u from ({moved})))
+"""
+
+
+_MOVED = f"""
+    select d.conv_id, f.i, {_edit("d.e", "2", "'D'")} as e,
+     least({_edit("d.s", "2", "'D'")}, {_edit("d.e", "if(f.faulty or f.initial <> 's', 1000000, if(f.cut, 5, 0))", "'K'")}) as s,
+     least({_edit("d.u", "2", "'D'")}, {_shift("d.e", "u")}, {_shift("d.s", "u")}, {_shift("d.a", "u")}) as u,
+     least({_edit("d.a", "2", "'D'")}, {_shift("d.u", "a")}) as a
+    from steps d join faults f on f.conv_id is not distinct from d.conv_id and f.i = d.i + 1
+"""
+_FAR = "{'c': 1000000, 'a': '~'}"
+_BEGUN = f"select distinct conv_id, 0::bigint as i, {{'c': 0, 'a': ''}} as e, {_FAR} as s, {_FAR} as u, {_FAR} as a from conversations"
+
+ORACLES["op11_conversation_repair"] = rf"""
+with recursive coded as (
+ select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+  xor(4294967295, list_reduce(list_transform(string_split(coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' '), ''), lambda c: cast(ascii(c) as bigint)),
+   lambda c, b: list_reduce([0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: xor(v >> 1, 3988292384 * (v & 1)), xor(c, b)), 4294967295::bigint)) % 20 as k
+ from conversations
+), damaged as (
+ select conv_id, turn, case k when 4 then 'user' else role end as role,
+  case k when 1 then '' when 2 then translate(text, '.!?', '') else text end as text, unnest(if(k = 3, [1, 2], [1])) as copy
+ from coded where k <> 0
+), numbered as (
+ select *, left(role, 1) as initial, right(rtrim(text, E' 	
+
+'), 1) as last,
+  row_number() over (partition by conv_id order by turn nulls first, role, sha256(text), copy) as i
+ from damaged
+), flagged as (
+ select *, last = '' as blank, row_number() over (partition by conv_id, role, text order by i) > 1 as again, last not in ('.', '!', '?') as cut,
+  lag(initial) over (partition by conv_id order by i) as before
+ from numbered
+), faults as (
+ select *, blank or again as faulty from flagged
+), steps as (
+ {_step(_BEGUN)}
+ union all
+ {_step(_MOVED)}
+), ended as (
+ select conv_id, least(e, a) as best from steps qualify row_number() over (partition by conv_id order by i desc) = 1
+), letters as (
+ select conv_id, unnest(string_split(best.a, '')) as letter, unnest(range(1, length(best.a) + 1)) as p from ended where best.a <> ''
+), placed as (
+ select *, sum(cast(letter <> 'I' as bigint)) over so_far as i, sum(cast(letter <> 'D' as bigint)) over so_far as j from letters
+ window so_far as (partition by conv_id order by p)
+), kept as (
+ select l.conv_id, l.p, l.j, l.letter, f.role, f.initial, f.text from placed l
+ left join faults f on f.conv_id is not distinct from l.conv_id and f.i = l.i and l.letter <> 'I' where l.letter <> 'D'
+), spoken as (
+ select *, max(cast(j = 1 and letter = 'K' and initial = 's' as bigint)) over (partition by conv_id) as shift from kept
+), lines as (
+ select conv_id, string_agg(case when letter = 'K' then role when (j - shift) % 2 = 1 then 'user' else 'assistant' end || ':' || if(letter = 'I', '', text), chr(10) order by p) as t
+ from spoken group by conv_id
+), counted as (
+ select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (blank) as blank,
+  count(*) filter (again and not blank) as duplicate, count(*) filter (cut and not again and not blank) as truncated,
+  count(*) filter (before || initial not in ('su', 'ua', 'au')) as illegal
+ from faults group by conv_id
+)
+select e.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated,
+ coalesce(illegal, 0) as illegal, cast(best.c as bigint) as cost, best.a as audit, sha256(coalesce(t, '')) as repaired_sha256
+from ended e left join counted c on c.conv_id is not distinct from e.conv_id left join lines l on l.conv_id is not distinct from e.conv_id
+"""

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import decontamination, exact_dedup, language_id, language_model, mixing, near_dedup, personal_data, quality, secret_scan, substring_dedup
+from . import conversation_repair, decontamination, exact_dedup, fill_in_middle, language_id, language_model, mixing, near_dedup
+from . import personal_data, quality, secret_scan, substring_dedup, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -75,3 +76,22 @@ def op1_secret_scan(spark, sf_dir):
 def op8_personal_data(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return personal_data.find(docs, personal_data.learn(docs))
+
+
+@query
+def op11_conversation_repair(spark, sf_dir):
+    return conversation_repair.digest(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_fill_in_middle(spark, sf_dir):
+    return fill_in_middle.digest(fill_in_middle.transform(table(spark, sf_dir, "documents")))
+
+
+@query
+def op13_token_files(spark, sf_dir):
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    files = token_files.write_documents(table(spark, sf_dir, "documents"), path, end_id=1, by_word=True)
+    return token_files.read_digests(spark, files)
