@@ -21,6 +21,7 @@ from ..functions import fixed_values as fv
 from ..session import materialize
 from . import blocks as bl
 from .components import connected_components
+from .dendrogram import stable_clusters
 from .neighbors import point_core_distances
 from .silhouette import silhouette_euclidean
 
@@ -170,21 +171,15 @@ def density_cluster_auto(
     df: DataFrame,
     min_cluster_size: int = fv.MIN_CLUSTER_SIZE,
     min_samples: int | None = None,
-    levels: int = 16,
     vector_col: str = "embedding",
     id_col: str = "doc_id",
     block_rows: int = bl.BLOCK_ROWS,
 ) -> DataFrame:
     """(doc_id, cluster_hdbscan) without a given eps; noise is -1.
 
-    Components are taken at ``levels`` values of eps, spread evenly over the
-    edge lengths of the minimum spanning forest, whatever the blocks. They nest. A cluster lives from the level where
-    it splits off to the level where it splits or dissolves, and its stability
-    is the sum of ``size * (1/eps - 1/eps_next_coarser)`` over that life. From
-    fine to coarse, a cluster is preferred to the clusters inside it if it is at
-    least as stable as their sum; the root is never chosen. The result equals
-    hierarchical density clustering on the full spanning tree in the limit of a
-    dense grid of levels.
+    The most stable clusters of the minimum spanning forest, taken at the weights of
+    its own edges, as ``dendrogram`` describes. A cluster is named after its smallest
+    doc_id.
     """
     min_samples = min_samples or min_cluster_size
     points = bl.fold_copies(df, vector_col, id_col)
@@ -192,77 +187,12 @@ def density_cluster_auto(
     forest = reachability_forest(points, min_samples, block_rows)
     if forest.count() >= points.n_rows:  # edges of several blocks: more than a forest has
         forest = materialize(minimum_forest(forest), "forest")
-    shares = [(i + 1) / levels for i in range(levels)]
-    cuts = forest.agg(F.percentile_approx("w", shares, 100_000).alias("q"), F.max("w").alias("top")).first()
-    if cuts["top"] is None:
-        return every.withColumn("cluster_hdbscan", F.lit(fv.NOISE).cast("long"))
-    eps = sorted({e for e in [*cuts["q"], cuts["top"]] if e > 0})
-    if not eps:
-        return every.withColumn("cluster_hdbscan", F.lit(fv.NOISE).cast("long"))
-    chosen = _stable_clusters(forest, eps, min_cluster_size)
+    chosen = stable_clusters(forest, min_cluster_size)
     return every.join(chosen, "doc_id", "left").select(
         "doc_id", F.coalesce("cluster", F.lit(fv.NOISE)).cast("long").alias("cluster_hdbscan")
     )
 
 
-def _stable_clusters(forest: DataFrame, eps: list[float], min_cluster_size: int) -> DataFrame:
-    """(doc_id, cluster) for rows of the chosen clusters."""
-    last = len(eps) - 1
-    # Every edge takes part in its own level and all coarser ones: one run of
-    # the component rounds then solves all levels together.
-    first_level = F.size(F.filter(F.array(*[F.lit(e) for e in eps]), lambda e: e < F.col("w")))
-    leveled = forest.select("u", "v", F.explode(F.sequence(first_level, F.lit(last))).alias("level"))
-    parts = materialize(connected_components(leveled, "level"), "level-parts")
-    big = (
-        parts.groupBy("level", "component")
-        .agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("any_node"))
-        .where(F.col("size") >= min_cluster_size)
-    )
-    # The parent of a cluster is the component of any of its rows one level up.
-    up = parts.select((F.col("level") - 1).alias("level"), F.col("node").alias("any_node"), F.col("component").alias("parent"))
-    gain = F.create_map(*[x for i, e in enumerate(eps) for x in (F.lit(i), F.lit(1.0 / e - (1.0 / eps[i + 1] if i < last else 0.0)))])
-    nodes = materialize(
-        big.join(up, ["level", "any_node"], "left").select(
-            "level", "component", "parent", (F.col("size") * gain[F.col("level")]).alias("gain")
-        ),
-        "level-nodes",
-    )
-
-    # Fine to coarse: own = stability of the cluster's life so far, inner = best
-    # total of the clusters it later splits into.
-    solved, tree = None, None
-    for level in range(last + 1):
-        here = nodes.where(F.col("level") == level)
-        if solved is None:
-            state = here.withColumns({"own": F.col("gain"), "inner": F.lit(0.0), "n_children": F.lit(0).cast("long")})
-        else:
-            children = solved.groupBy(F.col("parent").alias("component")).agg(
-                F.count(F.lit(1)).alias("n_children"),
-                F.sum("own").alias("own_sum"),
-                F.sum("inner").alias("inner_sum"),
-                F.sum(F.greatest("own", "inner")).alias("best_sum"),
-            )
-            n = F.coalesce(F.col("n_children"), F.lit(0)).cast("long")
-            state = (
-                here.join(children, "component", "left")
-                .withColumns({
-                    "own": F.col("gain") + F.when(n == 1, F.col("own_sum")).otherwise(F.lit(0.0)),
-                    "inner": F.when(n == 1, F.col("inner_sum")).when(n > 1, F.col("best_sum")).otherwise(F.lit(0.0)),
-                    "n_children": n,
-                })
-                .drop("own_sum", "inner_sum", "best_sum")
-            )
-        solved = materialize(state.select("level", "component", "parent", "own", "inner", "n_children"), "tree-level")
-        tree = solved if tree is None else tree.unionByName(solved)
-
-    # A cluster begins where its parent holds two or more; only there is the choice made.
-    splits = tree.where(F.col("n_children") > 1).select((F.col("level") - 1).alias("level"), F.col("component").alias("parent"))
-    heads = tree.join(splits, ["level", "parent"], "left_semi").where(F.col("own") >= F.col("inner")).select("level", "component")
-    # The coarsest preferred cluster around a row overrules those inside it.
-    within = parts.join(heads, ["level", "component"])
-    return within.groupBy(F.col("node").alias("doc_id")).agg(F.max_by("component", "level").alias("cluster"))
-
-
 def density_run(df: DataFrame, min_cluster_size: int = fv.MIN_CLUSTER_SIZE, **options) -> tuple[DataFrame, float | None, float]:
     """Labels, Euclidean silhouette of the rows that are not noise, and coverage.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from ..functions import fixed_values as fv
 from ..functions.templates import DEFAULT_TEMPLATE
 from . import fixtures as fx
-from .queries import DENSITY, EPS, KNN, LETTERS, SAMPLE
+from .queries import AUTO, DENSITY, EPS, KNN, LETTERS, SAMPLE
 
 ORACLES: dict[str, str] = {}
 
@@ -462,6 +462,12 @@ NEAR = {
 }
 oracle("knn_graph", f"select i as doc_id, j as neighbor_id, cast(rk as int) as rank, {r6('d')} as distance from near", "near", extra=NEAR)
 oracle("core_distance", f"select i as doc_id, {r6('max(d)')} as core_distance from near group by 1", "near", extra=NEAR)
+
+
+def CORE(min_samples: int) -> tuple[list[str], str]:
+    return ["pair"], f"select i, d as core from (select i, d, row_number() over (partition by i order by d, j) as rk from pair) where rk = {min_samples}"
+
+
 oracle(
     "density_cluster",
     f"""select v.doc_id, cast(coalesce(k.component, -1) as bigint) as cluster_hdbscan from vectors v left join (
@@ -470,15 +476,73 @@ oracle(
     "part",
     recursive=True,
     extra={
-        "core": (
-            ["pair"],
-            f"""select i, d as core from (select i, d, row_number() over (partition by i order by d, j) as rk from pair) where rk = {DENSITY['min_samples']}""",
-        ),
+        "core": CORE(DENSITY["min_samples"]),
         "edge": (["core"], f"select p.i, p.j from pair p join core a on p.i = a.i join core b on p.j = b.i where greatest(a.core, b.core, d) <= {EPS}"),
         "walk": (["edge"], "select i as u, i as r from edge union select w.u, e.j from walk w join edge e on w.r = e.i"),
         "part": (["walk"], "select u, min(r) as component from walk group by 1"),
     },
 )
+# The whole hierarchy: a tree grown by Prim, components at each weight of its edges, and the clusters' lives over these levels.
+oracle(
+    "density_cluster_auto",
+    """select p.doc_id, cast(coalesce(n.doc_id, -1) as bigint) as cluster_hdbscan from place p
+    left join (select k, arg_max(c, lvl) as c from member join head using (lvl, c) group by 1) x on x.k = p.k left join place n on n.k = x.c""",
+    "head",
+    recursive=True,
+    extra={
+        "core": CORE(AUTO["min_samples"]),
+        "place": (["core"], "select doc_id, row_number() over (order by doc_id) as k from vectors"),
+        "reach": (
+            ["place"],
+            """select i, list(r order by j) as r from (
+            select a.k as i, b.k as j, greatest(x.core, y.core, d) as r from pair p join core x on x.i = p.i join core y on y.i = p.j
+            join place a on a.doc_id = p.i join place b on b.doc_id = p.j union all select k, k, 1e300 from place) group by 1""",
+        ),
+        "prim": (
+            ["reach"],
+            """select 1 as step, 1 as here, 0 as link, 0.0::double as w, [if(z = 1, -1.0::double, 1e300) for z in range(1, (select count(*) from place) + 1)] as best,
+            [0 for z in range(1, (select count(*) from place) + 1)] as links
+            union all select step + 1, list_position(b, least_), l[list_position(b, least_)], least_,
+            [if(z = list_position(b, least_), -1.0::double, b[z]) for z in range(1, len(b) + 1)], l
+            from (select *, list_min([y for y in b if y >= 0]) as least_ from (
+            select step, [if(best[z] < 0, -1.0::double, least(best[z], r[z])) for z in range(1, len(r) + 1)] as b,
+            [if(best[z] >= 0 and r[z] < best[z], cast(here as int), links[z]) for z in range(1, len(r) + 1)] as l
+            from prim join reach on reach.i = prim.here where step < len(r)))""",
+        ),
+        "tree": (
+            ["prim"],
+            """select here as a, link as b, w, row_number() over (order by w, step) as o
+            from (select step, here, link, greatest(w, (select min(w) from prim where step > 1 and w > 0)) as w from prim where step > 1)""",
+        ),
+        "merged": (
+            ["tree"],
+            """select 0::bigint as o, 0.0::double as w, range(1, (select count(*) from place) + 1) as c
+            union all select t.o, t.w, [if(y = greatest(m.c[t.a], m.c[t.b]), least(m.c[t.a], m.c[t.b]), y) for y in m.c] from merged m join tree t on t.o = m.o + 1""",
+        ),
+        "level": (
+            ["merged"],
+            """select w, c, row_number() over (order by w) as lvl, 1 / w - coalesce(1 / lead(w) over (order by w), 0) as life, lead(w) over (order by w) is null as last
+            from (select w, arg_max(c, o) as c from merged where o > 0 group by 1)""",
+        ),
+        "member": (["level"], "select lvl, unnest(range(1, len(c) + 1)) as k, unnest(c) as c from level"),
+        "big": (
+            ["member"],
+            f"""select b.lvl, b.c, n * life as gain, m.c as up from (select lvl, c, count(*) as n from member group by all having n >= {AUTO['min_cluster_size']}) b
+            join level using (lvl) left join member m on m.lvl = b.lvl + 1 and m.k = b.c union all select lvl, 0, 0, 0 from level""",
+        ),
+        "life": (
+            ["big"],
+            """select lvl, c, up, gain as own, 0.0::double as inside, 0::bigint as kids from big where lvl = 1
+            union all select b.lvl, b.c, b.up, b.gain + if(s.kids = 1, s.own, 0), case when s.kids = 1 then s.inside when s.kids > 1 then s.best else 0 end, coalesce(s.kids, 0)
+            from (select distinct lvl from life) now join big b on b.lvl = now.lvl + 1
+            left join (select up, count(*) as kids, sum(own) as own, sum(inside) as inside, sum(greatest(own, inside)) as best from life group by 1) s on s.up = b.c""",
+        ),
+        "head": (
+            ["life"],
+            """select x.lvl, x.c from life x join life y on y.lvl = x.lvl + 1 and y.c = x.up where y.kids > 1 and x.own > 0 and x.own >= x.inside * (1 - 1e-12)""",
+        ),
+    },
+)
 
 # --- labels -------------------------------------------------------------------
 oracle("example_blocks", "select cluster_id, exemplos from examples", "examples", extra=FLAT)

@@ -38,6 +38,7 @@ SAMPLE = 50  # rows; the smallest test corpus has 99 in its period
 KNN = 5
 DENSITY = {"min_samples": 3, "min_cluster_size": 3}
 EPS = 1.15
+AUTO = {"min_samples": 4, "min_cluster_size": 8}
 BLOCK = 64  # rows of a block, so that small tables are worked on in many blocks, too
 QUERIES: dict = {}
 
@@ -566,8 +567,7 @@ def density_cluster(spark, sf_dir):
 
 @query
 def density_cluster_auto(spark, sf_dir):
-    reduced = embedding.reduce_dimensions(fx.vectors(spark, sf_dir))
-    return density.density_cluster_auto(reduced)
+    return density.density_cluster_auto(fx.vectors(spark, sf_dir), **AUTO, block_rows=256)
 
 
 # --- labels -------------------------------------------------------------------
