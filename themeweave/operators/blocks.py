@@ -2,8 +2,8 @@
 
 Neighbour search, Euclidean silhouettes and density clustering compare rows with
 rows. They do it block against block: a block holds a bounded number of distinct
-vectors, a task holds two blocks, and only per-row results leave it - never the
-pairs themselves.
+vectors and lies in a file (``tiles``), a task holds two blocks, and only per-row
+results leave it - never the pairs themselves.
 
 Blocks are made of vectors near a common pivot. The triangle inequality over
 pivots then tells which pairs of blocks cannot matter, and those are never
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions import vectors as vx
 from ..session import materialize
+from .tiles import write_tiles
 
 BLOCK_ROWS = 2048
 MAX_PIVOTS = 1024
@@ -62,13 +63,14 @@ def fold_copies(df: DataFrame, vector_col: str = "embedding", id_col: str = "doc
 
 @dataclass
 class Blocks:
-    """``packed``: (block, pivot, radius, rows array<struct<rep, v, ...>>).
+    """``packed``: (name, block, pivot, radius, size, and the largest of ``core`` if the points have it).
 
-    ``pivots`` holds the pivot rows themselves, ``pivot_distances`` what lies
-    between them.
+    ``folder`` has the rows of each block under its name, ``pivots`` the pivot rows
+    themselves, ``pivot_distances`` what lies between them.
     """
 
     packed: DataFrame
+    folder: str
     pivots: list
     pivot_distances: np.ndarray
     count: int
@@ -110,25 +112,22 @@ class Blocks:
         ``reach`` has one row (block, reach) per block.
         """
         met = self._meetings(reach, np.zeros_like(self.pivot_distances), both=False, ceiling=float("inf"))
-        return met.where((F.col("a") != F.col("b")) & _may_touch(F.col("reach_a"))).select("a", "b")
+        return _named(met.where((F.col("a") != F.col("b")) & _may_touch(F.col("reach_a"))))
 
     def pairs_between(self, reach: DataFrame, bridges: np.ndarray, ceiling: float) -> DataFrame:
         """Unordered pairs (a, b) closer than what either reaches and the bridge between their pivots,
         and closer than ``ceiling``."""
         limit = F.least(F.greatest("reach_a", "reach_b", "bridge"), F.lit(float(ceiling)))
         met = self._meetings(reach, bridges, both=True, ceiling=float(ceiling))
-        return met.where((F.col("a") < F.col("b")) & _may_touch(limit)).select("a", "b")
-
-    def load_pairs(self, pairs: DataFrame) -> DataFrame:
-        """Both blocks of each pair as rows (a, b, side, rows), to be grouped by (a, b)."""
-        sides = F.explode(
-            F.array(
-                F.struct(F.lit(0).alias("side"), F.col("a").alias("block")),
-                F.struct(F.lit(1).alias("side"), F.col("b").alias("block")),
-            )
-        )
-        wanted = pairs.select("a", "b", sides.alias("s")).select("a", "b", "s.side", "s.block")
-        return wanted.join(self.packed.select("block", "rows"), "block").select("a", "b", "side", "rows")
+        return _named(met.where((F.col("a") < F.col("b")) & _may_touch(limit)))
+
+    def each(self) -> DataFrame:
+        """Every block with itself."""
+        return self.packed.select(F.col("name").alias("a"), F.col("name").alias("b"))
+
+
+def _named(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").cast("string").alias("a"), F.col("b").cast("string").alias("b"))
 
 
 def _may_touch(limit: Column) -> Column:
@@ -174,35 +173,21 @@ def build_blocks(points: DataFrame, n_points: int, block_rows: int = BLOCK_ROWS)
     )
     others = [name for name in points.columns if name != "rep"]
     rows = F.sort_array(F.collect_list(F.struct("rep", *others)))
+    most = [F.max("core").alias("core")] if "core" in others else []
+    block = (F.col("part") * MAX_PIVOTS + F.col("pivot")).alias("block")
     packed = (
         placed.join(F.broadcast(sizes), "pivot")  # one row per pivot, MAX_PIVOTS at most
         .withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")))
         .groupBy("pivot", "part")
-        .agg(F.max("gap").alias("radius"), rows.alias("rows"))
-        .select((F.col("part") * MAX_PIVOTS + F.col("pivot")).alias("block"), "pivot", "radius", "rows")
+        .agg(F.max("gap").alias("radius"), F.count(F.lit(1)).alias("size"), *most, rows.alias("rows"))
+        .select(block, "*")
+        .withColumn("name", F.col("block").cast("string"))
+        .drop("part")
     )
-    written = materialize(packed, "blocks")
-    return Blocks(written, drawn, _distances(pivots), written.count())
+    written, folder = write_tiles(packed, "blocks")
+    return Blocks(written, folder, drawn, _distances(pivots), written.count())
 
 
 def _distances(x: np.ndarray) -> np.ndarray:
     norms = (x**2).sum(axis=1)
     return np.sqrt(np.maximum(norms[:, None] + norms[None, :] - 2.0 * (x @ x.T), 0.0))
-
-
-def unpack(rows: pa.Array | pa.ChunkedArray) -> dict[str, np.ndarray]:
-    """The struct rows of one block as arrays; ``v`` becomes a matrix."""
-    if isinstance(rows, pa.ChunkedArray):
-        rows = rows.combine_chunks()
-    structs = rows.flatten()
-    names = [structs.type.field(i).name for i in range(structs.type.num_fields)]
-    fields = dict(zip(names, structs.flatten()))
-    return {n: vx.to_matrix(c) if n == "v" else c.to_numpy(zero_copy_only=False) for n, c in fields.items()}
-
-
-def sides_of(table: pa.Table) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray]]:
-    """The two blocks of a pair, as laid out by ``load_pairs``."""
-    side = table.column("side").to_pylist()
-    left, right = side.index(0), side.index(1)
-    rows = table.column("rows").combine_chunks()
-    return unpack(rows.slice(left, 1)), unpack(rows.slice(right, 1))

@@ -24,6 +24,7 @@ from .components import connected_components
 from .dendrogram import stable_clusters
 from .neighbors import point_core_distances
 from .silhouette import silhouette_euclidean
+from .tiles import Tile, over_pairs
 
 EDGES = "u long, v long, w double"
 
@@ -51,9 +52,11 @@ def _spanning_forest(rep: np.ndarray, v: np.ndarray, core: np.ndarray, ceiling:
         edges.append((link[at], at, best[at]))
     if not edges:
         return pa.table({"u": rep[:0], "v": rep[:0], "w": core[:0]})
-    a, b, w = (np.array(x) for x in zip(*edges))
+    a, b = (np.array(x, dtype=np.int64) for x in list(zip(*edges))[:2])
+    # Weights from the difference vectors, as core distances are: equal ones stay equal.
+    w = np.maximum(np.sqrt(((v[a] - v[b]) ** 2).sum(axis=1)), np.maximum(core[a], core[b]))
     keep = w <= ceiling
-    return pa.table({"u": rep[a[keep].astype(int)], "v": rep[b[keep].astype(int)], "w": w[keep].astype(np.float64)})
+    return pa.table({"u": rep[a[keep]], "v": rep[b[keep]], "w": w[keep]})
 
 
 def reachability_forest(points: bl.Points, min_samples: int, block_rows: int, ceiling: float = float("inf")) -> DataFrame:
@@ -68,18 +71,15 @@ def reachability_forest(points: bl.Points, min_samples: int, block_rows: int, ce
         return spark.createDataFrame([], EDGES)
     blocks = bl.build_blocks(usable, n, block_rows)
 
-    def within(table: pa.Table) -> pa.Table:
-        rows = bl.unpack(table.column("rows"))
+    def within(rows: Tile, *_) -> pa.Table:
         return _spanning_forest(rows["rep"], rows["v"], rows["core"], ceiling)
 
-    def between(table: pa.Table) -> pa.Table:
-        left, right = bl.sides_of(table)
+    def between(left: Tile, right: Tile, *_) -> pa.Table:
         both = {f: np.concatenate([left[f], right[f]]) for f in ("rep", "v", "core")}
         return _spanning_forest(both["rep"], both["v"], both["core"], ceiling)
 
-    edges = blocks.packed.select("block", "rows").groupBy("block").applyInArrow(within, EDGES)
-    pairs = _pairs_that_matter(blocks, ceiling)
-    edges = edges.unionByName(blocks.load_pairs(pairs).groupBy("a", "b").applyInArrow(between, EDGES))
+    edges = over_pairs(blocks.each(), blocks.folder, within, EDGES)
+    edges = edges.unionByName(over_pairs(_pairs_that_matter(blocks, ceiling), blocks.folder, between, EDGES))
     if points.has_copies:
         # Copies hang on their representative; their mutual reachability is the core distance.
         copies = points.members.where(F.col("id") != F.col("rep")).join(usable.select("rep", "core"), "rep")
@@ -137,7 +137,7 @@ def _pairs_that_matter(blocks: bl.Blocks, ceiling: float) -> DataFrame:
         closer[inside] = False
         best[closer], link[closer] = steps[new][closer], new
     pivot_core = F.get(F.array(*[F.lit(float(c)) for c in core]), F.col("pivot"))
-    reach = blocks.packed.select("block", F.greatest("radius", F.array_max("rows.core"), pivot_core).alias("reach"))
+    reach = blocks.packed.select("block", F.greatest("radius", "core", pivot_core).alias("reach"))
     return blocks.pairs_between(reach, bridges, ceiling)
 
 

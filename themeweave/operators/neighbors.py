@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from . import blocks as bl
+from .tiles import Tile, over_pairs
 
 FOUND = "rep long, nbr long, d double"
 FOUND_ARROW = pa.schema([("rep", pa.int64()), ("nbr", pa.int64()), ("d", pa.float64())])
@@ -52,24 +53,21 @@ def _best(found: DataFrame, key: str, other: str, k: int) -> DataFrame:
 def _distinct_neighbors(blocks: bl.Blocks, k: int) -> DataFrame:
     """(rep, nbr, d, rank) among distinct vectors."""
 
-    def within(table: pa.Table) -> pa.Table:
-        rows = bl.unpack(table.column("rows"))
-        return _nearest_in(rows, rows, k, same=True)
+    def within(rows: Tile, _: Tile, name: str, __: str) -> pa.Table:
+        found = _nearest_in(rows, rows, k, same=True)
+        return found.append_column("block", pa.array([int(name)] * len(found), pa.int64()))
 
-    def between(table: pa.Table) -> pa.Table:
-        left, right = bl.sides_of(table)
+    def between(left: Tile, right: Tile, *_: str) -> pa.Table:
         return _nearest_in(left, right, k, same=False)
 
-    own = blocks.packed.select("block", "rows").groupBy("block").applyInArrow(within, FOUND)
-    own = materialize(own, "knn-own")
-    # A row's k-th distance inside its block bounds how far it needs to look.
-    kth = own.groupBy("rep").agg(F.max("d").alias("kth"), F.count(F.lit(1)).alias("n_found"))
-    in_block = blocks.packed.select("block", F.explode("rows.rep").alias("rep"))
-    reach = in_block.join(kth, "rep", "left").groupBy("block").agg(
-        F.max(F.when(F.col("n_found") == k, F.col("kth")).otherwise(F.lit(float("inf")))).alias("reach")
+    own = materialize(over_pairs(blocks.each(), blocks.folder, within, f"{FOUND}, block long"), "knn-own")
+    # A row's k-th distance inside its block bounds how far it needs to look. A block of k rows or fewer has no bound.
+    known = own.groupBy("block").agg(F.max("d").alias("far"))
+    reach = blocks.packed.join(known, "block", "left").select(
+        "block", F.when(F.col("size") > k, F.col("far")).otherwise(F.lit(float("inf"))).alias("reach")
     )
-    pairs = blocks.pairs_from(reach)
-    others = blocks.load_pairs(pairs).groupBy("a", "b").applyInArrow(between, FOUND)
+    others = over_pairs(blocks.pairs_from(reach), blocks.folder, between, FOUND)
+    own = own.select("rep", "nbr", "d")
     return _best(own.unionByName(others), "rep", "nbr", k)
 
 

@@ -16,6 +16,7 @@ from ..functions import fixed_values as fv
 from ..functions import vectors as vx
 from ..session import materialize
 from . import blocks as bl
+from .tiles import Tile, loaded, over_pairs, write_tiles
 
 # Cluster statistics are shipped to the workers only below this size.
 STATS_BYTES = 64 << 20
@@ -36,8 +37,23 @@ def silhouette_cosine(df: DataFrame, cluster_col: str, vector_col: str = "embedd
     return ClusteringEvaluator(distanceMeasure="cosine").evaluate(rows)
 
 
-def silhouette_euclidean(df: DataFrame, cluster_col: str, vector_col: str = "embedding", id_col: str = "doc_id", block_rows: int = bl.BLOCK_ROWS) -> DataFrame:
-    """One row with ``silhouette``: the mean over rows that are not noise, or null.
+LEAST_ASKED = 30  # distinct vectors of a cluster that a sample asks, on average at least
+
+
+def silhouette_euclidean(
+    df: DataFrame,
+    cluster_col: str,
+    vector_col: str = "embedding",
+    id_col: str = "doc_id",
+    block_rows: int = bl.BLOCK_ROWS,
+    sample_fraction: float = 1.0,
+) -> DataFrame:
+    """One row: ``silhouette``, the mean over rows that are not noise, its ``standard_error``, and how many vectors were ``asked``.
+
+    ``sample_fraction`` asks only so many of each cluster's distinct vectors, drawn by
+    the digest of their id and ``LEAST_ASKED`` of a cluster at least on average; each
+    of them is still measured against all rows. Clusters count by their true sizes.
+    At 1 the value is exact and the error 0.
 
     Null unless there are at least two clusters. Mean Euclidean distances have
     no closed form, so a row is measured against its own cluster and against
@@ -66,20 +82,23 @@ def silhouette_euclidean(df: DataFrame, cluster_col: str, vector_col: str = "emb
     )
     shape = stats.agg(F.count(F.lit(1)).alias("k"), F.max(F.size("mean")).alias("d")).first()
     if shape["k"] < 2:
-        return spark.createDataFrame([(None,)], "silhouette double")
+        return spark.createDataFrame([(None, None, 0)], "silhouette double, standard_error double, asked long")
 
     parts = F.ceil(F.col("n_points") / block_rows)
-    packed = materialize(
-        points.join(stats.select("c", parts.alias("parts")), "c")
+    drawn = F.conv(F.substring(F.md5(F.col("rep").cast("string")), 1, 8), 16, 10).cast("double") / 2.0**32
+    share = F.greatest(F.lit(float(sample_fraction)), LEAST_ASKED / F.col("n_points"))
+    packed, folder = write_tiles(
+        points.join(stats.select("c", parts.alias("parts"), share.alias("share")), "c")
         .withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")))
+        .withColumn("asked", (drawn < F.col("share")).cast("int"))
         .groupBy("c", "part")
-        .agg(F.sort_array(F.collect_list(F.struct("rep", "weight", "v"))).alias("rows")),
+        .agg(F.sort_array(F.collect_list(F.struct("rep", "weight", "asked", "v"))).alias("rows"))
+        .withColumn("name", F.concat_ws(".", "c", "part")),
         "silhouette-blocks",
     )
-    blocks = packed.select("c", "part")
-    wanted = _candidate_clusters(packed, stats, max(2, STATS_BYTES // (8 * (shape["d"] + 3))))
-    pairs = wanted.join(blocks.select(F.col("c").alias("other"), F.col("part").alias("other_part")), "other")
-    sums = _distance_sums(packed, pairs).groupBy("c", "rep", "other").agg(F.sum("total").alias("total"))
+    wanted = _candidate_clusters(packed, folder, stats, max(2, STATS_BYTES // (8 * (shape["d"] + 3))))
+    pairs = wanted.join(packed.select(F.col("c").alias("other"), F.col("name").alias("b")), "other")
+    sums = _distance_sums(pairs, folder).groupBy("c", "rep", "other").agg(F.sum("total").alias("total"))
 
     sizes = stats.select(F.col("c").alias("other"), "size")
     means = sums.join(sizes, "other")
@@ -91,12 +110,27 @@ def silhouette_euclidean(df: DataFrame, cluster_col: str, vector_col: str = "emb
     # A row alone in its cluster (a is null) and coinciding rows score 0.
     larger = F.greatest("a", "b")
     score = F.when(F.col("a").isNotNull() & (larger > 0), (F.col("b") - F.col("a")) / larger).otherwise(F.lit(0.0))
-    weighted = per_point.join(points.select("c", "rep", "weight"), ["c", "rep"])
-    return weighted.agg((F.sum(score * F.col("weight")) / F.sum("weight")).alias("silhouette"))
+    weighted = per_point.select("c", "rep", score.alias("s")).join(points.select("c", "rep", "weight"), ["c", "rep"])
+    w, s = F.col("weight"), F.col("s")
+    moments = weighted.groupBy("c").agg(
+        F.count(F.lit(1)).alias("m"), F.sum(w).alias("w"), F.sum(w * s).alias("ws"), F.sum(w * w).alias("ww"), F.sum(w * w * s).alias("wws"), F.sum(w * w * s * s).alias("wwss")
+    )
+    ratio = F.col("ws") / F.col("w")
+    # spread of weight * (score - mean) within a cluster, for the part of it that was not asked
+    squares = F.greatest(F.lit(0.0), F.col("wwss") - 2 * ratio * F.col("wws") + ratio * ratio * F.col("ww"))
+    unasked = 1 - F.col("m") / F.col("n_points")
+    variance = F.when(F.col("m") > 1, unasked * F.col("m") * squares / (F.col("m") - 1) / (F.col("w") * F.col("w"))).otherwise(F.lit(0.0))
+    by_cluster = moments.join(stats.select("c", "size", "n_points"), "c")
+    total = F.sum("size")
+    return by_cluster.agg(
+        (F.sum(ratio * F.col("size")) / total).alias("silhouette"),
+        (F.sqrt(F.sum(variance * F.col("size") * F.col("size"))) / total).alias("standard_error"),
+        F.sum("m").alias("asked"),
+    )
 
 
-def _candidate_clusters(packed: DataFrame, stats: DataFrame, per_pass: int) -> DataFrame:
-    """(c, part, other): the clusters whose exact distances the rows of a block need.
+def _candidate_clusters(packed: DataFrame, folder: str, stats: DataFrame, per_pass: int) -> DataFrame:
+    """(a, other): the clusters whose exact distances the asked rows of a block need.
 
     Cluster statistics are shipped ``per_pass`` at a time. Bounds taken within
     one pass are looser than over all clusters, so the union of the passes may
@@ -106,11 +140,11 @@ def _candidate_clusters(packed: DataFrame, stats: DataFrame, per_pass: int) -> D
     for row in stats.orderBy("c").toLocalIterator():
         chunk.append(row)
         if len(chunk) == per_pass:
-            found, chunk = _add_candidates(found, packed, chunk), []
-    return _add_candidates(found, packed, chunk) if chunk else found
+            found, chunk = _add_candidates(found, packed, folder, chunk), []
+    return _add_candidates(found, packed, folder, chunk) if chunk else found
 
 
-def _add_candidates(found: DataFrame | None, packed: DataFrame, rows: list) -> DataFrame:
+def _add_candidates(found: DataFrame | None, packed: DataFrame, folder: str, rows: list) -> DataFrame:
     ids = np.array([r["c"] for r in rows], dtype=np.int64)
     means = np.array([r["mean"] for r in rows], dtype=np.float64)
     spread = np.array([r["norm2"] / r["size"] for r in rows]) - (means**2).sum(axis=1)
@@ -118,9 +152,11 @@ def _add_candidates(found: DataFrame | None, packed: DataFrame, rows: list) -> D
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                own, part = batch.column("c")[i].as_py(), batch.column("part")[i].as_py()
-                x = bl.unpack(batch.column("rows").slice(i, 1))["v"]
+            for name, own in zip(batch.column("name").to_pylist(), batch.column("c").to_pylist()):
+                tile = loaded(folder, name)
+                x = tile["v"][tile["asked"] > 0]
+                if not len(x):
+                    continue
                 to_mean = (x**2).sum(axis=1)[:, None] + mean_norms[None, :] - 2.0 * (x @ means.T)
                 to_mean = np.maximum(to_mean, 0.0)
                 lower, upper = np.sqrt(to_mean), np.sqrt(np.maximum(to_mean + spread[None, :], 0.0))
@@ -128,23 +164,18 @@ def _add_candidates(found: DataFrame | None, packed: DataFrame, rows: list) -> D
                 possible = (lower <= upper.min(axis=1, keepdims=True) + 1e-6 * (1.0 + lower)).any(axis=0)
                 possible[ids == own] = True
                 others = ids[possible]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(others), own)), pa.array(np.full(len(others), part)), pa.array(others)],
-                    names=["c", "part", "other"],
-                )
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(others)), pa.array(others)], names=["a", "other"])
 
-    here = packed.mapInArrow(scan, "c long, part long, other long")
+    here = packed.select("name", "c").mapInArrow(scan, "a string, other long")
     return here if found is None else found.unionByName(here)
 
 
-def _distance_sums(packed: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(c, rep, other, total): distances from each row to the rows of a block of ``other``, summed."""
-    schema = "c long, rep long, other long, total double"
+def _distance_sums(pairs: DataFrame, folder: str) -> DataFrame:
+    """(c, rep, other, total): distances from each asked row to the rows of a block of ``other``, summed."""
 
-    def measure(table: pa.Table) -> pa.Table:
-        own, other = table.column("c")[0].as_py(), table.column("other")[0].as_py()
-        left, right = bl.sides_of(table)
-        a, b = left["v"], right["v"]
+    def measure(left: Tile, right: Tile, own: str, other: str) -> pa.Table:
+        asked = left["asked"] > 0
+        a, b = left["v"][asked], right["v"]
         squared = (a**2).sum(axis=1)[:, None] + (b**2).sum(axis=1)[None, :] - 2.0 * (a @ b.T)
         # Where the product cancels, near-equal rows are measured directly.
         scale = 1.0 + (a**2).sum(axis=1)[:, None]
@@ -154,16 +185,7 @@ def _distance_sums(packed: DataFrame, pairs: DataFrame) -> DataFrame:
             r, c = close[start : start + (1 << 16)].T
             distances[r, c] = np.sqrt(((a[r] - b[c]) ** 2).sum(axis=1))
         totals = distances @ right["weight"]
-        n = len(totals)
-        return pa.table({"c": np.full(n, own), "rep": left["rep"], "other": np.full(n, other), "total": totals})
+        n, c_of = len(totals), lambda name: int(name.split(".")[0])
+        return pa.table({"c": np.full(n, c_of(own)), "rep": left["rep"][asked], "other": np.full(n, c_of(other)), "total": totals})
 
-    sides = F.explode(
-        F.array(
-            F.struct(F.lit(0).alias("side"), F.col("c").alias("bc"), F.col("part").alias("bp")),
-            F.struct(F.lit(1).alias("side"), F.col("other").alias("bc"), F.col("other_part").alias("bp")),
-        )
-    )
-    keys = ["c", "part", "other", "other_part"]
-    wanted = pairs.select(*keys, sides.alias("s")).select(*keys, "s.side", "s.bc", "s.bp")
-    loaded = wanted.join(packed.select(F.col("c").alias("bc"), F.col("part").alias("bp"), "rows"), ["bc", "bp"])
-    return loaded.groupBy(*keys).applyInArrow(measure, schema)
+    return over_pairs(pairs, folder, measure, "c long, rep long, other long, total double")

@@ -454,6 +454,26 @@ oracle(
     "kept",
     extra={"kept": (["vectors"], "select * from vectors where label <> 9")},
 )
+oracle(
+    "silhouette_sample",
+    f"""select {r6('sum(n * r) / sum(n)')} as silhouette, {r6('sqrt(sum(n * n * coalesce(spread, 0))) / sum(n)')} as standard_error, cast(sum(m) as bigint) as asked from (
+    select s.c, any_value(n) as n, count(*) as m, avg(s) as r, (1 - count(*) / any_value(n)) * var_samp(s) / count(*) as spread from scored s join sized z on z.c = s.c group by 1)""",
+    "scored",
+    extra={
+        "kept": (["pair"], "select * from vectors where label <> 9"),
+        "sized": (["kept"], "select label as c, count(*) as n from kept group by 1"),
+        "means": (
+            ["sized"],
+            """select i, li as c, lj as other, sum(d) / if(li = lj, any_value(n) - 1, any_value(n)) as m from pair join sized z on z.c = lj
+            where li <> 9 and ('0x' || md5(cast(i as varchar))[1:8])::bigint / 4294967296 < greatest(0.2, 30 / (select y.n from sized y where y.c = li)) group by 1, 2, 3""",
+        ),
+        "scored": (
+            ["means"],
+            """select i, c, (b - a) / greatest(a, b) as s from (
+            select i, c, max(case when other = c then m end) as a, min(case when other <> c then m end) as b from means group by 1, 2)""",
+        ),
+    },
+)
 NEAR = {
     "near": (
         ["pair"],

@@ -24,6 +24,7 @@ from ..operators import (
     labeling,
     metrics,
     neighbors,
+    neighbors_large,
     report,
     sampling,
     selection,
@@ -543,6 +544,14 @@ def silhouette_euclidean(spark, sf_dir):
     return silhouette.silhouette_euclidean(rows, "label", block_rows=BLOCK).select(r6("silhouette").alias("silhouette"))
 
 
+@query
+def silhouette_sample(spark, sf_dir):
+    """A fifth of each cluster's rows measured against all rows."""
+    rows = fx.vectors(spark, sf_dir).withColumn("label", F.when(F.col("label") == 9, -1).otherwise(F.col("label")))
+    score = silhouette.silhouette_euclidean(rows, "label", block_rows=BLOCK, sample_fraction=0.2)
+    return score.select(r6("silhouette").alias("silhouette"), r6("standard_error").alias("standard_error"), "asked")
+
+
 @query
 def reduce_dimensions(spark, sf_dir):
     return embedding.reduce_dimensions(fx.vectors(spark, sf_dir))
@@ -554,6 +563,13 @@ def knn_graph(spark, sf_dir):
     return graph.select("doc_id", "neighbor_id", "rank", r6("distance").alias("distance"))
 
 
+@query
+def knn_graph_large(spark, sf_dir):
+    """Nearly exact lists of all rows, at a cost that grows with the rows."""
+    graph = neighbors_large.knn_graph_large(fx.vectors(spark, sf_dir), 10, block_rows=256)
+    return graph.select("doc_id", "neighbor_id", "rank", r6("distance").alias("distance"))
+
+
 @query
 def core_distance(spark, sf_dir):
     core = neighbors.core_distance(fx.vectors(spark, sf_dir), KNN, block_rows=BLOCK)
