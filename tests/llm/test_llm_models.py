@@ -89,6 +89,22 @@ def language_rows():
     return rows, text
 
 
+def test_more_languages_than_a_byte_counts():
+    for n in (130, 300):
+        scores = np.zeros((2 * n, n), np.float32)
+        scores[np.arange(2 * n), np.repeat(np.arange(n), 2)] = 5.0
+        label = language_id.best_paths(scores, np.arange(0, 2 * n + 1, 2), 0.7)
+        assert label.tolist() == np.repeat(np.arange(n), 2).tolist()
+
+
+def test_languages_beyond_the_hundred_and_twenty_seventh(spark):
+    word = lambda k: "".join(chr(0x4E00 + 3 * k + j) for j in range(3))
+    rows = [(i, " ".join([word(i % 130)] * 6), f"l{i % 130:03d}") for i in range(1040)]
+    got = language_id.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    wrong = [r["doc_id"] for r in got if r["lang_pred"] != f"l{r['doc_id'] % 130:03d}"]
+    assert not wrong
+
+
 def test_mixed_text_is_cut_where_the_language_changes(spark):
     rows, text = language_rows()
     model = language_id.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))

@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import time
 
 import numpy as np
 from hypothesis import given, settings
@@ -49,17 +50,52 @@ def test_scan_of_whole_texts(spark):
     assert sorted(repr(tuple(r)[:6]) for r in got) == sorted(map(repr, want))
 
 
-def test_merging_finds_the_loop_behind_random_keys():
+def test_merging_finds_alphabet_length_and_prefix():
     rng = random.Random(1)
     keys = ["".join(rng.choice("0123456789abcdef") for _ in range(40)) for _ in range(600)]
     words = ["".join(rng.choice(["th", "on", "er", "an"]) for _ in range(5)) for _ in range(600)]
-    fine, plain = ss.infer(keys), ss.infer(words)
-    assert len(fine.moves) < 10
-    fresh = "".join(rng.choice("0123456789abcdef") for _ in range(32))
-    assert fine.likelihood(fresh) > plain.likelihood(fresh) + 32
+    fine, plain = ss.infer(keys), ss.infer(words, layered=False)
+    assert 41 <= len(fine.moves) < 60  # about one state for each length, not one for each key
+    fresh = "".join(rng.choice("0123456789abcdef") for _ in range(40))
+    assert fine.likelihood(fresh) > plain.likelihood(fresh) + 40
     assert fine.likelihood("thonerthon") < plain.likelihood("thonerthon")
-    prefixed = ss.infer(["k" + x[:20] for x in keys])
-    assert prefixed.likelihood("k" + fresh[:20]) > prefixed.likelihood(fresh[:21])
+    assert fine.likelihood(fresh) > fine.likelihood(fresh[:39]) - 3  # three nats a symbol, but the end is in its place
+    prefixed = ss.infer(["k-" + x[:20] for x in keys])
+    assert prefixed.likelihood("k-" + fresh[:20]) > prefixed.likelihood("ab" + fresh[:20]) + 8
+
+
+def test_long_examples_teach_no_false_end():
+    rng = random.Random(2)
+    long = ["".join(rng.choice("0123456789abcdef") for _ in range(100)) for _ in range(500)]
+    made = ss.infer(long)
+    assert sum(made.ends) == 500 and len(made.moves) > 100
+    longer = ss.infer([k * 6 for k in long])
+    assert sum(longer.ends) == 0 and len(longer.moves) >= ss.LONGEST
+
+
+def test_recall_and_false_alarms_on_planted_credentials(spark):
+    rng = random.Random(6)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    make = lambda n: "tk_" + "".join(rng.choice(letters) for _ in range(n))
+    rows = [(i, f"{prose_(rng)} token = {make(24)} {prose_(rng)}") for i in range(400)]
+    held_out = [(1000 + i, f"{prose_(rng)} {make(24)} {prose_(rng)}") for i in range(200)]
+    clean = [(2000 + i, " ".join(prose_(rng) for _ in range(20))) for i in range(200)]
+    docs = spark.createDataFrame(rows + held_out + clean, "doc_id long, text string")
+    got = {r["doc_id"]: r["n_learned"] for r in ss.scan(docs, ss.learn(docs)).collect()}
+    recall = sum(got[d] >= 1 for d, _ in held_out) / len(held_out)
+    alarms = sum(got[d] for d, _ in clean)
+    assert recall >= 0.98 and alarms == 0, (recall, alarms)
+
+
+def prose_(rng):
+    return " ".join(rng.choice(["the", "station", "continues", "international", "an", "understanding", "of", "2019", "well-known", "over"]) for _ in range(8))
+
+
+def test_many_candidates_and_spans_take_linear_time():
+    text = " ".join(f"token={k:08d}abcdef password:{k:010d}" for k in range(20_000)) + " " + "f" * 1_000_000
+    start = time.perf_counter()
+    found = ss.all_spans(text, ss.Grammar([ss.infer(["a1b2c3d4"] * 9)], ss.infer(["word"] * 9, layered=False), 0.75))
+    assert len(found) == 40_001 and time.perf_counter() - start < 10
 
 
 def test_learned_spans_do_not_touch_base_spans(spark):
@@ -86,6 +122,50 @@ def test_base_personal_data():
     assert got == [("email", "a.b@c.org"), ("ip", "10.0.0.1"), ("ip", "1.2.3.4"), ("phone", "+1 (555) 123-4567"), ("phone", "+1234567 1.2.3.4.5")]
 
 
+def literal_personal(text):
+    """Base columns by the literal patterns, matched one by one."""
+    digits = lambda x: re.sub("[^0-9]", "", x)
+    found = [("email", m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    found += [("ip", m.start(), m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(p) <= 255 for p in m[0].split("."))]
+    found += [("card", m.start(), m.end()) for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text) if 16 <= len(digits(m[0])) <= 19 and pd_.luhn(digits(m[0]))]
+    found += [("phone", m.start(), m.end()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 8 <= len(digits(m[0])) <= 15]
+    return sorted(found, key=lambda x: (pd_.KINDS.index(x[0]), x[1]))
+
+
+PIECES = ["a.b@c.org", "a@b.c_d@e.f", "x@y", "%@a.b.", "10.0.0.1", "1.2.3.4.5.6.7.8", "0255.001.2.3", "256.1.1.1", "4111 1111 1111 1111", "+1 (555) 123-4567", "+1..2", "é", "@", ".", "_", "4111111111111111"]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.one_of(st.sampled_from(PIECES), st.text(alphabet="0123456789.@+-_ ab%é", max_size=12)), max_size=8), st.sampled_from(["", " ", "\n"]))
+def test_base_personal_data_equals_the_literal_patterns(pieces, joint):
+    text = joint.join(pieces)
+    assert [(pd_.KINDS[k], a, b) for k, a, b in pd_.base_spans(text)] == literal_personal(text)
+
+
+def test_base_columns_and_digest_equal_brute_force(spark):
+    rng = random.Random(9)
+    rows = [(i, " ".join(rng.choice(PIECES + ["word", "漢字"]) for _ in range(rng.randrange(12)))) for i in range(150)] + [r[:2] for r in odd_rows()]
+    rows.append((900, "0" * 4001 + "1.2.3.4"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = []
+    for d, t in rows:
+        found = literal_personal(t or "")
+        code = ",".join(f"{k}:{a}:{b}" for k, a, b in found)
+        want.append((d, *(sum(k == x for k, _, _ in found) for x in pd_.KINDS), hashlib.sha256(code.encode()).hexdigest()))
+    got = pd_.find(docs, pd_.learn(docs)).collect()
+    assert sorted(repr(tuple(r)[:6]) for r in got) == sorted(map(repr, want))
+
+
+def test_long_texts_take_linear_time():
+    weights = np.full(pd_.WIDTH, 0.1)
+    address = lambda k: f"{k % 256}.{k // 256 % 256}.7.{k % 200}"
+    texts = ["1" * 1_000_000, "a@b " + "x1-" * 333_000, "\n".join(address(k) for k in range(20_000)), " ".join(address(k) for k in range(20_000))]
+    for text in texts:
+        start = time.perf_counter()
+        base, _ = pd_.all_spans(text, weights)
+        assert time.perf_counter() - start < 10 and len(base) in (0, 20_000)
+
+
 def divisions(window):
     """All ways to divide a window's tokens, as lists of (segment, kind)."""
     n = len(window.tokens)

@@ -183,11 +183,11 @@ def best_paths(scores: np.ndarray, first: np.ndarray, penalty: float) -> np.ndar
     start, n = first[:-1][order], n[order]
     longest = int(n[0]) if len(n) else 0
     active = np.searchsorted(-n, -np.arange(longest), "left")  # documents with more than t words
-    label = np.zeros(len(scores), np.int8)
+    label = np.zeros(len(scores), np.int32)
     if not longest:
         return label
-    langs = np.arange(scores.shape[1], dtype=np.int8)
-    back = np.empty(scores.shape, np.int8)
+    langs = np.arange(scores.shape[1], dtype=np.int32)
+    back = np.empty(scores.shape, np.int32)
     best = scores[start[: active[0]]].astype(np.float64)
     for t in range(1, longest):
         k = active[t]

@@ -3,22 +3,28 @@
 Base patterns find e-mail and IP addresses, payment cards and phone numbers; their
 spans always stay. The field looks at windows where an entity can be at all: runs of
 digits with their separators, and words with an @. A window's tokens are divided into
-segments, each either one token of no type or an entity of at most ``LONGEST`` tokens.
+segments, each either one token of no type or an entity of at most ``LONGEST`` tokens
+and ``WIDEST`` characters; without an @ it has ``DIGITS`` digits or more.
 A segment's score is a sum of weights of features of the whole span (digits, check
 digit, parts of an address, what stands around it), and a dynamic programme finds the
 best division, boundaries and types together. Weights maximise the likelihood of the
-base spans in at most ``EXAMPLES`` distinct windows per kind, chosen by hash.
-Entities of the best division that no base span overlaps are added.
+base spans in at most ``EXAMPLES`` distinct windows per kind, chosen by hash among those
+of at most ``TAUGHT`` characters.
+The field divides what base spans leave of a window; entities of the best division that
+score ``SURE`` or more are added.
 
 Defined results: null and empty texts have no spans. Without windows to learn from
 nothing is added. Rows are read one by one, so ties and repeated rows are alike.
 Columns other than doc_id and text are ignored. Positions are code points, ends
-exclusive.
+exclusive. Time grows with the length of a text, whatever it holds: patterns begin at
+the start of a run, and spans are compared in order.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import math
 import re
 from collections.abc import Iterator
@@ -32,16 +38,21 @@ from ..session import materialize
 from .words import spans, sums_between
 
 KINDS = ["email", "ip", "card", "phone"]
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# Matches begin where a run does, so no run is read again from each of its characters.
+LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
+DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+MAIL = re.compile(LOCAL.pattern + DOMAIN.pattern)
+IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 NUMERIC = re.compile(r"[+(]?[0-9][0-9\x20().+-]*[0-9]")
-WITH_AT = re.compile(r"[^\s@]+@\S+")
+WITH_AT = re.compile(r"(?<![^\s@])[^\s@]++@\S++")
 TOKEN = re.compile(r"[0-9]+|[A-Za-z]+|\S")
+TAUGHT = 200  # characters of the longest window that teaches
 DIGITS = 7  # least number of digits in a window without an @
 LONGEST = 24
+WIDEST = 320  # characters of the longest entity
 EXAMPLES = 120
 SURE = 1.0  # least score of an added entity
 
@@ -64,15 +75,36 @@ def _is_card(text: str) -> bool:
 
 
 def _is_ip(text: str) -> bool:
-    parts = text.split(".")
-    return len(parts) == 4 and all(p.isascii() and p.isdigit() and int(p[-4:]) <= 255 and int(p) <= 255 for p in parts if len(p) < 4000) and all(len(p) < 4000 for p in parts)
+    parts = [p.lstrip("0") for p in text.split(".") if p.isascii() and p.isdigit()]
+    return len(parts) == 4 and text.count(".") == 3 and all(len(p) <= 3 and int(p or "0") <= 255 for p in parts)
+
+
+def _emails(text: str) -> Iterator[tuple[int, int]]:
+    """Leftmost matches of local part, @ and domain; a local part is a whole run but for what a match before took."""
+    at = 0
+    while run := LOCAL.search(text, at):
+        domain = DOMAIN.match(text, run.end())
+        if domain:
+            yield run.start(), domain.end()
+        at = domain.end() if domain else run.end()
+
+
+def rest(start: int, end: int, starts: list[int], ends: list[int]) -> Iterator[tuple[int, int]]:
+    """What sorted spans, ``starts`` to ``ends`` and apart from each other, leave of a stretch."""
+    k = bisect.bisect_right(ends, start)
+    while k < len(starts) and starts[k] < end:
+        if start < starts[k]:
+            yield start, starts[k]
+        start, k = max(start, ends[k]), k + 1
+    if start < end:
+        yield start, end
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind number, start, end) of the base patterns, by kind, then start."""
     out = []
     if "@" in text:
-        out += [(0, m.start(), m.end()) for m in EMAIL.finditer(text)]
+        out += [(0, start, end) for start, end in _emails(text)]
     out += [(1, m.start(), m.end()) for m in IP.finditer(text) if _is_ip(m[0])]
     out += [(2, m.start(), m.end()) for m in CARD.finditer(text) if m.end() - m.start() >= 16 and _is_card(m[0])]
     if "+" in text:
@@ -108,7 +140,7 @@ def span_features(text: str, start: int, end: int) -> list[int]:
     has = {
         "check_digit": 16 <= n <= 19 and luhn(_digits(s)),
         "address": dots == 3 and _is_ip(s),
-        "mail_form": ats == 1 and EMAIL.fullmatch(s) is not None,
+        "mail_form": ats == 1 and MAIL.fullmatch(s) is not None,
         "plus": s[0] == "+",
         "letters": any(c.isalpha() for c in s),
         "one_at": ats == 1,
@@ -134,10 +166,12 @@ class Window:
         self.segments: list[tuple[int, int, list[int]]] = []  # first token, token after the last, features
         with_at = "@" in text[start:end]
         for i, (low, _) in enumerate(self.tokens):
-            if not (text[low].isalnum() or text[low] in "+("):
+            if not (text[low].isalnum() or text[low] in "+(") or with_at and text.find("@", low, low + WIDEST) < 0:
                 continue
             for j in range(i, min(i + LONGEST, len(self.tokens))):
                 high = self.tokens[j][1]
+                if high - low > WIDEST:
+                    break
                 piece = text[low:high]
                 if text[high - 1].isalnum() and ("@" in piece if with_at else high - low >= DIGITS and sum(c.isdigit() for c in piece) >= DIGITS):
                     self.segments.append((i, j + 1, span_features(text, low, high)))
@@ -249,10 +283,12 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = set()
             for k in np.flatnonzero(worth_reading(offsets, data)).tolist():
                 text = texts[low + k].as_py() or ""
-                base = base_spans(text)
+                base = sorted(base_spans(text), key=lambda x: x[1])
+                starts = [a for _, a, _ in base]
                 for start, end in windows(text):
-                    if end - start <= 200:  # long tables of numbers teach nothing more
-                        inside = [(kind, a - start + 1, b - start + 1) for kind, a, b in base if start <= a and b <= end]
+                    if end - start <= TAUGHT:
+                        near = base[bisect.bisect_left(starts, start) : bisect.bisect_left(starts, end)]
+                        inside = sorted((kind, a - start + 1, b - start + 1) for kind, a, b in near if b <= end)
                         rows.add((inside[0][0] if inside else -1, _in_context(text, start, end), ",".join(f"{x}:{a}:{b}" for x, a, b in inside)))
             kinds, found, lists = zip(*sorted(rows)) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(found, pa.string()), pa.array(lists, pa.string())], names=["kind", "found", "spans"])
@@ -273,16 +309,21 @@ def all_spans(text: str, weights: np.ndarray | None) -> tuple[list[tuple[int, in
     """Base spans, and the spans that the field adds."""
     base, added = base_spans(text), []
     if weights is not None and weights.any():
-        taken = np.array(sorted((start, end) for _, start, end in base)).reshape(-1, 2)
-        for start, end in windows(text):
-            # One base span that is the whole window leaves nothing to find.
-            if any(a <= start and end <= b for a, b in taken.tolist()):
-                continue
-            part = text[max(start - 1, 0) : end + 1]
-            shift = max(start - 1, 0)
-            for kind, a, b, score in Window(part, start - shift, end - shift).best(weights):
-                if score >= SURE and not any(x < b + shift and a + shift < y for x, y in taken.tolist()):
-                    added.append((kind, a + shift, b + shift))
+        starts, ends = [], []
+        for a, b in sorted((a, b) for _, a, b in base):
+            if ends and a < ends[-1]:
+                ends[-1] = max(ends[-1], b)
+            else:
+                starts.append(a)
+                ends.append(b)
+        for window in windows(text):
+            for start, end in rest(*window, starts, ends):
+                if "@" not in text[start:end] and len(_digits(text[start:end])) < DIGITS:
+                    continue
+                shift = max(start - 1, 0)
+                for kind, a, b, score in Window(text[shift : end + 1], start - shift, end - shift).best(weights):
+                    if score >= SURE:
+                        added.append((kind, a + shift, b + shift))
     return base, added
 
 
