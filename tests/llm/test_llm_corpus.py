@@ -2,10 +2,12 @@
 
 from collections import defaultdict
 
+import pytest
 from llm_cases import empty, odd, odd_rows, prose, words
 
 import corpus_pipeline
 from themeweave.llm import decontamination, mixing
+from themeweave.llm.oracles import ORACLES
 
 QUESTION = "A farmer named, say, Alice has 12 apples and sells 5 kg of them to Robert before she counts 12 apples again at noon."
 
@@ -24,7 +26,8 @@ def test_questions_are_found_with_other_numbers_and_names(spark):
     assert (3, 9) not in got and {item for _, item in got} == {9}
     tail = [(1, "12 apples 12 apples 12 apples 12 apples")]
     assert leaked(spark, tail, [(1, "5 apples 6 apples 7 apples 8 apples")]) == {}
-    assert leaked(spark, [(1, mixed_up)], [(9, QUESTION)]) == {}  # 12 would stand for two numbers
+    # 12 would stand for two numbers on the whole, but long runs are as they were
+    assert leaked(spark, [(1, mixed_up)], [(9, QUESTION)]) == {(1, 9): False}
 
 
 def test_runs_of_inconsistent_diagonals_are_dropped(spark):
@@ -33,7 +36,7 @@ def test_runs_of_inconsistent_diagonals_are_dropped(spark):
     texts = [QUESTION.replace("12 apples and", "71 apples and"), coincide, prose(4, 80), "12 apples 12 apples 12 apples 12 apples"]
     docs = spark.createDataFrame([(i, prose(5, 30) + " " + t) for i, t in enumerate(texts)], "doc_id long, text string")
     items = spark.createDataFrame([*item, (10, "5 apples 6 apples 7 apples 8 apples")], "item_id long, text string")
-    got = {(r["doc_id"], r["item_id"]): r["windows"] for r in decontamination.leaks(docs, items, runs=True).collect()}
+    got = {(r["doc_id"], r["item_id"]): r["windows"] for r in decontamination.leaks(docs, items).collect()}
     assert set(got) == {(0, 9), (1, 9)} and got[0, 9] >= 10
     assert {r["doc_id"] for r in decontamination.drop_leaks(docs, items).collect()} == {2, 3}
 
@@ -46,6 +49,19 @@ def test_word_problems_with_other_names_and_amounts_are_dropped(spark):
     docs = spark.createDataFrame([(i, f"{t} {prose(6, 20)}") for i, t in enumerate(texts)], "doc_id long, text string")
     items = spark.createDataFrame([(1, item), (2, owned)], "item_id long, text string")
     assert {r["doc_id"] for r in decontamination.drop_leaks(docs, items).collect()} == {3}
+    assert {(r["doc_id"], r["item_id"]) for r in decontamination.leaks(docs, items).collect()} >= {(0, 1), (1, 2), (2, 1)}
+
+
+def test_tables_of_numbers_meet_by_their_values(spark):
+    numbers = lambda k: " ".join(str(1000 * k + 7 * j) for j in range(40))
+    docs = [(i, numbers(i)) for i in range(30)] + [(99, f"{prose(1, 9)} {numbers(3)}")]
+    assert leaked(spark, docs, [(1, numbers(3))]) == {(3, 1): True, (99, 1): True}
+
+
+def test_rows_without_leaked_ids_are_not_shuffled(spark):
+    docs = spark.createDataFrame([(i, QUESTION if i in (3, None) else prose(i or 0, 30)) for i in [*range(40), None]], "doc_id long, text string")
+    kept = decontamination.drop_leaks(docs, spark.createDataFrame([(9, QUESTION)], "item_id long, text string"))
+    assert {r["doc_id"] for r in kept.collect()} == set(range(40)) - {3}
 
 
 def test_short_items_are_found_word_for_word(spark):
@@ -144,3 +160,20 @@ def test_pipeline_stages_take_odd_and_empty_documents(spark):
     for docs in (odd(spark), empty(spark)):
         for _, stage in corpus_pipeline.STAGES:
             stage(spark, docs, folder).collect()
+
+
+def test_leaks_equal_their_sql(spark):
+    duckdb = pytest.importorskip("duckdb")
+    item = "Tom buys 4 pens for $3 each. Tom then sells 2 pens to Anna for $5 each. How much money does Tom have left if he began with $20 today?"
+    other = item.replace("$20", "$75").replace("Tom", "Lena").replace("Anna", "Paul").replace(" 4 ", " 9 ").replace(" 2 ", " 6 ").replace("$3", "$8").replace("$5", "$7")
+    texts = [QUESTION, QUESTION.replace("12 apples and", "71 apples and"), QUESTION.replace("12", "7").replace(" 5 ", " 7 "), other, item.upper(), None, "", "What is 2 + 2 ?!"]
+    texts += [" ".join(str(j) for j in range(30)), "5 apples 6 apples 7 apples 8 apples", item[:70] + other[70:], "Tom's pens. " + other]
+    docs = [(k, f"{prose(k, 20)} {t} {prose(k + 50, 9)}" if k % 2 and t else t) for k, t in enumerate(texts * 2)]
+    items = [(1, QUESTION), (2, item), (3, "what is 2 + 2"), (4, None), (5, "..."), (6, " ".join(str(j) for j in range(3, 19))), (7, "12 apples 13 apples 14 apples 15 apples")]
+    got = decontamination.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    con = duckdb.connect()
+    for name, key, rows in (("documents", "doc_id", docs), ("benchmark", "item_id", items)):
+        con.execute(f"create table {name} ({key} bigint, text varchar)")
+        con.executemany(f"insert into {name} values (?, ?)", rows)
+    want = con.execute(f"select doc_id, item_id, windows, item_windows, verbatim from ({ORACLES['op2_decontamination']})").fetchall()
+    assert sorted(map(tuple, got.collect())) == sorted(want) and len(want) > 15

@@ -1,20 +1,23 @@
 """Benchmark decontamination by template windows, in DataFrame operations only.
 
 Words become templates: numbers, units and names are typed placeholders, all else is
-lower-cased without punctuation. Windows of ``WINDOW`` template words of benchmark
-items and documents are joined by hash. Along one diagonal (document place minus item
-place) the values behind the placeholders must correspond one to one; if they do,
-the question was copied, perhaps with other numbers and names, and if they do not,
-only windows without placeholders count. ``drop_leaks`` (``runs`` of ``leaks``) then
-also counts the windows that hold the item's own values, and runs of windows that are
-one to one in themselves, and looks a second time with broad templates (names at any
-place, possessives, amounts of money). ``op2_decontamination`` is as its SQL is.
+lower-cased without punctuation. There are two forms. In the narrow one a capitalised
+word is a name where it does not begin a sentence; the broad one takes names at any
+place, and knows possessives and amounts of money. Windows of ``WINDOW`` template words
+of items and documents are joined by hash, form by form; a window of placeholders
+only, which every table of numbers holds, is joined by its values instead.
+
+Along one diagonal (document place minus item place) the values behind the placeholders
+must correspond one to one; if they do, the question was copied, perhaps with other
+numbers and names. If they do not, those windows count that hold the item's own values,
+and those of runs that are one to one in themselves and long enough for a leak.
 
 A document leaks an item if ``RUN`` windows of one diagonal count (13 words in a row
-make 6), or half of the item's windows do.
+make 6), or half of the item's windows do, in either form.
 
 Of the documents' windows only those that may be in the benchmark leave the row: a
-bitmap of fixed size, 128 KiB, is tested first. It is the only thing broadcast.
+bitmap is tested first, of 128 KiB to 8 MiB by the number of the benchmark's windows. It
+and the bitmap of leaked ids, 2 MiB, are all that is broadcast.
 
 An item of fewer than ``WINDOW`` words is one window of its own length, and is leaked
 where a document holds its words as they are, but for case and punctuation.
@@ -37,7 +40,9 @@ from ..session import materialize
 WINDOW = 8
 RUN = 6
 SHARE = 0.5
-BITS = 20  # binary logarithm of the bitmap's size
+BITS, MOST_BITS = 20, 26  # binary logarithms of the bitmap's least and greatest size
+ID_BITS = 24
+FORMS = (False, True)  # narrow, broad
 
 WORD = r"[^\x20\x09-\x0D]+"
 PUNCTUATION = ".,;:!?\"()[]"
@@ -50,31 +55,32 @@ RUNS_ON = r"[\p{Ll},;]$"  # end of a word after which a capital does not begin a
 UNITS = "% mm cm m km in ft mi g kg mg t lb oz s ms min h hours minutes seconds days years l ml usd eur dollars euros cents degrees percent".split()
 
 
-def templates(words: Column, broad: bool | None = False) -> Column:
-    """One template word per word.
-
-    ``broad`` takes capitalised words for names at any place, and knows possessives and amounts of money;
-    None leaves all words literal.
-    """
+def _classes(words: Column) -> Column:
+    """Per word its placeholder in the broad form (null for none), its literal form, and whether it goes on a sentence."""
     bare = F.transform(words, lambda w: F.translate(w, PUNCTUATION, ""))
-    if broad is None:
-        return F.transform(bare, F.lower)
 
-    def template(b: Column, i: Column) -> Column:
+    def classed(b: Column, i: Column) -> Column:
         before = F.get(words, i - 1)
         follows_number = F.coalesce(F.translate(before, PUNCTUATION, "").rlike(NUMBER), F.lit(False))
         digit = F.substring(b, 1, 1).isin(*"0123456789+-")
-        named = F.coalesce(before.rlike(RUNS_ON), F.lit(False))
-        start = F.when(b.rlike(MONEY), F.lit("<money>")).when(b.rlike(POSSESSIVE), F.lit("<name's>")) if broad else F
-        return (
-            start.when(digit & b.rlike(NUMBER), F.lit("<num>"))
+        kind = (
+            F.when(b.rlike(MONEY), F.lit("<money>"))
+            .when(b.rlike(POSSESSIVE), F.lit("<name's>"))
+            .when(digit & b.rlike(NUMBER), F.lit("<num>"))
             .when(digit & b.rlike(MEASURE), F.lit("<num><unit>"))
             .when((F.length(b) <= 7) & F.lower(b).isin(*UNITS) & follows_number, F.lit("<unit>"))
-            .when(b.rlike(NAME) if broad else b.rlike(NAME) & named, F.lit("<name>"))
-            .otherwise(F.lower(b))
+            .when(b.rlike(NAME), F.lit("<name>"))
         )
+        return F.struct(kind.alias("kind"), F.lower(b).alias("low"), F.coalesce(before.rlike(RUNS_ON), F.lit(False)).alias("on"))
+
+    return F.transform(bare, classed)
 
-    return F.transform(bare, template)
+
+def _template(classes: Column, broad: bool) -> Column:
+    if broad:
+        return F.transform(classes, lambda c: F.coalesce(c["kind"], c["low"]))
+    plain = lambda c: c["kind"].isin("<num>", "<num><unit>", "<unit>") | ((c["kind"] == "<name>") & c["on"])
+    return F.transform(classes, lambda c: F.when(F.coalesce(plain(c), F.lit(False)), c["kind"]).otherwise(c["low"]))
 
 
 def _places(width: int) -> Column:
@@ -82,10 +88,13 @@ def _places(width: int) -> Column:
     return F.when(n >= width, F.sequence(F.lit(1), n - width + 1)).otherwise(F.array().cast("array<int>"))
 
 
-def _spelled(df: DataFrame, key: str, broad: bool | None) -> DataFrame:
-    """key, words, template."""
+def _spelled(df: DataFrame, key: str, forms: tuple[bool | None, ...]) -> DataFrame:
+    """key, words, a template for every form (t0, t1); of the form None all words are literal."""
     rows = df.select(F.col(key).cast("long").alias(key), F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0)).alias("words"))
-    return rows.withColumn("template", templates(F.col("words"), broad))
+    if forms == (None,):
+        return rows.withColumn("t0", F.transform("words", lambda w: F.lower(F.translate(w, PUNCTUATION, ""))))
+    classed = rows.withColumn("classes", _classes(F.col("words")))
+    return classed.select(key, "words", *[_template(F.col("classes"), bool(broad)).alias(f"t{k}") for k, broad in enumerate(forms)])
 
 
 def _value(word: Column, broad: bool | None) -> Column:
@@ -93,18 +102,36 @@ def _value(word: Column, broad: bool | None) -> Column:
     return F.regexp_replace(bare, POSSESSIVE, "$1") if broad else bare
 
 
-def _slots(words: str, template: str, broad: bool | None) -> Column:
-    """(template word, value) of the places of a window that hold placeholders."""
+def _slots(words: Column, template: Column, broad: bool | None) -> Column:
+    """Values of the places of a window that hold placeholders."""
     both = F.zip_with(template, words, lambda t, w: F.struct(t.alias("t"), _value(w, broad).alias("value")))
     return F.transform(F.filter(both, lambda x: x["t"].startswith("<")), lambda x: x["value"])
 
 
-def item_windows(benchmark: DataFrame, width: int, broad: bool | None = False) -> DataFrame:
-    """item_id, item_place, h, item_slots, item_windows."""
-    rows = _spelled(benchmark, "item_id", broad)
-    placed = rows.select("item_id", "words", "template", F.explode(_places(width)).alias("item_place"), (F.size("words") - width + 1).alias("item_windows"))
-    cut = placed.withColumn("w", F.slice("words", F.col("item_place"), width)).withColumn("t", F.slice("template", F.col("item_place"), width))
-    return cut.select("item_id", "item_place", F.xxhash64("t").alias("h"), _slots("w", "t", broad).alias("item_slots"), "item_windows")
+def _hash(words: Column, template: Column, form: int) -> Column:
+    """Of a window; one of placeholders only goes by its words."""
+    bare = F.transform(words, lambda w: F.translate(w, PUNCTUATION, ""))
+    only = F.forall(template, lambda t: t.startswith("<"))
+    return F.when(only, F.xxhash64(F.lit(form), F.lit("values"), bare)).otherwise(F.xxhash64(F.lit(form), template))
+
+
+def item_windows(benchmark: DataFrame, width: int, forms: tuple[bool | None, ...] = FORMS) -> DataFrame:
+    """item_id, form, item_place, h, item_slots, item_windows."""
+    rows = _spelled(benchmark, "item_id", forms)
+    placed = rows.withColumn("item_place", F.explode(_places(width))).withColumn("w", F.slice("words", F.col("item_place"), width))
+    found = None
+    for form, broad in enumerate(forms):
+        t = F.slice(f"t{form}", F.col("item_place"), width)
+        some = placed.select(
+            "item_id",
+            F.lit(form).alias("form"),
+            "item_place",
+            _hash(F.col("w"), t, form).alias("h"),
+            _slots(F.col("w"), t, broad).alias("item_slots"),
+            (F.size("words") - width + 1).alias("item_windows"),
+        )
+        found = some if found is None else found.union(some)
+    return found
 
 
 def bitmap(hashes: DataFrame, bits: int = BITS) -> DataFrame:
@@ -117,27 +144,32 @@ def bitmap(hashes: DataFrame, bits: int = BITS) -> DataFrame:
     return filled.agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "set"))), lambda x: x["set"]).alias("bits"))
 
 
-def document_windows(docs: DataFrame, items: DataFrame, width: int, bits: int = BITS, broad: bool | None = False) -> DataFrame:
-    """doc_id, place, h, slots of the windows that may be in the benchmark."""
+def document_windows(docs: DataFrame, items: DataFrame, width: int, forms: tuple[bool | None, ...] = FORMS) -> DataFrame:
+    """doc_id, form, place, h, slots of the windows that may be in the benchmark."""
+    bits = min(MOST_BITS, max(BITS, (16 * items.count()).bit_length()))
     known = F.broadcast(bitmap(items, bits))  # 2**bits bits
-    rows = _spelled(docs, "doc_id", broad).crossJoin(known)  # with one row
-    low = (1 << bits) - 1
-
-    def hashed(i: Column) -> Column:
-        return F.struct(i.alias("place"), F.xxhash64(F.slice("template", i, width)).alias("h"))
+    rows = _spelled(docs, "doc_id", forms).crossJoin(known)  # with one row
 
     def maybe(x: Column) -> Column:
-        at = x["h"].bitwiseAND(low)
-        return F.bit_get(F.get("bits", F.shiftright(at, 6).cast("int")), at.bitwiseAND(63).cast("int")) == 1
+        return _has("bits", x["h"], bits)
+
+    def found(form: int, broad: bool | None) -> Column:
+        def hashed(i: Column) -> Column:
+            return F.struct(i.alias("place"), _hash(F.slice("words", i, width), F.slice(f"t{form}", i, width), form).alias("h"))
+
+        def with_slots(x: Column) -> Column:
+            slots = _slots(F.slice("words", x["place"], width), F.slice(f"t{form}", x["place"], width), broad)
+            return F.struct(F.lit(form).alias("form"), x["place"].alias("place"), x["h"].alias("h"), slots.alias("slots"))
+
+        return F.transform(F.filter(F.transform(_places(width), hashed), maybe), with_slots)
 
-    def with_slots(x: Column) -> Column:
-        w, t = F.slice("words", x["place"], width), F.slice("template", x["place"], width)
-        both = F.zip_with(t, w, lambda a, b: F.struct(a.alias("t"), _value(b, broad).alias("value")))
-        values = F.transform(F.filter(both, lambda y: y["t"].startswith("<")), lambda y: y["value"])
-        return F.struct(x["place"].alias("place"), x["h"].alias("h"), values.alias("slots"))
+    every = F.concat(*[found(form, broad) for form, broad in enumerate(forms)])
+    return rows.select("doc_id", F.inline(every))
 
-    found = F.transform(F.filter(F.transform(_places(width), hashed), maybe), with_slots)
-    return rows.select("doc_id", F.explode(found).alias("x")).select("doc_id", "x.place", "x.h", "x.slots")
+
+def _has(bits: str, h: Column, n: int) -> Column:
+    at = h.bitwiseAND((1 << n) - 1)
+    return F.bit_get(F.get(bits, F.shiftright(at, 6).cast("int")), at.bitwiseAND(63).cast("int")) == 1
 
 
 def short_leaks(docs: DataFrame, benchmark: DataFrame, width: int) -> list[DataFrame]:
@@ -147,32 +179,28 @@ def short_leaks(docs: DataFrame, benchmark: DataFrame, width: int) -> list[DataF
     short = benchmark.where((n < width) & worded).withColumn("n_words", n)
     out = []
     for length in sorted(r[0] for r in short.select("n_words").distinct().collect()):  # fewer than width
-        items = materialize(item_windows(short.where(F.col("n_words") == length), length, None), "short-items")
-        held = document_windows(docs, items, length, broad=None).select("doc_id", "h").distinct()
+        items = materialize(item_windows(short.where(F.col("n_words") == length), length, (None,)), "short-items")
+        held = document_windows(docs, items, length, (None,)).select("doc_id", "h").distinct()
         met = held.join(items, "h").select("doc_id", "item_id").distinct()
         one = F.lit(1).cast("long")
         out.append(met.select("doc_id", "item_id", one.alias("windows"), one.alias("item_windows"), F.lit(True).alias("verbatim")))
     return out
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, run: int = RUN, share: float = SHARE, runs: bool = False, broad: bool = False) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, run: int = RUN, share: float = SHARE) -> DataFrame:
     """One row per leaked pair: doc_id, item_id, windows, item_windows, verbatim.
 
-    ``windows`` is the number of the item's windows that count, and ``verbatim`` says
-    that all values behind their placeholders are the item's own. With ``runs``, windows
-    also count on diagonals that are not one to one: those with the item's own values,
-    and those of runs that are one to one in themselves and long enough for a leak.
-    ``broad`` is that of ``templates``.
+    ``windows`` is the number of the item's windows that count, in the form that has
+    more, and ``verbatim`` says that all values behind their placeholders are the item's own.
     """
-    items = materialize(item_windows(benchmark, width, broad), "item-windows")
-    met = document_windows(docs, items, width, broad=broad).join(items, "h")
+    items = materialize(item_windows(benchmark, width), "item-windows")
+    met = document_windows(docs, items, width).join(items, ["form", "h"])
     pairs = F.arrays_zip(F.col("item_slots").alias("a"), F.col("slots").alias("b"))
-    diagonals = met.groupBy("doc_id", "item_id", (F.col("place") - F.col("item_place")).alias("diagonal")).agg(
+    diagonals = met.groupBy("doc_id", "item_id", "form", (F.col("place") - F.col("item_place")).alias("diagonal")).agg(
         F.max("item_windows").alias("item_windows"),
         F.collect_set("item_place").alias("places"),  # at most as many as the item has windows
-        F.collect_set(F.when(F.size("item_slots") == 0, F.col("item_place"))).alias("literal"),
         F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"),
-        *([F.array_sort(F.collect_set(F.struct("item_place", pairs.alias("pairs")))).alias("met")] if runs else []),
+        F.array_sort(F.collect_set(F.struct("item_place", pairs.alias("pairs")))).alias("met"),
     )
 
     def one_to_one(pairs: Column) -> Column:
@@ -196,11 +224,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, run: int =
     judged = diagonals.select(
         "doc_id",
         "item_id",
+        "form",
         "item_windows",
-        F.when(one_to_one(F.col("pairs")), F.col("places")).otherwise(consistent() if runs else F.col("literal")).alias("places"),
+        F.when(one_to_one(F.col("pairs")), F.col("places")).otherwise(consistent()).alias("places"),
         F.forall("pairs", lambda p: p["a"] == p["b"]).alias("same"),
     )
-    both = judged.groupBy("doc_id", "item_id").agg(
+    both = judged.groupBy("doc_id", "item_id", "form").agg(
         F.max("item_windows").cast("long").alias("item_windows"),
         F.size(F.array_distinct(F.flatten(F.collect_set("places")))).cast("long").alias("windows"),
         F.max(F.size("places")).alias("best"),
@@ -208,16 +237,21 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, run: int =
     )
     enough = (F.col("best") >= run) | (F.col("windows") >= share * F.col("item_windows"))
     found = both.where(enough & (F.col("windows") > 0)).select("doc_id", "item_id", "windows", "item_windows", "verbatim")
-    short = [] if broad else short_leaks(docs, benchmark, width)
-    if not short:
-        return found
-    # An id that stands for short and long texts is still one item.
-    every = functools.reduce(DataFrame.union, short, found).groupBy("doc_id", "item_id")
+    # A pair may be found in both forms, and an id may stand for short and long texts.
+    every = functools.reduce(DataFrame.union, short_leaks(docs, benchmark, width), found).groupBy("doc_id", "item_id")
     return every.agg(*(F.max(c).alias(c) for c in ("windows", "item_windows")), F.bool_and("verbatim").alias("verbatim"))
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that leak an item, by either form of templates, be it in runs of a diagonal that is not one to one."""
-    either = leaks(docs, benchmark, runs=True).union(leaks(docs, benchmark, runs=True, broad=True))
-    found = either.select(F.col("doc_id").alias("leaked_id")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["leaked_id"]), "left_anti")
+    """``docs`` without the documents that leak an item.
+
+    A row whose id is not in the bitmap of leaked ids stays where it is; only the others
+    meet the ids themselves.
+    """
+    found = materialize(leaks(docs, benchmark).select(F.col("doc_id").alias("leaked_id")).distinct(), "leaked-ids")
+    code = F.xxhash64(docs["doc_id"].cast("long"))
+    known = F.broadcast(bitmap(found.select(F.xxhash64("leaked_id").alias("h")), ID_BITS).withColumnRenamed("bits", "__leaked_bits"))
+    marked = docs.crossJoin(known).withColumn("__leaked", _has("__leaked_bits", code, ID_BITS)).drop("__leaked_bits")  # with one row
+    sure = marked.where(~F.col("__leaked")).drop("__leaked")
+    doubtful = marked.where("__leaked").drop("__leaked")
+    return sure.union(doubtful.join(found, doubtful["doc_id"].eqNullSafe(found["leaked_id"]), "left_anti"))

@@ -100,51 +100,91 @@ select doc_id, n_words, n_removed, sha256(array_to_string(kept, ' ')) as kept_sh
 
 _UNITS = "'%', 'mm', 'cm', 'm', 'km', 'in', 'ft', 'mi', 'g', 'kg', 'mg', 't', 'lb', 'oz', 's', 'ms', 'min', 'h', 'hours', 'minutes', 'seconds', 'days', 'years', 'l', 'ml', 'usd', 'eur', 'dollars', 'euros', 'cents', 'degrees', 'percent'"
 _NUMBER = "^[+-]?[0-9]+([.,/:-][0-9]+)*"
-_WORDED = r"""
-select id, w, b, [case
+_PLAIN = r"""case
   when regexp_matches(b[i], '{number}$') then '<num>'
   when regexp_matches(b[i], '{number}[A-Za-z%]+$') then '<num><unit>'
-  when lower(b[i]) in ({units}) and i > 1 and regexp_matches(b[i - 1], '{number}$') then '<unit>'
+  when lower(b[i]) in ({units}) and i > 1 and regexp_matches(b[i - 1], '{number}$') then '<unit>'"""
+_WORDED = r"""
+select id, w, b, [{plain}
   when regexp_matches(b[i], '^\p{{Lu}}\p{{Ll}}+$') and i > 1 and regexp_matches(w[i - 1], '[\p{{Ll}},;]$') then '<name>'
-  else lower(b[i]) end for i in range(1, len(b) + 1)] as t
+  else lower(b[i]) end for i in range(1, len(b) + 1)] as t0, [case
+  when regexp_matches(b[i], '^[+-]?[$€£¥][0-9]+([.,/:-][0-9]+)*[A-Za-z]?$|{number}[$€£¥]$') then '<money>'
+  when regexp_matches(b[i], '{possessive}') then '<name''s>'
+  else {plain} when regexp_matches(b[i], '^\p{{Lu}}\p{{Ll}}+$') then '<name>' else lower(b[i]) end end for i in range(1, len(b) + 1)] as t1
 from (select id, w, [translate(x, '.,;:!?"()[]', '') for x in w] as b
  from (select {id} as id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from {table}))
 """
+_POSSESSIVE = r"^(\p{Lu}\p{Ll}+)[''’]s?$"
 
 
 def _worded(table: str, key: str) -> str:
-    return _WORDED.format(table=table, id=key, number=_NUMBER, units=_UNITS)
+    plain = _PLAIN.format(number=_NUMBER, units=_UNITS)
+    return _WORDED.format(table=table, id=key, number=_NUMBER, possessive=_POSSESSIVE, plain=plain)
+
+
+def _windowed(words: str, key: str, place: str, slots: str) -> str:
+    """Windows of eight words in both forms; those of placeholders only go by their words."""
+    parts = []
+    for form in (0, 1):
+        value = f"regexp_replace(b[k], '{_POSSESSIVE}', '\\1')" if form else "b[k]"
+        parts.append(
+            f"""select id as {key}, {form} as form, i as {place}, len(w) - 7 as n,
+  if(len([k for k in range(i, i + 8) if not starts_with(t{form}[k], '<')]) = 0, 'values ' || array_to_string(b[i:i + 7], ' '), 'words ' || array_to_string(t{form}[i:i + 7], ' ')) as h,
+  [{value} for k in range(i, i + 8) if starts_with(t{form}[k], '<')] as {slots} from (select *, unnest(range(1, len(w) - 6)) as i from {words})"""
+        )
+    return " union all ".join(parts)
+
 
+_SIDES = "count(distinct x) = count(distinct (x, y)) and count(distinct y) = count(distinct (x, y))"
+_SAME = "m.doc_id is not distinct from {o}.doc_id and m.item_id is not distinct from {o}.item_id and m.form = {o}.form and m.diagonal = {o}.diagonal"
+_DIAGONAL = "doc_id, item_id, form, diagonal"
 
 ORACLES["op2_decontamination"] = f"""
 with items as ({_worded("benchmark", "item_id")}),
 docs as ({_worded("documents", "doc_id")}),
-item_windows as (
- select id as item_id, i, array_to_string(t[i:i + 7], ' ') as h, [b[k] for k in range(i, i + 8) if starts_with(t[k], '<')] as a, len(w) - 7 as n
- from (select *, unnest(range(1, len(w) - 6)) as i from items)
-), doc_windows as (
- select id as doc_id, i as place, array_to_string(t[i:i + 7], ' ') as h, [b[k] for k in range(i, i + 8) if starts_with(t[k], '<')] as s
- from (select *, unnest(range(1, len(w) - 6)) as i from docs)
-), met as (
- select doc_id, item_id, place - i as diagonal, i, n, a, s from doc_windows join item_windows using (h)
+item_windows as ({_windowed("items", "item_id", "i", "a")}),
+doc_windows as ({_windowed("docs", "doc_id", "place", "s")}),
+met as (
+ select distinct d.doc_id, m.item_id, m.form, d.place - m.i as diagonal, m.i, m.n, m.a, d.s from doc_windows d join item_windows m on m.h = d.h and m.form = d.form
 ), slots as (
- select distinct doc_id, item_id, diagonal, unnest(a) as x, unnest(s) as y from met
-), mapped as (
- select doc_id, item_id, diagonal, count(*) = count(distinct x) and count(*) = count(distinct y) as one_to_one, bool_and(x = y) as same
- from slots group by all
+ select distinct {_DIAGONAL}, i, unnest(a) as x, unnest(s) as y from met
+), whole as (
+ select {_DIAGONAL}, {_SIDES} as fits, bool_and(x = y) as same from slots group by all
+), wanted as (
+ select m.*, coalesce(o.fits, true) as fits, coalesce(o.same, true) as same, least(6, ceil(0.5 * m.n)) as needed
+ from met m left join whole o on {_SAME.format(o="o")}
+), begun as (
+ select m.*, (select count(distinct o.i) from met o where {_SAME.format(o="o")} and o.i between m.i and m.i + m.needed - 1) as held from wanted m where not fits
+), run_slots as (
+ select m.doc_id, m.item_id, m.form, m.diagonal, m.i, x, y from begun m join slots o on {_SAME.format(o="o")} and o.i between m.i and m.i + m.needed - 1 where held = m.needed
+), run_fits as (
+ select {_DIAGONAL}, i from run_slots group by all having {_SIDES}
+), fitting as (
+ select m.doc_id, m.item_id, m.form, m.diagonal, m.i, m.needed from begun m
+ where held = m.needed and (exists (select 1 from run_fits o where {_SAME.format(o="o")} and o.i = m.i) or not exists (select 1 from run_slots o where {_SAME.format(o="o")} and o.i = m.i))
 ), counted as (
- select m.doc_id, m.item_id, m.diagonal, m.i, m.n, coalesce(one_to_one, true) as one_to_one, coalesce(same, true) as same, len(a) = 0 as literal
- from met m left join mapped p on p.doc_id is not distinct from m.doc_id and p.item_id is not distinct from m.item_id and p.diagonal = m.diagonal
+ select {_DIAGONAL}, i from wanted where fits or a = s
+ union select {_DIAGONAL}, unnest(range(i, i + cast(needed as bigint))) from fitting
 ), best as (
- select doc_id, item_id, max(k) as best from (
-  select doc_id, item_id, diagonal, count(distinct i) as k from counted where one_to_one or literal group by all) group by all
-), both_ as (
- select doc_id, item_id, max(n) as item_windows, count(distinct i) filter (one_to_one or literal) as windows, bool_and(same) as verbatim
- from counted group by all
+ select doc_id, item_id, form, max(k) as best from (select {_DIAGONAL}, count(*) as k from counted group by all) group by all
+), together as (
+ select doc_id, item_id, form, count(distinct i) as windows from counted group by all
+), lengths as (
+ select doc_id, item_id, form, max(n) as item_windows, bool_and(same) as verbatim from wanted group by all
+), long_ones as (
+ select m.doc_id, m.item_id, b.windows, cast(m.item_windows as bigint) as item_windows, m.verbatim
+ from lengths m join together b on b.doc_id is not distinct from m.doc_id and b.item_id is not distinct from m.item_id and b.form = m.form
+ join best o on o.doc_id is not distinct from m.doc_id and o.item_id is not distinct from m.item_id and o.form = m.form
+ where o.best >= 6 or b.windows >= 0.5 * m.item_windows
+), short_items as (
+ select id as item_id, len(w) as n, array_to_string([lower(x) for x in b], ' ') as h from items where len(w) between 1 and 7 and array_to_string(b, '') <> ''
+), short_ones as (
+ select d.id as doc_id, m.item_id, 1 as windows, 1 as item_windows, true as verbatim
+ from (select id, l, array_to_string([lower(x) for x in b[i:i + l - 1]], ' ') as h from (select *, unnest(range(1, len(w) - l + 2)) as i from docs, (select distinct n as l from short_items))) d
+ join short_items m on m.h = d.h and m.n = d.l
 )
-select b.doc_id, b.item_id, windows, cast(item_windows as bigint) as item_windows, verbatim
-from both_ b join best on best.doc_id is not distinct from b.doc_id and best.item_id is not distinct from b.item_id
-where best >= 6 or windows >= 0.5 * item_windows
+select doc_id, item_id, cast(max(windows) as bigint) as windows, cast(max(item_windows) as bigint) as item_windows, bool_and(verbatim) as verbatim
+from (select * from long_ones union all select * from short_ones) group by doc_id, item_id
 """
 
 ORACLES["op12_fill_in_middle"] = r"""
