@@ -175,3 +175,32 @@ def test_prose_is_good_and_noise_is_not(spark):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     got = {r["doc_id"]: r["kept"] for r in quality.classify(docs, quality.fit(docs, labels)).collect()}
     assert all(kept == (i < 100) for i, kept in got.items())
+
+
+def test_model_of_an_empty_table_can_be_used(spark):
+    models = quality.fit(empty(spark), spark.createDataFrame([], "doc_id long, toxic int"))
+    rows = quality.classify(odd(spark), models).collect()
+    blank = [r for r in rows if r["doc_id"] in (3, 4, 5)]
+    assert all(r["score"] == 0 and not r["kept"] for r in blank) and len(rows) == len(odd_rows())
+    assert {r["score"] for r in rows} == {0.0, 0.5}
+
+
+def test_unseen_votes_are_judged_by_the_rates():
+    votes = np.array([[1, 1, 1], [0, 1, 1], [1, 0, 1], [2, 2, 2], [0, 0, 1]])
+    found = quality.estimate(votes, np.array([900.0, 30, 30, 400, 20]))
+    seen = found.members(votes)[:, 0]
+    assert np.allclose(seen, quality.posterior(votes, np.array([900.0, 30, 30, 400, 20])))
+    # by hand for a pattern that never came
+    new = np.array([[2, 0, 1]])
+    each = found.share * np.prod([found.rates[:, k, v] for k, v in enumerate(new[0])], axis=0)
+    assert np.isclose(found.members(new)[0, 0], each[0] / each.sum())
+
+
+def test_a_repeated_id_does_not_widen_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(quality, "SAMPLE", 50)
+    drawn = []
+    train = quality.train
+    monkeypatch.setattr(quality, "train", lambda *a, **k: drawn.append(len(a[2])) or train(*a, **k))
+    docs = spark.createDataFrame([(1 if i % 2 else i, f"words of row {i} that go on") for i in range(400)], "doc_id long, text string")
+    quality.fit(docs, spark.createDataFrame([], "doc_id long, toxic int"))
+    assert drawn == [50, 50]

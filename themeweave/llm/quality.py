@@ -12,8 +12,8 @@ Two of the toxicity labellers use word lists learned from ``labels``: each from
 half of at most ``LABELLED`` labelled documents, those of least hash. The scorers see
 at most ``SAMPLE`` documents, chosen alike. Everything else covers all rows.
 
-Defined results: null, empty and blank texts are rejected, with scores 0. A null doc_id
-is scored like others. Rows that repeat are counted and scored as often. Without
+Defined results: null, empty and blank texts are rejected, with scores 0; a model of an
+empty table has scores of one half for all others. A null doc_id is scored like others. Rows that repeat are counted and scored as often. Without
 labels the learned lists are empty and their labellers are silent. Columns other than
 those named are ignored by ``classify`` and kept by ``keep_good``.
 """
@@ -132,35 +132,56 @@ def _decoded(codes: np.ndarray, labellers: int) -> np.ndarray:
     return codes[:, None] // 3 ** np.arange(labellers) % 3
 
 
-def posterior(votes: np.ndarray, weight: np.ndarray, rounds: int = 200) -> np.ndarray:
-    """Probability of good for each vote pattern, by expectation-maximisation.
+@dataclass
+class Labellers:
+    """What is believed of the labellers: shares of the classes, good first, and each one's rates of its votes in them."""
+
+    share: np.ndarray
+    rates: np.ndarray  # class, labeller, vote
+
+    def members(self, votes: np.ndarray) -> np.ndarray:
+        """Probabilities of the classes given votes, be they of a pattern that was seen before or not."""
+        logs = np.einsum("plv,clv->pc", _said(votes), np.log(self.rates)) + np.log(self.share)
+        out = np.exp(logs - logs.max(axis=1, keepdims=True))
+        return out / out.sum(axis=1, keepdims=True)
+
+
+def _said(votes: np.ndarray) -> np.ndarray:
+    return np.stack([votes == v for v in (BAD, SILENT, GOOD)], axis=2).astype(float)  # patterns, labellers, votes
+
+
+def estimate(votes: np.ndarray, weight: np.ndarray, rounds: int = 200) -> Labellers:
+    """Labellers' rates from vote patterns and how often each came, by expectation-maximisation.
 
     Besides the good class there is one bad class per labeller, the kind of bad that
     it is for, as one kind is seen by few labellers and several see the same. Given
     the class, labellers err independently, each with its own rates. It starts from
-    "bad of the kinds that are claimed", and rates are smoothed by one vote each way.
+    "bad of the kinds that are claimed", and rates are smoothed by one vote each way,
+    which is all there is without patterns.
     One prior is needed: no labeller says bad of more than ``SLIP`` of the good.
     """
-    if not len(votes):
-        return np.zeros(0)
     claimed = (votes == BAD).astype(float)
     some = claimed.any(axis=1)
     good = np.where(some, 0.05, 0.95)
     kinds = np.where(some[:, None], claimed, 1.0)
     member = np.concatenate([good[:, None], (1 - good)[:, None] * kinds / kinds.sum(axis=1, keepdims=True)], axis=1)  # patterns, classes
-    said = np.stack([votes == v for v in (BAD, SILENT, GOOD)], axis=2).astype(float)  # patterns, labellers, votes
+    said = _said(votes)
     for _ in range(rounds):
         mass = weight[:, None] * member
         share = (mass.sum(axis=0) + 1) / (mass.sum() + mass.shape[1])
         rates = (np.einsum("pc,plv->clv", mass, said) + 1) / (mass.sum(axis=0)[:, None, None] + 3)
         rates[0, :, BAD] = np.minimum(rates[0, :, BAD], SLIP)
-        logs = np.einsum("plv,clv->pc", said, np.log(rates)) + np.log(share)
-        new = np.exp(logs - logs.max(axis=1, keepdims=True))
-        new /= new.sum(axis=1, keepdims=True)
-        moved, member = np.abs(new - member).max(), new
+        found = Labellers(share, rates)
+        new = found.members(votes)
+        moved, member = np.abs(new - member).max(initial=0.0), new
         if moved < 1e-9:
             break
-    return member[:, 0]
+    return found
+
+
+def posterior(votes: np.ndarray, weight: np.ndarray, rounds: int = 200) -> np.ndarray:
+    """Probability of good for each vote pattern."""
+    return estimate(votes, weight, rounds).members(votes)[:, 0]
 
 
 def _columns(read_: Read, labellers: slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -263,14 +284,11 @@ def _patterns(lists: list[np.ndarray]):
 @dataclass
 class Models:
     lists: list[np.ndarray]
-    patterns: list[np.ndarray]  # per model: sorted codes of its labellers' votes
-    posteriors: list[np.ndarray]
+    labellers: list[Labellers]  # of either model
     weights: list[np.ndarray]
 
     def believed(self, votes: np.ndarray, k: int) -> np.ndarray:
-        codes = _coded(votes[:, _MODELS[k]])
-        at = np.minimum(np.searchsorted(self.patterns[k], codes), len(self.patterns[k]) - 1)
-        return self.posteriors[k][at]
+        return self.labellers[k].members(votes[:, _MODELS[k]])[:, 0]
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Models:
@@ -281,14 +299,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> Models:
     # At most 3 to the power of the number of labellers rows, whatever the corpus.
     seen = texts.mapInArrow(_patterns(lists), "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n")).toArrow()
     votes, n = _decoded(seen.column("pattern").to_numpy(), len(STYLE) + len(TOXIC)), seen.column("n").to_numpy().astype(float)
-    patterns, posteriors = [], []
+    labellers = []
     for some in _MODELS:
         codes, place = np.unique(_coded(votes[:, some]), return_inverse=True)
-        patterns.append(codes)
-        posteriors.append(posterior(_decoded(codes, some.stop - some.start), np.bincount(place, n, minlength=len(codes))))
-    models = Models(lists, patterns, posteriors, [])
+        labellers.append(estimate(_decoded(codes, some.stop - some.start), np.bincount(place, n, minlength=len(codes))))
+    models = Models(lists, labellers, [])
     sample = _least(docs.select("doc_id"), SAMPLE).distinct().withColumnRenamed("doc_id", "id")
-    rows = docs.join(F.broadcast(sample), F.col("doc_id") == F.col("id")).select(F.col("text").cast("string").alias("text"))
+    rows = docs.join(F.broadcast(sample), F.col("doc_id") == F.col("id")).select(F.col("text").cast("string").alias("text"), F.xxhash64("id").alias("key"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -298,9 +315,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> Models:
                 short = (got.words >> np.uint64(48)).astype(np.uint16)
                 data = [(short[a:b].tobytes()) for a, b in zip(ends[:-1], ends[1:])]
                 keep = np.flatnonzero(block.counts() > 0)
-                yield pa.RecordBatch.from_arrays([pa.array(_coded(got.votes)[keep]), pa.array([data[k] for k in keep], pa.binary())], names=["pattern", "words"])
+                key = batch.column(1).slice(block.low, block.documents).take(pa.array(keep))
+                yield pa.RecordBatch.from_arrays([pa.array(_coded(got.votes)[keep]), pa.array([data[k] for k in keep], pa.binary()), key], names=["pattern", "words", "key"])
 
-    drawn = rows.mapInArrow(run, "pattern long, words binary").toArrow()
+    # An id may be on any number of rows; as many rows as ids are drawn.
+    drawn = rows.mapInArrow(run, "pattern long, words binary, key long").orderBy("key", "pattern", "words").limit(SAMPLE).toArrow()
     # A fixed order, so that refitting gives the same weights.
     order = sorted(range(len(drawn)), key=lambda k: (drawn["pattern"][k].as_py(), drawn["words"][k].as_py()))
     words = [np.frombuffer(drawn["words"][k].as_py(), np.uint16) for k in order]
