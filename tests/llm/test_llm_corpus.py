@@ -1,5 +1,6 @@
 """Decontamination, mixing and the whole pipeline."""
 
+import random
 from collections import defaultdict
 
 import pytest
@@ -177,3 +178,14 @@ def test_leaks_equal_their_sql(spark):
         con.executemany(f"insert into {name} values (?, ?)", rows)
     want = con.execute(f"select doc_id, item_id, windows, item_windows, verbatim from ({ORACLES['op2_decontamination']})").fetchall()
     assert sorted(map(tuple, got.collect())) == sorted(want) and len(want) > 15
+
+
+def test_targets_of_many_sources(spark):
+    for seed in (1, 2, 3):
+        rng = random.Random(seed)
+        sizes = {f"src{k}": rng.choice([3, 50, 60, 70, 900]) + rng.randrange(40) for k in range(23)}
+        sized = spark.createDataFrame([(s, n) for s, n in sizes.items()], "source string, size long")
+        got = {r["source"]: r["target"] for r in mixing.targets(sized).collect()}
+        want = quotas(sizes)
+        assert got.keys() == want.keys() and all(abs(got[s] - want[s]) < 1e-6 * want[s] for s in want)
+        assert all(0 < got[s] <= 2 * sizes[s] for s in sizes) and abs(sum(got.values()) - 1.5 * sum(sizes.values())) < 1e-3

@@ -148,3 +148,27 @@ def test_empty_tables(spark):
     assert exact_dedup.exact_groups(none).count() == 0
     assert near_dedup.near_duplicates(none).count() == 0
     assert substring_dedup.without_repeats(none).count() == 0
+
+
+def test_long_texts_are_hashed_in_little_memory():
+    import tracemalloc
+
+    text = (b"some words \t\n and more  words " * 700_000)[: 20 << 20]
+    data = np.frombuffer(text, np.uint8)
+    offsets = np.array([0, len(data)])
+    tables = [exact_dedup.powers(base, exact_dedup.CHUNK) for base in exact_dedup.BASES]
+    tracemalloc.start()
+    short, ends = exact_dedup.squeeze(data, offsets)
+    each, columns = exact_dedup.chunk_hashes(short, ends, exact_dedup.CHUNK, tables)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3 * len(data) + (64 << 20)
+    assert bytes(short[:100_000]) == re.sub(rb"[\x20\x09-\x0D]+", b" ", text)[:100_000] and len(short) == len(re.sub(rb"[\x20\x09-\x0D]+", b" ", text))
+    # chunk by chunk, by definition
+    for k in (0, 1, int(each[0]) - 1):
+        part = short[k * exact_dedup.CHUNK : (k + 1) * exact_dedup.CHUNK].tolist()
+        for base, found in zip(exact_dedup.BASES, (columns[0], columns[2])):
+            want = 0
+            for byte in reversed(part):
+                want = (want * base + byte + 1) % exact_dedup.PRIME
+            assert found[k] == want

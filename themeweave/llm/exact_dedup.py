@@ -3,7 +3,8 @@
 A text is cut into chunks of ``CHUNK`` bytes. A chunk's hash is a polynomial in its
 bytes modulo a prime; two neighbouring pieces combine as ``a + base**len(a) * b``,
 so the hash of a document does not depend on how it was cut or where the parts
-were hashed. Texts of equal fingerprint and length are then compared chunk by chunk.
+were hashed. Besides the text itself and its normalised form a task holds about
+``PIECE`` bytes' worth of arrays, however long the text. Texts of equal fingerprint and length are then compared chunk by chunk.
 
 Defined results: a null text counts as empty, and all empty texts are equal. Rows
 that repeat id and text are copies of one another, count in ``group_size`` and carry
@@ -26,6 +27,7 @@ from .hash_arrays import list_ids, rows_by_id
 from .words import SPACE, spans
 
 CHUNK = 1 << 16
+PIECE = 1 << 20  # bytes of a long text that are worked on at a time
 PRIME = (1 << 31) - 1
 BASES = (1_220_703_125, 742_938_285)
 SEPARATORS = r"[\x20\x09-\x0D]+"
@@ -53,6 +55,8 @@ def powers(base: int, n: int) -> np.ndarray:
 
 def squeeze(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each run of separators inside a document becomes one space."""
+    if len(offsets) == 2 and len(data) > PIECE:
+        return _squeeze_long(data)
     space = SPACE[data]
     repeated = np.zeros(len(data), bool)
     repeated[1:] = space[1:] & space[:-1]
@@ -63,21 +67,47 @@ def squeeze(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.where(space, np.uint8(32), data)[kept], before[offsets]
 
 
+def _squeeze_long(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same of one long document, a piece at a time."""
+    out, n, last = np.empty(len(data), np.uint8), 0, False
+    for low in range(0, len(data), PIECE):
+        some = data[low : low + PIECE]
+        space = SPACE[some]
+        kept = ~space
+        kept[1:] |= ~space[:-1]
+        kept[0] |= not last
+        last = bool(space[-1])
+        piece = np.where(space, np.uint8(32), some)[kept]
+        out[n : n + len(piece)] = piece
+        n += len(piece)
+    return out[:n], np.array([0, n])
+
+
 def chunk_hashes(data: np.ndarray, offsets: np.ndarray, chunk: int, tables: list[np.ndarray]):
-    """Number of chunks of each document, and per chunk its hashes and shifts."""
+    """Number of chunks of each document, and per chunk its hashes and shifts.
+
+    Chunks do not depend on each other; about ``PIECE`` bytes of them are hashed at a time.
+    """
     lengths = np.diff(offsets)
     each = -(-lengths // chunk)
     within = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
     start = np.repeat(offsets[:-1], each) + within * chunk
     length = np.minimum(chunk, np.repeat(lengths, each) - within * chunk)
-    place = np.arange(len(data)) - np.repeat(start, length)
-    values = data.astype(np.uint64) + np.uint64(1)
+    hashed = np.zeros((len(BASES), len(start)), np.uint64)
+    low = 0
+    while low < len(start):
+        high = max(low + 1, int(np.searchsorted(start, start[low] + PIECE)))
+        first, some = start[low], length[low:high]
+        place = np.arange(some.sum()) - np.repeat(start[low:high] - first, some)
+        values = data[first : first + len(place)].astype(np.uint64) + np.uint64(1)
+        for out, table in zip(hashed, tables):
+            out[low:high] = np.add.reduceat(values * table[place], start[low:high] - first) % np.uint64(PRIME)
+        low = high
     out = []
-    for base, table in zip(BASES, tables):
-        hashed = np.add.reduceat(values * table[place], start) % np.uint64(PRIME) if len(start) else np.zeros(0, np.uint64)
+    for base, table, some in zip(BASES, tables, hashed):
         full = pow(base, chunk, PRIME)
         shift = np.where(length == chunk, full, table[np.minimum(length, chunk - 1)].astype(np.int64))
-        out += [hashed.astype(np.int64), shift]
+        out += [some.astype(np.int64), shift]
     return each, out
 
 

@@ -51,7 +51,8 @@ def targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: floa
     level = left / F.sum("weight").over(order.rowsBetween(0, Window.unboundedFollowing))
     levels = filled.withColumn("level", level)
     open_level = F.when(F.col("cap") / F.col("weight") >= F.col("level"), F.col("level"))
-    chosen = F.min(open_level).over(everything)
+    # Levels rise up to that source and fall after it, where sources would be full that are not.
+    chosen = F.max(open_level).over(everything)
     return levels.withColumn("chosen", chosen).select(
         "source",
         "source_size",

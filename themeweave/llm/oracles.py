@@ -32,14 +32,15 @@ with sized as (
  window ordered as (order by cap / weight, rank rows between unbounded preceding and current row)
 ), quota as (
  select source, source_size, rank,
-  coalesce(least(cap, weight * min(case when cap / weight >= level then level end) over ()), cap) as target
+  coalesce(least(cap, weight * max(case when cap / weight >= level then level end) over ()), cap) as target
  from levels
 ), placed as (
  select s.doc_id, s.size, q.source_size, q.rank, q.target, cast(floor(q.target) as bigint) as whole,
   cast(sum(s.size) over (partition by s.source order by s.code, s.size rows between unbounded preceding and current row) - s.size as bigint) as place
  from sized s join quota q on s.source is not distinct from q.source
 ), timed as (
- select *, case when size > 0 and whole > place then place / target end as part from placed
+ select *, case when size > 0 and whole > place then place / target end as part,
+  case when size > 0 and whole > place + source_size then (place + source_size) / target end as again from placed
 )
 select doc_id, size, source_size, target,
  cast(greatest(0, least(size, whole - place)) + greatest(0, least(size, whole - place - source_size)) as bigint) as taken,
@@ -47,7 +48,12 @@ select doc_id, size, source_size, target,
   when rank % 3 = 0 then 2.0::double * part / (1.5::double + sqrt(2.25::double - 2.0::double * part))
   when rank % 3 = 1 then part
   when 0.875::double * part >= 0.25::double then 0.5::double + 2.0::double * (0.875::double * part - 0.25::double) / (0.5::double + sqrt(0.25::double + 6.0::double * (0.875::double * part - 0.25::double)))
-  else 2.0::double * (0.875::double * part) / (0.5::double + sqrt(0.25::double)) end) as bigint) as position
+  else 2.0::double * (0.875::double * part) / (0.5::double + sqrt(0.25::double)) end) as bigint) as position,
+ cast(floor(1e6 * case
+  when rank % 3 = 0 then 2.0::double * again / (1.5::double + sqrt(2.25::double - 2.0::double * again))
+  when rank % 3 = 1 then again
+  when 0.875::double * again >= 0.25::double then 0.5::double + 2.0::double * (0.875::double * again - 0.25::double) / (0.5::double + sqrt(0.25::double + 6.0::double * (0.875::double * again - 0.25::double)))
+  else 2.0::double * (0.875::double * again) / (0.5::double + sqrt(0.25::double)) end) as bigint) as second_position
 from timed
 """
 
