@@ -15,9 +15,10 @@ and those of runs that are one to one in themselves and long enough for a leak.
 A document leaks an item if ``RUN`` windows of one diagonal count (13 words in a row
 make 6), or half of the item's windows do, in either form.
 
-Of the documents' windows only those that may be in the benchmark leave the row: a
-bitmap is tested first, of 128 KiB to 8 MiB by the number of the benchmark's windows. It
-and the bitmap of leaked ids, 2 MiB, are all that is broadcast.
+Of the documents' windows only those that may be in the benchmark leave the row: some
+of their words are looked up in a bitmap of the benchmark's words (128 KiB), then their
+hash in one of its windows (128 KiB to 8 MiB, by their number). These and the bitmap of
+leaked ids, 2 MiB, are all that is broadcast.
 
 An item of fewer than ``WINDOW`` words is one window of its own length, and is leaked
 where a document holds its words as they are, but for case and punctuation.
@@ -51,27 +52,33 @@ MEASURE = r"^[+-]?[0-9]+([.,/:-][0-9]+)*[A-Za-z%]+$"
 NAME = r"^\p{Lu}\p{Ll}+$"
 POSSESSIVE = r"^(\p{Lu}\p{Ll}+)['\u2019]s?$"
 MONEY = r"^[+-]?[$\u20ac\u00a3\u00a5][0-9]+([.,/:-][0-9]+)*[A-Za-z]?$|^[+-]?[0-9]+([.,/:-][0-9]+)*[$\u20ac\u00a3\u00a5]$"
+CURRENCIES = "$\u20ac\u00a3\u00a5"
 RUNS_ON = r"[\p{Ll},;]$"  # end of a word after which a capital does not begin a sentence
 UNITS = "% mm cm m km in ft mi g kg mg t lb oz s ms min h hours minutes seconds days years l ml usd eur dollars euros cents degrees percent".split()
 
 
 def _classes(words: Column) -> Column:
-    """Per word its placeholder in the broad form (null for none), its literal form, and whether it goes on a sentence."""
+    """Per word its placeholder in the broad form (null for none), its literal form, and the word before.
+
+    Patterns are tried only on words that a look at their ends does not rule out.
+    """
     bare = F.transform(words, lambda w: F.translate(w, PUNCTUATION, ""))
 
     def classed(b: Column, i: Column) -> Column:
         before = F.get(words, i - 1)
         follows_number = F.coalesce(F.translate(before, PUNCTUATION, "").rlike(NUMBER), F.lit(False))
-        digit = F.substring(b, 1, 1).isin(*"0123456789+-")
+        first = F.substring(b, 1, 1)
+        digit = first.isin(*"0123456789+-")
+        money = first.isin(*CURRENCIES, "+", "-") | F.substring(b, -1, 1).isin(*CURRENCIES)
         kind = (
-            F.when(b.rlike(MONEY), F.lit("<money>"))
-            .when(b.rlike(POSSESSIVE), F.lit("<name's>"))
+            F.when(money & b.rlike(MONEY), F.lit("<money>"))
+            .when((b.contains("'") | b.contains("\u2019")) & b.rlike(POSSESSIVE), F.lit("<name's>"))
             .when(digit & b.rlike(NUMBER), F.lit("<num>"))
             .when(digit & b.rlike(MEASURE), F.lit("<num><unit>"))
             .when((F.length(b) <= 7) & F.lower(b).isin(*UNITS) & follows_number, F.lit("<unit>"))
-            .when(b.rlike(NAME), F.lit("<name>"))
+            .when((F.lower(first) != first) & b.rlike(NAME), F.lit("<name>"))
         )
-        return F.struct(kind.alias("kind"), F.lower(b).alias("low"), F.coalesce(before.rlike(RUNS_ON), F.lit(False)).alias("on"))
+        return F.struct(kind.alias("kind"), F.lower(b).alias("low"), before.alias("before"))
 
     return F.transform(bare, classed)
 
@@ -79,8 +86,12 @@ def _classes(words: Column) -> Column:
 def _template(classes: Column, broad: bool) -> Column:
     if broad:
         return F.transform(classes, lambda c: F.coalesce(c["kind"], c["low"]))
-    plain = lambda c: c["kind"].isin("<num>", "<num><unit>", "<unit>") | ((c["kind"] == "<name>") & c["on"])
-    return F.transform(classes, lambda c: F.when(F.coalesce(plain(c), F.lit(False)), c["kind"]).otherwise(c["low"]))
+
+    def narrow(c: Column) -> Column:
+        named = (c["kind"] == "<name>") & c["before"].rlike(RUNS_ON)
+        return F.when(c["kind"].isin("<num>", "<num><unit>", "<unit>") | named, c["kind"]).otherwise(c["low"])
+
+    return F.transform(classes, narrow)
 
 
 def _places(width: int) -> Column:
@@ -89,12 +100,14 @@ def _places(width: int) -> Column:
 
 
 def _spelled(df: DataFrame, key: str, forms: tuple[bool | None, ...]) -> DataFrame:
-    """key, words, a template for every form (t0, t1); of the form None all words are literal."""
+    """key, words, for every form a template and its words' hashes (t0, h0, t1, h1); of the form None all words are literal."""
     rows = df.select(F.col(key).cast("long").alias(key), F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0)).alias("words"))
     if forms == (None,):
-        return rows.withColumn("t0", F.transform("words", lambda w: F.lower(F.translate(w, PUNCTUATION, ""))))
-    classed = rows.withColumn("classes", _classes(F.col("words")))
-    return classed.select(key, "words", *[_template(F.col("classes"), bool(broad)).alias(f"t{k}") for k, broad in enumerate(forms)])
+        spelled = rows.withColumn("t0", F.transform("words", lambda w: F.lower(F.translate(w, PUNCTUATION, ""))))
+    else:
+        classed = rows.withColumn("classes", _classes(F.col("words")))
+        spelled = classed.select(key, "words", *[_template(F.col("classes"), bool(broad)).alias(f"t{k}") for k, broad in enumerate(forms)])
+    return spelled.select("*", *[F.transform(f"t{k}", lambda t: F.xxhash64(t)).alias(f"h{k}") for k in range(len(forms))])
 
 
 def _value(word: Column, broad: bool | None) -> Column:
@@ -109,14 +122,18 @@ def _slots(words: Column, template: Column, broad: bool | None) -> Column:
 
 
 def _hash(words: Column, template: Column, form: int) -> Column:
-    """Of a window; one of placeholders only goes by its words."""
+    """Of a window, to join by; one of placeholders only goes by its words."""
     bare = F.transform(words, lambda w: F.translate(w, PUNCTUATION, ""))
     only = F.forall(template, lambda t: t.startswith("<"))
     return F.when(only, F.xxhash64(F.lit(form), F.lit("values"), bare)).otherwise(F.xxhash64(F.lit(form), template))
 
 
+def _look(form: int, place: Column, width: int) -> Column:
+    return F.xxhash64(F.lit(form), F.slice(f"h{form}", place, width))
+
+
 def item_windows(benchmark: DataFrame, width: int, forms: tuple[bool | None, ...] = FORMS) -> DataFrame:
-    """item_id, form, item_place, h, item_slots, item_windows."""
+    """item_id, form, item_place, look, codes, h, item_slots, item_windows; ``look`` and ``codes`` are what the bitmaps know."""
     rows = _spelled(benchmark, "item_id", forms)
     placed = rows.withColumn("item_place", F.explode(_places(width))).withColumn("w", F.slice("words", F.col("item_place"), width))
     found = None
@@ -126,6 +143,8 @@ def item_windows(benchmark: DataFrame, width: int, forms: tuple[bool | None, ...
             "item_id",
             F.lit(form).alias("form"),
             "item_place",
+            _look(form, F.col("item_place"), width).alias("look"),
+            F.slice(f"h{form}", F.col("item_place"), width).alias("codes"),
             _hash(F.col("w"), t, form).alias("h"),
             _slots(F.col("w"), t, broad).alias("item_slots"),
             (F.size("words") - width + 1).alias("item_windows"),
@@ -147,21 +166,30 @@ def bitmap(hashes: DataFrame, bits: int = BITS) -> DataFrame:
 def document_windows(docs: DataFrame, items: DataFrame, width: int, forms: tuple[bool | None, ...] = FORMS) -> DataFrame:
     """doc_id, form, place, h, slots of the windows that may be in the benchmark."""
     bits = min(MOST_BITS, max(BITS, (16 * items.count()).bit_length()))
-    known = F.broadcast(bitmap(items, bits))  # 2**bits bits
-    rows = _spelled(docs, "doc_id", forms).crossJoin(known)  # with one row
+    known = F.broadcast(bitmap(items.select(F.col("look").alias("h")), bits))  # 2**bits bits
+    words = bitmap(items.select(F.explode("codes").alias("h")), BITS).withColumnRenamed("bits", "word_bits")
+    rows = _spelled(docs, "doc_id", forms).crossJoin(known).crossJoin(F.broadcast(words))  # with one row each
+    # All words of a window must be words of the benchmark: a few are looked at before the window is hashed.
+    listed = [F.transform(f"h{k}", lambda h: _has("word_bits", h, BITS)).alias(f"in{k}") for k in range(len(forms))]
+    rows = rows.select("*", *listed)
+    looked_at = sorted({0, width - 1, width // 2, width // 4, 3 * width // 4})
 
     def maybe(x: Column) -> Column:
-        return _has("bits", x["h"], bits)
+        return _has("bits", x["look"], bits)
 
     def found(form: int, broad: bool | None) -> Column:
         def hashed(i: Column) -> Column:
-            return F.struct(i.alias("place"), _hash(F.slice("words", i, width), F.slice(f"t{form}", i, width), form).alias("h"))
+            return F.struct(i.alias("place"), _look(form, i, width).alias("look"))
 
         def with_slots(x: Column) -> Column:
-            slots = _slots(F.slice("words", x["place"], width), F.slice(f"t{form}", x["place"], width), broad)
-            return F.struct(F.lit(form).alias("form"), x["place"].alias("place"), x["h"].alias("h"), slots.alias("slots"))
+            w, t = F.slice("words", x["place"], width), F.slice(f"t{form}", x["place"], width)
+            return F.struct(F.lit(form).alias("form"), x["place"].alias("place"), _hash(w, t, form).alias("h"), _slots(w, t, broad).alias("slots"))
+
+        def possible(i: Column) -> Column:
+            return functools.reduce(lambda a, b: a & b, [F.get(f"in{form}", i - 1 + k) for k in looked_at])
 
-        return F.transform(F.filter(F.transform(_places(width), hashed), maybe), with_slots)
+        places = F.filter(_places(width), possible)
+        return F.transform(F.filter(F.transform(places, hashed), maybe), with_slots)
 
     every = F.concat(*[found(form, broad) for form, broad in enumerate(forms)])
     return rows.select("doc_id", F.inline(every))
