@@ -73,6 +73,21 @@ def test_dead_letters_accumulate(spark, tmp_path):
     assert spark.read.parquet(path).count() == 3
 
 
+def test_dead_letters_of_a_run_are_written_once(spark, tmp_path):
+    path = str(tmp_path / "dead")
+    first = spark.createDataFrame([(1, "x", "e", 1.5), (2, "y", "e", 1.5)], schemas.DEAD_LETTER)
+    again = spark.createDataFrame([(1, "x", "e", 9.5), (2, "y", "e", 9.5)], schemas.DEAD_LETTER)
+    for rows, run in ((first, "a"), (again, "a"), (first, "b")):
+        writers.sink_dead_letters(rows, path, run=run)
+    got = [(r["run"], r["cluster_id"], r["timestamp"]) for r in spark.read.parquet(path).orderBy("run", "cluster_id").collect()]
+    assert got == [("a", 1, 9.5), ("a", 2, 9.5), ("b", 1, 1.5), ("b", 2, 1.5)]
+
+    failing = first.withColumn("erro", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        writers.sink_dead_letters(failing, path, run="b")
+    assert spark.read.parquet(path).count() == 4
+
+
 def test_period_and_columns_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "landed")
     fx.corpus(spark, SF_DIR).write.parquet(path)

@@ -83,7 +83,7 @@ def label(clustered: DataFrame, vectors: DataFrame, out: str, make_client: Calla
         lenient=options.lenient, concurrency=options.concurrency,
     )
     writers.sink_table(labels, f"{out}/labels")
-    writers.sink_dead_letters(dead, f"{out}/dead_letters")
+    writers.sink_dead_letters(dead, f"{out}/dead_letters", run="labels")
     writers.sink_json_document(costs.usage_means(costs.usage_totals(responses)), f"{out}/usage")
     usage = readers.optional_source(spark, f"{out}/usage", schemas.USAGE_REPORT, "json")
     prices = costs.price_dimension(spark)

@@ -49,7 +49,16 @@ def sink_json_document(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
-def sink_dead_letters(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Append failures. Writers never read what is there, so they do not race."""
-    columns = [F.col(f.name).cast(f.dataType) for f in schemas.DEAD_LETTER.fields]
-    df.select(*columns).write.mode("append").format(fmt).save(path)
+def sink_dead_letters(df: DataFrame, path: str, fmt: str = "parquet", run: str | None = None) -> None:
+    """Append failures. Writers never read what is there, so they do not race.
+
+    With ``run``, the letters are that run's, in a folder of its own (a column ``run``
+    when read). Writing them again replaces them as a whole when the job commits, so a
+    repeated run adds no row, and one that dies before its commit leaves what was there.
+    """
+    letters = df.select(*[F.col(f.name).cast(f.dataType) for f in schemas.DEAD_LETTER.fields])
+    if run is None:
+        letters.write.mode("append").format(fmt).save(path)
+        return
+    keyed = letters.withColumn("run", F.lit(run))
+    keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run").format(fmt).save(path)
