@@ -6,40 +6,51 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 from llm_cases import empty, odd, odd_rows, prose, words
 
 from themeweave.llm import language_id, language_model, quality
 
 
-def brute_force_model(rows, held):
+def brute_force_model(rows, held, order):
     texts = [(d, words(t, lower=True)) for d, t in rows]
     train = [w for d, w in texts if not held(d)]
-    tokens, pairs = Counter(), Counter()
+    tokens, levels = Counter(), {order: Counter()}
+
+    def grams(w):
+        line = [*[1] * (order - 1), *w, 2]
+        return [tuple(line[i : i + order]) for i in range(len(w) + 1)]
+
     for w in train:
         tokens.update([*w, 2])
-        pairs.update(zip([1, *w], [*w, 2]))
-    before = Counter(w for _, w in pairs)
-    after = defaultdict(Counter)
-    for (h, w), n in pairs.items():
-        after[h][w] = n
+        levels[order].update(grams(w))
+    for k in range(order - 1, 0, -1):
+        levels[k] = Counter(g[1:] for g in levels[k + 1])
+    after = defaultdict(dict)
+    for k in range(2, order + 1):
+        for g, n in levels[k].items():
+            after[g[:-1]][g[-1]] = n
     counts_of = lambda c: [sum(1 for n in c.values() if n == k) for k in (1, 2, 3, 4)]
-    d, e = language_model.discounts(counts_of(pairs)), language_model.discounts(counts_of(before))
-    n, v, types = sum(tokens.values()), len(tokens), len(pairs)
-    rest = sum(e[min(k, 3)] for k in before.values()) / types
+    d = {k: language_model.discounts(counts_of(c)) for k, c in levels.items()}
+    n, v, types = sum(tokens.values()), len(tokens), sum(levels[1].values())
+    rest = sum(d[1][min(k, 3)] for k in levels[1].values()) / types
 
     def p(h, w):
-        lower = max(before[w] - e[min(before[w], 3)], 0) / types + rest / (v + 1)
-        if not after[h]:
+        if not h:
+            before = levels[1][(w,)]
+            return max(before - d[1][min(before, 3)], 0) / types + rest / (v + 1)
+        lower, seen, e = p(h[1:], w), after[h], d[len(h) + 1]
+        if not seen:
             return lower
-        total = sum(after[h].values())
-        saved = sum(d[min(k, 3)] for k in after[h].values())
-        return max(after[h][w] - d[min(after[h][w], 3)], 0) / total + saved / total * lower
+        saved = sum(e[min(k, 3)] for k in seen.values())
+        c = seen.get(w, 0)
+        return (max(c - e[min(c, 3)], 0) + saved * lower) / sum(seen.values())
 
     out = []
     for i, w in texts:
         out.append((i, held(i), len(w) + 1, sum(tokens[x] > 0 for x in [*w, 2]), n,
                     sum(math.log10((tokens[x] + 0.5) / (n + 0.5 * (v + 1))) for x in [*w, 2]),
-                    sum(math.log10(p(a, b)) for a, b in zip([1, *w], [*w, 2]))))
+                    sum(math.log10(p(g[:-1], g[-1])) for g in grams(w))))
     return out, p, list(tokens)
 
 
@@ -47,18 +58,38 @@ def held(i):
     return i is not None and zlib.crc32(str(i).encode()) % 5 == 1
 
 
-def test_scores_equal_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(language_model, "SHARD", 5_000)  # several shards
+@pytest.mark.parametrize("order, shard", [(2, 5_000), (3, 5_000), (3, 100_000_000), (4, 3_000)])
+def test_scores_equal_brute_force(spark, monkeypatch, order, shard):
+    monkeypatch.setattr(language_model, "SHARD", shard)  # several shards
+    monkeypatch.setattr(language_model, "CHUNK", 4_000)  # and several packets for each
     rows = [r[:2] for r in odd_rows()]
-    want, p, vocabulary = brute_force_model(rows, held)
-    assert abs(sum(p("the", w) for w in [*vocabulary, "unseen"]) - 1) < 1e-9
-    got = [tuple(r) for r in language_model.score_held_out(odd(spark)).collect()]
+    want, p, vocabulary = brute_force_model(rows, held, order)
+    for history in [(1,) * (order - 1), ("never",) * (order - 2) + ("the",), ("of",) * (order - 2) + ("unseen",)]:
+        assert abs(sum(p(history, w) for w in [*vocabulary, "unseen"]) - 1) < 1e-9
+    got = [tuple(r) for r in language_model.score_held_out(odd(spark), order=order).collect()]
     key = lambda r: repr(r[:5])
     for a, b in zip(sorted(got, key=key), sorted(want, key=key), strict=True):
         assert a[:5] == b[:5]
         assert math.isclose(a[5], b[5], rel_tol=1e-9) and math.isclose(a[6], b[6], rel_tol=1e-9)
 
 
+def test_a_longer_context_tells_texts_apart(spark):
+    """What follows two words is known to trigrams only."""
+    rows = [(i, f"a x {'p' if i % 2 else 'q'} b x {'q' if i % 2 else 'p'}") for i in range(1)] * 40
+    docs = spark.createDataFrame(rows, "doc_id long, text string").select("text")
+    models = {k: language_model.train(docs, k) for k in (2, 3)}
+    asked = spark.createDataFrame([(1, "a x q b x p", False), (2, "a x p b x q", False)], "doc_id long, text string, held_out boolean")
+    scores = {k: dict(language_model.score(asked, m).select("doc_id", "score").collect()) for k, m in models.items()}
+    assert scores[3][1] - scores[3][2] > 1 + scores[2][1] - scores[2][2]
+
+
+def test_present_keys_share_leading_bits(tmp_path):
+    keys = np.sort(np.array([1 << 40, (1 << 40) + 1, (1 << 40) + 2, 5, 1 << 47], np.uint64))
+    n = language_model.Present.write(str(tmp_path), 0, keys)
+    found = language_model.Present(str(tmp_path), 1, {0: n}).has(np.array([5, (1 << 40) + 2, (1 << 40) + 3, 1 << 47, (1 << 47) + 1, 6], np.uint64))
+    assert found.tolist() == [True, True, False, True, False, False]
+
+
 def test_model_without_training_texts(spark):
     assert language_model.score_held_out(empty(spark)).count() == 0
     docs = spark.createDataFrame([(1, "a b", True)], "doc_id long, text string, held_out boolean")

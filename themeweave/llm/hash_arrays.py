@@ -102,13 +102,16 @@ class HashArrays:
                 value[some[hit]] = column[at[hit]]
         return found, values
 
-    def mapped(self, shard: int) -> list[np.ndarray]:
+    def raw(self, shard: int) -> np.ndarray:
         name = (self.folder, shard)
         if name not in _MAPPED:
             if len(_MAPPED) >= _MOST_MAPPED:
                 _MAPPED.clear()
             _MAPPED[name] = _map(self.folder, shard)
-        n, raw, at, out = self.sizes[shard], _MAPPED[name], 0, []
+        return _MAPPED[name]
+
+    def mapped(self, shard: int) -> list[np.ndarray]:
+        n, raw, at, out = self.sizes[shard], self.raw(shard), 0, []
         for kind in [np.dtype(np.uint64), *self.types]:
             out.append(raw[at : at + n * kind.itemsize].view(kind))
             at += n * kind.itemsize

@@ -1,11 +1,19 @@
-"""An interpolated modified Kneser-Ney bigram model, counted and stored by Spark tasks.
-
-Tokens are lower-cased (A-Z) words and one end per text; the first word follows a
-start. Tasks fold what they read into sorted distinct pairs and send them, packed, to
-the shard of the left word; very frequent left words are spread over shards by the
-pair. A shard's task writes its pairs as sorted hash arrays, and sends statistics of
-left and right words on to the tasks that write the word arrays. Workers map these
-arrays and score texts. Nothing but sizes and a few sums reaches the driver.
+"""An interpolated modified Kneser-Ney n-gram model, counted and stored by Spark tasks.
+
+Tokens are lower-cased (A-Z) words and one end per text; ``order - 1`` starts precede
+the first word. The highest order counts occurrences; below it a gram counts the
+distinct words before it. Tasks fold what they read into distinct n-grams and send
+them, as numbers into a word list per packet, to the shard of the last word but one.
+All shorter endings of an n-gram hold that word, and all its contexts end in it, so
+one shuffle serves every order. A very frequent last word but one is spread over
+shards by the word after it; only its contexts are then in parts, which are summed
+with the statistics of single words in a second, smaller step. An n-gram is folded
+before it is sent, so a very frequent one is one row per chunk of tokens.
+
+A shard's task writes its grams as sorted hash arrays (48 bits a key inside a shard of
+``SHARD`` tokens, so an unseen gram is taken for a seen one about once in 10**8).
+Workers map these arrays and score texts. Nothing but sizes and a few sums reaches
+the driver.
 
 Defined results: null, empty and blank texts have one token, the end. Rows that
 repeat a text count as often. Without training texts every probability is 1 over the
@@ -27,70 +35,81 @@ from ..session import scratch_path
 from .hash_arrays import HashArrays, shard_of, write_arrays, write_shard
 from .words import Block, blocks, mix
 
+ORDER = 3
 START, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
-CHUNK = 3_000_000  # tokens folded at a time
+CHUNK = 2_000_000  # tokens folded at a time
 SHARD = 2_000_000  # training tokens per shard
 NOTABLE = 1e-5  # share of a chunk's tokens from which a word is counted as frequent
 
-_U64, _U32 = np.dtype(np.uint64), np.dtype(np.uint32)
+_U64, _U32, _U16, _U8 = (np.dtype(t) for t in (np.uint64, np.uint32, np.uint16, np.uint8))
+_LEAD = np.uint64(0xFFFF << 48)
 
 
-def pairs_of(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Left and right words of all pairs, and the first pair of each document."""
+def padded(block: Block, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, words and end of all documents in a row; places of words and ends; the first of them per document."""
     hashes = block.hashes(lower=True)
-    first = block.first[:-1] + np.arange(block.documents)
-    left = np.empty(len(hashes) + block.documents, np.uint64)
-    right = np.empty(len(left), np.uint64)
-    at = np.arange(len(hashes)) + block.owner()
-    left[first], left[at + 1] = START, hashes
-    right[first + block.counts()], right[at] = END, hashes
-    return left, right, first
+    base = block.first[:-1] + order * np.arange(block.documents) + order - 1
+    out = np.full(len(hashes) + order * block.documents, START)
+    predicted = np.zeros(len(out), bool)
+    at = np.arange(len(hashes)) + order * block.owner() + order - 1
+    out[at], out[base + block.counts()] = hashes, END
+    predicted[at] = predicted[base + block.counts()] = True
+    return out, np.flatnonzero(predicted), block.first[:-1] + np.arange(block.documents)
+
+
+def chain(columns: list[np.ndarray]) -> np.ndarray:
+    """Hashes of grams, given as one array per word; that of a single word is the word."""
+    out = columns[-1]
+    for column in columns[-2::-1]:
+        out = mix(mix(column) + out)
+    return out
 
 
-def pair_keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    return mix(mix(left) + right)
+def keys_of(grams: np.ndarray, route: np.ndarray) -> np.ndarray:
+    """Keys that lead to the shard of ``route`` and tell grams apart by 48 bits."""
+    return (route & _LEAD) | (grams >> np.uint64(16))
 
 
-def routes(left: np.ndarray, right: np.ndarray, frequent: HashArrays) -> np.ndarray:
-    out = mix(left)
-    hot, _ = frequent.find(left)
-    out[hot] = pair_keys(left[hot], right[hot])
+def routes(last_but_one: np.ndarray, last: np.ndarray, frequent: HashArrays) -> np.ndarray:
+    out = mix(last_but_one)
+    hot, _ = frequent.find(last_but_one)
+    out[hot] = chain([last_but_one[hot], last[hot]])
     return out
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _chunks(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Padded texts, and the places of words and ends in them."""
     held, n = [], 0
+
+    def joined():
+        shift = np.cumsum([0] + [len(text) for text, _ in held])
+        return np.concatenate([text for text, _ in held]), np.concatenate([at + s for (_, at), s in zip(held, shift)])
+
     for batch in batches:
         for block in blocks(batch.column(0)):
-            left, right, _ = pairs_of(block)
-            held.append((left, right))
-            n += len(left)
+            text, at, _ = padded(block, order)
+            held.append((text, at))
+            n += len(at)
             if n >= CHUNK:
-                yield tuple(map(np.concatenate, zip(*held)))
+                yield joined()
                 held, n = [], 0
     if held:
-        yield tuple(map(np.concatenate, zip(*held)))
+        yield joined()
 
 
 def _notable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Frequent words of each chunk with their counts; the number of tokens under key null."""
-    for left, _ in _chunks(batches):
-        word, n = np.unique(left, return_counts=True)
-        some = n > NOTABLE * len(left)
+    for text, at in _chunks(batches, 2):
+        word, n = np.unique(text[at - 1], return_counts=True)
+        some = n > NOTABLE * len(at)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([None, *word[some].view(np.int64).tolist()], pa.int64()), pa.array([len(left), *n[some].tolist()], pa.int64())], names=["word", "n"]
+            [pa.array([None, *word[some].view(np.int64).tolist()], pa.int64()), pa.array([len(at), *n[some].tolist()], pa.int64())], names=["word", "n"]
         )
 
 
-def folded(left, right, route, count=None):
-    """Distinct pairs in order of route, with their counts."""
-    order = np.argsort((route & np.uint64(0xFFFFFFFF00000000)) | (right >> np.uint64(32)))
-    left, right, route = left[order], right[order], route[order]
-    new = np.ones(len(left), bool)
-    new[1:] = (left[1:] != left[:-1]) | (right[1:] != right[:-1])
-    at = np.flatnonzero(new)
-    total = np.diff(np.append(at, len(left))) if count is None else np.add.reduceat(count[order], at)
-    return left[at], right[at], route[at], total.astype(np.int64)
+def runs(values: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.zeros(0, np.int64)
 
 
 def pack(*columns: np.ndarray) -> bytes:
@@ -105,42 +124,135 @@ def unpack(data: bytes, *types) -> list[np.ndarray]:
     return out
 
 
-def _runs(values: np.ndarray) -> np.ndarray:
-    return np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.zeros(0, np.int64)
+def _number_type(words: int) -> np.dtype:
+    return _U16 if words <= 1 << 16 else _U32
 
 
-_PAIRS = (np.uint64, np.uint32, np.uint64, np.uint8, np.uint64)
+def _packed_grams(columns: list[np.ndarray], n: np.ndarray) -> bytes:
+    """Distinct grams, their words being numbers into a list that comes with them."""
+    words, number = np.unique(np.concatenate(columns), return_inverse=True)
+    few = np.minimum(n, 255)
+    return pack(words, number.astype(_number_type(len(words))), few.astype(np.uint8), n[few == 255].astype(np.uint64))
 
 
-def _packed_pairs(shards: int, frequent: HashArrays):
+def _unpacked_grams(data: bytes, order: int) -> tuple[list[np.ndarray], np.ndarray]:
+    words = int(np.frombuffer(data, np.uint32, 1)[0])
+    words, number, few, big = unpack(data, _U64, _number_type(words), _U8, _U64)
+    n = few.astype(np.int64)
+    n[few == 255] = big
+    return np.split(words[number], order), n
+
+
+def _dealt_grams(order: int, shards: int, frequent: HashArrays):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for left, right in _chunks(batches):
-            left, right, route, n = folded(left, right, routes(left, right, frequent))
-            shard = shard_of(route, shards)
-            ends = np.searchsorted(shard, np.arange(shards + 1))
-            some, data = np.flatnonzero(np.diff(ends)), []
-            for low, high in zip(ends[some], ends[some + 1]):
-                at = _runs(left[low:high])
-                few = np.minimum(n[low:high], 255)
-                data.append(pack(left[low:high][at], np.diff(np.append(at, high - low)).astype(np.uint32), right[low:high], few.astype(np.uint8), n[low:high][few == 255].astype(np.uint64)))
-            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(data, pa.binary())], names=["shard", "data"])
+        for text, at in _chunks(batches, order):
+            columns = [text[at - k] for k in range(order - 1, -1, -1)]
+            grams = chain(columns)
+            keys = keys_of(grams, routes(columns[-2], columns[-1], frequent))
+            sort = np.argsort(keys)
+            new = runs(grams[sort])
+            n = np.diff(np.append(new, len(sort)))
+            some = sort[new]
+            columns = [c[some] for c in columns]
+            ends = np.searchsorted(shard_of(keys[some], shards), np.arange(shards + 1))
+            full = np.flatnonzero(np.diff(ends))
+            data = [_packed_grams([c[a:b] for c in columns], n[a:b]) for a, b in zip(ends[full], ends[full + 1])]
+            yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(data, pa.binary())], names=["shard", "data"])
 
     return run
 
 
-def _by_shard(batches: Iterator[pa.RecordBatch]) -> dict[int, list[tuple[int, bytes]]]:
-    held: dict[int, list[tuple[int, bytes]]] = {}
+def _by_shard(batches: Iterator[pa.RecordBatch]) -> dict[int, list[tuple]]:
+    held: dict[int, list[tuple]] = {}
     for batch in batches:
         for row in zip(*(c.to_pylist() for c in batch.columns)):
             held.setdefault(row[0], []).append(row[1:])
     return held
 
 
+class Present(HashArrays):
+    """Keys alone, in six bytes each: the shard stands for the leading 16 bits."""
+
+    @staticmethod
+    def write(folder: str, shard: int, keys: np.ndarray) -> int:
+        """Keys, in order of their last 48 bits."""
+        write_shard(folder, shard, (keys >> np.uint64(16)).astype(np.uint32), keys.astype(np.uint16))
+        return len(keys)
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        found, shard = np.zeros(len(keys), bool), shard_of(keys, self.shards)
+        high, low = (keys >> np.uint64(16)).astype(np.uint32), keys.astype(np.uint16)
+        sort = np.argsort(keys)
+        ends = np.searchsorted(shard[sort], np.arange(self.shards + 1))
+        for s in np.flatnonzero(np.diff(ends)):
+            n = self.sizes.get(int(s))
+            if not n:
+                continue
+            some, raw = sort[ends[s] : ends[s + 1]], self.raw(int(s))
+            highs, lows = raw[: 4 * n].view(np.uint32), raw[4 * n : 6 * n].view(np.uint16)
+            at = np.searchsorted(highs, high[some])
+            while len(some):
+                inside = at < n
+                some, at = some[inside], at[inside]
+                same = highs[at] == high[some]
+                some, at = some[same], at[same]
+                hit = lows[at] == low[some]
+                found[some[hit]] = True
+                some, at = some[~hit], at[~hit] + 1
+        return found
+
+
+_KINDS = ("once", "few", "many")
+
+
+@dataclass
+class Counts:
+    """Counts of grams: those that came once, those below 256, and the rest."""
+
+    once: Present
+    few: HashArrays
+    many: HashArrays
+
+    @staticmethod
+    def write(folder: str, shard: int, keys: np.ndarray, n: np.ndarray) -> list[int]:
+        """Arrays of one shard from keys in order of their last 48 bits; their sizes."""
+        few, many = (n > 1) & (n < 256), n > 255
+        parts = [keys[few], keys[many]]
+        order = [np.argsort(k) for k in parts]
+        return [
+            Present.write(f"{folder}-once", shard, keys[n == 1]),
+            write_shard(f"{folder}-few", shard, parts[0][order[0]], n[few][order[0]].astype(np.uint8)),
+            write_shard(f"{folder}-many", shard, parts[1][order[1]], n[many][order[1]].astype(np.uint64)),
+        ]
+
+    @staticmethod
+    def opened(folder: str, shards: int, sizes: dict[int, list[int]]) -> "Counts":
+        once, few, many = ({s: x[k] for s, x in sizes.items()} for k in range(3))
+        return Counts(Present(f"{folder}-once", shards, once), HashArrays(f"{folder}-few", shards, few, [_U8]), HashArrays(f"{folder}-many", shards, many, [_U64]))
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        distinct, place = np.unique(keys, return_inverse=True)
+        out = self.once.has(distinct).astype(np.int64)
+        for arrays in (self.few, self.many):
+            rest = np.flatnonzero(out == 0)
+            out[rest] = arrays.find(distinct[rest])[1][0]
+        return out[place]
+
+
 _WORDS = "shard int, kind int, data binary"
+_STATISTICS = [_U64, _U32, _U32, _U32]  # of a context: sum of counts, words that came once, twice, more often
 
 
-def _written_pairs(folder: str, shards: int, word_shards: int, frequent: HashArrays):
-    """Writes the pairs of each shard; sends left words (kind 0), right words (1) and sums (2) on."""
+def statistics(context: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """One row of each distinct context, in order of its hash, and its statistics."""
+    sort = np.argsort(context)
+    at, n = runs(context[sort]), n[sort]
+    return sort[at], [np.add.reduceat(x.astype(np.int64), at) for x in (n, n == 1, n == 2, n > 2)]
+
+
+def _written_grams(folder: str, order: int, shards: int, word_shards: int, frequent: HashArrays):
+    """Writes grams and contexts of each shard. Sends on statistics of words and of contexts
+    in parts (kind 0), numbers of words before a word (1), occurrences of words (2) and sums (3)."""
 
     def sent(kind, keys, *columns):
         shard = shard_of(keys, word_shards)
@@ -151,55 +263,74 @@ def _written_pairs(folder: str, shards: int, word_shards: int, frequent: HashArr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, packets in _by_shard(batches).items():
-            parts = []
-            for (data,) in packets:
-                first, length, right, few, big = unpack(data, *_PAIRS)
-                n = few.astype(np.int64)
-                n[few == 255] = big
-                parts.append((np.repeat(first, length), right, n))
-            left, right, n = map(np.concatenate, zip(*parts))
-            left, right, _, n = folded(left, right, routes(left, right, frequent), n)
-            keys = pair_keys(left, right)
-            once, more = keys[n == 1], keys[n > 1]
-            order = np.argsort(more)
-            sizes = [write_shard(f"{folder}/once", shard, np.sort(once)), write_shard(f"{folder}/more", shard, more[order], n[n > 1][order].astype(np.uint64))]
-            at = _runs(left)
-            sums = [np.add.reduceat(x.astype(np.int64), at) for x in (n, n == 1, n == 2, n > 2)]
-            order = np.argsort(left[at])
-            yield sent(0, left[at][order], sums[0][order].astype(np.uint64), *(x[order].astype(np.uint32) for x in sums[1:]))
-            yield sent(1, *(x.astype(t) for x, t in zip(np.unique(right, return_counts=True), (np.uint64, np.uint32))))
-            said = {"shard": int(shard), "sizes": sizes, "counts": [int((n == k).sum()) for k in (1, 2, 3, 4)]}
-            yield pa.RecordBatch.from_arrays([pa.array([int(shard) % word_shards], pa.int32()), pa.array([2], pa.int32()), pa.array([json.dumps(said).encode()], pa.binary())], names=["shard", "kind", "data"])
+            parts = [_unpacked_grams(data, order) for (data,) in packets]
+            columns = [np.concatenate([p[0][k] for p in parts]) for k in range(order)]
+            n = np.concatenate([p[1] for p in parts])
+            del packets, parts
+            said = {"shard": int(shard), "sizes": {}, "contexts": {}, "counts": {}}
+            for k in range(order, 1, -1):
+                # Grams of k words: counts as they came at the highest order, number of words before them below.
+                grams = chain(columns)
+                sort = np.argsort(grams)
+                at = runs(grams[sort])
+                n = np.add.reduceat(n[sort], at) if k == order else np.diff(np.append(at, len(sort)))
+                columns, grams = [c[sort[at]] for c in columns], grams[sort[at]]
+                said["counts"][k] = [int((n == j).sum()) for j in (1, 2, 3, 4)]
+                said["sizes"][k] = Counts.write(f"{folder}/{k}", shard, keys_of(grams, routes(columns[-2], columns[-1], frequent)), n)
+                if k == order:
+                    word, place = np.unique(columns[-2], return_inverse=True)
+                    yield sent(2, word, np.bincount(place, n).astype(np.uint64))
+                context = chain(columns[:-1])
+                some, sums = statistics(context, n)
+                last, context = columns[-2][some], context[some]
+                onward = np.ones(len(some), bool)
+                if k > 2:
+                    onward, _ = frequent.find(last)
+                    # A context whose words came once altogether is told by its own count.
+                    kept = np.flatnonzero(~onward & ((sums[0] > 1) | (last == START)))
+                    keys = keys_of(context[kept], mix(last[kept]))
+                    kept, keys = kept[np.argsort(keys)], np.sort(keys)
+                    said["contexts"][k] = write_shard(f"{folder}/contexts-{k}", shard, keys, *(x[kept].astype(t) for x, t in zip(sums, _STATISTICS)))
+                if onward.any():
+                    yield sent(0, context[onward], *(x[onward].astype(t) for x, t in zip(sums, _STATISTICS)))
+                columns = columns[1:]
+            yield sent(1, *(x.astype(t) for x, t in zip(np.unique(columns[0], return_counts=True), (np.uint64, np.uint32))))
+            yield pa.RecordBatch.from_arrays([pa.array([int(shard) % word_shards], pa.int32()), pa.array([3], pa.int32()), pa.array([json.dumps(said).encode()], pa.binary())], names=["shard", "kind", "data"])
 
     return run
 
 
 def _written_words(folder: str):
-    """Writes the word arrays: count, left statistics, number of distinct left neighbours."""
+    """Writes the arrays of words and of contexts that came in parts: occurrences, statistics, number of words before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         said = []
         for shard, packets in _by_shard(batches).items():
-            said += [data.decode() for kind, data in packets if kind == 2]
-            lefts = [unpack(data, _U64, _U64, _U32, _U32, _U32) for kind, data in packets if kind == 0]
-            rights = [unpack(data, _U64, _U32) for kind, data in packets if kind == 1]
-            if not lefts and not rights:
+            said += [data.decode() for kind, data in packets if kind == 3]
+            sources = [(0, [_U64, *_STATISTICS], 1), (1, [_U64, _U32], 5), (2, [_U64, _U64], 0)]
+            lists = [(first, [unpack(data, *types) for k, data in packets if k == kind]) for kind, types, first in sources]
+            if not any(rows for _, rows in lists):
                 continue
-            n_left = sum(len(x[0]) for x in lefts)
-            keys, place = np.unique(np.concatenate([x[0] for x in lefts + rights]), return_inverse=True)
-            columns = [np.zeros(len(keys), np.int64) for _ in range(5)]
-            for k in range(4 if lefts else 0):
-                np.add.at(columns[k], place[:n_left], np.concatenate([x[k + 1] for x in lefts]).astype(np.int64))
-            if rights:
-                np.add.at(columns[4], place[n_left:], np.concatenate([x[1] for x in rights]).astype(np.int64))
-            size = write_shard(f"{folder}/words", shard, keys, columns[0].astype(np.uint64), *(c.astype(np.uint32) for c in columns[1:]))
+            keys, place = np.unique(np.concatenate([row[0] for _, rows in lists for row in rows]), return_inverse=True)
+            columns, low = [np.zeros(len(keys), np.int64) for _ in range(6)], 0
+            for first, rows in lists:
+                high = low + sum(len(row[0]) for row in rows)
+                for c in range(len(rows[0]) - 1 if rows else 0):
+                    np.add.at(columns[first + c], place[low:high], np.concatenate([row[c + 1] for row in rows]).astype(np.int64))
+                low = high
+            count, before = columns[0], columns[5]
+            told = (count == 0) & (before == 0) & (columns[1] == 1)
+            size = write_shard(f"{folder}/words", shard, keys[~told], *(c[~told].astype(t) for c, t in zip(columns, _WORD_TYPES)))
             word = keys != START
-            said.append(json.dumps({"word_shard": int(shard), "size": size, "tokens": int(columns[0][word].sum()), "words": int((columns[0] > 0)[word].sum()), "texts": int(columns[0][~word].sum()), "types": int(columns[4].sum()), "counts": [int((columns[4] == k).sum()) for k in (1, 2, 3, 4)]}))
+            said.append(json.dumps({"word_shard": int(shard), "size": size, "tokens": int(count[word].sum()), "words": int((count > 0)[word].sum()), "texts": int(count[~word].sum()), "types": int(before.sum()), "counts": [int((before == k).sum()) for k in (1, 2, 3, 4)], "more": int((before > 2).sum())}))
         yield pa.RecordBatch.from_arrays([pa.array(said, pa.string())], names=["said"])
 
     return run
 
 
+_WORD_TYPES = [_U64, *_STATISTICS, _U32]
+
+
 def discounts(counts: list[int]) -> list[float]:
     """The modified Kneser-Ney discounts for counts 0 (none), 1, 2 and 3 or more.
 
@@ -217,73 +348,90 @@ def discounts(counts: list[int]) -> list[float]:
 
 @dataclass
 class Model:
-    once: HashArrays
-    more: HashArrays
+    order: int
+    grams: dict[int, Counts]  # by number of words, from 2
+    contexts: dict[int, HashArrays]  # statistics of the contexts of grams of 3 words and more
     words: HashArrays
     frequent: HashArrays
     tokens: int  # training tokens, ends included
     vocabulary: int  # distinct ones
     texts: int
     types: int  # distinct pairs
-    pair_discounts: list[float]
-    word_discounts: list[float]
+    discounts: dict[int, list[float]]  # by number of words, from 1
     rest: float  # mass of the word distribution that goes to the uniform one
 
     def score(self, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Per document: tokens, known tokens, base score and score (log10)."""
-        left, right, first = pairs_of(block)
-        words, place = np.unique(np.concatenate([left, right]), return_inverse=True)
-        _, (count, n1, n2, n3, before) = self.words.find(words)
-        of_left, of_right = place[: len(left)], place[len(left) :]
-        count = count.astype(np.float64)
-        tokens_of = np.where(words == END, self.texts, count)[of_right]
-        d, e = np.array(self.pair_discounts), np.array(self.word_discounts)
-        uniform = 1 / (self.vocabulary + 1)
-        lower = np.maximum(before - e[np.minimum(before, 3)], 0.0) / max(self.types, 1) + self.rest * uniform
-        weight = np.where(count > 0, (d[1] * n1 + d[2] * n2 + d[3] * n3) / np.maximum(count, 1), 1.0)
-        keys, route = pair_keys(left, right), routes(left, right, self.frequent)
-        single, _ = self.once.find(keys, route)
-        several, (times,) = self.more.find(keys, route)
-        times = np.where(several, times, single).astype(np.int64)
-        direct = np.maximum(times - d[np.minimum(times, 3)], 0.0) / np.maximum(count, 1)[of_left]
-        score = np.log10(direct + weight[of_left] * lower[of_right])
+        text, at, first = padded(block, self.order)
+        words, place = np.unique(text, return_inverse=True)
+        _, (count, *sums, before) = self.words.find(words)
+        of_last, of_left = place[at], place[at - 1]
+        tokens_of = np.where(words == END, self.texts, count.astype(np.float64))[of_last]
+        e = np.array(self.discounts[1])
+        p = (np.maximum(before - e[np.minimum(before, 3)], 0.0) / max(self.types, 1) + self.rest / (self.vocabulary + 1))[of_last]
+        route, came, context = routes(text[at - 1], text[at], self.frequent), np.zeros(len(text), bool), None
+        for k in range(2, self.order + 1):
+            found = [x[of_left] for x in sums] if k == 2 else self._context(k, context, text[at - 1], came[at - 1])
+            total, *n = (x.astype(np.float64) for x in found)
+            d, grams = np.array(self.discounts[k]), chain([text[at - j] for j in range(k - 1, -1, -1)])
+            times = self.grams[k].of(keys_of(grams, route))
+            kept = np.where(total > 0, sum(d[j] * n[j - 1] for j in (1, 2, 3)) / np.maximum(total, 1), 1.0)
+            p = np.maximum(times - d[np.minimum(times, 3)], 0.0) / np.maximum(total, 1) + kept * p
+            came[:], came[at] = False, times > 0
+            context = chain([text[at - j] for j in range(k, 0, -1)]) if k < self.order else None
         base = np.log10((tokens_of + 0.5) / (self.tokens + 0.5 * (self.vocabulary + 1)))
-        n = block.counts() + 1
-        return n, np.add.reduceat((tokens_of > 0).astype(np.int64), first), np.add.reduceat(base, first), np.add.reduceat(score, first)
-
-
-def train(texts: DataFrame) -> Model:
+        known = np.add.reduceat((tokens_of > 0).astype(np.int64), first)
+        return block.counts() + 1, known, np.add.reduceat(base, first), np.add.reduceat(np.log10(p), first)
+
+    def _context(self, k: int, context: np.ndarray, last: np.ndarray, came: np.ndarray) -> list[np.ndarray]:
+        distinct, index, place = np.unique(context, return_index=True, return_inverse=True)
+        last = last[index]
+        hot, _ = self.frequent.find(last)
+        found, out = np.zeros(len(distinct), bool), [np.zeros(len(distinct), t) for t in _STATISTICS]
+        wide = [x for x in self.words.find(distinct[hot])]
+        near = self.contexts[k].find(keys_of(distinct[~hot], mix(last[~hot])))
+        found[hot], found[~hot] = wide[0], near[0]
+        for column, a, b in zip(out, wide[1][1:5], near[1]):
+            column[hot], column[~hot] = a, b
+        single = came[index] & ~found
+        out[0][single] = out[1][single] = 1
+        return [x[place] for x in out]
+
+
+def train(texts: DataFrame, order: int = ORDER) -> Model:
     """A model of all rows of ``texts`` (column text)."""
+    if order < 2:
+        raise ValueError("the model needs pairs at least")
     spark = texts.sparkSession
     rows = texts.select(F.col("text").cast("string").alias("text"))
     notable = rows.mapInArrow(_notable, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     total = F.max(F.when(F.col("word").isNull(), F.col("n")))
     tokens = notable.agg(total).first()[0] or 0
     shards = max(1, -(-tokens // SHARD))
-    # At most 4 words per shard can pass this bound.
-    hot = notable.where(F.col("word").isNotNull() & (F.col("n") > tokens / (4 * shards)))
+    # At most 2 words per shard can pass this bound.
+    hot = notable.where(F.col("word").isNotNull() & (F.col("n") > tokens / (2 * shards)))
     frequent = write_arrays(hot, "frequent", "word", [], 1)
-    folder, word_shards = scratch_path(spark, "model"), -(-shards // 4)
-    dealt = rows.mapInArrow(_packed_pairs(shards, frequent), "shard int, data binary").repartition(shards, "shard")
-    words = dealt.mapInArrow(_written_pairs(folder, shards, word_shards, frequent), _WORDS).repartition(word_shards, "shard")
+    folder, word_shards = scratch_path(spark, "model"), -(-shards // 2)
+    dealt = rows.mapInArrow(_dealt_grams(order, shards, frequent), "shard int, data binary").repartition(shards, "shard")
+    words = dealt.mapInArrow(_written_grams(folder, order, shards, word_shards, frequent), _WORDS).repartition(word_shards, "shard")
     said = [json.loads(r["said"]) for r in words.mapInArrow(_written_words(folder), "said string").collect()]
-    pairs, lists = [x for x in said if "shard" in x], [x for x in said if "word_shard" in x]
-    add = lambda rows, name: [sum(c) for c in zip(*(x[name] for x in rows))] or [0, 0, 0, 0]
-    counts, types, texts_seen = add(lists, "counts"), sum(x["types"] for x in lists), sum(x["texts"] for x in lists)
+    grams, lists = [x for x in said if "shard" in x], [x for x in said if "word_shard" in x]
+    added = lambda rows: [sum(c) for c in zip(*rows)] or [0, 0, 0, 0]
+    counts, types, texts_seen = added(x["counts"] for x in lists), sum(x["types"] for x in lists), sum(x["texts"] for x in lists)
     e = discounts(counts)
-    more = sum(x["size"] for x in lists) - (1 if texts_seen else 0) - counts[0] - counts[1]
+    of_order = {k: {x["shard"]: x["sizes"][str(k)] for x in grams} for k in range(2, order + 1)}
     return Model(
-        HashArrays(f"{folder}/once", shards, {x["shard"]: x["sizes"][0] for x in pairs}),
-        HashArrays(f"{folder}/more", shards, {x["shard"]: x["sizes"][1] for x in pairs}, [_U64]),
-        HashArrays(f"{folder}/words", word_shards, {x["word_shard"]: x["size"] for x in lists}, [_U64, _U32, _U32, _U32, _U32]),
+        order,
+        {k: Counts.opened(f"{folder}/{k}", shards, sizes) for k, sizes in of_order.items()},
+        {k: HashArrays(f"{folder}/contexts-{k}", shards, {x["shard"]: x["contexts"][str(k)] for x in grams}, _STATISTICS) for k in range(3, order + 1)},
+        HashArrays(f"{folder}/words", word_shards, {x["word_shard"]: x["size"] for x in lists}, _WORD_TYPES),
         frequent,
         sum(x["tokens"] for x in lists) + texts_seen,
         sum(x["words"] for x in lists) + (1 if texts_seen else 0),
         texts_seen,
         types,
-        discounts(add(pairs, "counts")),
-        e,
-        (e[1] * counts[0] + e[2] * counts[1] + e[3] * more) / types if types else 1.0,
+        {1: e} | {k: discounts(added(x["counts"][str(k)] for x in grams)) for k in range(2, order + 1)},
+        (e[1] * counts[0] + e[2] * counts[1] + e[3] * sum(x["more"] for x in lists)) / types if types else 1.0,
     )
 
 
@@ -309,7 +457,7 @@ def held_out(parts: int, remainder: int):
     return F.coalesce(code % parts == remainder, F.lit(False))
 
 
-def score_held_out(docs: DataFrame, parts: int = 5, remainder: int = 1) -> DataFrame:
+def score_held_out(docs: DataFrame, parts: int = 5, remainder: int = 1, order: int = ORDER) -> DataFrame:
     """Scores of all rows by a model of those that are not held out."""
     marked = docs.select("doc_id", "text", held_out(parts, remainder).alias("held_out"))
-    return score(marked, train(marked.where("not held_out")))
+    return score(marked, train(marked.where("not held_out"), order))
