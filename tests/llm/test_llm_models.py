@@ -83,11 +83,15 @@ def test_a_longer_context_tells_texts_apart(spark):
     assert scores[3][1] - scores[3][2] > 1 + scores[2][1] - scores[2][2]
 
 
-def test_present_keys_share_leading_bits(tmp_path):
-    keys = np.sort(np.array([1 << 40, (1 << 40) + 1, (1 << 40) + 2, 5, 1 << 47], np.uint64))
-    n = language_model.Present.write(str(tmp_path), 0, keys)
-    found = language_model.Present(str(tmp_path), 1, {0: n}).has(np.array([5, (1 << 40) + 2, (1 << 40) + 3, 1 << 47, (1 << 47) + 1, 6], np.uint64))
-    assert found.tolist() == [True, True, False, True, False, False]
+@pytest.mark.parametrize("n", [1, 31, 5_000, 200_000])
+def test_short_arrays_find_what_they_hold(tmp_path, n):
+    rng = np.random.default_rng(n)
+    keys = rng.integers(0, 1 << 63, 2 * n, np.uint64, endpoint=False) & np.uint64((1 << 63) - 1)
+    keys = keys[np.argsort(keys << np.uint64(16))]
+    held, other = keys[::2], keys[1::2]
+    sizes = {0: language_model.ShortArrays.write(str(tmp_path), 0, held, np.arange(n, dtype=np.uint64))}
+    found, (value,) = language_model.ShortArrays(str(tmp_path), 1, sizes, [np.dtype(np.uint64)]).find(np.concatenate([other, held]))
+    assert found.tolist() == [False] * n + [True] * n and value[n:].tolist() == list(range(n))
 
 
 def test_model_without_training_texts(spark):

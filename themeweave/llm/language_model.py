@@ -3,15 +3,17 @@
 Tokens are lower-cased (A-Z) words and one end per text; ``order - 1`` starts precede
 the first word. The highest order counts occurrences; below it a gram counts the
 distinct words before it. Tasks fold what they read into distinct n-grams and send
-them, as numbers into a word list per packet, to the shard of the last word but one.
+them to the shard of the last word but one; words of a share of ``LISTED`` or more, at
+most 65,000, travel as numbers into a list, others as 64-bit hashes.
 All shorter endings of an n-gram hold that word, and all its contexts end in it, so
 one shuffle serves every order. A very frequent last word but one is spread over
 shards by the word after it; only its contexts are then in parts, which are summed
 with the statistics of single words in a second, smaller step. An n-gram is folded
 before it is sent, so a very frequent one is one row per chunk of tokens.
 
-A shard's task writes its grams as sorted hash arrays (48 bits a key inside a shard of
-``SHARD`` tokens, so an unseen gram is taken for a seen one about once in 10**8).
+A shard's task writes its grams as sorted hash arrays. Of a key they hold 32 bits, as
+shard and bucket stand for the leading ones, so an unseen gram is taken for a seen one
+about once in 10**8.
 Workers map these arrays and score texts. Nothing but sizes and a few sums reaches
 the driver.
 
@@ -31,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from .hash_arrays import HashArrays, shard_of, write_arrays, write_shard
 from .words import Block, blocks, mix
 
@@ -40,9 +42,11 @@ START, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 CHUNK = 2_000_000  # tokens folded at a time
 SHARD = 2_000_000  # training tokens per shard
 NOTABLE = 1e-5  # share of a chunk's tokens from which a word is counted as frequent
+LISTED = 1 / 65_000  # share of all tokens from which a word has a number
+RARE = 65_535  # stands for words without one
 
 _U64, _U32, _U16, _U8 = (np.dtype(t) for t in (np.uint64, np.uint32, np.uint16, np.uint8))
-_LEAD = np.uint64(0xFFFF << 48)
+_LEAD, _HIGH = np.uint64(0xFFFF << 48), np.uint64(0xFFFFFFFF << 32)
 
 
 def padded(block: Block, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -124,39 +128,52 @@ def unpack(data: bytes, *types) -> list[np.ndarray]:
     return out
 
 
-def _number_type(words: int) -> np.dtype:
-    return _U16 if words <= 1 << 16 else _U32
-
-
-def _packed_grams(columns: list[np.ndarray], n: np.ndarray) -> bytes:
-    """Distinct grams, their words being numbers into a list that comes with them."""
-    words, number = np.unique(np.concatenate(columns), return_inverse=True)
+def _packed_grams(codes: list[np.ndarray], words: list[np.ndarray], n: np.ndarray) -> bytes:
+    """Distinct grams: numbers of listed words, hashes of the others, counts."""
     few = np.minimum(n, 255)
-    return pack(words, number.astype(_number_type(len(words))), few.astype(np.uint8), n[few == 255].astype(np.uint64))
+    rare = [w[c == RARE] for c, w in zip(codes, words)]
+    return pack(np.concatenate(codes), np.concatenate(rare), few.astype(np.uint8), n[few == 255].astype(np.uint64))
 
 
-def _unpacked_grams(data: bytes, order: int) -> tuple[list[np.ndarray], np.ndarray]:
-    words = int(np.frombuffer(data, np.uint32, 1)[0])
-    words, number, few, big = unpack(data, _U64, _number_type(words), _U8, _U64)
+def _unpacked_grams(data: bytes, order: int, listed: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    codes, rare, few, big = unpack(data, _U16, _U64, _U8, _U64)
     n = few.astype(np.int64)
     n[few == 255] = big
-    return np.split(words[number], order), n
+    words = np.empty(len(codes), np.uint64)
+    other = codes == RARE
+    words[other], words[~other] = rare, listed[codes[~other]]
+    return np.split(words, order), n
+
+
+def _list(listed: HashArrays) -> np.ndarray:
+    return listed.mapped(0)[0] if listed.sizes.get(0) else np.zeros(0, np.uint64)
+
+
+def _codes(words: np.ndarray, listed: np.ndarray) -> np.ndarray:
+    out = np.full(len(words), RARE, np.uint16)
+    if len(listed):
+        at = np.minimum(np.searchsorted(listed, words), len(listed) - 1)
+        known = listed[at] == words
+        out[known] = at[known]
+    return out
 
 
-def _dealt_grams(order: int, shards: int, frequent: HashArrays):
+def _dealt_grams(order: int, shards: int, frequent: HashArrays, listed: HashArrays):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text, at in _chunks(batches, order):
+            codes = _codes(text, _list(listed))
             columns = [text[at - k] for k in range(order - 1, -1, -1)]
             grams = chain(columns)
-            keys = keys_of(grams, routes(columns[-2], columns[-1], frequent))
+            # By the whole route, so that the grams of one last word but one are a run and compress.
+            keys = (routes(columns[-2], columns[-1], frequent) & _HIGH) | (grams >> np.uint64(32))
             sort = np.argsort(keys)
             new = runs(grams[sort])
             n = np.diff(np.append(new, len(sort)))
             some = sort[new]
-            columns = [c[some] for c in columns]
+            columns, codes = [c[some] for c in columns], [codes[at[some] - k] for k in range(order - 1, -1, -1)]
             ends = np.searchsorted(shard_of(keys[some], shards), np.arange(shards + 1))
             full = np.flatnonzero(np.diff(ends))
-            data = [_packed_grams([c[a:b] for c in columns], n[a:b]) for a, b in zip(ends[full], ends[full + 1])]
+            data = [_packed_grams([c[a:b] for c in codes], [c[a:b] for c in columns], n[a:b]) for a, b in zip(ends[full], ends[full + 1])]
             yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(data, pa.binary())], names=["shard", "data"])
 
     return run
@@ -170,69 +187,84 @@ def _by_shard(batches: Iterator[pa.RecordBatch]) -> dict[int, list[tuple]]:
     return held
 
 
-class Present(HashArrays):
-    """Keys alone, in six bytes each: the shard stands for the leading 16 bits."""
+class ShortArrays(HashArrays):
+    """Hash arrays of keys whose leading 16 bits say no more than the shard does.
+
+    The next bits choose a bucket of 16 to 32 keys on average; of a key its bucket
+    holds the 32 bits after those.
+    """
+
+    @staticmethod
+    def bits(n: int) -> int:
+        return min(max(0, n.bit_length() - 5), 16)
+
+    @staticmethod
+    def cut(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        rest = keys << np.uint64(16)
+        bucket = (rest >> np.uint64(1)) >> np.uint64(63 - bits)
+        return bucket.astype(np.int64), ((rest << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32)
 
     @staticmethod
-    def write(folder: str, shard: int, keys: np.ndarray) -> int:
-        """Keys, in order of their last 48 bits."""
-        write_shard(folder, shard, (keys >> np.uint64(16)).astype(np.uint32), keys.astype(np.uint16))
+    def write(folder: str, shard: int, keys: np.ndarray, *values: np.ndarray) -> int:
+        """Keys in order of their last 48 bits, with their values."""
+        if len(keys):
+            bits = ShortArrays.bits(len(keys))
+            bucket, low = ShortArrays.cut(keys, bits)
+            write_shard(folder, shard, np.searchsorted(bucket, np.arange((1 << bits) + 1)).astype(np.uint32), low, *values)
         return len(keys)
 
-    def has(self, keys: np.ndarray) -> np.ndarray:
-        found, shard = np.zeros(len(keys), bool), shard_of(keys, self.shards)
-        high, low = (keys >> np.uint64(16)).astype(np.uint32), keys.astype(np.uint16)
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        found, values = np.zeros(len(keys), bool), [np.zeros(len(keys), t) for t in self.types]
         sort = np.argsort(keys)
-        ends = np.searchsorted(shard[sort], np.arange(self.shards + 1))
-        for s in np.flatnonzero(np.diff(ends)):
-            n = self.sizes.get(int(s))
+        ends = np.searchsorted(shard_of(keys[sort], self.shards), np.arange(self.shards + 1))
+        for shard in np.flatnonzero(np.diff(ends)):
+            n = self.sizes.get(int(shard))
             if not n:
                 continue
-            some, raw = sort[ends[s] : ends[s + 1]], self.raw(int(s))
-            highs, lows = raw[: 4 * n].view(np.uint32), raw[4 * n : 6 * n].view(np.uint16)
-            at = np.searchsorted(highs, high[some])
-            while len(some):
-                inside = at < n
-                some, at = some[inside], at[inside]
-                same = highs[at] == high[some]
-                some, at = some[same], at[same]
-                hit = lows[at] == low[some]
-                found[some[hit]] = True
-                some, at = some[~hit], at[~hit] + 1
-        return found
-
-
-_KINDS = ("once", "few", "many")
+            some, raw, bits = sort[ends[shard] : ends[shard + 1]], self.raw(int(shard)), self.bits(n)
+            end = 4 * ((1 << bits) + 1)
+            offsets, lows, end = raw[:end].view(np.uint32), raw[end : end + 4 * n].view(np.uint32), end + 4 * n
+            bucket, want = self.cut(keys[some], bits)
+            at, stop = offsets[bucket].astype(np.int64), offsets[bucket + 1].astype(np.int64)
+            for _ in range(int(np.max(stop - at)).bit_length()):
+                middle = (at + stop) >> 1
+                less = (lows[np.minimum(middle, n - 1)] < want) & (middle < stop)
+                at, stop = np.where(less, middle + 1, at), np.where(less, stop, middle)
+            at, last = np.minimum(at, n - 1), offsets[bucket + 1]
+            hit = (lows[at] == want) & (at < last) & (at >= offsets[bucket])
+            found[some] = hit
+            for value, kind in zip(values, map(np.dtype, self.types)):
+                value[some[hit]] = raw[end : end + n * kind.itemsize].view(kind)[at[hit]]
+                end += n * kind.itemsize
+        return found, values
 
 
 @dataclass
 class Counts:
     """Counts of grams: those that came once, those below 256, and the rest."""
 
-    once: Present
-    few: HashArrays
-    many: HashArrays
+    once: ShortArrays
+    few: ShortArrays
+    many: ShortArrays
 
     @staticmethod
     def write(folder: str, shard: int, keys: np.ndarray, n: np.ndarray) -> list[int]:
         """Arrays of one shard from keys in order of their last 48 bits; their sizes."""
         few, many = (n > 1) & (n < 256), n > 255
-        parts = [keys[few], keys[many]]
-        order = [np.argsort(k) for k in parts]
         return [
-            Present.write(f"{folder}-once", shard, keys[n == 1]),
-            write_shard(f"{folder}-few", shard, parts[0][order[0]], n[few][order[0]].astype(np.uint8)),
-            write_shard(f"{folder}-many", shard, parts[1][order[1]], n[many][order[1]].astype(np.uint64)),
+            ShortArrays.write(f"{folder}-once", shard, keys[n == 1]),
+            ShortArrays.write(f"{folder}-few", shard, keys[few], n[few].astype(np.uint8)),
+            ShortArrays.write(f"{folder}-many", shard, keys[many], n[many].astype(np.uint64)),
         ]
 
     @staticmethod
     def opened(folder: str, shards: int, sizes: dict[int, list[int]]) -> "Counts":
         once, few, many = ({s: x[k] for s, x in sizes.items()} for k in range(3))
-        return Counts(Present(f"{folder}-once", shards, once), HashArrays(f"{folder}-few", shards, few, [_U8]), HashArrays(f"{folder}-many", shards, many, [_U64]))
+        return Counts(ShortArrays(f"{folder}-once", shards, once), ShortArrays(f"{folder}-few", shards, few, [_U8]), ShortArrays(f"{folder}-many", shards, many, [_U64]))
 
     def of(self, keys: np.ndarray) -> np.ndarray:
         distinct, place = np.unique(keys, return_inverse=True)
-        out = self.once.has(distinct).astype(np.int64)
+        out = self.once.find(distinct)[0].astype(np.int64)
         for arrays in (self.few, self.many):
             rest = np.flatnonzero(out == 0)
             out[rest] = arrays.find(distinct[rest])[1][0]
@@ -243,6 +275,38 @@ _WORDS = "shard int, kind int, data binary"
 _STATISTICS = [_U64, _U32, _U32, _U32]  # of a context: sum of counts, words that came once, twice, more often
 
 
+@dataclass
+class Contexts:
+    """Statistics of contexts: those whose sum is below 256, and the rest."""
+
+    few: ShortArrays
+    many: ShortArrays
+
+    @staticmethod
+    def write(folder: str, shard: int, keys: np.ndarray, sums: list[np.ndarray]) -> list[int]:
+        sort = np.argsort(keys << np.uint64(16))
+        few = sums[0][sort] < 256
+        a, b = sort[few], sort[~few]
+        return [
+            ShortArrays.write(f"{folder}-few", shard, keys[a], *(x[a].astype(np.uint8) for x in sums)),
+            ShortArrays.write(f"{folder}-many", shard, keys[b], *(x[b].astype(t) for x, t in zip(sums, _STATISTICS))),
+        ]
+
+    @staticmethod
+    def opened(folder: str, shards: int, sizes: dict[int, list[int]]) -> "Contexts":
+        few, many = ({s: x[k] for s, x in sizes.items()} for k in range(2))
+        return Contexts(ShortArrays(f"{folder}-few", shards, few, [_U8] * 4), ShortArrays(f"{folder}-many", shards, many, _STATISTICS))
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        found, few = self.few.find(keys)
+        out = [x.astype(t) for x, t in zip(few, _STATISTICS)]
+        rest = np.flatnonzero(~found)
+        found[rest], many = self.many.find(keys[rest])
+        for column, x in zip(out, many):
+            column[rest] = x
+        return found, out
+
+
 def statistics(context: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     """One row of each distinct context, in order of its hash, and its statistics."""
     sort = np.argsort(context)
@@ -250,9 +314,9 @@ def statistics(context: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, list[np.
     return sort[at], [np.add.reduceat(x.astype(np.int64), at) for x in (n, n == 1, n == 2, n > 2)]
 
 
-def _written_grams(folder: str, order: int, shards: int, word_shards: int, frequent: HashArrays):
+def _written_grams(folder: str, order: int, shards: int, word_shards: int, frequent: HashArrays, listed: HashArrays):
     """Writes grams and contexts of each shard. Sends on statistics of words and of contexts
-    in parts (kind 0), numbers of words before a word (1), occurrences of words (2) and sums (3)."""
+    in parts (kind 0; 4 if their sum is 1), numbers of words before a word (1), occurrences of words (2) and sums (3)."""
 
     def sent(kind, keys, *columns):
         shard = shard_of(keys, word_shards)
@@ -263,7 +327,7 @@ def _written_grams(folder: str, order: int, shards: int, word_shards: int, frequ
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, packets in _by_shard(batches).items():
-            parts = [_unpacked_grams(data, order) for (data,) in packets]
+            parts = [_unpacked_grams(data, order, _list(listed)) for (data,) in packets]
             columns = [np.concatenate([p[0][k] for p in parts]) for k in range(order)]
             n = np.concatenate([p[1] for p in parts])
             del packets, parts
@@ -289,8 +353,9 @@ def _written_grams(folder: str, order: int, shards: int, word_shards: int, frequ
                     # A context whose words came once altogether is told by its own count.
                     kept = np.flatnonzero(~onward & ((sums[0] > 1) | (last == START)))
                     keys = keys_of(context[kept], mix(last[kept]))
-                    kept, keys = kept[np.argsort(keys)], np.sort(keys)
-                    said["contexts"][k] = write_shard(f"{folder}/contexts-{k}", shard, keys, *(x[kept].astype(t) for x, t in zip(sums, _STATISTICS)))
+                    said["contexts"][k] = Contexts.write(f"{folder}/contexts-{k}", shard, keys, [x[kept] for x in sums])
+                    yield sent(4, context[onward & (sums[0] == 1)])
+                    onward &= sums[0] > 1
                 if onward.any():
                     yield sent(0, context[onward], *(x[onward].astype(t) for x, t in zip(sums, _STATISTICS)))
                 columns = columns[1:]
@@ -307,7 +372,7 @@ def _written_words(folder: str):
         said = []
         for shard, packets in _by_shard(batches).items():
             said += [data.decode() for kind, data in packets if kind == 3]
-            sources = [(0, [_U64, *_STATISTICS], 1), (1, [_U64, _U32], 5), (2, [_U64, _U64], 0)]
+            sources = [(0, [_U64, *_STATISTICS], 1), (1, [_U64, _U32], 5), (2, [_U64, _U64], 0), (4, [_U64], 1)]
             lists = [(first, [unpack(data, *types) for k, data in packets if k == kind]) for kind, types, first in sources]
             if not any(rows for _, rows in lists):
                 continue
@@ -315,6 +380,9 @@ def _written_words(folder: str):
             columns, low = [np.zeros(len(keys), np.int64) for _ in range(6)], 0
             for first, rows in lists:
                 high = low + sum(len(row[0]) for row in rows)
+                if rows and len(rows[0]) == 1:  # contexts that came once
+                    np.add.at(columns[1], place[low:high], 1)
+                    np.add.at(columns[2], place[low:high], 1)
                 for c in range(len(rows[0]) - 1 if rows else 0):
                     np.add.at(columns[first + c], place[low:high], np.concatenate([row[c + 1] for row in rows]).astype(np.int64))
                 low = high
@@ -350,7 +418,7 @@ def discounts(counts: list[int]) -> list[float]:
 class Model:
     order: int
     grams: dict[int, Counts]  # by number of words, from 2
-    contexts: dict[int, HashArrays]  # statistics of the contexts of grams of 3 words and more
+    contexts: dict[int, Contexts]  # statistics of the contexts of grams of 3 words and more
     words: HashArrays
     frequent: HashArrays
     tokens: int  # training tokens, ends included
@@ -388,7 +456,7 @@ class Model:
         last = last[index]
         hot, _ = self.frequent.find(last)
         found, out = np.zeros(len(distinct), bool), [np.zeros(len(distinct), t) for t in _STATISTICS]
-        wide = [x for x in self.words.find(distinct[hot])]
+        wide = self.words.find(distinct[hot])
         near = self.contexts[k].find(keys_of(distinct[~hot], mix(last[~hot])))
         found[hot], found[~hot] = wide[0], near[0]
         for column, a, b in zip(out, wide[1][1:5], near[1]):
@@ -404,16 +472,17 @@ def train(texts: DataFrame, order: int = ORDER) -> Model:
         raise ValueError("the model needs pairs at least")
     spark = texts.sparkSession
     rows = texts.select(F.col("text").cast("string").alias("text"))
-    notable = rows.mapInArrow(_notable, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    notable = materialize(rows.mapInArrow(_notable, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "notable")
     total = F.max(F.when(F.col("word").isNull(), F.col("n")))
     tokens = notable.agg(total).first()[0] or 0
     shards = max(1, -(-tokens // SHARD))
     # At most 2 words per shard can pass this bound.
     hot = notable.where(F.col("word").isNotNull() & (F.col("n") > tokens / (2 * shards)))
     frequent = write_arrays(hot, "frequent", "word", [], 1)
+    listed = write_arrays(notable.where(F.col("word").isNotNull() & (F.col("n") > tokens * LISTED)), "listed", "word", [], 1)
     folder, word_shards = scratch_path(spark, "model"), -(-shards // 2)
-    dealt = rows.mapInArrow(_dealt_grams(order, shards, frequent), "shard int, data binary").repartition(shards, "shard")
-    words = dealt.mapInArrow(_written_grams(folder, order, shards, word_shards, frequent), _WORDS).repartition(word_shards, "shard")
+    dealt = rows.mapInArrow(_dealt_grams(order, shards, frequent, listed), "shard int, data binary").repartition(shards, "shard")
+    words = dealt.mapInArrow(_written_grams(folder, order, shards, word_shards, frequent, listed), _WORDS).repartition(word_shards, "shard")
     said = [json.loads(r["said"]) for r in words.mapInArrow(_written_words(folder), "said string").collect()]
     grams, lists = [x for x in said if "shard" in x], [x for x in said if "word_shard" in x]
     added = lambda rows: [sum(c) for c in zip(*rows)] or [0, 0, 0, 0]
@@ -423,7 +492,7 @@ def train(texts: DataFrame, order: int = ORDER) -> Model:
     return Model(
         order,
         {k: Counts.opened(f"{folder}/{k}", shards, sizes) for k, sizes in of_order.items()},
-        {k: HashArrays(f"{folder}/contexts-{k}", shards, {x["shard"]: x["contexts"][str(k)] for x in grams}, _STATISTICS) for k in range(3, order + 1)},
+        {k: Contexts.opened(f"{folder}/contexts-{k}", shards, {x["shard"]: x["contexts"][str(k)] for x in grams}) for k in range(3, order + 1)},
         HashArrays(f"{folder}/words", word_shards, {x["word_shard"]: x["size"] for x in lists}, _WORD_TYPES),
         frequent,
         sum(x["tokens"] for x in lists) + texts_seen,
