@@ -44,6 +44,31 @@ def test_assignment_in_several_passes_and_with_ties(spark, blobs, monkeypatch):
     assert got == {0: (0, 1.0), 1: (3, 1.0), 2: (2, 1.0)}
 
 
+@pytest.mark.parametrize("per_file, pivots", [(1024, 1024), (7, 1024), (7, 3)])
+def test_assignment_to_many_centroids(spark, monkeypatch, per_file, pivots):
+    """Files and lists of any number give what brute force gives; copies of one centroid crowd a list."""
+    monkeypatch.setattr(centroids, "CENTROIDS_PER_PASS", per_file)
+    monkeypatch.setattr(centroids, "MAX_PIVOTS", pivots)
+    rng = np.random.default_rng(9)
+    means = np.round(np.concatenate([rng.normal(size=(200, 3)) * 4, np.ones((100, 3))]), 1)
+    x = np.round(np.concatenate([rng.normal(size=(400, 3)) * 4, means[:20], np.ones((5, 3))]), 1).astype(np.float32)
+    table = spark.createDataFrame([(int(i), v.tolist()) for i, v in enumerate(means)], "cluster_id int, centroid array<double>")
+    placed = centroids.nearest_centroid_assign(vector_frame(spark, x).repartition(3), table)
+    got = {r["doc_id"]: (r["nearest"], r["distance"]) for r in placed.collect()}
+    gap = np.sqrt(((x.astype(float)[:, None, :] - means[None]) ** 2).sum(axis=2))
+    assert {k: v[0] for k, v in got.items()} == dict(enumerate(gap.argmin(axis=1)))
+    assert np.allclose([got[i][1] for i in range(len(x))], gap.min(axis=1))
+    assert "centroid" not in placed._jdf.queryExecution().toString()
+
+
+def test_assignment_without_centroids_or_rows(spark):
+    df = vector_frame(spark, np.array([[0.0, 1.0]]))
+    none = spark.createDataFrame([], "cluster_id int, centroid array<double>")
+    row = centroids.nearest_centroid_assign(df, none).first()
+    assert row["nearest"] == 2**31 - 1 and row["distance"] == float("inf")
+    assert centroids.nearest_centroid_assign(df.limit(0), none).count() == 0
+
+
 def test_representatives_leave_noise_out(spark):
     x = np.array([[1, 0], [0.9, 0.1], [0, 1], [5, 5]], dtype=float)
     df = vector_frame(spark, x, [0, 0, 0, -1])
