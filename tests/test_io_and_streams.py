@@ -87,6 +87,13 @@ def test_dead_letters_of_a_run_are_written_once(spark, tmp_path):
         writers.sink_dead_letters(failing, path, run="b")
     assert spark.read.parquet(path).count() == 4
 
+    writers.sink_dead_letters(first.limit(0), path, run="a")  # the attempt that counts had none
+    assert [r["run"] for r in spark.read.parquet(path).collect()] == ["b", "b"]
+    writers.sink_dead_letters(first.limit(0), str(tmp_path / "none"), run="a")
+    assert spark.read.parquet(str(tmp_path / "none")).count() == 0
+    with pytest.raises(ValueError):
+        writers.sink_dead_letters(first, path, run="../b")
+
 
 def test_period_and_columns_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "landed")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
 from .. import schemas
+from ..session import materialize
 
 
 def sink_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
@@ -55,10 +58,18 @@ def sink_dead_letters(df: DataFrame, path: str, fmt: str = "parquet", run: str |
     With ``run``, the letters are that run's, in a folder of its own (a column ``run``
     when read). Writing them again replaces them as a whole when the job commits, so a
     repeated run adds no row, and one that dies before its commit leaves what was there.
+    A run without failures leaves an empty table, also where an earlier attempt had some.
     """
     letters = df.select(*[F.col(f.name).cast(f.dataType) for f in schemas.DEAD_LETTER.fields])
     if run is None:
         letters.write.mode("append").format(fmt).save(path)
         return
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", run):
+        raise ValueError("a run is named by letters, digits, dots, hyphens and underscores")
+    letters = materialize(letters, "dead-letters")
+    if letters.isEmpty():
+        # Replacing partitions that rows fall into would leave an earlier attempt's, and no schema to read.
+        letters.write.mode("overwrite").format(fmt).save(f"{path}/run={run}")
+        return
     keyed = letters.withColumn("run", F.lit(run))
     keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run").format(fmt).save(path)
