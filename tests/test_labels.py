@@ -1,4 +1,6 @@
 import json
+import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -169,6 +171,75 @@ def test_retries_and_final_failure(spark, tmp_path):
     assert log.read_text().split() == ["2.0", "4.0", "2.0", "4.0"]
 
 
+def test_requests_in_flight_change_no_row(spark, tmp_path):
+    log = tmp_path / "open"
+
+    def make():
+        lock, state = threading.Lock(), {"open": 0}
+
+        def ask(cluster_id, prompt):
+            with lock:
+                state["open"] += 1
+                with log.open("a") as f:
+                    f.write(f"{state['open']} ")
+            time.sleep(0.02 * (1 + cluster_id % 3))
+            with lock:
+                state["open"] -= 1
+            if cluster_id % 5 == 0:
+                raise KeyError(cluster_id)
+            return prompt.upper(), cluster_id, 1
+
+        return ask
+
+    def run(**options):
+        log.write_text("")
+        rows = labeling.infer_batches(prompts(spark, 24), make, concurrency=2, **options).collect()
+        return sorted(map(tuple, rows)), max(map(int, log.read_text().split()))
+
+    (one, alone), (many, together) = run(), run(in_flight=4)
+    assert one == many and len(one) == 24
+    assert alone == 1 and 1 < together <= 4
+
+
+def test_pace_keeps_the_budget(spark, tmp_path):
+    now, waited = [0.0], []
+
+    def wait(seconds):
+        waited.append(seconds)
+        now[0] += seconds
+
+    pace = labeling.Pace(0.5, wait, lambda: now[0])
+    starts = []
+    for pause in (0, 0, 0.2, 3.0, 0):
+        now[0] += pause
+        pace.turn()
+        starts.append(now[0])
+    assert starts == pytest.approx([0, 0.5, 1.0, 4.0, 4.5]) and len(waited) == 3
+
+    log = tmp_path / "starts"
+
+    def make():
+        def ask(cluster_id, prompt):
+            with log.open("a") as f:
+                f.write(f"{time.monotonic()} ")
+            return "{}", 1, 1
+
+        return ask
+
+    labeling.infer_batches(prompts(spark, 12), make, concurrency=1, in_flight=6, per_second=20).collect()
+    at = sorted(map(float, log.read_text().split()))
+    assert len(at) == 12 and at[-1] - at[0] > 0.5
+
+
+def test_no_prompts_make_no_client(spark):
+    def make():
+        raise AssertionError("no call, no client")
+
+    assert labeling.infer_batches(prompts(spark, 3).limit(0), make, in_flight=3).count() == 0
+    with pytest.raises(ValueError):
+        labeling.infer_batches(prompts(spark, 1), make, in_flight=0)
+
+
 def test_answers_are_not_asked_for_twice(spark, tmp_path):
     calls, path = tmp_path / "calls", str(tmp_path / "responses")
 

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import itertools
 import re
+import threading
 import time
+from collections import deque
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -98,11 +102,47 @@ def render_prompts(
 Client = Callable[[int, str], tuple[str, int, int]]
 
 
+class Pace:
+    """Starts calls at least ``gap`` seconds apart, from whichever thread they come."""
+
+    def __init__(self, gap: float, wait: Callable[[float], None], clock: Callable[[], float] = time.monotonic):
+        self.gap, self.wait, self.clock = gap, wait, clock
+        self.lock, self.free = threading.Lock(), float("-inf")
+
+    def turn(self) -> None:
+        if self.gap <= 0:
+            return
+        with self.lock:
+            now = self.clock()
+            start = max(now, self.free)
+            self.free = start + self.gap
+        if start > now:
+            self.wait(start - now)
+
+
+def _asked(client: Client, cluster_id: int, prompt: str, pace: Pace, wait: Callable[[float], None]) -> tuple:
+    """One row of answers; failures of the service are tried again."""
+    for attempt in range(1, MAX_TRIES + 1):
+        pace.turn()
+        try:
+            raw, used_in, used_out = client(cluster_id, prompt)
+            return cluster_id, raw, None, attempt, used_in, used_out
+        except ServiceError as error:
+            failure = f"service error after {attempt} tries: {error}"
+            if attempt < MAX_TRIES:
+                wait(2.0**attempt)
+        except Exception as error:
+            return cluster_id, "", f"{type(error).__name__}: {error}", attempt, 0, 0
+    return cluster_id, "", failure, MAX_TRIES, 0, 0
+
+
 def infer_batches(
     prompts: DataFrame,
     make_client: Callable[[], Client],
     concurrency: int | None = None,
     wait: Callable[[float], None] = time.sleep,
+    in_flight: int = 1,
+    per_second: float | None = None,
 ) -> DataFrame:
     """(cluster_id, raw, error, attempts, tokens_in, tokens_out): one request per prompt.
 
@@ -113,31 +153,37 @@ def infer_batches(
     is not tried again. ``concurrency`` is the number of tasks that call at the same
     time, by default as many as there are cores.
 
+    A task has up to ``in_flight`` requests open, each in a thread of its own, so with
+    more than one the client must bear calls from several threads. ``per_second`` is a
+    budget of calls for the whole job, further tries included; every task keeps to its
+    equal share of it. Neither changes the rows.
+
     The result is lazy: write it out before using it twice, or calls are paid
     twice. ``answered`` does that.
     """
-    prompts = prompts.repartition(concurrency or prompts.sparkSession.sparkContext.defaultParallelism)
+    if in_flight < 1 or (per_second is not None and per_second <= 0):
+        raise ValueError("in_flight and per_second must be positive")
+    tasks = concurrency or prompts.sparkSession.sparkContext.defaultParallelism
+    prompts = prompts.repartition(tasks)
+    gap = tasks / per_second if per_second else 0.0
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        client = None
-        for batch in batches:
-            for cluster_id, prompt in zip(batch["cluster_id"], batch["prompt"]):
-                client = client or make_client()
-                row = None
-                for attempt in range(1, MAX_TRIES + 1):
-                    try:
-                        raw, used_in, used_out = client(int(cluster_id), prompt)
-                        row = (int(cluster_id), raw, None, attempt, used_in, used_out)
-                        break
-                    except ServiceError as error:
-                        row = (int(cluster_id), "", f"service error after {attempt} tries: {error}", attempt, 0, 0)
-                        if attempt < MAX_TRIES:
-                            wait(2.0**attempt)
-                    except Exception as error:
-                        row = (int(cluster_id), "", f"{type(error).__name__}: {error}", attempt, 0, 0)
-                        break
-                # One row at a time, so that a lost task repeats few calls.
-                yield pd.DataFrame([row], columns=schemas.RESPONSE.names)
+        asked = ((int(c), p) for batch in batches for c, p in zip(batch["cluster_id"], batch["prompt"]))
+        first = next(asked, None)
+        if first is None:
+            return
+        client, pace, open_calls = make_client(), Pace(gap, wait), deque()
+        threads = ThreadPoolExecutor(in_flight)
+        try:
+            for cluster_id, prompt in itertools.chain([first], asked):
+                if len(open_calls) == in_flight:
+                    yield pd.DataFrame([open_calls.popleft().result()], columns=schemas.RESPONSE.names)
+                open_calls.append(threads.submit(_asked, client, cluster_id, prompt, pace, wait))
+            # One row at a time, so that a lost task repeats few calls.
+            while open_calls:
+                yield pd.DataFrame([open_calls.popleft().result()], columns=schemas.RESPONSE.names)
+        finally:
+            threads.shutdown(cancel_futures=True)
 
     return prompts.select("cluster_id", "prompt").mapInPandas(ask, schemas.RESPONSE)
 
