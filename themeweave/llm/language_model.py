@@ -129,39 +129,50 @@ def unpack(data: bytes, *types) -> list[np.ndarray]:
 
 
 def _packed_grams(codes: list[np.ndarray], words: list[np.ndarray], n: np.ndarray) -> bytes:
-    """Distinct grams: numbers of listed words, hashes of the others, counts."""
-    few = np.minimum(n, 255)
+    """Distinct grams, compressed: numbers of listed words by their bytes, hashes of the others, counts."""
+    few, code = np.minimum(n, 255), np.concatenate(codes)
     rare = [w[c == RARE] for c, w in zip(codes, words)]
-    return pack(np.concatenate(codes), np.concatenate(rare), few.astype(np.uint8), n[few == 255].astype(np.uint64))
+    data = pack((code & 255).astype(np.uint8), (code >> 8).astype(np.uint8), np.concatenate(rare), few.astype(np.uint8), n[few == 255].astype(np.uint64))
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
 
 
 def _unpacked_grams(data: bytes, order: int, listed: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    codes, rare, few, big = unpack(data, _U16, _U64, _U8, _U64)
+    """Grams and counts; ``listed`` has the words in order of their numbers."""
+    raw = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+    low, high, rare, few, big = unpack(raw, _U8, _U8, _U64, _U8, _U64)
     n = few.astype(np.int64)
     n[few == 255] = big
+    codes = low | high.astype(np.uint16) << 8
     words = np.empty(len(codes), np.uint64)
     other = codes == RARE
     words[other], words[~other] = rare, listed[codes[~other]]
     return np.split(words, order), n
 
 
-def _list(listed: HashArrays) -> np.ndarray:
-    return listed.mapped(0)[0] if listed.sizes.get(0) else np.zeros(0, np.uint64)
+def _list(listed: HashArrays) -> tuple[np.ndarray, np.ndarray]:
+    """The listed words in order of hash, and of each the place in that order of the most, second most ... frequent."""
+    if not listed.sizes.get(0):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    words, n = listed.mapped(0)
+    return words, np.argsort(n, kind="stable")[::-1]
 
 
-def _codes(words: np.ndarray, listed: np.ndarray) -> np.ndarray:
-    out = np.full(len(words), RARE, np.uint16)
-    if len(listed):
-        at = np.minimum(np.searchsorted(listed, words), len(listed) - 1)
-        known = listed[at] == words
-        out[known] = at[known]
+def _codes(words: np.ndarray, listed: HashArrays) -> np.ndarray:
+    """Small numbers for frequent words, which compress."""
+    out, (known, by_rank) = np.full(len(words), RARE, np.uint16), _list(listed)
+    if len(known):
+        rank = np.empty(len(known), np.uint16)
+        rank[by_rank] = np.arange(len(known))
+        at = np.minimum(np.searchsorted(known, words), len(known) - 1)
+        there = known[at] == words
+        out[there] = rank[at[there]]
     return out
 
 
 def _dealt_grams(order: int, shards: int, frequent: HashArrays, listed: HashArrays):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text, at in _chunks(batches, order):
-            codes = _codes(text, _list(listed))
+            codes = _codes(text, listed)
             columns = [text[at - k] for k in range(order - 1, -1, -1)]
             grams = chain(columns)
             # By the whole route, so that the grams of one last word but one are a run and compress.
@@ -326,8 +337,10 @@ def _written_grams(folder: str, order: int, shards: int, word_shards: int, frequ
         return pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(np.full(len(some), kind, np.int32)), pa.array(data, pa.binary())], names=["shard", "kind", "data"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, by_rank = _list(listed)
+        words = words[by_rank]
         for shard, packets in _by_shard(batches).items():
-            parts = [_unpacked_grams(data, order, _list(listed)) for (data,) in packets]
+            parts = [_unpacked_grams(data, order, words) for (data,) in packets]
             columns = [np.concatenate([p[0][k] for p in parts]) for k in range(order)]
             n = np.concatenate([p[1] for p in parts])
             del packets, parts
@@ -479,7 +492,7 @@ def train(texts: DataFrame, order: int = ORDER) -> Model:
     # At most 2 words per shard can pass this bound.
     hot = notable.where(F.col("word").isNotNull() & (F.col("n") > tokens / (2 * shards)))
     frequent = write_arrays(hot, "frequent", "word", [], 1)
-    listed = write_arrays(notable.where(F.col("word").isNotNull() & (F.col("n") > tokens * LISTED)), "listed", "word", [], 1)
+    listed = write_arrays(notable.where(F.col("word").isNotNull() & (F.col("n") > tokens * LISTED)), "listed", "word", ["n"], 1)
     folder, word_shards = scratch_path(spark, "model"), -(-shards // 2)
     dealt = rows.mapInArrow(_dealt_grams(order, shards, frequent, listed), "shard int, data binary").repartition(shards, "shard")
     words = dealt.mapInArrow(_written_grams(folder, order, shards, word_shards, frequent, listed), _WORDS).repartition(word_shards, "shard")
