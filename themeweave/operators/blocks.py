@@ -28,6 +28,57 @@ from .tiles import write_tiles
 
 BLOCK_ROWS = 2048
 MAX_PIVOTS = 1024
+FEW_BLOCKS = 64  # up to so many, blocks are kept as small as asked for
+NEAR_PAIRS = 1 << 19  # products held at once while near rows are looked for
+REFINE_ROWS = 1 << 16  # candidate pairs held at once while distances are made exact
+
+
+def grown(block_rows: int, n_points: int) -> int:
+    """Rows of a block: ``block_rows``, on large tables more, up to ``BLOCK_ROWS``.
+
+    Pairs of blocks grow with the square of their number, and each has its fixed cost.
+    """
+    return max(block_rows, min(BLOCK_ROWS, math.ceil(n_points / FEW_BLOCKS)))
+
+
+def exact_distances(a: np.ndarray, b: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    """Distances from the difference vectors, which makes ties exact."""
+    exact = np.empty(len(rows))
+    for start in range(0, len(rows), REFINE_ROWS):
+        part = slice(start, start + REFINE_ROWS)
+        exact[part] = np.sqrt(((a[rows[part]] - b[cols[part]]) ** 2).sum(axis=1))
+    return exact
+
+
+def near_rows(a: np.ndarray, b: np.ndarray, limit: np.ndarray, kinds: tuple[np.ndarray, np.ndarray] | None = None) -> Iterator[tuple[np.ndarray, ...]]:
+    """(rows, cols, distances) of all pairs not farther apart than ``limit`` of the row, by slices of rows of ``a``.
+
+    ``limit`` may shrink between slices. With ``kinds`` only pairs of different kinds count.
+    A product in single precision finds candidates up to a bound on its error, around
+    the middle of ``b``; their distances are then taken from the difference vectors.
+    """
+    if not len(a) or not len(b):
+        return
+    middle = b.mean(axis=0)
+    x, y = a - middle, b - middle
+    norms_x, norms_y = (x**2).sum(axis=1), (y**2).sum(axis=1)
+    most = norms_y.max()
+    kind = np.float32 if max(norms_x.max(), most) < 1e30 else np.float64
+    slack = 2.0 * (a.shape[1] + 8) * float(np.finfo(kind).eps)
+    left = np.concatenate([x, norms_x[:, None], np.ones((len(x), 1))], axis=1).astype(kind)
+    right = np.ascontiguousarray(np.concatenate([-2.0 * y, np.ones((len(y), 1)), norms_y[:, None]], axis=1).astype(kind).T)
+    step = max(1, NEAR_PAIRS // len(b))
+    for start in range(0, len(a), step):
+        part = slice(start, start + step)
+        bound = limit[part].astype(np.float64) ** 2 + slack * (1e-30 + limit[part] ** 2 + norms_x[part] + most)
+        close = left[part] @ right <= bound.astype(kind)[:, None]
+        if kinds is not None:
+            close &= kinds[0][part, None] != kinds[1][None, :]
+        rows, cols = np.divmod(np.flatnonzero(close), len(b))
+        rows += start
+        gaps = exact_distances(a, b, rows, cols)
+        keep = gaps <= limit[rows]
+        yield rows[keep], cols[keep], gaps[keep]
 
 
 @dataclass
@@ -63,7 +114,7 @@ def fold_copies(df: DataFrame, vector_col: str = "embedding", id_col: str = "doc
 
 @dataclass
 class Blocks:
-    """``packed``: (name, block, pivot, radius, size, and the largest of ``core`` if the points have it).
+    """``packed``: (name, block, pivot, radius, size, and the largest ``core`` and ``asked`` if the points have them).
 
     ``folder`` has the rows of each block under its name, ``pivots`` the pivot rows
     themselves, ``pivot_distances`` what lies between them.
@@ -157,11 +208,12 @@ def _assign_pivots(points: DataFrame, pivots: np.ndarray) -> DataFrame:
 
 
 def build_blocks(points: DataFrame, n_points: int, block_rows: int = BLOCK_ROWS) -> Blocks:
-    """Pack (rep, v, ...) rows into blocks of about ``block_rows``.
+    """Pack (rep, v, ...) rows into blocks of about ``block_rows``, or more on large tables (``grown``).
 
     Pivots are rows drawn in hash order. A pivot with many rows gets as many
     blocks as its count asks for, so no block grows with its neighbourhood.
     """
+    block_rows = grown(block_rows, n_points)
     n_pivots = max(1, min(MAX_PIVOTS, math.ceil(n_points / block_rows)))
     drawn = points.orderBy(F.xxhash64("rep"), "rep").limit(n_pivots).collect()
     pivots = np.array([row["v"] for row in drawn], dtype=np.float64)
@@ -173,7 +225,7 @@ def build_blocks(points: DataFrame, n_points: int, block_rows: int = BLOCK_ROWS)
     )
     others = [name for name in points.columns if name != "rep"]
     rows = F.sort_array(F.collect_list(F.struct("rep", *others)))
-    most = [F.max("core").alias("core")] if "core" in others else []
+    most = [F.max(name).alias(name) for name in ("core", "asked") if name in others]
     block = (F.col("part") * MAX_PIVOTS + F.col("pivot")).alias("block")
     packed = (
         placed.join(F.broadcast(sizes), "pivot")  # one row per pivot, MAX_PIVOTS at most

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -9,11 +11,10 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from . import blocks as bl
-from .tiles import Tile, over_pairs
+from .tiles import Tile, over_pairs, over_runs
 
 FOUND = "rep long, nbr long, d double"
 FOUND_ARROW = pa.schema([("rep", pa.int64()), ("nbr", pa.int64()), ("d", pa.float64())])
-REFINE_ROWS = 1 << 16  # candidate pairs held at once while distances are made exact
 
 
 def _nearest_in(left: dict, right: dict, k: int, same: bool) -> pa.Table:
@@ -33,16 +34,46 @@ def _nearest_in(left: dict, right: dict, k: int, same: bool) -> pa.Table:
         rows, cols = np.nonzero(squared <= limit + slack)
     else:
         rows, cols = np.nonzero(np.isfinite(squared))
-    exact = np.empty(len(rows))
-    for start in range(0, len(rows), REFINE_ROWS):
-        part = slice(start, start + REFINE_ROWS)
-        exact[part] = np.sqrt(((a[rows[part]] - b[cols[part]]) ** 2).sum(axis=1))
-    nbr = right["rep"][cols]
-    order = np.lexsort((nbr, exact, rows))
-    rows, nbr, exact = rows[order], nbr[order], exact[order]
-    place = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
-    keep = place < k
-    return pa.table([left["rep"][rows[keep]], nbr[keep], exact[keep]], schema=FOUND_ARROW)
+    found = _closest(rows, right["rep"][cols], bl.exact_distances(a, b, rows, cols), k)
+    return pa.table([left["rep"][found[0]], *found[1:]], schema=FOUND_ARROW)
+
+
+def _closest(rows: np.ndarray, nbr: np.ndarray, d: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """The k nearest of each row, by (distance, id)."""
+    order = np.lexsort((nbr, d, rows))
+    rows, nbr, d = rows[order], nbr[order], d[order]
+    keep = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left") < k
+    return rows[keep], nbr[keep], d[keep]
+
+
+def _kth_bound(a: np.ndarray, b: np.ndarray, k: int) -> np.ndarray:
+    """What the k-th nearest row of ``b`` is not farther than, for each row of ``a``."""
+    if len(b) < k:
+        return np.full(len(a), np.inf)
+    norms_a, norms_b = (a**2).sum(axis=1), (b**2).sum(axis=1)
+    squared = np.partition(norms_a[:, None] + norms_b[None, :] - 2.0 * (a @ b.T), k - 1, axis=1)[:, k - 1]
+    return np.sqrt(np.maximum(squared, 0.0) + 1e-9 * (1.0 + norms_a + norms_b.max(initial=0.0)))
+
+
+def _nearest_of_run(left: Tile, rights: Iterator[tuple[str, Tile]], k: int) -> pa.Table:
+    """For each left row its k nearest rows of all the right blocks, as far as they are not beyond its k nearest in its own block."""
+    n = len(left["rep"])
+    limit = np.full(n, np.inf)
+    if n > k:
+        limit = _nearest_in(left, left, k, same=True).column("d").to_numpy().reshape(n, k)[:, -1].copy()
+    held = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
+    for _, right in rights:
+        unbounded = np.flatnonzero(np.isinf(limit))
+        if len(unbounded):
+            limit[unbounded] = _kth_bound(left["v"][unbounded], right["v"], k)
+        found = [(rows, right["rep"][cols], d) for rows, cols, d in bl.near_rows(left["v"], right["v"], limit)]
+        if not any(len(rows) for rows, *_ in found):
+            continue
+        held = _closest(*(np.concatenate(c) for c in zip(held, *found)), k)
+        count = np.bincount(held[0], minlength=n)
+        full = np.flatnonzero(count == k)
+        limit[full] = np.minimum(limit[full], held[2][np.cumsum(count)[full] - 1])
+    return pa.table([left["rep"][held[0]], *held[1:]], schema=FOUND_ARROW)
 
 
 def _best(found: DataFrame, key: str, other: str, k: int) -> DataFrame:
@@ -57,8 +88,8 @@ def _distinct_neighbors(blocks: bl.Blocks, k: int) -> DataFrame:
         found = _nearest_in(rows, rows, k, same=True)
         return found.append_column("block", pa.array([int(name)] * len(found), pa.int64()))
 
-    def between(left: Tile, right: Tile, *_: str) -> pa.Table:
-        return _nearest_in(left, right, k, same=False)
+    def between(left: Tile, _: str, rights: Iterator[tuple[str, Tile]]) -> Iterator[pa.Table]:
+        yield _nearest_of_run(left, rights, k)
 
     own = materialize(over_pairs(blocks.each(), blocks.folder, within, f"{FOUND}, block long"), "knn-own")
     # A row's k-th distance inside its block bounds how far it needs to look. A block of k rows or fewer has no bound.
@@ -66,7 +97,7 @@ def _distinct_neighbors(blocks: bl.Blocks, k: int) -> DataFrame:
     reach = blocks.packed.join(known, "block", "left").select(
         "block", F.when(F.col("size") > k, F.col("far")).otherwise(F.lit(float("inf"))).alias("reach")
     )
-    others = over_pairs(blocks.pairs_from(reach), blocks.folder, between, FOUND)
+    others = over_runs(blocks.pairs_from(reach), blocks.folder, between, FOUND)
     own = own.select("rep", "nbr", "d")
     return _best(own.unionByName(others), "rep", "nbr", k)
 
@@ -78,10 +109,10 @@ def knn_graph(df: DataFrame, k: int, vector_col: str = "embedding", id_col: str
     distinct vectors minus the block pairs that the pivot bounds rule out.
     """
     points = bl.fold_copies(df, vector_col, id_col)
-    return _expand(points, _knn_points(points, k, block_rows), k)
+    return _expand(points, knn_points(points, k, block_rows), k)
 
 
-def _knn_points(points: bl.Points, k: int, block_rows: int) -> DataFrame:
+def knn_points(points: bl.Points, k: int, block_rows: int) -> DataFrame:
     if points.n_distinct == 0:
         return points.distinct.sparkSession.createDataFrame([], f"{FOUND}, rank int")
     blocks = bl.build_blocks(points.distinct.select("rep", "v"), points.n_distinct, block_rows)
@@ -125,7 +156,11 @@ def core_distance(df: DataFrame, min_samples: int, vector_col: str = "embedding"
 
 def point_core_distances(points: bl.Points, min_samples: int, block_rows: int) -> DataFrame:
     """(rep, core): all copies of a vector share one core distance."""
-    found = _knn_points(points, min_samples, block_rows)
+    return cores_of(points, knn_points(points, min_samples, block_rows), min_samples)
+
+
+def cores_of(points: bl.Points, found: DataFrame, min_samples: int) -> DataFrame:
+    """(rep, core) from the ``min_samples`` nearest distinct vectors of each."""
     if not points.has_copies:
         return found.groupBy("rep").agg(F.max("d").alias("core"))
     weights = points.distinct.select(F.col("rep").alias("nbr"), "weight")

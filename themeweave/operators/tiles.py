@@ -11,7 +11,9 @@ that it unlinks as soon as it is mapped.
 
 from __future__ import annotations
 
+import itertools
 import json
+import math
 import tempfile
 import uuid
 from collections import OrderedDict
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 from ..functions import vectors as vx
 from ..session import materialize, scratch_path
 
-STRETCHES = 32  # parts into which the pairs of one left block are dealt
+PAIRS = 256  # pairs of blocks that a task works on
 OPEN = 64  # blocks that a worker keeps mapped
 
 Tile = dict[str, np.ndarray]
@@ -72,7 +74,8 @@ def write_tiles(packed: DataFrame, label: str) -> tuple[DataFrame, str]:
             at = batch.schema.get_field_index("rows")
             for k, name in enumerate(batch.column("name").to_pylist()):
                 tile = unpack(batch.column(at).slice(k, 1))
-                tile["v"] = tile["v"].astype(np.float32 if single else np.float64)
+                if "v" in tile:
+                    tile["v"] = tile["v"].astype(np.float32 if single else np.float64)
                 _write(folder, name, tile)
             columns = [c for i, c in enumerate(batch.columns) if i != at]
             yield pa.RecordBatch.from_arrays(columns, names=[n for n in batch.schema.names if n != "rows"])
@@ -119,17 +122,39 @@ def loaded(folder: str, name: str) -> Tile:
     return {**tile, "v": tile["v"].astype(np.float64)}
 
 
+def _dealt(pairs: DataFrame) -> DataFrame:
+    """The pairs in tasks of about ``PAIRS``, those of one left block in a row.
+
+    The number of tasks is given: a pair is two short names, so by its bytes adaptive
+    execution would put hours of work into one task.
+    """
+    named = materialize(pairs.select("a", "b"), "pairs")
+    n = named.count()
+    tasks = max(math.ceil(n / PAIRS), min(n, 4 * named.sparkSession.sparkContext.defaultParallelism), 1)
+    return named.repartitionByRange(tasks, "a", "b").sortWithinPartitions("a", "b")
+
+
+def over_runs(pairs: DataFrame, folder: str, work: Callable[[Tile, str, Iterator[tuple[str, Tile]]], Iterator[pa.Table]], schema: str) -> DataFrame:
+    """The results of ``work(left, a, rights)``, ``rights`` being those (b, right) that one task meets for the block ``a``.
+
+    What a left block gathers from many right ones can be put together before it leaves the task.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        named = (pair for batch in batches for pair in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()))
+        for a, met in itertools.groupby(named, key=lambda pair: pair[0]):
+            left = loaded(folder, a)
+            rights = ((b, left if a == b else loaded(folder, b)) for _, b in met)
+            for table in work(left, a, rights):
+                yield from table.to_batches()
+
+    return _dealt(pairs).mapInArrow(run, schema)
+
+
 def over_pairs(pairs: DataFrame, folder: str, work: Callable[[Tile, Tile, str, str], pa.Table], schema: str) -> DataFrame:
     """The results of ``work(left, right, a, b)`` for all ``pairs`` (a, b) of block names."""
-    stretch = F.pmod(F.xxhash64("b"), F.lit(STRETCHES))
-    dealt = pairs.select("a", "b").repartition("a", stretch).sortWithinPartitions("a", "b")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, left = None, {}
-        for batch in batches:
-            for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
-                if a != name:
-                    name, left = a, loaded(folder, a)
-                yield from work(left, left if a == b else loaded(folder, b), a, b).to_batches()
+    def each(left: Tile, a: str, rights: Iterator[tuple[str, Tile]]) -> Iterator[pa.Table]:
+        return (work(left, right, a, b) for b, right in rights)
 
-    return dealt.mapInArrow(run, schema)
+    return over_runs(pairs, folder, each, schema)
