@@ -41,7 +41,7 @@ def _small_star(down: DataFrame, key: str) -> DataFrame:
 LOCAL_EDGES = 1 << 20
 
 
-def _contract(key: str, held: list[pa.RecordBatch]) -> pa.RecordBatch:
+def contract(key: str, held: list[pa.RecordBatch]) -> pa.RecordBatch:
     table = pa.Table.from_batches(held)
     groups, u, v = (table.column(n).to_numpy() for n in (key, "u", "v"))
     vertices, place = np.unique(np.stack([np.tile(groups, 2), np.concatenate([u, v])]), axis=1, return_inverse=True)
@@ -70,17 +70,17 @@ def _local_stars(edges: DataFrame, key: str) -> DataFrame:
     and million edges, and saves the rounds that would be spent inside partitions.
     """
 
-    def contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
             held.append(batch)
             if sum(map(len, held)) >= LOCAL_EDGES:
-                yield _contract(key, held)
+                yield contract(key, held)
                 held = []
         if any(map(len, held)):
-            yield _contract(key, held)
+            yield contract(key, held)
 
-    return edges.mapInArrow(contract, f"{key} int, u long, v long")
+    return edges.mapInArrow(stars, f"{key} int, u long, v long")
 
 
 def _written(edges: DataFrame, key: str) -> tuple[DataFrame, dict]:

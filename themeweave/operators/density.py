@@ -3,15 +3,18 @@
 Two rows are linked at level eps if ``max(core_i, core_j, distance) <= eps``;
 clusters are the connected components of ``min_cluster_size`` rows or more.
 
-The graph is never listed. Each pair of blocks is reduced to its minimum
-spanning forest, at most one edge per row, which keeps the components of every
-level (an edge left out closes a cycle of edges no longer than itself, in the
-pair and so in the whole). Components at all levels then come from that thin
-edge table.
+The graph is never listed. At one level, the lists of nearest neighbours connect
+most rows already; only rows outside the largest component so far look for links to
+other components. For all levels, the minimum spanning forest is grown by rounds of
+Boruvka over pairs of blocks: in each round the components but the largest look for
+their least edge to another one, within what the lists offer, and rows whose core
+distance is above that do not look at all.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,49 +23,23 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fv
 from ..session import materialize
 from . import blocks as bl
-from .components import connected_components
+from .components import connected_components, contract
 from .dendrogram import stable_clusters
-from .neighbors import point_core_distances
+from .neighbors import cores_of, knn_points
 from .silhouette import silhouette_euclidean
-from .tiles import Tile, over_pairs
+from .tiles import Tile, over_runs, read_tile, write_tiles
 
 EDGES = "u long, v long, w double"
 
 
-def _spanning_forest(rep: np.ndarray, v: np.ndarray, core: np.ndarray, ceiling: float) -> pa.Table:
-    """Minimum spanning forest of the complete graph over a block's rows, edges up to ``ceiling``."""
-    n = len(rep)
-    norms = (v**2).sum(axis=1)
-    squared = norms[:, None] + norms[None, :] - 2.0 * (v @ v.T)
-    reach = np.sqrt(np.maximum(squared, 0.0))
-    close = np.argwhere(squared <= 1e-6 * (1.0 + norms[:, None]))
-    for start in range(0, len(close), 1 << 16):
-        r, c = close[start : start + (1 << 16)].T
-        reach[r, c] = np.sqrt(((v[r] - v[c]) ** 2).sum(axis=1))
-    reach = np.maximum(reach, np.maximum(core[:, None], core[None, :]))
-    # Grow one tree over all rows; edges above the ceiling are dropped after.
-    outside = np.ones(n, dtype=bool)
-    best, link = np.full(n, np.inf), np.full(n, -1)
-    at, edges = 0, []
-    for _ in range(n - 1):
-        outside[at] = False
-        nearer = outside & (reach[at] < best)
-        best[nearer], link[nearer] = reach[at][nearer], at
-        at = int(np.where(outside, best, np.inf).argmin())
-        edges.append((link[at], at, best[at]))
-    if not edges:
-        return pa.table({"u": rep[:0], "v": rep[:0], "w": core[:0]})
-    a, b = (np.array(x, dtype=np.int64) for x in list(zip(*edges))[:2])
-    # Weights from the difference vectors, as core distances are: equal ones stay equal.
-    w = np.maximum(np.sqrt(((v[a] - v[b]) ** 2).sum(axis=1)), np.maximum(core[a], core[b]))
-    keep = w <= ceiling
-    return pa.table({"u": rep[a[keep]], "v": rep[b[keep]], "w": w[keep]})
-
-
 def reachability_forest(points: bl.Points, min_samples: int, block_rows: int, ceiling: float = float("inf")) -> DataFrame:
-    """(u, v, w): edges that keep the components of every level up to ``ceiling``."""
+    """(u, v, w): edges that keep the components of every level up to ``ceiling``.
+
+    Ties apart, they are the minimum spanning forest: of edges of equal weight some may close a cycle.
+    """
     spark = points.distinct.sparkSession
-    core = point_core_distances(points, min_samples, block_rows)
+    found = knn_points(points, min_samples, block_rows)
+    core = cores_of(points, found, min_samples)
     # A row whose core distance is above the ceiling has no edges at all.
     dense = core.where(F.col("core") <= ceiling) if np.isfinite(ceiling) else core
     usable = materialize(points.distinct.join(dense, "rep").select("rep", "v", "core"), "dense")
@@ -70,23 +47,117 @@ def reachability_forest(points: bl.Points, min_samples: int, block_rows: int, ce
     if n == 0:
         return spark.createDataFrame([], EDGES)
     blocks = bl.build_blocks(usable, n, block_rows)
-
-    def within(rows: Tile, *_) -> pa.Table:
-        return _spanning_forest(rows["rep"], rows["v"], rows["core"], ceiling)
-
-    def between(left: Tile, right: Tile, *_) -> pa.Table:
-        both = {f: np.concatenate([left[f], right[f]]) for f in ("rep", "v", "core")}
-        return _spanning_forest(both["rep"], both["v"], both["core"], ceiling)
-
-    edges = over_pairs(blocks.each(), blocks.folder, within, EDGES)
-    edges = edges.unionByName(over_pairs(_pairs_that_matter(blocks, ceiling), blocks.folder, between, EDGES))
+    matter = _pairs_that_matter(blocks, ceiling)
+    pairs = matter.unionByName(matter.select(F.col("b").alias("a"), F.col("a").alias("b"))).unionByName(blocks.each())
+    cores = materialize(usable.select("rep", "core"), "cores")
+    left, right = (cores.select(F.col("rep").alias(c), F.col("core").alias(f"{c}_core")) for c in ("u", "v"))
+    listed = found.select(F.col("rep").alias("u"), F.col("nbr").alias("v"), "d").join(left, "u").join(right, "v")
+    listed = listed.select("u", "v", F.greatest("d", "u_core", "v_core").alias("w")).where((F.col("w") <= ceiling) & (F.col("u") != F.col("v")))
+    edges = _least_edges(blocks, materialize(pairs, "block-pairs"), cores, listed, ceiling)
     if points.has_copies:
         # Copies hang on their representative; their mutual reachability is the core distance.
-        copies = points.members.where(F.col("id") != F.col("rep")).join(usable.select("rep", "core"), "rep")
-        edges = edges.unionByName(copies.select(F.col("rep").alias("u"), F.col("id").alias("v"), F.col("core").alias("w")))
+        copies = points.members.where(F.col("id") != F.col("rep")).join(cores, "rep")
+        edges = edges.unionByName(copies.select(F.col("rep").alias("u"), F.col("id").alias("v"), F.col("core").alias("w")).distinct())
     return materialize(edges, "forest")
 
 
+def _placed(blocks: bl.Blocks) -> DataFrame:
+    """(name, rep): the block of each row."""
+    folder = blocks.folder
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name in batch.column("name").to_pylist():
+                reps = np.array(read_tile(folder, name)["rep"])
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(reps)), pa.array(reps)], names=["name", "rep"])
+
+    return materialize(blocks.packed.select("name").mapInArrow(run, "name string, rep long"), "places")
+
+
+def _least_edges(blocks: bl.Blocks, pairs: DataFrame, cores: DataFrame, listed: DataFrame, ceiling: float) -> DataFrame:
+    """Rounds of Boruvka over ``pairs`` of blocks, ``listed`` being edges that are known beforehand.
+
+    The least edge out of a component is part of some minimum forest whatever the other
+    components do, so the largest one need not look for its own.
+    """
+    both = listed.unionByName(listed.select(F.col("v").alias("u"), F.col("u").alias("v"), "w"))
+    known = materialize(both.withColumns({"cu": F.col("u"), "cv": F.col("v")}), "listed")
+    placed = _placed(blocks)
+    labels = cores.select("rep", F.col("rep").alias("comp")).distinct()
+    chosen = None
+    # Edges of equal weight, which core distances make often, go by their rows, so that they close no cycles.
+    edge = F.struct("w", F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"), "cv").alias("e")
+    while True:
+        largest = labels.groupBy("comp").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "comp").limit(2).collect()
+        if len(largest) < 2:
+            break
+        least = materialize(known.where(F.col("cu") != largest[0]["comp"]).groupBy(F.col("cu").alias("comp")).agg(F.min(edge).alias("e")), "least")
+        bound = F.coalesce("e.w", F.lit(float(np.nextafter(ceiling, np.inf))))
+        looking = (F.col("comp") != largest[0]["comp"]) & ((F.col("core") < bound) | F.col("e").isNull())
+        marked = placed.join(labels.join(least, "comp", "left"), "rep").join(cores.groupBy("rep").agg(F.min("core").alias("core")), "rep")
+        marked = marked.select("name", "rep", "comp", F.when(looking, bound).otherwise(-1.0).alias("bound"))
+        marks, folder = write_tiles(
+            marked.groupBy("name").agg(F.max("bound").alias("bound"), F.sort_array(F.collect_list(F.struct("rep", "comp", "bound"))).alias("rows")), "marks"
+        )
+        asking = pairs.join(marks.where("bound >= 0").select(F.col("name").alias("a")), "a", "left_semi")
+        best = least.unionByName(_least_found(asking, blocks.folder, folder)).groupBy("comp").agg(F.min("e").alias("e"))
+        best = materialize(best.select("comp", "e.*"), "least-edges")
+        if not best.head(1):
+            break
+        ends = best.select("u", "v", "w").distinct()
+        chosen = ends if chosen is None else chosen.unionByName(ends)
+        merged = connected_components(best.select(F.lit(0).alias("level"), F.col("comp").alias("u"), F.col("cv").alias("v")), "level")
+        merged = materialize(merged.select("node", "component"), "forest-parts")
+        into = lambda df, c: df.join(merged, F.col(c) == F.col("node"), "left").withColumn(c, F.coalesce("component", c)).drop("node", "component")
+        labels = materialize(into(labels, "comp"), "labels")
+        known = materialize(into(into(known, "cu"), "cv").where("cu <> cv"), "listed")
+    if chosen is None:
+        return cores.sparkSession.createDataFrame([], EDGES)
+    return chosen
+
+
+def _least_found(pairs: DataFrame, folder: str, marks: str) -> DataFrame:
+    """(comp, e): of the components in a block, the least edge to rows of other components, if it is below the bound."""
+
+    def work(left: Tile, a: str, rights: Iterator[tuple[str, Tile]]) -> Iterator[pa.Table]:
+        mark = read_tile(marks, a)
+        asking = np.flatnonzero(mark["bound"] >= 0)
+        comp, core, rep, v = mark["comp"][asking], left["core"][asking], left["rep"][asking], left["v"][asking]
+        names, first, at = np.unique(comp, return_index=True, return_inverse=True)
+        bound = mark["bound"][asking][first].copy()
+        ends = np.zeros((3, len(names)), np.int64)
+        hit = np.zeros(len(names), bool)
+
+        def look(right: Tile, theirs: np.ndarray, some: slice) -> None:
+            here = np.flatnonzero(core < bound[at])
+            limit = bound[at[here]]
+            for r, c, gap in bl.near_rows(v[here], right["v"][some], limit, (comp[here], theirs[some])):
+                rows = here[r]
+                w = np.maximum(gap, np.maximum(core[rows], right["core"][some][c]))
+                one, other = rep[rows], right["rep"][some][c]
+                low, high = np.minimum(one, other), np.maximum(one, other)
+                order = np.lexsort((high, low, w, at[rows]))
+                of, place = np.unique(at[rows][order], return_index=True)
+                pick = order[place]
+                before = (low[pick] < ends[0, of]) | (low[pick] == ends[0, of]) & (high[pick] < ends[1, of])
+                less = (w[pick] < bound[of]) | hit[of] & (w[pick] == bound[of]) & before
+                of, pick = of[less], pick[less]
+                bound[of], hit[of] = w[pick], True
+                ends[:, of] = low[pick], high[pick], theirs[some][c[pick]]
+                limit[:] = bound[at[here]]
+
+        for b, right in rights:
+            theirs = np.asarray(read_tile(marks, b)["comp"])
+            if np.isinf(bound).any():  # a few rows give a first bound
+                look(right, theirs, slice(0, 64))
+            look(right, theirs, slice(None))
+        columns = [names[hit], bound[hit], *ends[:, hit]]
+        yield pa.table(dict(zip(("comp", "w", "u", "v", "cv"), columns)))
+
+    found = over_runs(pairs, folder, work, "comp long, w double, u long, v long, cv long")
+    return found.groupBy("comp").agg(F.min(F.struct("w", "u", "v", "cv")).alias("e"))
+
+
 def minimum_forest(edges: DataFrame) -> DataFrame:
     """The minimum spanning forest of (u, v, w), by rounds of Boruvka: at most one edge less than vertices.
 
@@ -141,6 +212,57 @@ def _pairs_that_matter(blocks: bl.Blocks, ceiling: float) -> DataFrame:
     return blocks.pairs_between(reach, bridges, ceiling)
 
 
+def _parts_at(points: bl.Points, eps: float, min_samples: int, block_rows: int) -> DataFrame:
+    """(node, component) of the rows with a core distance up to ``eps``, linked up to ``eps``."""
+    found = knn_points(points, min_samples, block_rows)
+    core = cores_of(points, found, min_samples)
+    dense = materialize(core.where(F.col("core") <= eps).select("rep"), "dense")
+    listed = found.where(F.col("d") <= eps).select(F.col("rep").alias("u"), F.col("nbr").alias("v"))
+    listed = listed.join(dense.select(F.col("rep").alias("u")), "u", "left_semi").join(dense.select(F.col("rep").alias("v")), "v", "left_semi")
+    if points.has_copies:
+        copies = points.members.where(F.col("id") != F.col("rep")).join(dense, "rep", "left_semi")
+        listed = listed.unionByName(copies.select(F.col("rep").alias("u"), F.col("id").alias("v")))
+    first = connected_components(listed.select(F.lit(0).alias("level"), "u", "v"), "level")
+    first = materialize(first.select("node", "component"), "first-parts")
+    rows = points.distinct.join(dense, "rep", "left_semi").join(first.withColumnRenamed("node", "rep"), "rep", "left")
+    rows = materialize(rows.select("rep", "v", F.coalesce("component", "rep").alias("comp")), "dense-rows")
+    every = first.select("node", "component").unionByName(rows.select(F.col("rep").alias("node"), F.col("comp").alias("component"))).distinct()
+    largest = rows.groupBy("comp").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "comp").limit(2).collect()
+    if len(largest) < 2:
+        return every
+    marked = rows.withColumn("asked", (F.col("comp") != largest[0]["comp"]).cast("int"))
+    blocks = bl.build_blocks(marked, rows.count(), block_rows)
+    reach = blocks.packed.select("block", F.when(F.col("asked") > 0, F.lit(float(eps))).otherwise(-float("inf")).alias("reach"))
+    own = blocks.packed.where("asked > 0").select(F.col("name").alias("a"), F.col("name").alias("b"))
+    links = over_runs(blocks.pairs_from(reach).unionByName(own), blocks.folder, _links(eps), "level int, u long, v long")
+    merged = connected_components(links, "level").select(F.col("node").alias("component"), F.col("component").alias("top"))
+    return every.join(merged, "component", "left").select("node", F.coalesce("top", "component").alias("component"))
+
+
+LINKS = 1 << 16  # links between components that a task holds before it contracts them
+
+
+def _links(eps: float) -> Callable:
+    def work(left: Tile, _: str, rights: Iterator[tuple[str, Tile]]) -> Iterator[pa.Table]:
+        asked = np.flatnonzero(left["asked"] > 0)
+        v, comp, limit = left["v"][asked], left["comp"][asked], np.full(len(asked), float(eps))
+        held = np.empty((2, 0), np.int64)
+        for _, right in rights:
+            for r, c, _ in bl.near_rows(v, right["v"], limit, (comp, right["comp"])):
+                if len(r):
+                    held = np.unique(np.concatenate([held, np.stack([comp[r], right["comp"][c]])], axis=1), axis=1)
+                if held.shape[1] > LINKS:
+                    stars = contract("level", [_batch(held)])
+                    held = np.stack([stars.column(n).to_numpy() for n in ("u", "v")])
+        yield pa.Table.from_batches([_batch(held)])
+
+    return work
+
+
+def _batch(links: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.zeros(links.shape[1], np.int32)), *map(pa.array, links)], names=["level", "u", "v"])
+
+
 def density_cluster(
     df: DataFrame,
     eps: float,
@@ -157,9 +279,9 @@ def density_cluster(
     """
     min_samples = min_samples or min_cluster_size
     points = bl.fold_copies(df, vector_col, id_col)
-    forest = reachability_forest(points, min_samples, block_rows, ceiling=eps)
-    parts = connected_components(forest.where(F.col("w") <= eps).select(F.lit(0).alias("level"), "u", "v"), "level")
-    sizes = parts.groupBy("component").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= min_cluster_size)
+    parts = _parts_at(points, eps, min_samples, block_rows)
+    # a row without any link is not a cluster
+    sizes = parts.groupBy("component").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= max(min_cluster_size, 2))
     kept = parts.join(sizes, "component").select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"))
     every = df.select(F.col(id_col).cast("long").alias("doc_id"))
     return every.join(kept, "doc_id", "left").select(
@@ -185,7 +307,8 @@ def density_cluster_auto(
     points = bl.fold_copies(df, vector_col, id_col)
     every = df.select(F.col(id_col).cast("long").alias("doc_id"))
     forest = reachability_forest(points, min_samples, block_rows)
-    if forest.count() >= points.n_rows:  # edges of several blocks: more than a forest has
+    ends = forest.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    if forest.count() >= max(ends.count(), 1):  # ties closed a cycle
         forest = materialize(minimum_forest(forest), "forest")
     chosen = stable_clusters(forest, min_cluster_size)
     return every.join(chosen, "doc_id", "left").select(
