@@ -16,10 +16,11 @@ from ..functions import fixed_values as fv
 from ..functions import vectors as vx
 from ..session import materialize
 from . import blocks as bl
-from .tiles import Tile, loaded, over_pairs, write_tiles
+from .tiles import Tile, loaded, over_runs, write_tiles
 
 # Cluster statistics are shipped to the workers only below this size.
 STATS_BYTES = 64 << 20
+SLICE = 1 << 17  # distances held at once
 
 
 def silhouette_cosine(df: DataFrame, cluster_col: str, vector_col: str = "embedding") -> float | None:
@@ -80,11 +81,11 @@ def silhouette_euclidean(
         .select("c", "size", "n_points", "norm2", vector_to_array("mean").alias("mean")),
         "silhouette-clusters",
     )
-    shape = stats.agg(F.count(F.lit(1)).alias("k"), F.max(F.size("mean")).alias("d")).first()
+    shape = stats.agg(F.count(F.lit(1)).alias("k"), F.max(F.size("mean")).alias("d"), F.sum("n_points").alias("n")).first()
     if shape["k"] < 2:
         return spark.createDataFrame([(None, None, 0)], "silhouette double, standard_error double, asked long")
 
-    parts = F.ceil(F.col("n_points") / block_rows)
+    parts = F.ceil(F.col("n_points") / bl.grown(block_rows, shape["n"]))
     drawn = F.conv(F.substring(F.md5(F.col("rep").cast("string")), 1, 8), 16, 10).cast("double") / 2.0**32
     share = F.greatest(F.lit(float(sample_fraction)), LEAST_ASKED / F.col("n_points"))
     packed, folder = write_tiles(
@@ -171,21 +172,43 @@ def _add_candidates(found: DataFrame | None, packed: DataFrame, folder: str, row
 
 
 def _distance_sums(pairs: DataFrame, folder: str) -> DataFrame:
-    """(c, rep, other, total): distances from each asked row to the rows of a block of ``other``, summed."""
+    """(c, rep, other, total): distances from each asked row to the rows of blocks of ``other``, summed.
 
-    def measure(left: Tile, right: Tile, own: str, other: str) -> pa.Table:
+    A task sends one sum per row and cluster, however many of the cluster's blocks it met.
+    """
+
+    def measure(left: Tile, own: str, rights: Iterator[tuple[str, Tile]]) -> Iterator[pa.Table]:
         asked = left["asked"] > 0
-        a, b = left["v"][asked], right["v"]
-        squared = (a**2).sum(axis=1)[:, None] + (b**2).sum(axis=1)[None, :] - 2.0 * (a @ b.T)
+        a, rep = left["v"][asked], left["rep"][asked]
+        norms = (a**2).sum(axis=1)
+        a_side = np.concatenate([a, norms[:, None], np.ones((len(a), 1))], axis=1)
+        totals: dict[int, np.ndarray] = {}
+        for name, right in rights:
+            other = int(name.split(".")[0])
+            if other not in totals:
+                totals[other] = np.zeros(len(a))
+            totals[other] += _summed(a, norms, a_side, right)
+        for other, total in totals.items():
+            c = np.full(len(a), int(own.split(".")[0]))
+            yield pa.table({"c": c, "rep": rep, "other": np.full(len(a), other), "total": total})
+
+    return over_runs(pairs, folder, measure, "c long, rep long, other long, total double")
+
+
+def _summed(a: np.ndarray, norms: np.ndarray, a_side: np.ndarray, right: Tile) -> np.ndarray:
+    """Weighted distances to all rows of a block, by slices that stay near the processor."""
+    b, weight = right["v"], right["weight"]
+    b_side = np.ascontiguousarray(np.concatenate([-2.0 * b, np.ones((len(b), 1)), (b**2).sum(axis=1)[:, None]], axis=1).T)
+    totals = np.empty(len(a))
+    step = max(1, SLICE // len(b))
+    for start in range(0, len(a), step):
+        part = slice(start, start + step)
+        distances = a_side[part] @ b_side
         # Where the product cancels, near-equal rows are measured directly.
-        scale = 1.0 + (a**2).sum(axis=1)[:, None]
-        close = np.argwhere(squared <= 1e-6 * scale)
-        distances = np.sqrt(np.maximum(squared, 0.0))
-        for start in range(0, len(close), 1 << 16):
-            r, c = close[start : start + (1 << 16)].T
-            distances[r, c] = np.sqrt(((a[r] - b[c]) ** 2).sum(axis=1))
-        totals = distances @ right["weight"]
-        n, c_of = len(totals), lambda name: int(name.split(".")[0])
-        return pa.table({"c": np.full(n, c_of(own)), "rep": left["rep"][asked], "other": np.full(n, c_of(other)), "total": totals})
-
-    return over_pairs(pairs, folder, measure, "c long, rep long, other long, total double")
+        close = np.flatnonzero(distances <= 1e-6 * (1.0 + norms[part, None]))
+        np.maximum(distances, 0.0, out=distances)
+        np.sqrt(distances, out=distances)
+        r, c = np.divmod(close, len(b))
+        distances[r, c] = bl.exact_distances(a, b, r + start, c)
+        totals[part] = distances @ weight
+    return totals
