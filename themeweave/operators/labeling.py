@@ -386,6 +386,9 @@ def label_clusters(
     **options,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Terms, examples, prompts, calls, validation: (labels, dead letters, responses)."""
+    # Read three times from here on: texts are made ready for it once.
+    opening = F.substring(tx.null_to_empty(F.col("text")), 1, fv.EXCERPT_CHARS).alias("text")
+    df = materialize(df.where(F.col(cluster_col) != fv.NOISE).select("doc_id", cluster_col, "title", opening, "texto_modelo"), "label-rows")
     terms = ctfidf_top_terms(df, cluster_col, language=language, pad_zero=True)
     prompts = render_prompts(
         keyword_lines(terms), example_blocks(df, cluster_col, chosen=chosen), template, cluster_list(df, cluster_col)
