@@ -189,3 +189,21 @@ def test_targets_of_many_sources(spark):
         want = quotas(sizes)
         assert got.keys() == want.keys() and all(abs(got[s] - want[s]) < 1e-6 * want[s] for s in want)
         assert all(0 < got[s] <= 2 * sizes[s] for s in sizes) and abs(sum(got.values()) - 1.5 * sum(sizes.values())) < 1e-3
+
+
+def test_templates_of_odd_words_come_from_passes_over_whole_texts(spark):
+    told = "He said,  Tom's 5 Km run\tcost $5k or -3.5€; (Ann) walked ... 12kg 7 ?! kg. ended. Bob\nsaw 1/2 Ké <NUM> ΑΣ"
+    df = spark.createDataFrame([(1, told), (2, None), (3, " \n"), (4, "... Tom"), (5, "a Tom  4 Kg")], "doc_id long, text string")
+    spelled = decontamination._spelled(df, "doc_id", decontamination.FORMS)
+    rows = {r["doc_id"]: r for r in spelled.collect()}
+    narrow = "he said tom's <num> <unit> run cost $5k or -35€ <name> walked  <num><unit> <num>  kg ended bob saw <num> ké <num> ας"
+    broad = "<name> said <name's> <num> <unit> run cost <money> or <money> <name> walked  <num><unit> <num>  kg ended <name> saw <num> <name> <num> ας"
+    assert rows[1]["words"] == told.split()
+    assert rows[1]["t1"] == broad.split(" ")
+    assert rows[1]["t0"] == narrow.split(" ")
+    assert rows[2]["words"] == rows[3]["words"] == rows[2]["t0"] == rows[3]["t1"] == []
+    assert rows[4]["t0"] == ["", "tom"] and rows[4]["t1"] == ["", "<name>"]
+    assert rows[5]["t0"] == rows[5]["t1"] == ["a", "<name>", "<num>", "<unit>"]
+    # word by word only the hashes are left to do
+    plan = spelled._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lambdafunction(") == 2

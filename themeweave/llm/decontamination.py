@@ -46,52 +46,55 @@ ID_BITS = 24
 FORMS = (False, True)  # narrow, broad
 
 WORD = r"[^\x20\x09-\x0D]+"
+SEPARATORS = r"[\x20\x09-\x0D]+"
 PUNCTUATION = ".,;:!?\"()[]"
-NUMBER = r"^[+-]?[0-9]+([.,/:-][0-9]+)*$"
-MEASURE = r"^[+-]?[0-9]+([.,/:-][0-9]+)*[A-Za-z%]+$"
-NAME = r"^\p{Lu}\p{Ll}+$"
-POSSESSIVE = r"^(\p{Lu}\p{Ll}+)['\u2019]s?$"
-MONEY = r"^[+-]?[$\u20ac\u00a3\u00a5][0-9]+([.,/:-][0-9]+)*[A-Za-z]?$|^[+-]?[0-9]+([.,/:-][0-9]+)*[$\u20ac\u00a3\u00a5]$"
 CURRENCIES = "$\u20ac\u00a3\u00a5"
-RUNS_ON = r"[\p{Ll},;]$"  # end of a word after which a capital does not begin a sentence
 UNITS = "% mm cm m km in ft mi g kg mg t lb oz s ms min h hours minutes seconds days years l ml usd eur dollars euros cents degrees percent".split()
 
+# Patterns of whole words of a text ``_joined`` by spaces. The class at the end of END is what ``$`` passes over.
+_TAIL = r"[\x85\u2028\u2029]?"
+_END = _TAIL + r"(?= )"
+_DIGITS = r"[0-9]+([.,/:-][0-9]+)*"
+NUMBER = rf" [+-]?{_DIGITS}{_END}"
+MEASURE = rf" [+-]?{_DIGITS}[A-Za-z%]+{_END}"
+UNIT = "( \tnum>) \x0b?(" + "|".join("".join(f"[{c}{c.upper()}\u212a]" if c == "k" else f"[{c}{c.upper()}]" for c in u) for u in UNITS) + ")(?= )"
+MONEY = rf" ([+-]?[{CURRENCIES}]{_DIGITS}[A-Za-z]?{_END}|[+-]{_DIGITS}[{CURRENCIES}]{_END}|{_DIGITS}[{CURRENCIES}](?= ))"
+# a capital letter that has a small one
+_CAPITAL = r"[\p{Lu}&&[^\u03d2-\u03d4\u2102-\u2125\u2127-\u2129\u212c-\u2131\u2133-\u2145\x{1D400}-\x{1D7FF}]]"
+NAME = rf"{_CAPITAL}\p{{Ll}}+{_END}"
+POSSESSIVE = rf" \x0b?\p{{Lu}}\p{{Ll}}+['\u2019]s?{_END}"
+OWNER = r"^(\p{Lu}\p{Ll}+)['\u2019]s?$"
+# a capital after a word at whose end a sentence does not begin
+RUNS_ON = rf" (?<=[\p{{Ll}},;]{_TAIL} )(?=[.,;:!?\"()\[\]]*\p{{Lu}})"
 
-def _classes(words: Column) -> Column:
-    """Per word its placeholder in the broad form (null for none), its literal form, and the word before.
 
-    Patterns are tried only on words that a look at their ends does not rule out.
-    """
-    bare = F.transform(words, lambda w: F.translate(w, PUNCTUATION, ""))
+def _joined(text: Column) -> Column:
+    """The words with one space before, between and after them."""
+    return F.regexp_replace(F.concat(F.lit(" "), F.coalesce(text, F.lit("")), F.lit(" ")), SEPARATORS, " ")
 
-    def classed(b: Column, i: Column) -> Column:
-        before = F.get(words, i - 1)
-        follows_number = F.coalesce(F.translate(before, PUNCTUATION, "").rlike(NUMBER), F.lit(False))
-        first = F.substring(b, 1, 1)
-        digit = first.isin(*"0123456789+-")
-        money = first.isin(*CURRENCIES, "+", "-") | F.substring(b, -1, 1).isin(*CURRENCIES)
-        kind = (
-            F.when(money & b.rlike(MONEY), F.lit("<money>"))
-            .when((b.contains("'") | b.contains("\u2019")) & b.rlike(POSSESSIVE), F.lit("<name's>"))
-            .when(digit & b.rlike(NUMBER), F.lit("<num>"))
-            .when(digit & b.rlike(MEASURE), F.lit("<num><unit>"))
-            .when((F.length(b) <= 7) & F.lower(b).isin(*UNITS) & follows_number, F.lit("<unit>"))
-            .when((F.lower(first) != first) & b.rlike(NAME), F.lit("<name>"))
-        )
-        return F.struct(kind.alias("kind"), F.lower(b).alias("low"), before.alias("before"))
 
-    return F.transform(bare, classed)
+def _parted(joined: Column) -> Column:
+    every = F.split(joined, " ")
+    return F.slice(every, 2, F.size(every) - 2)
 
 
-def _template(classes: Column, broad: bool) -> Column:
-    if broad:
-        return F.transform(classes, lambda c: F.coalesce(c["kind"], c["low"]))
+def _template(joined: Column, broad: bool | None) -> Column:
+    """All words' templates, still joined.
 
-    def narrow(c: Column) -> Column:
-        named = (c["kind"] == "<name>") & c["before"].rlike(RUNS_ON)
-        return F.when(c["kind"].isin("<num>", "<num><unit>", "<unit>") | named, c["kind"]).otherwise(c["low"])
-
-    return F.transform(classes, narrow)
+    Patterns run over whole texts, not word by word. Two separators, which no word holds,
+    are the marks: a tab begins a placeholder, a vertical tab a capital that may be a name
+    in the narrow form. Other words stay, so words and templates have the same places.
+    """
+    marked = joined if broad is None else F.regexp_replace(joined, RUNS_ON, " \x0b")
+    t = F.translate(marked, PUNCTUATION, "")
+    if broad is not None:
+        t = F.regexp_replace(F.regexp_replace(t, MEASURE, " \tnum>\tunit>"), NUMBER, " \tnum>")
+        t = F.regexp_replace(t, UNIT, "$1 \tunit>")
+        if broad:
+            t = F.regexp_replace(F.regexp_replace(t, MONEY, " \tmoney>"), POSSESSIVE, " \tname's>")
+        t = F.regexp_replace(t, rf" \x0b{'?' if broad else ''}{NAME}", " \tname>")
+        t = F.translate(t, "\t\x0b", "<")
+    return F.lower(t)
 
 
 def _places(width: int) -> Column:
@@ -101,18 +104,15 @@ def _places(width: int) -> Column:
 
 def _spelled(df: DataFrame, key: str, forms: tuple[bool | None, ...]) -> DataFrame:
     """key, words, for every form a template and its words' hashes (t0, h0, t1, h1); of the form None all words are literal."""
-    rows = df.select(F.col(key).cast("long").alias(key), F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0)).alias("words"))
-    if forms == (None,):
-        spelled = rows.withColumn("t0", F.transform("words", lambda w: F.lower(F.translate(w, PUNCTUATION, ""))))
-    else:
-        classed = rows.withColumn("classes", _classes(F.col("words")))
-        spelled = classed.select(key, "words", *[_template(F.col("classes"), bool(broad)).alias(f"t{k}") for k, broad in enumerate(forms)])
+    rows = df.select(F.col(key).cast("long").alias(key), _joined(F.col("text")).alias("joined"))
+    templates = [_parted(_template(F.col("joined"), broad)).alias(f"t{k}") for k, broad in enumerate(forms)]
+    spelled = rows.select(key, _parted(F.col("joined")).alias("words"), *templates)
     return spelled.select("*", *[F.transform(f"t{k}", lambda t: F.xxhash64(t)).alias(f"h{k}") for k in range(len(forms))])
 
 
 def _value(word: Column, broad: bool | None) -> Column:
     bare = F.translate(word, PUNCTUATION, "")
-    return F.regexp_replace(bare, POSSESSIVE, "$1") if broad else bare
+    return F.regexp_replace(bare, OWNER, "$1") if broad else bare
 
 
 def _slots(words: Column, template: Column, broad: bool | None) -> Column:
