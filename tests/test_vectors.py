@@ -180,6 +180,27 @@ def test_sweep_does_not_depend_on_partitioning(spark, blobs):
     assert runs[0] == runs[1]
 
 
+def test_members_are_those_of_double_precision():
+    rng = np.random.default_rng(5)
+    for n, d, shift in ((1500, 64, 0.0), (300, 3, 1000.0), (7, 2, 0.0), (200, 8, 1e20)):
+        x = np.float32(rng.normal(size=(n, d)) + shift).astype(float)
+        ks = [int(k) for k in rng.integers(1, 15, 20)]
+        centres = np.concatenate([x[rng.integers(0, n, k)] for k in ks])  # some are equal: the first one wins
+        at = 0
+        for part, near, order in kmeans._members(x, centres, ks):
+            assert len(part) <= kmeans.BLOCK  # scores of a whole batch are never held
+            rows, start = np.arange(len(part)), 0
+            members = np.empty_like(near)
+            members[order] = near
+            for k in ks:
+                c = centres[start : start + k]
+                best = ((c**2).sum(axis=1) - 2.0 * (part @ c.T)).argmin(axis=1)
+                assert (members[start : start + k].sum(axis=0) == 1).all() and members[start + best, rows].all()
+                start += k
+            at += len(part)
+        assert at == n
+
+
 def test_default_vectors_are_unit_and_keyed(spark):
     docs = spark.createDataFrame([(5, "casa amarela na rua"), (9, "rua casa"), (11, "")], "doc_id long, texto_modelo string")
     rows = {r["doc_id"]: np.array(r["embedding"]) for r in embedding.embed_documents(docs).collect()}
