@@ -46,7 +46,7 @@ ID_BITS = 24
 FORMS = (False, True)  # narrow, broad
 
 WORD = r"[^\x20\x09-\x0D]+"
-SEPARATORS = r"[\x20\x09-\x0D]+"
+SEPARATORS = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"  # but for one space, which may stay
 PUNCTUATION = ".,;:!?\"()[]"
 CURRENCIES = "$\u20ac\u00a3\u00a5"
 UNITS = "% mm cm m km in ft mi g kg mg t lb oz s ms min h hours minutes seconds days years l ml usd eur dollars euros cents degrees percent".split()
@@ -86,14 +86,14 @@ def _template(joined: Column, broad: bool | None) -> Column:
     in the narrow form. Other words stay, so words and templates have the same places.
     """
     marked = joined if broad is None else F.regexp_replace(joined, RUNS_ON, " \x0b")
-    t = F.translate(marked, PUNCTUATION, "")
+    t = F.regexp_replace(marked, r"[.,;:!?\"()\[\]]+", "")
     if broad is not None:
         t = F.regexp_replace(F.regexp_replace(t, MEASURE, " \tnum>\tunit>"), NUMBER, " \tnum>")
         t = F.regexp_replace(t, UNIT, "$1 \tunit>")
         if broad:
             t = F.regexp_replace(F.regexp_replace(t, MONEY, " \tmoney>"), POSSESSIVE, " \tname's>")
         t = F.regexp_replace(t, rf" \x0b{'?' if broad else ''}{NAME}", " \tname>")
-        t = F.translate(t, "\t\x0b", "<")
+        t = F.replace(F.replace(t, F.lit("\t"), F.lit("<")), F.lit("\x0b"), F.lit(""))
     return F.lower(t)
 
 
