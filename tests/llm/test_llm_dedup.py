@@ -6,10 +6,12 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_cases import components, empty, odd, odd_rows, prose, words
 
-from themeweave.llm import exact_dedup, near_dedup, substring_dedup
+from themeweave.llm import exact_dedup, hash_arrays, near_dedup, substring_dedup
+from themeweave.llm.words import blocks
 
 
 def normal(text):
@@ -143,6 +145,39 @@ def test_automata_in_several_shards(spark, monkeypatch):
     assert got == without_repeats(rows, 8)
 
 
+def test_no_automaton_is_opened_again_for_each_block(spark, monkeypatch):
+    """All files are opened once, with 20 automata or more and however many blocks follow."""
+    monkeypatch.setattr(substring_dedup, "PHRASES", 2)
+    rows = [(i, prose(i % 60, 40)) for i in range(120)]
+    docs, held, cleaned = spark.createDataFrame(rows, "doc_id long, text string"), [], substring_dedup._cleaned
+    monkeypatch.setattr(substring_dedup, "_cleaned", lambda *given: held.append(given) or cleaned(*given))
+    substring_dedup.without_repeats(docs, 8, 4)
+    opened, open_folder = Counter(), hash_arrays.open_folder
+    monkeypatch.setattr(hash_arrays, "open_folder", lambda path: opened.update([path]) or open_folder(path))
+    batch = pa.record_batch([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows])], names=["doc_id", "text"])
+    run = cleaned(*held[0])
+    first = list(run([batch]))
+    files = sum(opened.values())
+    assert files >= 20 and first[0].column("n_removed").to_pylist() == [40] * 120
+    assert all(again.equals(first[0]) for again in run([batch] * 5))
+    assert sum(opened.values()) == files
+
+
+@pytest.mark.parametrize("shards", [1, 7, 300])
+def test_automata_locate_all_phrases_and_no_others(spark, shards):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 60, n)) for n in (1, 2, 700, 0, 3, 900)]
+    (block,) = blocks(pa.array(texts))
+    hashes = block.hashes()
+    codes = substring_dedup.word_codes(hashes)
+    opening = codes[:-1] << np.uint32(16) | codes[1:]
+    some = rng.choice(np.unique(opening), 500, replace=False)
+    phrases = spark.createDataFrame([(int(x),) for x in some.view(np.int32)], "opening int").repartition(3)
+    opens = substring_dedup._located(block, hashes, substring_dedup.compiled(phrases, shards))
+    same = np.diff(block.owner()) == 0  # a phrase lies in one document
+    assert opens.tolist() == [*(np.isin(opening, some) & same), False]
+
+
 def test_empty_tables(spark):
     none = empty(spark)
     assert exact_dedup.exact_groups(none).count() == 0
